@@ -126,9 +126,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
         # the k-th score of the first shard, where it has k rows, is a lower bound for the whole table
         ranked = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
         bound = F.when(F.col("n") >= k, F.col("kth").cast("double")).otherwise(F.lit(float("-inf")))
-        known = queries.select("vec_id").groupBy("vec_id").agg(F.count(F.lit(1)).alias("asked"))
-        least = ranked.join(known, ranked.query_id == known.vec_id).filter("asked = 1").select("query_id", bound.alias("least"))
-        rest = asked.join(least, asked.vec_id == least.query_id, "left").drop("query_id").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+        known = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.count(F.lit(1)).alias("asked"))
+        least = ranked.join(known, "query_id").filter("asked = 1").select(F.col("query_id").alias("vec_id"), bound.alias("least"))
+        rest = asked.join(least, "vec_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
         rest = rest.withColumn("shard", F.explode(F.sequence(F.lit(1), F.lit(shards - 1))))
         first = first.unionByName(met(dealt.filter("shard > 0"), rest))
     pairs = first.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
