@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,3 +61,25 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write df as Parquet to a new folder in the session's checkpoint folder and read it back: as safe as a checkpoint, smaller, and read by column."""
+    spark = df.sparkSession
+    home = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-tables-")
+    path = f"{home.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def bit_words(keys: DataFrame, bits: int) -> np.ndarray:
+    """A table of `bits` bits (a power of two), as 64-bit words, set at the low bits of one column of longs.
+
+    Its size never changes with the data: it lets every key through and others by chance.
+    """
+    place = F.col(keys.columns[0]).bitwiseAND(F.lit(bits - 1))
+    words = keys.select((place / 64).cast("long").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int")).alias("bit"))
+    packed = words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    out = np.zeros(bits // 64, dtype=np.int64)
+    out[np.asarray(packed.column("word"))] = np.asarray(packed.column("bit"))
+    return out.view(np.uint64)

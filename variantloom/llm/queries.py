@@ -6,10 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, quality, sharding, topk, toxicity
+from . import decontaminate, langid, pieces, pii, quality, sharding, simhash, substrings, topk, toxicity
 from .common import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
@@ -22,6 +38,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,9 +51,14 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
+    "op2_decontamination": op2_decontamination,
+    "op3_simhash": op3_simhash,
+    "op4_pieces": op4_pieces,
     "op5_sharding": op5_sharding,
     "op6_exact_topk": op6_exact_topk,
     "op7_toxicity": op7_toxicity,
+    "op8_substrings": op8_substrings,
     "op9_quality": op9_quality,
     "op10_langid": op10_langid,
 }
