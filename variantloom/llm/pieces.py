@@ -291,3 +291,11 @@ def round_trip(docs: DataFrame, seed: int = 1, rate: float = 0.1, variants: int
         F.sha2(F.coalesce("decoded", F.lit("")), 256).alias("decoded_sha256"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
     )
+
+
+def encoded_documents(docs: DataFrame, seed: int = 1, rate: float = 0.1, variants: int = 4, path: str = MODEL) -> DataFrame:
+    """doc_id, lang, source, pieces, n_pieces of every text; a text that did not decode to itself would be an error."""
+    rows = decode(encode(docs.select("doc_id", "text", "lang", "source"), seed, rate, variants, path), path)
+    same = F.col("decoded").eqNullSafe(F.col("text"))
+    checked = F.when(same, F.coalesce(F.size("pieces"), F.lit(0)).cast("long")).otherwise(F.raise_error(F.lit("pieces do not decode to their text")).cast("long"))
+    return rows.select("doc_id", "lang", "source", "pieces", checked.alias("n_pieces"))

@@ -232,7 +232,7 @@ def masked(text: str, spans: list[dict]) -> str:
 
 
 def sanitised(docs: DataFrame) -> DataFrame:
-    """docs with all its columns, the text masked by the spans of scan()."""
+    """docs with all its columns, the text masked by the spans of scan(); a column n_chars follows the new text."""
     spans = scan(docs).filter(F.size("spans") > 0).select("text_key", "spans").dropDuplicates(["text_key"])
     schema = docs.schema
     keyed = docs.withColumn("text_key_", F.xxhash64(text_or_empty()))
@@ -242,6 +242,8 @@ def sanitised(docs: DataFrame) -> DataFrame:
         for batch in text_blocks(batches):
             texts = [t if t is None or not s else masked(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("spans_").to_pylist(), strict=True)]
             out = {f.name: batch.column(f.name) for f in schema}
+            if "n_chars" in out:
+                out["n_chars"] = pa.array([None if t is None else len(t) for t in texts], out["n_chars"].type)
             yield pa.RecordBatch.from_pydict(out | {"text": pa.array(texts, pa.string())})
 
     return joined.mapInArrow(run, schema)
