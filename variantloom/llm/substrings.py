@@ -14,8 +14,9 @@ the corpus would be far larger than the corpus, so the texts are parsed first:
    refinement: the order by h+1 symbols comes from the order by h through the transforms alone. Block borders that
    appear in round h mark common prefixes of h symbols; a block that is left after 32 rounds is a repeated interval,
    that is a repeated window.
-4. A core with more than `group_pieces` pieces does not go to one task: its windows are counted by Spark, one
-   hash each, with partial aggregation.
+4. A core with more than `chunk` pieces does not go to one task: its pieces are dealt in chunks, and every two
+   chunks meet in a task of their own. Beyond MOST_CHUNKS chunks its windows are counted by Spark instead, one hash
+   each, with partial aggregation. All ways give the same masks.
 
 Repeated marks reach the second pass over the texts as a bit table of fixed size; what it lets through by chance falls
 out in step 2. Texts that occur twice are removed whole. Hashes have 64 bits.
@@ -41,6 +42,7 @@ GRAM = 64
 CHUNK, FINE = 128, 32
 SIDE = FINE - 1
 BITS = 1 << 26
+MOST_CHUNKS = 64
 BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -193,21 +195,21 @@ def repeated_windows(core: np.ndarray, sides: np.ndarray, left: np.ndarray, righ
 
 
 def solved(batches: Iterator[pa.RecordBatch], most: int = 8_192) -> Iterator[pa.RecordBatch]:
-    """piece, mask of the pieces of a partition sorted by core; cores are never cut."""
+    """piece, mask of the pieces of a partition sorted by meeting (core and chunks); meetings are never cut."""
     held: list[pa.RecordBatch] = []
 
     def run(table: pa.Table) -> pa.RecordBatch:
         n = table.num_rows
         sides = np.frombuffer(b"".join(table.column("sides").to_pylist()), dtype=np.uint8).reshape(n, 2 * SIDE)
         col = lambda x: np.asarray(table.column(x), dtype=np.int64)
-        return pa.RecordBatch.from_pydict({"piece": pa.array(col("piece")), "mask": pa.array(repeated_windows(col("core"), sides, col("left"), col("right")))})
+        return pa.RecordBatch.from_pydict({"piece": pa.array(col("piece")), "mask": pa.array(repeated_windows(col("met"), sides, col("left"), col("right")))})
 
     for batch in batches:
         held.append(batch)
         if sum(b.num_rows for b in held) >= most:
             table = pa.Table.from_batches(held)
-            core = np.asarray(table.column("core"), dtype=np.int64)
-            cuts = np.flatnonzero(core[1:] != core[:-1]) + 1
+            met = np.asarray(table.column("met"), dtype=np.int64)
+            cuts = np.flatnonzero(met[1:] != met[:-1]) + 1
             done = 0
             while True:
                 fits = cuts[(cuts > done) & (cuts <= done + most)]
@@ -254,7 +256,7 @@ def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"text_key": batch.column("text_key"), "n_removed": pa.array([r[0] for r in rows], pa.int64()), "n_spans": pa.array([r[1] for r in rows], pa.int64()), "kept_sha256": pa.array([r[2] for r in rows], pa.string())})
 
 
-def repeated_places(texts: DataFrame, group_pieces: int = 256) -> DataFrame:
+def repeated_places(texts: DataFrame, chunk: int = 1_024) -> DataFrame:
     """text_key, start, mask: where the windows start..start-31 of the texts (text_key, text) are repeated."""
     spark = texts.sparkSession
     marks = texts.mapInArrow(marks_of, "mark long, place long")
@@ -280,10 +282,13 @@ def repeated_places(texts: DataFrame, group_pieces: int = 256) -> DataFrame:
     cores = pieces.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     # a piece at several places is settled, but others of its core still need it
     rivals = pieces.join(cores, "core")
-    few = rivals.filter(F.col("n") <= group_pieces).select("core", "sides", "left", "right", "piece")
+    chunks = F.ceil(F.col("n") / chunk).cast("int")
+    own = F.pmod(F.xxhash64("piece"), F.col("chunks")).cast("int")
+    few = rivals.withColumn("chunks", chunks).filter(F.col("chunks") <= MOST_CHUNKS).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    few = few.select(F.xxhash64("core", F.least("own", "other"), F.greatest("own", "other")).alias("met"), "sides", "left", "right", "piece")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    merged_ = few.repartition(parts, "core").sortWithinPartitions("core", "piece").mapInArrow(solved, "piece long, mask long")
-    masks = merged_.union(counted(rivals.filter(F.col("n") > group_pieces))).union(pieces.filter("a <> b").select("piece", F.lit(whole).cast("long")))
+    merged_ = few.repartition(parts, "met").sortWithinPartitions("met", "piece").mapInArrow(solved, "piece long, mask long")
+    masks = merged_.union(counted(rivals.filter(chunks > MOST_CHUNKS))).union(pieces.filter("a <> b").select("piece", F.lit(whole).cast("long")))
     masks = masks.groupBy("piece").agg(F.bit_or("mask").alias("mask")).filter("mask <> 0")
     valid = bit(F.col("left") + 1) - 1  # windows that start inside the text
     ended = -bit(SIDE - F.col("right"))  # and end inside it
