@@ -36,7 +36,7 @@ WORD = re.compile(r"\w+")
 SHORTEST = 5
 EDITS = 0.2
 OFFSET = 6
-PER_WALK = 6
+PER_WALK = 5
 #: Steps of the walk, sampled places, and the item sizes served: (from, below).
 CLASSES = ((5, 3, 5, 15), (20, 4, 15, 1 << 30))
 
