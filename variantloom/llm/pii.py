@@ -3,7 +3,8 @@
 Base spans are e-mail addresses, IPv4 addresses, card and phone numbers. Each distinct value is a protected entity.
 The corpus tells how strongly a term reveals an entity: over documents of distinct text, PMI(e; t) =
 log2(p(e, t) / (p(e) p(t))) against the entity's own information IC(e) = -log2 p(e). The ratio is 1 when the term
-occurs only with the entity. A term near an entity in at least `support` documents is a candidate; at a ratio of
+occurs only with the entity. A term near an entity in at least `support` documents is a candidate, unless its
+uses beside other entities alone already hold the ratio down; at a ratio of
 `generalise` its occurrences become spans that are replaced by their shape, and at `remove` they are taken out.
 
 Counts cover all documents. Candidate terms reach the tasks as a bit table of fixed size, and what passes it by
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import checkpointed, text_blocks, text_or_empty, texts_of
+from .common import text_blocks, text_or_empty, texts_of, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
@@ -119,7 +120,7 @@ def base_table(docs: DataFrame, reach: int = 6) -> DataFrame:
     rows = docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("text_key"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_key long, starts array<int>, kinds array<int>, ends array<int>, entities array<long>, terms array<string>"
-    return checkpointed(rows.mapInArrow(lambda b: scanned(b, reach), schema))
+    return written(rows.mapInArrow(lambda b: scanned(b, reach), schema))
 
 
 def bit_table(candidates: DataFrame) -> np.ndarray:
@@ -170,16 +171,19 @@ def occurrences(docs: DataFrame, table: np.ndarray) -> DataFrame:
 def disclosing(docs: DataFrame, base: DataFrame, support: int = 3, generalise: float = 0.95, remove: float = 0.99) -> tuple[DataFrame, DataFrame]:
     """The disclosing terms (term, action, ratio), and where candidate terms occur."""
     near = base.select("text_key", F.explode(F.arrays_zip("entities", "terms")).alias("x")).select("text_key", F.col("x.entities").alias("entity"), F.col("x.terms").alias("term"))
-    pairs = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
-    candidates = checkpointed(pairs.filter(F.col("both") >= support))
-    found = checkpointed(occurrences(docs, bit_table(candidates.select("term"))).dropDuplicates(["text_key", "term"]))
-    held = found.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    pairs = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support)
     spread = near.select("text_key", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
+    # texts with the term near any entity: no more than texts with the term, so a ratio against them is an upper bound
+    beside = near.select("text_key", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("beside"))
     texts = base.select(F.approx_count_distinct("text_key", 0.01).alias("texts"))
-    told = candidates.join(held, "term").join(spread, "entity").join(F.broadcast(texts))
     ic = F.log2(F.greatest(F.col("texts").cast("double"), F.col("with_entity") + 1.0) / F.col("with_entity"))
-    ratio = 1 + F.log2(F.least(F.lit(1.0), F.col("both") / F.col("with_term"))) / ic
-    terms = told.groupBy("term").agg(F.max(ratio).alias("ratio")).filter(F.col("ratio") >= generalise)
+    ratio = lambda all_: 1 + F.log2(F.least(F.lit(1.0), F.col("both") / F.col(all_))) / ic
+    met = pairs.join(beside, "term").join(spread, "entity").join(F.broadcast(texts))
+    candidates = written(met.filter(ratio("beside") >= generalise).drop("beside"))
+    found = written(occurrences(docs, bit_table(candidates.select("term"))).dropDuplicates(["text_key", "term"]))
+    held = found.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    told = candidates.join(held, "term").withColumn("ratio", ratio("with_term"))
+    terms = told.groupBy("term").agg(F.max("ratio").alias("ratio")).filter(F.col("ratio") >= generalise)
     return terms.withColumn("action", F.when(F.col("ratio") >= remove, "remove").otherwise("generalise")), found
 
 
