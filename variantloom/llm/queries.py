@@ -66,13 +66,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op6_exact_topk": """
 WITH usable AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-    max(CAST(coalesce(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])), 0) AS BIGINT)) AS score
+    max(CAST(coalesce(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])), 0) AS BIGINT)) AS score
   FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
   GROUP BY q.vec_id, c.vec_id
 ), ranked AS (
