@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import written
+
 
 def quantised(vectors: DataFrame, scale: int = 1024) -> DataFrame:
     """vec_id and `v`: floor(scale * component) as longs; unusable vectors dropped, equal rows merged."""
@@ -100,11 +102,12 @@ def best_of(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids:
 
 def matched(vectors: pa.Table, queries: pa.Table, k: int, leaf: int) -> pa.Table:
     """One shard against one block of queries."""
-    dim = (vectors if vectors.num_rows else queries).column("dim")[0].as_py()
-    flat = lambda t: np.asarray(pc.list_flatten(t.column("v")), dtype=np.int64).reshape(t.num_rows, dim)
-    found = best_of(
-        flat(vectors), np.asarray(vectors.column("vec_id"), dtype=np.int64), flat(queries), np.asarray(queries.column("vec_id"), dtype=np.int64), np.asarray(queries.column("least"), dtype=np.float64), k, leaf
-    ) if vectors.num_rows and queries.num_rows else []
+    found: list = []
+    if vectors.num_rows and queries.num_rows:
+        dim = vectors.column("dim")[0].as_py()
+        flat = lambda t, c: np.asarray(pc.list_flatten(t.column(c)), dtype=np.int64).reshape(t.num_rows, dim)
+        ids, query_ids = np.asarray(vectors.column("vec_id"), dtype=np.int64), np.asarray(queries.column("q_id"), dtype=np.int64)
+        found = best_of(flat(vectors, "v"), ids, flat(queries, "q_v"), query_ids, np.asarray(queries.column("least"), dtype=np.float64), k, leaf)
     a = np.array(found, dtype=np.int64).reshape(-1, 3)
     return pa.table({"query_id": a[:, 0], "vec_id": a[:, 1], "score": a[:, 2]})
 
@@ -114,22 +117,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
     shards, blocks = -(-max(1, vectors.count()) // shard_rows), -(-max(1, queries.count()) // block_rows)
     dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int"))
     dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int"))
-    keys = ["dim", "shard", "block"]
+    asked = queries.select(F.col("vec_id").alias("q_id"), F.col("v").alias("q_v"), F.col("dim").alias("q_dim"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int").alias("q_block"))
 
     def met(some: DataFrame, by: DataFrame) -> DataFrame:
         run = partial(matched, k=k, leaf=leaf)
-        return some.groupBy(*keys).cogroup(by.groupBy(*keys)).applyInArrow(lambda a, b: run(a, b), "query_id long, vec_id long, score long")
+        return some.groupBy("dim", "shard", "block").cogroup(by.groupBy("q_dim", "q_shard", "q_block")).applyInArrow(lambda a, b: run(a, b), "query_id long, vec_id long, score long")
 
-    first = met(dealt.filter("shard = 0"), asked.withColumn("shard", F.lit(0)).withColumn("least", F.lit(float("-inf"))))
+    open_ = F.lit(float("-inf"))
+    first = met(dealt.filter("shard = 0"), asked.withColumn("q_shard", F.lit(0)).withColumn("least", open_))
     if shards > 1:
+        first = written(first)
         # the k-th score of the first shard, where it has k rows, is a lower bound for the whole table
         ranked = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
-        bound = F.when(F.col("n") >= k, F.col("kth").cast("double")).otherwise(F.lit(float("-inf")))
-        known = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.count(F.lit(1)).alias("asked"))
-        least = ranked.join(known, "query_id").filter("asked = 1").select(F.col("query_id").alias("vec_id"), bound.alias("least"))
-        rest = asked.join(least, "vec_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
-        rest = rest.withColumn("shard", F.explode(F.sequence(F.lit(1), F.lit(shards - 1))))
+        known = asked.groupBy(F.col("q_id").alias("query_id")).agg(F.count(F.lit(1)).alias("asked"))
+        least = ranked.join(known, "query_id").filter("asked = 1").select(F.col("query_id").alias("q_id"), F.when(F.col("n") >= k, F.col("kth").cast("double")).alias("kth"))
+        rest = asked.join(least, "q_id", "left").withColumn("least", F.coalesce("kth", open_)).drop("kth")
+        rest = rest.withColumn("q_shard", F.explode(F.sequence(F.lit(1), F.lit(shards - 1))))
         first = first.unionByName(met(dealt.filter("shard > 0"), rest))
     pairs = first.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
