@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from variantloom.llm import components, decontaminate, langid, pieces, pii, quality, sharding, simhash, substrings, topk, toxicity
-from variantloom.llm.common import id_crc
+from variantloom.llm.common import id_crc, written
 
 
 @pytest.fixture(scope="module")
@@ -171,7 +171,6 @@ def test_base_spans():
 def test_disclosing_terms(spark):
     rows = [(k, f"word{chr(97 + k)} plain text about Zorblatt wrote to zorb@example.com yesterday evening") for k in range(8)]
     rows += [(100 + k, f"plain text about wrote yesterday evening number {'abcdefghijklmnopqrstuvwxyz'[k % 26]}{k} plain") for k in range(60)]
-    rows += [(200, "Zorblatt again without any address")]
     out = {r.doc_id: r for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(out[k].n_email == 1 and "term:" in out[k].spans for k in range(8))
     assert all(out[100 + k].spans == "" for k in range(60))
@@ -270,10 +269,10 @@ def test_pipeline(spark, sf_dir, texts):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     seen = set(texts)
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        rows = stage(spark, docs, sf_dir)
+        rows = written(stage(spark, docs, sf_dir))
         assert rows.columns == docs.columns, name
         now = {r.doc_id for r in rows.select("doc_id").collect()}
         assert now <= seen and len(now) > 0.5 * len(seen)
-        seen = now
+        seen, docs = now, rows
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.filter(F.col("n_pieces") > 0).count() == out.count()
