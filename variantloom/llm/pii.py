@@ -87,7 +87,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def scanned(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBatch]:
     """Base spans of each row, and the distinct (entity, term) pairs of terms within `reach` words of an entity."""
-    for batch in text_blocks(batches):
+    for batch in text_blocks(batches, 2_000_000):
         cols: dict[str, list] = {k: [] for k in ("starts", "kinds", "ends", "entities", "terms")}
         for text in texts_of(batch):
             spans = base_spans(text)
@@ -134,28 +134,33 @@ def bit_table(candidates: DataFrame) -> np.ndarray:
 
 def occurrences(docs: DataFrame, table: np.ndarray) -> DataFrame:
     """text_key, term, starts, ends for every term of each text that the bit table lets through."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from zlib import crc32
 
-        bits = np.unpackbits(shared.value, bitorder="little").astype(bool).tolist() if shared.value.any() else None
+        bits = shared.value
+
+        def passes(word: str) -> bool:
+            place = crc32(word.lower().encode("utf-8", "surrogatepass")) % BITS
+            return bool(bits[place >> 3] >> (place & 7) & 1)
+
         known: dict[str, bool] = {}
-        for batch in text_blocks(batches):
+        for batch in text_blocks(batches, 2_000_000):
             cols: dict[str, list] = {"text_key": [], "term": [], "starts": [], "ends": []}
-            for key, text in zip(batch.column("text_key").to_pylist(), texts_of(batch), strict=True) if bits else ():
+            for key, text in zip(batch.column("text_key").to_pylist(), texts_of(batch), strict=True) if any(bits) else ():
                 hit = False
                 for word in set(WORD.findall(text)):
                     if (x := known.get(word)) is None:
-                        x = known[word] = bits[crc32(word.lower().encode("utf-8", "surrogatepass")) % BITS]
+                        x = known[word] = passes(word)
                     hit |= x
-                if len(known) > 500_000:
+                if len(known) > 100_000:
                     known.clear()
                 if hit:
                     own: dict[str, tuple[list, list]] = {}
                     for m in WORD.finditer(text):
                         term = m[0].lower()
-                        if bits[crc32(term.encode("utf-8", "surrogatepass")) % BITS]:
+                        if passes(term):
                             a, b = own.setdefault(term, ([], []))
                             a.append(m.start())
                             b.append(m.end())
