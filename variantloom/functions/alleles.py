@@ -116,21 +116,30 @@ def trimmed(position: Column, ref: Column, alt: Column) -> Column:
     return F.struct((position + p).alias("position"), F.substring(ref1, p + 1, F.length(ref1)).alias("ref"), F.substring(alt1, p + 1, F.length(alt1)).alias("alt"))
 
 
+def run_length(a: Column, b: Column, most: Column) -> Column:
+    """Length of the common prefix of two texts, at most `most`, in one pass over both."""
+    letters = lambda x: F.split(F.substring(x, F.lit(1), most), "")
+    at = F.array_position(F.zip_with(letters(a), letters(b), lambda x, y: F.coalesce(x == y, F.lit(False))), False)
+    return F.when(at == 0, most).otherwise(F.least(at.cast("int") - 1, most))
+
+
 def left_shift(flank: Column, ref: Column, alt: Column, position: Column, cap: int = 1_000) -> Column:
-    """How far an anchored indel moves left. `flank` is the reference up to and with the anchor base, of up to cap + 1 bases."""
+    """How far an anchored indel moves left. `flank` is the reference up to and with the anchor base, of up to cap + 1 bases.
+
+    It moves one base for each base that agrees, going back from the anchor, with the inserted or deleted unit written backwards
+    over and over.
+    """
     longer = F.when(F.length(ref) > F.length(alt), ref).otherwise(alt)
-    unit = F.substring(longer, F.lit(2), F.length(longer))
-    k = F.length(unit)
+    unit = F.reverse(F.substring(longer, F.lit(2), F.length(longer)))
     most = F.least(F.length(flank), F.lit(cap), position - 1).cast("int")
-    same = F.transform(F.sequence(F.lit(0), F.greatest(most, F.lit(1)) - 1), lambda i: (i < most) & (F.substring(flank, F.length(flank) - i, F.lit(1)) == F.substring(unit, F.pmod(k - 1 - i, k) + 1, F.lit(1))))
-    at = F.array_position(same, False)
+    over = F.call_function("repeat", unit, F.ceil(most / F.greatest(F.length(unit), F.lit(1))).cast("int"))
     indel = (F.least(F.length(ref), F.length(alt)) == 1) & (F.length(ref) != F.length(alt)) & (F.substring(ref, F.lit(1), F.lit(1)) == F.substring(alt, F.lit(1), F.lit(1)))
-    return F.when(~indel | (most < 1), 0).when(at == 0, most).otherwise(at.cast("int") - 1)
+    return F.when(~F.coalesce(indel & (most >= 1), F.lit(False)), 0).otherwise(run_length(F.reverse(flank), over, most))
 
 
-def left_aligned(flank: Column, position: Column, ref: Column, alt: Column, cap: int = 1_000) -> Column:
-    """(position, ref, alt, shift, status) after moving an anchored indel to its left-most place."""
-    n = left_shift(flank, ref, alt, position, cap)
+def left_aligned(flank: Column, position: Column, ref: Column, alt: Column, cap: int = 1_000, shift: Column | None = None) -> Column:
+    """(position, ref, alt, shift, status) after moving an anchored indel to its left-most place; `shift` if it is known already."""
+    n = left_shift(flank, ref, alt, position, cap) if shift is None else shift
     longer = F.when(F.length(ref) > F.length(alt), ref).otherwise(alt)
     unit = F.substring(longer, F.lit(2), F.length(longer))
     k = F.length(unit)
@@ -152,11 +161,9 @@ def right_shift(flank: Column, ref: Column, alt: Column, cap: int = 1_000) -> Co
     """How far an anchored indel may move right. `flank` is the reference after the REF allele."""
     longer = F.when(F.length(ref) > F.length(alt), ref).otherwise(alt)
     unit = F.substring(longer, F.lit(2), F.length(longer))
-    k = F.greatest(F.length(unit), F.lit(1))
     most = F.least(F.length(flank), F.lit(cap)).cast("int")
-    same = F.transform(F.sequence(F.lit(0), F.greatest(most, F.lit(1)) - 1), lambda i: (i < most) & (F.substring(flank, i + 1, F.lit(1)) == F.substring(unit, F.pmod(i, k) + 1, F.lit(1))))
-    at = F.array_position(same, False)
-    return F.when((F.length(ref) == F.length(alt)) | (most < 1), 0).when(at == 0, most).otherwise(at.cast("int") - 1)
+    over = F.call_function("repeat", unit, F.ceil(most / F.greatest(F.length(unit), F.lit(1))).cast("int"))
+    return F.when((F.length(ref) == F.length(alt)) | F.coalesce(most < 1, F.lit(True)), 0).otherwise(run_length(flank, over, most))
 
 
 def reference_matches(found: Column, ref: Column) -> Column:

@@ -28,22 +28,24 @@ def capped(variants: DataFrame, group: list[str], config: Config = DEFAULT) -> D
 
 
 def enumerated(variants: DataFrame, group: list[str]) -> DataFrame:
-    """All pairs a < b (in genomic order) of each group's capped variants, as structs a and b."""
-    own = variants.withColumn("v", F.struct(*[c for c in variants.columns if c not in group]))
-    a, b = own.select(*group, F.col("v").alias("a")), own.select(*group, F.col("v").alias("b"))
-    key = lambda x: F.struct(*[F.col(f"{x}.{c}") for c in ORDER])
-    return a.join(b, group).filter(key("a") < key("b"))
+    """All pairs a < b (in genomic order) of each group's capped variants, as structs a and b.
+
+    A capped group is a short array, so its pairs come out of the array: the variants are computed and shuffled once, where a
+    self-join would do both twice.
+    """
+    rest = [c for c in variants.columns if c not in group and c not in ORDER]
+    own = variants.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(*ORDER, *rest))).alias("v_"))
+    first = own.select(*group, "v_", F.posexplode("v_").alias("at_", "a"))
+    return first.select(*group, "a", F.explode(F.slice("v_", F.col("at_") + 2, F.size("v_"))).alias("b"))
 
 
 def kept_pairs(pairs: DataFrame, group: list[str], config: Config = DEFAULT) -> DataFrame:
-    """The pairs of each gene with the best weakest member; adds `generated`, `pair_place` and `truncated`."""
-    weakest = F.greatest(F.col("a.place"), F.col("b.place"))
-    strongest = F.least(F.col("a.place"), F.col("b.place"))
-    w = Window.partitionBy(*group).orderBy("weakest", "strongest")
-    counts = pairs.groupBy(*group).agg(F.count(F.lit(1)).alias("generated"))
-    ranked = pairs.withColumn("weakest", weakest).withColumn("strongest", strongest).withColumn("pair_place", F.row_number().over(w))
+    """The pairs of each gene with the best weakest member; adds `generated`, `pair_place` and `truncated`. A group has
+    at most variants_per_gene * (variants_per_gene - 1) / 2 pairs here."""
+    w = Window.partitionBy(*group).orderBy(F.greatest("a.place", "b.place"), F.least("a.place", "b.place"))
+    ranked = pairs.withColumn("generated", F.count(F.lit(1)).over(Window.partitionBy(*group))).withColumn("pair_place", F.row_number().over(w))
     cut = (F.col("generated") > config.pairs_per_gene) | (F.col("a.n_variants") > config.variants_per_gene)
-    return ranked.filter(F.col("pair_place") <= config.pairs_per_gene).join(counts, group).withColumn("truncated", cut).drop("weakest", "strongest")
+    return ranked.filter(F.col("pair_place") <= config.pairs_per_gene).withColumn("truncated", cut)
 
 
 def phase_status(same_set: Column, slot_a: Column, slot_b: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from variantloom.functions import alleles, rules
-from variantloom.operators import annotate, compare, mechanism, ontology, pairs, tables, textscan
+from variantloom.operators import annotate, compare, mechanism, ontology, pairs, stages, tables, textscan
 from variantloom.plans.views import Views, duck
 from variantloom.sources import tables as knowledge
 
@@ -422,6 +422,79 @@ def submission_violations(v: Views) -> DataFrame:
     return pairs.violations(rows.withColumn("members", F.array("key"))).filter("rule <> 'superset_below_subset'")
 
 
+@query("pair_flags", f"""WITH {SQL_SCORED} SELECT s.pair_id, s.sample_id, CASE s.phase WHEN 'cis_confirmed' THEN 'in_cis' WHEN 'trans_confirmed' THEN 'in_trans' ELSE 'phase_unknown' END AS phase_flag, a.zygosity <> b.zygosity AS mixed, CASE WHEN a.contig = b.contig THEN abs(b.position - a.position) END AS distance_bp
+FROM scored s JOIN capped a ON a.sample_id = s.sample_id AND a.gene_key = s.gene_key AND a.variant_id = s.id_a JOIN capped b ON b.sample_id = s.sample_id AND b.gene_key = s.gene_key AND b.variant_id = s.id_b WHERE a.contig = b.contig""")
+def pair_flags(v: Views) -> DataFrame:
+    """O18, of pairs on one contig."""
+    df = stages.pair_flags(scored(v)).filter("distance_bp IS NOT NULL")
+    return df.select("pair_id", "sample_id", F.get("pair_flags", F.lit(0)).alias("phase_flag"), F.array_contains("pair_flags", "mixed_zygosity").alias("mixed"), "distance_bp")
+
+
+@query("cap_events", f"WITH {SQL_PAIRS} SELECT sample_id, gene_key, max(n_variants) AS n_variants, max(generated) AS generated, count(*) AS kept FROM kept GROUP BY 1, 2 HAVING max(n_variants) > 24 OR max(generated) > 20")
+def cap_events(v: Views) -> DataFrame:
+    """E4, O19."""
+    return stages.cap_warnings(candidates(v), ["sample_id", "gene_key"])
+
+
+@query("component_evidence", f"""WITH {SQL_SCORED}, u AS (SELECT pair_id, unnest(['validity', 'rarity', 'consequence', 'inheritance', 'phenotype', 'mechanism', 'evidence']) AS component, unnest([round(validity, 6), round(rarity, 6), round(consequence, 6), round(inheritance, 6), 0.5, 0.0, round(evidence, 6)]) AS score FROM scored)
+SELECT component, CASE WHEN score > 0.5 THEN 'supports' WHEN score < 0.5 THEN 'contradicts' ELSE 'neutral' END AS direction, count(*) AS n FROM u GROUP BY 1, 2""")
+def component_evidence(v: Views) -> DataFrame:
+    """Seven items per pair, counted by direction."""
+    rounded = scored(v).withColumns({c: F.round(F.col(c).cast("double"), 6) for c in pairs.COMPONENTS})
+    return stages.component_evidence(rounded).groupBy(F.col("payload")["component"].alias("component"), "direction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("dossier_answers")
+def dossier_answers(v: Views) -> DataFrame:
+    """Nine answers for each of the ten first pairs of a sample."""
+    return stages.answers(scored(v).filter("rank <= 10"))
+
+
+@query("truncation_notice")
+def truncation_notice(v: Views) -> DataFrame:
+    """O35."""
+    r = scored(v)
+    top = r.filter("rank <= 10")
+    lifted = pairs.promoted(top.select("sample_id", "rank", "members"), "sample_id")
+    return stages.truncation_notice(r, top, lifted)
+
+
+@query("run_warnings", f"""WITH {SQL_TRIAGED}, g AS (SELECT avg(CASE WHEN n_cons = 0 THEN 1.0 ELSE 0.0 END) AS a, avg(CASE WHEN triage LIKE 'kept%' THEN CASE WHEN max_af IS NULL THEN 1.0 ELSE 0.0 END END) AS b, avg(CASE WHEN triage LIKE 'kept%' THEN 0.0 ELSE 1.0 END) AS c, avg(CASE WHEN n_assertions IS NULL THEN 1.0 ELSE 0.0 END) AS d FROM judged)
+SELECT 'no_consequence' AS code, round(a, 6) AS share FROM g WHERE a > 0 UNION ALL SELECT 'no_frequency', round(b, 6) FROM g WHERE b > 0 UNION ALL SELECT 'below_bar', round(c, 6) FROM g WHERE c > 0 UNION ALL SELECT 'no_clinical_source', round(d, 6) FROM g WHERE d > 0""")
+def run_warnings(v: Views) -> DataFrame:
+    """D-5, O5."""
+    return stages.run_warnings(annotated(v)).select("code", "share")
+
+
+@query("predictor_accounting", """WITH q AS (SELECT DISTINCT site_key FROM calls), p AS (SELECT site_key, min(CASE WHEN impact IS NOT NULL THEN 0 ELSE 2 END) AS k FROM consequences GROUP BY site_key)
+SELECT CASE WHEN q.site_key % 50 = 0 THEN 'skipped' WHEN k = 0 THEN 'annotated' WHEN k = 2 THEN 'incomplete' ELSE 'without_annotation' END AS state, count(*) AS n FROM q LEFT JOIN p ON p.site_key = q.site_key GROUP BY 1""")
+def predictor_accounting(v: Views) -> DataFrame:
+    """O9, O10."""
+    ids = v["calls"].select(F.col("site_key").alias("variant_id")).distinct()
+    seen = v["consequences"].select(F.col("site_key").alias("variant_id"), F.when(F.col("impact").isNotNull(), "ok").otherwise("incomplete").alias("verdict"))
+    return stages.predictor_accounting(ids, seen, ids.filter("variant_id % 50 = 0"))
+
+
+@query("named_terms", f"SELECT site_key, arg_min(term, concat(CASE WHEN term IN ({LOF}) THEN '0' ELSE '1' END, term)) AS term FROM (SELECT site_key, unnest(string_split(terms, '&')) AS term FROM consequences WHERE impact = 'low') q GROUP BY site_key")
+def named_terms(v: Views) -> DataFrame:
+    """O21."""
+    return stages.named_term(v["consequences"], "site_key", "low")
+
+
+@query("normalise_stage")
+def normalise_stage(v: Views) -> DataFrame:
+    """O1, B14, B16, D-10: insertions built on calls, against a reference whose blocks are made from the documents' letters."""
+    contig = F.concat(F.lit("chr"), (1 + F.col("doc_id") % 22).cast("string"))
+    letters = F.translate(F.regexp_replace(F.upper("text"), "[^A-Z]", ""), "BDEFHIJKLMNOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTAC")
+    first = v["documents"].groupBy(contig.alias("contig")).agg(F.min_by(letters, F.struct((-F.length("text")).alias("n"), "doc_id")).alias("seq"))
+    lengths = first.select("contig", F.length("seq").alias("size"))
+    blocks = stages.reference_blocks(first)
+    at = v["calls"].select("contig", "position", "alt").distinct().join(lengths, "contig").withColumn("position", F.pmod("position", F.greatest(F.col("size") - 10, F.lit(1))) + 1)
+    bases = stages.with_flank(at.withColumn("ref", F.lit("A")), blocks)
+    ins = bases.filter("ref_seen <> ''").select("contig", "position", F.col("ref_seen").alias("ref"), F.concat("ref_seen", F.substring("flank", -1, 1), F.substring("flank", -1, 1)).alias("alt"))
+    return stages.normalised(ins.distinct(), blocks).groupBy("status", F.array_join("ops", ",").alias("ops"), "reference_matches").agg(F.count(F.lit(1)).alias("n"), F.sum("position").alias("positions"))
+
+
 # ---- windows, islands, knowledge, sets -------------------------------------------------------------------------------------
 
 
@@ -718,6 +791,14 @@ def drug_rejections(v: Views) -> DataFrame:
     return mechanism.rejections(mechanism.triage(agents(v), nodes, m))
 
 
+@query("drug_answers", f"""WITH {SQL_TRIAGE} SELECT k AS drug_id, 'verdict' AS question, CASE WHEN rejected THEN concat('rejected: ', first_reason) ELSE 'accepted' END AS answer FROM r
+UNION ALL SELECT k, 'does the direction fit', CASE WHEN agrees THEN 'yes' WHEN agrees IS NULL THEN 'unknown' ELSE 'no' END FROM r UNION ALL SELECT k, 'section', CASE k % 2 WHEN 0 THEN 'disease_modifying' ELSE 'non_disease_modifying' END FROM r""")
+def drug_answers(v: Views) -> DataFrame:
+    """I10, I13, O33, O34."""
+    m, nodes, _ = graph(v)
+    return stages.drug_answers(mechanism.triage(agents(v), nodes, m)).filter(F.col("question").isin("verdict", "does the direction fit", "section"))
+
+
 @query("mechanism_validity", f"""WITH {SQL_GRAPH}, l AS (SELECT mechanism_id, node_id, CASE WHEN node_id % 5 = 0 THEN -node_id - 1 ELSE node_id END AS t FROM nodes)
 SELECT mechanism_id, node_id AS link_id, t AS node_id FROM l WHERE t < 0""")
 def mechanism_validity(v: Views) -> DataFrame:
