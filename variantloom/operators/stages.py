@@ -11,13 +11,15 @@ from variantloom.functions import alleles, rules
 from variantloom.operators import compare, pairs
 
 BLOCK = 4_096
+#: Bases of the next block that each block repeats, so that a REF allele rarely needs two; a longer one is not assessed.
+AHEAD = 1_024
 
 
 def reference_blocks(sequences: DataFrame) -> DataFrame:
     """contig, block, seq: sequences (contig, seq) cut into blocks, so that lookups are equi-joins."""
     n = F.ceil(F.length("seq") / BLOCK).cast("int")
     cut = sequences.withColumn("block", F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)))
-    return cut.select("contig", F.col("block").cast("long").alias("block"), F.substring("seq", F.col("block") * BLOCK + 1, F.lit(BLOCK)).alias("seq"))
+    return cut.select("contig", F.col("block").cast("long").alias("block"), F.substring("seq", F.col("block") * BLOCK + 1, F.lit(BLOCK + AHEAD)).alias("seq"))
 
 
 def with_flank(calls: DataFrame, blocks: DataFrame, cap: int = 1_000) -> DataFrame:
@@ -26,7 +28,7 @@ def with_flank(calls: DataFrame, blocks: DataFrame, cap: int = 1_000) -> DataFra
     b = blocks.withColumnsRenamed({"contig": "contig_", "seq": "seq_"})
     one = calls.withColumn("block_", own).join(b.withColumnRenamed("block", "at_"), (F.col("contig") == F.col("contig_")) & (F.col("block_") == F.col("at_")), "left").drop("contig_", "at_").withColumnRenamed("seq_", "here_")
     two = one.join(b.withColumnRenamed("block", "at_"), (F.col("contig") == F.col("contig_")) & (F.col("block_") - 1 == F.col("at_")), "left").drop("contig_", "at_").withColumnRenamed("seq_", "before_")
-    upto = F.concat(F.coalesce("before_", F.lit("")), F.substring("here_", F.lit(1), (F.col("position") - 1) % BLOCK + 1))
+    upto = F.concat(F.coalesce(F.substring("before_", F.lit(1), F.lit(BLOCK)), F.lit("")), F.substring("here_", F.lit(1), (F.col("position") - 1) % BLOCK + 1))
     return two.withColumn("flank", F.substring(upto, F.greatest(F.length(upto) - cap, F.lit(1)), F.lit(cap + 1))).withColumn("ref_seen", F.substring("here_", (F.col("position") - 1) % BLOCK + 1, F.length("ref"))).drop("block_", "here_", "before_")
 
 
