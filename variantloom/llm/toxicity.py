@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -118,14 +119,16 @@ class Tagger:
     @staticmethod
     def marked(good: list[str], bad: list[str], mean: float) -> set[str]:
         held, clean = Counter(), Counter()
-        for texts, into in ((bad, held), (good, clean)):
-            for text in texts:
-                into.update({k for w in set(chains(text)[0]) for k in keys_of(w)})
-        need = np.log(max(2, len(held) + len(clean)) / 0.05)
+        for text in bad:
+            held.update({k for w in set(chains(text)[0]) for k in keys_of(w)})
+        need = np.log(max(2, len(held)) / 0.05)
+        held = Counter({k: n for k, n in held.items() if n >= 3})
+        for text in good:
+            clean.update({k for w in set(chains(text)[0]) for k in keys_of(w) if k in held})
         out = set()
         for k, n in held.items():
             share, total = n / (n + clean[k]), n + clean[k]
-            if n >= 3 and share > 0.8:  # Chernoff bound on so many toxic documents by chance
+            if share > 0.8:  # Chernoff bound on so many toxic documents by chance
                 gap = share * np.log(share / mean) + ((1 - share) * np.log((1 - share) / (1 - mean)) if share < 1 else 0)
                 if total * gap > need:
                     out.add(k)
@@ -154,9 +157,14 @@ class Tagger:
         if not rows or not any(any(t) for _, t in rows):
             return
         sizes = np.array([len(w) for w, _ in rows])
-        lists = [hashed(w) for ws, _ in rows for w in ws]
+        known: dict[str, list[int]] = {}
+        for ws, _ in rows:
+            for w in ws:
+                if w not in known:
+                    known[w] = hashed(w)
+        lists = [known[w] for ws, _ in rows for w in ws]
         fan = np.array([len(x) for x in lists])
-        features, owner = np.concatenate([np.array(x) for x in lists]), np.repeat(np.arange(len(lists)), fan)
+        features, owner = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(fan.sum())), np.repeat(np.arange(len(lists)), fan)
         tags, live = padded(np.concatenate([t for _, t in rows]).astype(float), sizes)
         both = live[:, 1:]
         seen = np.zeros((3, 2))
