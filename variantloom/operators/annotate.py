@@ -107,9 +107,8 @@ def annotated(calls: DataFrame, consequences: DataFrame, frequencies: DataFrame,
     })
     verdict = rules.triage_verdict(F.col("n_consequences"), F.col("any_selecting"), F.col("worst_rank"), F.col("splice_ai"), F.col("n_assertions").isNotNull(), config)
     triaged = known.withColumn("triage", verdict)
-    kept = triaged.filter(F.col("triage").startswith("kept")).join(max_frequency(frequencies, config=config), "site_key", "left")
-    dropped = triaged.filter(~F.col("triage").startswith("kept"))
-    return kept.unionByName(dropped, allowMissingColumns=True)
+    best = max_frequency(frequencies, config=config).withColumnRenamed("site_key", "f_key_")
+    return triaged.join(best, (F.col("site_key") == F.col("f_key_")) & F.col("triage").startswith("kept"), "left").drop("f_key_")
 
 
 def flagged(df: DataFrame, config: Config = DEFAULT) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from variantloom.config import DEFAULT, Config
 from variantloom.functions import alleles
+from variantloom.operators.tables import cut
 
 ORDER = ["contig_order", "position", "ref", "alt", "variant_id"]
 COMPONENTS = ["validity", "rarity", "consequence", "inheritance", "phenotype", "mechanism", "evidence"]
@@ -44,8 +45,8 @@ def kept_pairs(pairs: DataFrame, group: list[str], config: Config = DEFAULT) ->
     at most variants_per_gene * (variants_per_gene - 1) / 2 pairs here."""
     w = Window.partitionBy(*group).orderBy(F.greatest("a.place", "b.place"), F.least("a.place", "b.place"))
     ranked = pairs.withColumn("generated", F.count(F.lit(1)).over(Window.partitionBy(*group))).withColumn("pair_place", F.row_number().over(w))
-    cut = (F.col("generated") > config.pairs_per_gene) | (F.col("a.n_variants") > config.variants_per_gene)
-    return ranked.filter(F.col("pair_place") <= config.pairs_per_gene).withColumn("truncated", cut)
+    short = (F.col("generated") > config.pairs_per_gene) | (F.col("a.n_variants") > config.variants_per_gene)
+    return ranked.filter(F.col("pair_place") <= config.pairs_per_gene).withColumn("truncated", short)
 
 
 def phase_status(same_set: Column, slot_a: Column, slot_b: Column) -> Column:
@@ -168,8 +169,10 @@ def discriminating(df: DataFrame, by: list[str]) -> DataFrame:
 def not_subsumed(df: DataFrame, by: list[str], members: str = "members") -> DataFrame:
     """Drops a row whose members are all in a higher-ranked row of the same group.
 
-    Only rows that share a member can subsume each other, so the join is on (group, member), not on the group.
+    Only rows that share a member can subsume each other, so the join is on (group, member), not on the group. The ranking is
+    written out first, as it is read three times.
     """
+    df = cut(df)
     higher = df.select(*by, F.col("rank").alias("rank_h"), F.col(members).alias("members_h"), F.explode(members).alias("member_"))
     own = df.withColumn("member_", F.element_at(members, 1))
     keep = own.join(higher, [*by, "member_"], "left").withColumn("subsumed", (F.col("rank_h") < F.col("rank")) & (F.size(F.array_except(members, "members_h")) == 0))
