@@ -182,12 +182,20 @@ def agenda_many(p: Pieces, units: list[list[int]], keys: np.ndarray, rate: float
     return sym[kept], kept.sum(axis=1)
 
 
+class Numbers(dict):
+    """Numbers keys in the order in which they come."""
+
+    def __missing__(self, key: str) -> int:
+        value = self[key] = len(self)
+        return value
+
+
 def encoded(p: Pieces, texts: list[str | None], seed: int, rate: float, variants: int) -> pa.ListArray:
     """The piece ids of each text."""
-    units = [UNIT.findall(" " + t) if t else [] for t in texts]
-    sizes = np.array([len(u) for u in units], dtype=np.int64)
-    known: dict[str, int] = {}
-    which = np.fromiter((known.setdefault(u, len(known)) for own in units for u in own), dtype=np.int64, count=int(sizes.sum()))
+    known = Numbers()
+    numbered = [np.fromiter(map(known.__getitem__, UNIT.findall(" " + t)), dtype=np.int64) if t else np.empty(0, np.int64) for t in texts]
+    sizes = np.array([len(u) for u in numbered], dtype=np.int64)
+    which = np.concatenate(numbered) if numbered else np.empty(0, np.int64)
     names = list(known)
     mark = np.array([xxh32_intdigest(u.encode("utf-8", "surrogatepass")) for u in names], dtype=np.uint64)
     if rate and len(which):
@@ -259,7 +267,7 @@ def encode(docs: DataFrame, seed: int = 1, rate: float = 0.1, variants: int = 4,
     schema, names = rest.schema, rest.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_blocks(batches):
+        for batch in text_blocks(batches, 8_000_000):  # the more text at once, the fewer distinct units a byte
             ids = encoded(loaded(path), batch.column("text").to_pylist(), seed, rate, variants)
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), ids], [*names, "pieces"])
 
