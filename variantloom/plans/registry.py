@@ -356,10 +356,10 @@ def ranked_pairs(v: Views) -> DataFrame:
     return scored(v).filter("rank <= 10").select("sample_id", "rank", "pair_id", "gene_key", F.col("a.variant_id").alias("variant_a"), F.col("b.variant_id").alias("variant_b"), "model", "phase", *cols, "composite")
 
 
-@query("phase_and_models", f"WITH {SQL_SCORED} SELECT sample_id, model, phase, count(*) AS n, CAST(sum(CAST(round(composite * 1000000) AS BIGINT)) AS BIGINT) AS total_micro FROM scored GROUP BY 1, 2, 3")
+@query("phase_and_models", f"WITH {SQL_SCORED} SELECT sample_id, model, phase, count(*) AS n, CAST(count_if(contradicted) AS BIGINT) AS n_contradicted FROM (SELECT *, penalty > 0.0001 AS contradicted FROM scored) q GROUP BY 1, 2, 3")
 def phase_and_models(v: Views) -> DataFrame:
     """G12, G13 over all candidates."""
-    return scored(v).groupBy("sample_id", "model", "phase").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("composite") * 1_000_000).cast("long")).alias("total_micro"))
+    return scored(v).groupBy("sample_id", "model", "phase").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size("contradictions") > 0).alias("n_contradicted"))
 
 
 @query("subsumed_pairs", f"""WITH {SQL_PAIRS}, r AS (SELECT sample_id, row_number() OVER (PARTITION BY sample_id ORDER BY generated, gene_key, pair_place) AS rank, id_a, id_b, gene_key FROM kept)
