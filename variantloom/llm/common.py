@@ -83,3 +83,17 @@ def bit_words(keys: DataFrame, bits: int) -> np.ndarray:
     out = np.zeros(bits // 64, dtype=np.int64)
     out[np.asarray(packed.column("word"))] = np.asarray(packed.column("bit"))
     return out.view(np.uint64)
+
+
+def picked(docs: DataFrame) -> DataFrame:
+    """row (all columns of docs), pick_a, pick_b: 128 bits that show a row by its id and text, null or not."""
+    # a null adds nothing to a hash, so a null text counts as empty and a null id is told apart by a flag
+    none = F.col("doc_id").isNull()
+    return docs.select(F.struct("*").alias("row"), F.xxhash64(none, "doc_id", text_or_empty()).alias("pick_a"), F.xxhash64(F.lit(1), text_or_empty(), none, "doc_id").alias("pick_b"))
+
+
+def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """One row of docs for each component of classes (doc_id, pick_a, pick_b, component): the smallest id, null last."""
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "pick_a", "pick_b")
+    first = classes.groupBy("component").agg(F.min(order).alias("first")).select("first.pick_a", "first.pick_b")
+    return picked(docs).join(first, ["pick_a", "pick_b"], "left_semi").dropDuplicates(["pick_a", "pick_b"]).select("row.*")
