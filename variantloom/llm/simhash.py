@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import checkpointed, mixed, text_blocks, texts_of
+from .common import checkpointed, mixed, one_of_each, picked, text_blocks, texts_of
 from .components import components
 
 RADIUS = 3
@@ -65,15 +65,16 @@ def fingerprint(text: str, size: int) -> int:
     return int.from_bytes(np.packbits(bits * 2 > len(found)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of every row."""
+def fingerprints(docs: DataFrame, size: int = 3, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the longs of `also` and fp (the fingerprint as a signed long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches):
             found = np.array([fingerprint(t, size) for t in texts_of(batch)], dtype=np.uint64)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": pa.array(found.view(np.int64))})
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("doc_id", *also)} | {"fp": pa.array(found.view(np.int64))})
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    longs = "".join(f", {c} long" for c in (*also, "fp"))
+    return docs.select("doc_id", "text", *also).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}{longs}")
 
 
 def keyed(nodes: DataFrame) -> DataFrame:
@@ -162,18 +163,20 @@ def links(nodes: DataFrame, radius: int = RADIUS, chunk: int = 4_096) -> DataFra
     return dealt.mapInArrow(partial(linked, radius=radius), "a long, b long")
 
 
+def classes(docs: DataFrame, size: int = 3, radius: int = RADIUS) -> DataFrame:
+    """doc_id, pick_a, pick_b, fp, component of every row; a class is named by its smallest fingerprint, whatever its ids."""
+    rows = checkpointed(fingerprints(picked(docs).select("row.doc_id", "row.text", "pick_a", "pick_b"), size, ("pick_a", "pick_b")))
+    found = components(links(rows.select("fp").distinct().withColumn("node", F.col("fp")), radius))
+    return rows.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint, component_id of every row: the smallest doc_id that links of at most `radius` bits reach."""
-    rows = checkpointed(fingerprints(docs, size))
-    nodes = checkpointed(rows.groupBy("fp").agg(F.min(F.col("doc_id").cast("long")).alias("node")))
-    found = components(links(nodes.filter("node IS NOT NULL"), radius))
-    classes = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    joined = rows.join(classes, "fp")
-    return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rows = checkpointed(classes(docs, size, radius).select("doc_id", "fp", "component"))
+    least = rows.groupBy("component").agg(F.min(F.col("doc_id").cast("long")).alias("component_id"))
+    return rows.join(least, "component").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame, size: int = 3, radius: int = RADIUS) -> DataFrame:
-    """One document of each class stays: the one with the smallest doc_id (of equal ids, one row)."""
-    classes = near_duplicates(docs, size, radius).filter("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(classes, "doc_id", "left_semi")
-    return first.dropDuplicates(["doc_id"])
+    """One row of each class stays: the one with the smallest doc_id (null last), and of equal ids one text."""
+    return one_of_each(docs, classes(docs, size, radius))
