@@ -95,7 +95,7 @@ class Block:
         step = (anchor - window) // CHUNK
         core = anchor - CHUNK * step
         first = np.ones(len(core), dtype=bool)
-        first[1:] = (core[1:] != core[:-1]) | (owner[1:] != owner[:-1])
+        first[1:] = (core[1:] != core[:-1]) | (step[1:] != step[:-1]) | (owner[1:] != owner[:-1])
         core, step, owner = core[first], step[first], owner[first]
         mark = self.part(core, LENGTH - CHUNK + 1) ^ mixed(step.astype(np.uint64) + np.uint64(77))
         return mark, owner, core - self.starts[owner]
