@@ -51,7 +51,7 @@ def consequence_summary(consequences: DataFrame, keys: list[str]) -> DataFrame:
         F.bool_or(rules.selecting(F.col("impact"), F.col("terms"))).alias("any_selecting"),
         F.bool_or(F.col("impact").isNotNull()).alias("any_assessed"),
         F.bool_and(F.coalesce(F.col("impact").isin("low", "modifier"), F.lit(False))).alias("all_benign"),
-        F.max("splice_ai").alias("splice_ai"),
+        *[F.max(c).alias(c) for c in ("splice_ai", "cadd", "revel") if c in consequences.columns],
         F.bool_or(F.col("is_mane")).alias("any_mane"),
         F.bool_or(rules.term_list(F.col("terms")).isNotNull() & F.arrays_overlap(rules.term_list(F.col("terms")), F.array(*[F.lit(x) for x in rules.LOSS_OF_FUNCTION]))).alias("any_lof"),
     )

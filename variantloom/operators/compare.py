@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from variantloom.operators.tables import content_id
+from variantloom.operators.tables import content_id, row_hash
 
 
 def overlap(submitted: DataFrame, produced: DataFrame, by: str) -> DataFrame:
@@ -73,7 +73,7 @@ def evidence(df: DataFrame, subject: Column, kind: str, category: str, direction
 
 def deduplicated(items: DataFrame) -> DataFrame:
     """One row per evidence id; the same id with other content raises an error."""
-    content = F.xxhash64(*[F.col(c).cast("string") for c in items.columns if c != "evidence_id" and not items.schema[c].dataType.simpleString().startswith("map")])
+    content = row_hash(items, [c for c in items.columns if c != "evidence_id"])
     marked = items.withColumn("h_", content)
     w = Window.partitionBy("evidence_id")
     same = F.when(F.min("h_").over(w) == F.max("h_").over(w), F.col("evidence_id")).otherwise(F.raise_error(F.concat(F.lit("two contents under "), F.col("evidence_id"))))
@@ -96,7 +96,23 @@ def edges(pairs: DataFrame) -> DataFrame:
     """subject-predicate-object rows of candidate pairs (pair_id, gene_key, members); ids are hashes of the triple."""
     gene = pairs.select(F.col("pair_id").alias("subject_id"), F.lit("candidate_pair").alias("subject_kind"), F.lit("in_gene").alias("predicate"), F.col("gene_key").cast("string").alias("object_id"), F.lit("gene").alias("object_kind"))
     member = pairs.select(F.col("pair_id").alias("subject_id"), F.lit("candidate_pair").alias("subject_kind"), F.lit("has_member").alias("predicate"), F.explode("members").alias("object_id"), F.lit("variant").alias("object_kind"))
-    rows = gene.unionByName(member).distinct()
+    return edge_rows(gene.unionByName(member))
+
+
+def mechanism_edges(mechanisms: DataFrame) -> DataFrame:
+    """From each gene to its mechanism (gene_key, mechanism_id)."""
+    return edge_rows(mechanisms.select(F.col("gene_key").cast("string").alias("subject_id"), F.lit("gene").alias("subject_kind"), F.lit("has_mechanism").alias("predicate"), F.col("mechanism_id").cast("string").alias("object_id"), F.lit("mechanism").alias("object_kind")))
+
+
+def drug_edges(triaged: DataFrame) -> DataFrame:
+    """From each triaged agent to the mechanism that it targets or was rejected for."""
+    predicate = F.when(F.col("rejected"), "rejected_for_mechanism").otherwise("targets_mechanism")
+    return edge_rows(triaged.select(F.col("drug_id").cast("string").alias("subject_id"), F.lit("drug").alias("subject_kind"), predicate.alias("predicate"), F.col("mechanism_id").cast("string").alias("object_id"), F.lit("mechanism").alias("object_kind")))
+
+
+def edge_rows(rows: DataFrame) -> DataFrame:
+    """Distinct triples with their ids."""
+    rows = rows.distinct()
     return rows.withColumn("edge_id", F.substring(F.sha2(F.concat_ws("\x1f", "subject_id", "predicate", "object_id"), 256), 1, 16))
 
 

@@ -40,13 +40,23 @@ def ancestor_closure(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     raise RuntimeError("the ontology has a cycle or is deeper than 2**64")
 
 
-def resolved(ids: DataFrame, terms: DataFrame, aliases: DataFrame) -> DataFrame:
-    """id and the primary term that it stands for: itself, or what its aliases (id, target) lead to; NULL if nothing."""
-    known = terms.select(F.col("term").alias("t_"))
-    hop = ids.join(aliases.select(F.col("id").alias("a_"), F.col("target").alias("to1")), ids.id == F.col("a_"), "left").drop("a_")
-    hop = hop.join(aliases.select(F.col("id").alias("a_"), F.col("target").alias("to2")), F.col("to1") == F.col("a_"), "left").drop("a_")
-    last = F.coalesce("to2", "to1", "id")
-    return hop.withColumn("last_", last).join(known, F.col("last_") == F.col("t_"), "left").select("id", F.col("t_").alias("term"))
+def resolved(ids: DataFrame, terms: DataFrame, aliases: DataFrame, most_rounds: int = 32) -> DataFrame:
+    """id and the primary term that it stands for: itself, or what its aliases (id, target) lead to; NULL if nothing.
+
+    A live term stands for itself; others follow their aliases to the end. Chains double in length every round, so the
+    rounds are the logarithm of the longest one; a chain that runs in a circle leads nowhere.
+    """
+    known = terms.select(F.col("term").alias("t_")).distinct()
+    hops = cut(aliases.join(known, aliases.id == F.col("t_"), "left_anti").groupBy("id").agg(F.min("target").alias("target")))
+    for _ in range(most_rounds):
+        on = hops.select(F.col("id").alias("id_"), F.col("target").alias("next_"))
+        hops = cut(hops.join(on, F.col("target") == F.col("id_"), "left").select("id", F.coalesce("next_", "target").alias("target"), (F.col("next_").isNotNull() & (F.col("next_") != F.col("target"))).alias("moved_")))
+        if hops.filter("moved_").isEmpty():
+            break
+        hops = hops.drop("moved_")
+    ends = hops.select(F.col("id").alias("a_"), "target")
+    met = ids.join(ends, ids.id == F.col("a_"), "left").withColumn("last_", F.coalesce("target", "id"))
+    return met.join(known, F.col("last_") == F.col("t_"), "left").select("id", F.col("t_").alias("term"))
 
 
 def reconciled(profile: DataFrame) -> DataFrame:
@@ -103,9 +113,11 @@ def similarity(pairs: DataFrame, closure: DataFrame, ic: DataFrame) -> DataFrame
 
 
 def best_matches(queries: DataFrame, targets: DataFrame, sims: DataFrame, measure: str = "lin") -> DataFrame:
-    """For each (subject, group, query term): its best target term. queries: subject_id, a; targets: group_id, b."""
-    met = queries.crossJoin(targets.select("group_id").distinct()).join(targets, "group_id").join(sims.select("a", "b", F.col(measure).alias("sim")), ["a", "b"], "left")
-    return met.groupBy("subject_id", "group_id", "a").agg(F.max("sim").alias("sim"), F.max_by("b", F.when(F.col("sim").isNotNull(), F.struct("sim", (-F.col("b")).alias("low")))).alias("match"))
+    """For each (subject, group, query term) with any comparable target: the best one, the lowest id on ties. Terms meet
+    through the similarities that are known (a, b), never all against all. queries: subject_id, a; targets: group_id, b."""
+    met = queries.join(sims.select("a", "b", F.col(measure).alias("sim")).filter("sim IS NOT NULL"), "a").join(targets, "b")
+    best = met.groupBy("subject_id", "group_id", "a").agg(F.min(F.struct((-F.col("sim")).alias("neg"), "b")).alias("m"))
+    return best.select("subject_id", "group_id", "a", (-F.col("m.neg")).alias("sim"), F.col("m.b").alias("match"))
 
 
 def best_match_average(matches: DataFrame) -> DataFrame:
@@ -113,21 +125,32 @@ def best_match_average(matches: DataFrame) -> DataFrame:
     return matches.groupBy("subject_id", "group_id").agg(F.avg("sim").alias("bma"))
 
 
-def partitioned(genes: DataFrame, profile: DataFrame) -> DataFrame:
-    """gene_key, subject_id, term, weight, status: every gene term against every profile; missing is not assessed."""
-    subjects = profile.select("subject_id").distinct()
-    rows = genes.crossJoin(F.broadcast(subjects)).join(profile, ["subject_id", "term"], "left")
+def symmetric_average(forward: DataFrame, backward: DataFrame) -> DataFrame:
+    """Mean of both one-sided averages (subject_id, group_id, bma); where one side is unknown, the other."""
+    both = forward.withColumnRenamed("bma", "f_").join(backward.withColumnRenamed("bma", "b_"), ["subject_id", "group_id"], "full_outer")
+    return both.select("subject_id", "group_id", F.coalesce((F.col("f_") + F.col("b_")) / 2, "f_", "b_").alias("bma"))
+
+
+def partitioned(genes: DataFrame, profile: DataFrame, wanted: DataFrame) -> DataFrame:
+    """gene_key, subject_id, term, weight, status of the terms of wanted (gene_key, subject_id); missing is not assessed."""
+    rows = wanted.join(genes, "gene_key").join(profile, ["subject_id", "term"], "left")
     return rows.withColumn("status", F.coalesce("status", F.lit("not_assessed")))
 
 
+def every_gene(genes: DataFrame, profile: DataFrame) -> DataFrame:
+    """gene_key, subject_id: what is scored if nothing narrower is asked for, one row for each row of the result."""
+    return genes.select("gene_key").distinct().crossJoin(profile.select("subject_id").distinct())
+
+
 def unexplained(genes: DataFrame, profile: DataFrame) -> DataFrame:
     """Observed terms that no gene in the table has."""
     return profile.filter("status = 'observed'").join(genes.select("term").distinct(), "term", "left_anti")
 
 
-def exact_scores(genes: DataFrame, profile: DataFrame) -> DataFrame:
-    """gene_key, subject_id, score and its parts. Sums run over terms that are in both tables (an equi-join), and genes
-    without any informative term are neutral."""
+def exact_scores(genes: DataFrame, profile: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """gene_key, subject_id, score and its parts, one row for each of wanted (gene_key, subject_id; all if not given).
+    Sums run over terms that are in both tables (an equi-join), and genes without any informative term are neutral."""
+    wanted = every_gene(genes, profile) if wanted is None else wanted
     seen = profile.groupBy("subject_id").agg(F.count_if(F.col("status") == "observed").alias("n_observed"))
     met = genes.join(profile, "term").groupBy("gene_key", "subject_id").agg(
         F.sum(F.when(F.col("status") == "observed", F.col("weight")).otherwise(0.0)).alias("matched"),
@@ -135,7 +158,7 @@ def exact_scores(genes: DataFrame, profile: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "observed").alias("n_matched"),
         F.count_if(F.col("status").isin("observed", "excluded")).alias("n_informative"),
     )
-    rows = met.join(seen, "subject_id")
+    rows = wanted.join(met, ["gene_key", "subject_id"], "left").join(seen, "subject_id", "left").fillna(0, ["matched", "contradicted", "n_matched", "n_informative", "n_observed"])
     total = F.col("matched") + F.col("contradicted")
     spec = F.when(total > 0, F.col("matched") / total)
     coverage = F.when(F.col("n_observed") > 0, F.col("n_matched") / F.col("n_observed")).otherwise(0.5)
@@ -143,9 +166,10 @@ def exact_scores(genes: DataFrame, profile: DataFrame) -> DataFrame:
     return rows.select("gene_key", "subject_id", "matched", "contradicted", "n_matched", "n_observed", score.alias("score"))
 
 
-def ontology_scores(genes: DataFrame, profile: DataFrame, closure: DataFrame, ic: DataFrame, sims: DataFrame) -> DataFrame:
+def ontology_scores(genes: DataFrame, profile: DataFrame, closure: DataFrame, ic: DataFrame, sims: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """As exact_scores, with weights times normalised information content, statuses from the propagated profile, and
     coverage as the best-match average of observed terms. Unknown parts count 0.5."""
+    wanted = every_gene(genes, profile) if wanted is None else wanted
     most = ic.agg(F.max("ic").alias("most"))
     scaled = genes.join(ic, "term", "left").crossJoin(F.broadcast(most)).select("gene_key", "term", F.when(F.col("most") > 0, F.coalesce(F.col("ic") / F.col("most"), F.lit(1.0))).otherwise(1.0).alias("scale"), "weight")
     scaled = scaled.select("gene_key", "term", (F.col("weight") * F.col("scale")).alias("weight"))
@@ -153,11 +177,11 @@ def ontology_scores(genes: DataFrame, profile: DataFrame, closure: DataFrame, ic
         F.sum(F.when(F.col("status") == "observed", F.col("weight")).otherwise(0.0)).alias("matched"), F.sum(F.when(F.col("status") == "excluded", F.col("weight")).otherwise(0.0)).alias("contradicted")
     )
     queries = profile.filter("status = 'observed'").select("subject_id", F.col("term").alias("a"))
-    pairs = met.select("gene_key", "subject_id").join(queries, "subject_id").join(genes.select("gene_key", F.col("term").alias("b")), "gene_key").join(sims.select("a", "b", "lin"), ["a", "b"])
-    best = pairs.groupBy("gene_key", "subject_id", "a").agg(F.max("lin").alias("sim")).groupBy("gene_key", "subject_id").agg(F.avg("sim").alias("coverage"))
+    targets = genes.select(F.col("gene_key").alias("group_id"), F.col("term").alias("b"))
+    best = best_match_average(best_matches(queries, targets, sims)).select(F.col("group_id").alias("gene_key"), "subject_id", F.col("bma").alias("coverage"))
     total = F.col("matched") + F.col("contradicted")
     spec = F.coalesce(F.when(total > 0, F.col("matched") / total), F.lit(0.5))
-    return met.join(best, ["gene_key", "subject_id"], "left").select("gene_key", "subject_id", F.round(0.5 * spec + 0.5 * F.coalesce("coverage", F.lit(0.5)), 6).alias("score"))
+    return wanted.join(met, ["gene_key", "subject_id"], "left").join(best, ["gene_key", "subject_id"], "left").select("gene_key", "subject_id", F.round(0.5 * spec + 0.5 * F.coalesce("coverage", F.lit(0.5)), 6).alias("score"))
 
 
 def band(score: Column) -> Column:

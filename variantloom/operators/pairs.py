@@ -16,16 +16,25 @@ ORDER = ["contig_order", "position", "ref", "alt", "variant_id"]
 COMPONENTS = ["validity", "rarity", "consequence", "inheritance", "phenotype", "mechanism", "evidence"]
 
 
-def capped(variants: DataFrame, group: list[str], config: Config = DEFAULT) -> DataFrame:
-    """The most plausible variants of each gene, with their place; `n_variants` counts all. Capping is what keeps the
-    self-join bounded."""
+def placed(variants: DataFrame, group: list[str], config: Config = DEFAULT) -> DataFrame:
+    """Variants with their place in the plausibility order of each gene; `n_variants` counts all. Both come from one shuffle."""
     common = F.when(F.col("max_af").isNull() | (F.col("max_af") <= config.max_recessive), 0).otherwise(1)
     poor = F.when(F.array_contains("flags", "low_quality_call"), 1).otherwise(0)
     key = F.struct(common.alias("common"), poor.alias("poor"), F.coalesce("worst_rank", F.lit(2)).alias("impact"), *ORDER)
     w = Window.partitionBy(*group).orderBy("plausibility")
-    ranked = variants.withColumn("plausibility", key).withColumn("place", F.row_number().over(w))
-    counts = variants.groupBy(*group).agg(F.count(F.lit(1)).alias("n_variants"))
-    return ranked.filter(F.col("place") <= config.variants_per_gene).join(counts, group)
+    ranked = variants.withColumn("plausibility", key).withColumn("place", F.row_number().over(w)).withColumn("n_variants", F.count(F.lit(1)).over(Window.partitionBy(*group)))
+    return ranked
+
+
+def capped(variants: DataFrame, group: list[str], config: Config = DEFAULT) -> DataFrame:
+    """The most plausible variants of each gene. Capping is what keeps the pairs of a gene bounded."""
+    return placed(variants, group, config).filter(F.col("place") <= config.variants_per_gene)
+
+
+def with_singles(variants: DataFrame, group: list[str], config: Config = DEFAULT) -> DataFrame:
+    """Pairs of the capped variants, and single candidates of all; the variants are written out, as both read them."""
+    every = cut(placed(variants, group, config))
+    return enumerated(every.filter(F.col("place") <= config.variants_per_gene), group).unionByName(singles(every, group))
 
 
 def enumerated(variants: DataFrame, group: list[str]) -> DataFrame:
@@ -40,10 +49,19 @@ def enumerated(variants: DataFrame, group: list[str]) -> DataFrame:
     return first.select(*group, "a", F.explode(F.slice("v_", F.col("at_") + 2, F.size("v_"))).alias("b"))
 
 
+def singles(variants: DataFrame, group: list[str]) -> DataFrame:
+    """Variants that explain a gene alone, as rows with a and an empty b: two copies, no second copy, or one grave hit."""
+    mosaic = F.array_contains("flags", "possible_mosaic")
+    own = variants.filter(wants_single(F.col("contig"), F.col("zygosity"), mosaic, F.col("worst_rank")))
+    rest = [c for c in variants.columns if c not in group and c not in ORDER]
+    one = own.select(*group, F.struct(*ORDER, *rest).alias("a"))
+    return one.withColumn("b", F.lit(None).cast(one.schema["a"].dataType))
+
+
 def kept_pairs(pairs: DataFrame, group: list[str], config: Config = DEFAULT) -> DataFrame:
     """The pairs of each gene with the best weakest member; adds `generated`, `pair_place` and `truncated`. A group has
     at most variants_per_gene * (variants_per_gene - 1) / 2 pairs here."""
-    w = Window.partitionBy(*group).orderBy(F.greatest("a.place", "b.place"), F.least("a.place", "b.place"))
+    w = Window.partitionBy(*group).orderBy(F.greatest("a.place", "b.place"), F.least("a.place", "b.place"), F.col("b").isNotNull())
     ranked = pairs.withColumn("generated", F.count(F.lit(1)).over(Window.partitionBy(*group))).withColumn("pair_place", F.row_number().over(w))
     short = (F.col("generated") > config.pairs_per_gene) | (F.col("a.n_variants") > config.variants_per_gene)
     return ranked.filter(F.col("pair_place") <= config.pairs_per_gene).withColumn("truncated", short)
@@ -81,6 +99,11 @@ def clamp(x: Column) -> Column:
     return F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
 
 
+def steady(x: Column) -> Column:
+    """Six places, half up, with a tolerance of 1e-12: a sum that is taken in another order still gives the same rank."""
+    return F.floor(x * 1_000_000 + 0.500001) / 1_000_000
+
+
 def validity_score(status: Column, depth: Column, gq: Column, zygosity: Column, fraction: Column, low_quality: Column, config: Config = DEFAULT) -> Column:
     score = F.when(status == "filtered", 0.25).when(status == "missing", 0.7).otherwise(1.0)
     for value, least in ((depth, config.min_depth), (gq, config.min_gq)):
@@ -161,8 +184,9 @@ def ranked(df: DataFrame, by: list[str]) -> DataFrame:
 def discriminating(df: DataFrame, by: list[str]) -> DataFrame:
     """The component with the largest gap to the next rank; the last row names its weakest component."""
     w = Window.partitionBy(*by).orderBy("rank")
-    gaps = F.array(*[F.struct(F.abs(F.col(c) - F.lead(c).over(w)).alias("gap"), F.lit(-k).alias("place"), F.lit(c).alias("name")) for k, c in enumerate(COMPONENTS)])
-    weak = F.array(*[F.struct(F.col(c).alias("gap"), F.lit(k).alias("place"), F.lit(c).alias("name")) for k, c in enumerate(COMPONENTS)])
+    gaps = F.array(*[F.struct(F.round(F.abs(F.col(c) - F.lead(c).over(w)), 6).alias("gap"), F.lit(-k).alias("place"), F.lit(c).alias("name")) for k, c in enumerate(COMPONENTS)])
+    weak = F.array(*[F.struct(F.round(c, 6).alias("gap"), F.lit(k).alias("place"), F.lit(c).alias("name")) for k, c in enumerate(COMPONENTS)])
+    df = df.withColumn("gap", F.when(F.lead("rank").over(w).isNotNull(), F.array_max(gaps)["gap"]))
     return df.withColumn("experiment", F.when(F.lead("rank").over(w).isNotNull(), F.array_max(gaps)["name"]).otherwise(F.array_min(weak)["name"]))
 
 
@@ -182,7 +206,8 @@ def not_subsumed(df: DataFrame, by: list[str], members: str = "members") -> Data
 
 def promoted(df: DataFrame, by: str, most: int = 10) -> DataFrame:
     """Strict supersets go directly above the rows that they contain, inside a window of `most` rows; a superset outside is
-    exchanged for a row that has none inside. A few hundred rows per sample at most, so each sample is one group."""
+    exchanged for a row that has none inside. Rows outside meet the window by a shared member (an equi-join), and only the
+    window and the first superset of each of its rows, 2 * `most` rows at most, go through the grouped step."""
 
     def lift(rows: list, moved: set) -> None:
         again = True
@@ -197,9 +222,10 @@ def promoted(df: DataFrame, by: str, most: int = 10) -> DataFrame:
                     break
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rank")
-        rows = [(r, tuple(m)) for r, m in zip(pdf["rank"], pdf["members"], strict=True)]
-        inside, outside, moved, swapped = rows[:most], rows[most:], set(), set()
+        pdf = pdf.sort_values("at_")
+        rows = [(r, tuple(m)) for r, m in zip(pdf["at_"], pdf["members"], strict=True)]
+        inside, outside, moved, swapped = [x for x in rows if x[0] <= most], [x for x in rows if x[0] > most], set(), set()
+        slots = [*range(1, len(inside) + 1), *(r for r, _ in outside)]
         lift(inside, moved)
         for i, low in enumerate(inside):
             if not any(set(x[1]) > set(low[1]) for x in inside):
@@ -209,11 +235,20 @@ def promoted(df: DataFrame, by: str, most: int = 10) -> DataFrame:
                     swapped.add(inside[i][0])
         if swapped:
             lift(inside, moved)
-        order = {r: k for k, (r, _) in enumerate(inside + outside, 1)}
-        return pdf.assign(place=[order[r] for r in pdf["rank"]], promoted=[r in moved for r in pdf["rank"]], exchanged=[r in swapped for r in pdf["rank"]])
-
-    schema = df.schema.simpleString()[7:-1] + ",place:int,promoted:boolean,exchanged:boolean"
-    return df.groupBy(by).applyInPandas(run, schema)
+        order = {r: k for k, (r, _) in zip(slots, inside + outside, strict=True)}
+        at = pdf["at_"]
+        return pd.DataFrame({by: pdf[by], "at_": at, "place_": [order[r] for r in at], "promoted": [r in moved for r in at], "exchanged": [r in swapped for r in at]})
+
+    numbered = cut(df.withColumn("at_", F.row_number().over(Window.partitionBy(by).orderBy("rank"))))
+    top, rest = numbered.filter(F.col("at_") <= most).select(by, "at_", "members"), numbered.filter(F.col("at_") > most).select(by, "at_", "members")
+    low = top.select(by, F.col("at_").alias("low_"), F.col("members").alias("m_"), F.element_at("members", 1).alias("one_")).filter("one_ IS NOT NULL")
+    above = rest.select(by, "at_", F.col("members").alias("more_"), F.explode("members").alias("one_")).join(low, [by, "one_"])
+    above = above.filter((F.size("more_") > F.size("m_")) & (F.size(F.array_except("m_", "more_")) == 0)).groupBy(by, "low_").agg(F.min("at_").alias("at_"))
+    step = top.unionByName(rest.join(above.select(by, "at_").distinct(), [by, "at_"], "left_semi"))
+    kind = df.schema[by].dataType.simpleString()
+    moves = step.groupBy(by).applyInPandas(run, f"{by} {kind}, at_ int, place_ int, promoted boolean, exchanged boolean")
+    out = numbered.join(moves, [by, "at_"], "left").withColumn("place", F.coalesce("place_", "at_"))
+    return out.fillna(False, ["promoted", "exchanged"]).drop("at_", "place_")
 
 
 def epcr(composite_: Column) -> Column:
@@ -280,35 +315,45 @@ def violations(rows: DataFrame, most: int = 10) -> DataFrame:
 
 
 def score_pairs(pairs: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """Adds phase, model, the component scores, the penalty and the composite to pairs (structs a and b)."""
+    """Adds phase, model, the component scores, the penalty and the composite to candidates: structs a and b, b empty for a
+    single variant. CADD and REVEL count where the members have them; phenotype and mechanism scores of the gene where the
+    rows have them (with_gene_scores), else they are neutral and none."""
     a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
+    pair = F.col("b").isNotNull()
     same = F.coalesce(a("phase_set") == b("phase_set"), F.lit(False))
     phase = phase_status(same, a("hap_slot"), b("hap_slot"))
-    model = pair_model(a("contig"), b("contig"), a("zygosity"), b("zygosity"))
+    alone = single_model(a("contig"), a("zygosity"), F.array_contains(a("flags"), "possible_mosaic"))
+    model = F.when(pair, pair_model(a("contig"), b("contig"), a("zygosity"), b("zygosity"))).otherwise(alone)
     df = pairs.withColumn("phase", phase).withColumn("model", model)
     low = lambda x: F.array_contains(x("flags"), "low_quality_call")
-    two = lambda f: F.least(f(a), f(b))
-    share = lambda t: (F.when(t(a), 0.5).otherwise(0.0) + F.when(t(b), 0.5).otherwise(0.0))
+    two = lambda f: F.when(pair, F.least(f(a), f(b))).otherwise(f(a))
+    part = lambda t, x: F.when(t(x), 1.0).otherwise(0.0)
+    share = lambda t: F.when(pair, (part(t, a) + part(t, b)) / 2).otherwise(part(t, a))
+    has = {f.name for f in pairs.schema["a"].dataType.fields}
+    scores_of = [c for c in ("splice_ai", "cadd", "revel") if c in has]
+    several = lambda x: sum((x(c).isNotNull().cast("int") for c in scores_of), F.lit(0)) >= 2
+    extra = lambda x, c: x(c) if c in has else None
+    given = lambda c, default: F.coalesce(F.col(c), F.lit(default)) if c in pairs.columns else F.lit(default)
     df = df.withColumns({
         "validity": two(lambda x: validity_score(x("filter_status"), x("depth"), x("gq"), x("zygosity"), x("fraction"), low(x), config)),
         "rarity": two(lambda x: rarity_score(x("max_af"), config)),
-        "consequence": two(lambda x: consequence_score(x("worst_rank"), x("n_consequences") > 0, x("any_lof"), x("splice_ai"))),
-        "inheritance": inheritance_score(F.col("model"), F.lit(True), F.col("phase"), config),
-        "phenotype": F.lit(0.5),
-        "mechanism": F.lit(0.0),
+        "consequence": two(lambda x: consequence_score(x("worst_rank"), x("n_consequences") > 0, x("any_lof"), x("splice_ai"), extra(x, "cadd"), extra(x, "revel"))),
+        "inheritance": inheritance_score(F.col("model"), pair, F.col("phase"), config),
+        "phenotype": given("phenotype", 0.5),
+        "mechanism": given("mechanism", 0.0),
         "evidence": evidence_quality(
             share(lambda x: x("max_af").isNotNull()),
-            F.when(F.coalesce(a("any_mane") | b("any_mane"), F.lit(False)), 1.0).when((a("n_consequences") > 0) | (b("n_consequences") > 0), 0.5).otherwise(0.0),
-            F.lit(0.0), share(lambda x: x("n_assertions").isNotNull()), F.col("phase") != "unknown", F.lit(True)),
+            F.when(F.coalesce(a("any_mane"), F.lit(False)) | F.coalesce(b("any_mane"), F.lit(False)), 1.0).when((a("n_consequences") > 0) | F.coalesce(b("n_consequences") > 0, F.lit(False)), 0.5).otherwise(0.0),
+            share(several), share(lambda x: x("n_assertions").isNotNull()), F.col("phase") != "unknown", pair),
     })
     found = contradictions(F.col("model"), F.col("phase"), [a("flags"), b("flags")], [a("max_nhomalt"), b("max_nhomalt")], [a("max_af"), b("max_af")], config)
     df = df.withColumn("contradictions", found).withColumn("penalty", penalty(F.col("contradictions")))
     scores = {c: F.col(c) for c in COMPONENTS}
     key = lambda x: F.struct(*[x(c) for c in ORDER])
     return df.withColumns({
-        "composite": F.round(composite(scores, F.col("penalty"), config), 6), "key_a": key(a), "key_b": key(b), "pair_id": pair_id(F.col("gene_key"), a("variant_id"), b("variant_id")),
-        "members": F.array_sort(F.array(a("variant_id"), b("variant_id"))),
-        "questions": open_questions(F.lit(True), F.col("phase"), F.col("model"), [a("max_af"), b("max_af")], [a("flags"), b("flags")], a("n_assertions").isNotNull() | b("n_assertions").isNotNull(), [a("zygosity"), b("zygosity")]),
+        "composite": steady(composite(scores, F.col("penalty"), config)), "key_a": key(a), "key_b": key(b), "pair_id": F.when(pair, pair_id(F.col("gene_key"), a("variant_id"), b("variant_id"))).otherwise(pair_id(F.col("gene_key"), a("variant_id"))),
+        "members": F.array_sort(F.array_compact(F.array(a("variant_id"), b("variant_id")))),
+        "questions": open_questions(pair, F.col("phase"), F.col("model"), [a("max_af"), F.when(pair, b("max_af")).otherwise(a("max_af"))], [a("flags"), b("flags")], a("n_assertions").isNotNull() | b("n_assertions").isNotNull(), [a("zygosity"), b("zygosity")]),
     })
 
 

@@ -93,10 +93,10 @@ def run_warnings(annotated: DataFrame) -> DataFrame:
 
 
 def pair_flags(pairs_: DataFrame) -> DataFrame:
-    """Adds `pair_flags` (phase, zygosity, members' flags) and `distance_bp` (NULL across contigs)."""
+    """Adds `pair_flags` (single, phase, zygosity, members' flags) and `distance_bp` (NULL across contigs and for singles)."""
     phase = F.when(F.col("phase") == "cis_confirmed", "in_cis").when(F.col("phase") == "trans_confirmed", "in_trans").otherwise("phase_unknown")
     mixed = F.when(F.col("a.zygosity") != F.col("b.zygosity"), "mixed_zygosity")
-    flags = F.array_union(F.array_compact(F.array(phase, mixed)), F.array_union("a.flags", "b.flags"))
+    flags = F.array_union(F.array_compact(F.array(F.when(F.col("b").isNull(), "single_variant"), phase, mixed)), F.array_union("a.flags", F.coalesce("b.flags", F.array().cast("array<string>"))))
     return pairs_.withColumn("pair_flags", flags).withColumn("distance_bp", F.when(F.col("a.contig") == F.col("b.contig"), F.abs(F.col("b.position") - F.col("a.position"))))
 
 
@@ -124,7 +124,8 @@ def named_term(consequences: DataFrame, key: str, impact: str) -> DataFrame:
 
 def with_gene_scores(pairs_: DataFrame, phenotype: DataFrame, mechanisms: DataFrame) -> DataFrame:
     """Phenotype (default 0.5) and mechanism (default 0) scores joined by gene."""
-    joined = pairs_.drop("phenotype", "mechanism").join(phenotype.select("gene_key", F.col("score").alias("phenotype")), "gene_key", "left").join(mechanisms.select("gene_key", F.col("score").alias("mechanism")), "gene_key", "left")
+    own = [c for c in ("gene_key", "sample_id") if c in phenotype.columns]  # a phenotype score belongs to a gene, or to a gene in a sample
+    joined = pairs_.drop("phenotype", "mechanism").join(phenotype.select(*own, F.col("score").alias("phenotype")), own, "left").join(mechanisms.select("gene_key", F.col("score").alias("mechanism")), "gene_key", "left")
     return joined.withColumn("phenotype", F.coalesce("phenotype", F.lit(0.5))).withColumn("mechanism", F.coalesce("mechanism", F.lit(0.0)))
 
 

@@ -2,21 +2,48 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def shared_home(spark: SparkSession) -> str:
+    """The folder for intermediate tables: spark.checkpoint.dir, or what setCheckpointDir named.
+
+    Where neither is set, a session on one machine gets a folder of its own; on a cluster that is an error, since executors
+    would not see it.
+    """
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-tables-"))
+    return context._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def new_path(spark: SparkSession, kind: str = "table") -> str:
+    return f"{shared_home(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """df, written to the session's checkpoint folder and read back (a local folder only where none is set)."""
-    spark = df.sparkSession
-    home = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-tables-")
-    path = f"{home.rstrip('/')}/table-{uuid.uuid4().hex}"
+    """df, written to the session's shared folder and read back."""
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def text_file(df: DataFrame) -> str:
+    """The path of a text file with the rows of the column `value`, in the order of `at` if there is one; for sources that read paths."""
+    path = new_path(df.sparkSession, "text")
+    rows = df.repartitionByRange("at").sortWithinPartitions("at") if "at" in df.columns else df
+    rows.select("value").write.text(path)
+    return path
 
 
 def upserted(old: DataFrame, new: DataFrame, key: list[str], order: str) -> DataFrame:
@@ -26,9 +53,15 @@ def upserted(old: DataFrame, new: DataFrame, key: list[str], order: str) -> Data
     return both.withColumn("rn_", F.row_number().over(w)).filter("rn_ = 1").drop("rn_", "batch_")
 
 
+def row_hash(df: DataFrame, columns: list[str]) -> Column:
+    """A hash of a row's values and of where its NULLs are; maps count as their sorted entries."""
+    plain = lambda c: F.array_sort(F.map_entries(c)) if df.schema[c].dataType.typeName() == "map" else F.col(c)
+    return F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), plain(c).cast("string"))])
+
+
 def table_hash(df: DataFrame) -> DataFrame:
-    """Rows and an order-insensitive digest of a table."""
-    h = F.xxhash64(*[F.col(c).cast("string") for c in sorted(df.columns)]).cast("decimal(38,0)")
+    """Rows and an order-insensitive digest of a table. A hash passes over NULLs, so each value has a flag beside it."""
+    h = row_hash(df, sorted(df.columns)).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(h), F.lit(0)).cast("string").alias("digest"))
 
 
@@ -46,13 +79,23 @@ def content_id(category: Column, *parts: Column) -> Column:
     return F.concat(F.lit("EV-"), F.upper(F.substring(category, 1, 4)), F.lit("-"), F.substring(F.sha2(text, 256), 1, 16))
 
 
-def islands(df: DataFrame, by: list[str], start: str, end: str, window: int) -> DataFrame:
-    """Spans closer than `window` merged: (by, island start, island end, spans)."""
-    order = Window.partitionBy(*by).orderBy(start, end)
-    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = df.withColumn("new_", F.when(before.isNull() | (F.col(start) - before > window), 1).otherwise(0))
-    numbered = marked.withColumn("island", F.sum("new_").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return numbered.groupBy(*by, "island").agg(F.min(start).alias("start"), F.max(end).alias("end"), F.count(F.lit(1)).alias("n_spans"))
+def islands(df: DataFrame, by: list[str], start: str, end: str, window: int, bin_size: int = 1 << 22) -> DataFrame:
+    """Spans closer than `window` merged: (by, island number, start, end, n_spans).
+
+    Spans are first merged inside bins of the axis, so that a group is as many tasks as it has bins; only the merged
+    spans, a few for each bin, are then ordered by group to be joined across bin borders.
+    """
+
+    def one_pass(rows: DataFrame, keys: list[str]) -> DataFrame:
+        order = Window.partitionBy(*keys).orderBy("s_", "e_")
+        before = F.max("e_").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        marked = rows.withColumn("new_", F.when(before.isNull() | (F.col("s_") - before > window), 1).otherwise(0))
+        numbered = marked.withColumn("island", F.sum("new_").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        return numbered.groupBy(*keys, "island").agg(F.min("s_").alias("s_"), F.max("e_").alias("e_"), F.sum("k_").alias("k_"))
+
+    rows = df.select(*by, F.col(start).alias("s_"), F.col(end).alias("e_"), F.lit(1).cast("long").alias("k_"), F.floor(F.col(start) / bin_size).alias("bin_"))
+    inside = one_pass(rows, [*by, "bin_"]).drop("bin_", "island")
+    return one_pass(inside, by).select(*by, "island", F.col("s_").alias("start"), F.col("e_").alias("end"), F.col("k_").alias("n_spans"))
 
 
 def gap_batches(df: DataFrame, by: list[str], order: list[str], position: str, gap: int) -> DataFrame:

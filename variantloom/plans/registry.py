@@ -57,7 +57,7 @@ SQL_CONS = f"""cons AS (
   SELECT site_key, count(*) AS n_consequences, min({SQL_RANK}) AS worst_rank,
     bool_or(impact IN ('high', 'moderate') IS TRUE OR len(list_filter(string_split(terms, '&'), lambda t: t IN ({CODING}))) > 0) AS any_selecting,
     bool_or(impact IS NOT NULL) AS any_assessed, bool_and(coalesce(impact IN ('low', 'modifier'), false)) AS all_benign,
-    max(splice_ai) AS splice_ai, bool_or(is_mane) AS any_mane, bool_or(len(list_filter(string_split(terms, '&'), lambda t: t IN ({LOF}))) > 0) AS any_lof
+    max(splice_ai) AS splice_ai, max(cadd) AS cadd, max(revel) AS revel, bool_or(is_mane) AS any_mane, bool_or(len(list_filter(string_split(terms, '&'), lambda t: t IN ({LOF}))) > 0) AS any_lof
   FROM consequences GROUP BY site_key)"""
 SQL_CLIN = """clin AS (
   SELECT site_key, bool_or(lower(significance) LIKE '%pathogenic%' AND lower(significance) NOT LIKE '%conflict%' AND lower(significance) NOT LIKE '%benign%') AS pathogenic,
@@ -65,7 +65,7 @@ SQL_CLIN = """clin AS (
 SQL_TRIAGED = f"""{SQL_FREQ}, {SQL_CONS}, {SQL_CLIN},
 triaged AS (
   SELECT c.*, coalesce(n_consequences, 0) AS n_cons, worst_rank, coalesce(any_selecting, false) AS any_selecting, coalesce(any_assessed, false) AS any_assessed,
-    coalesce(all_benign, false) AS all_benign, splice_ai, any_mane, any_lof, coalesce(pathogenic, false) AS pathogenic, n_assertions,
+    coalesce(all_benign, false) AS all_benign, splice_ai, cadd, revel, any_mane, any_lof, coalesce(pathogenic, false) AS pathogenic, n_assertions,
     CASE WHEN coalesce(n_consequences, 0) = 0 AND n_assertions IS NOT NULL THEN 'kept_clinical_assertion'
       WHEN coalesce(n_consequences, 0) = 0 THEN 'dropped_no_gene_assignment'
       WHEN any_selecting THEN 'kept_relevant_consequence' WHEN worst_rank <= 2 THEN 'kept_impact_at_or_above_floor'
@@ -294,24 +294,27 @@ def gene_projection(v: Views) -> DataFrame:
 SQL_PAIRS = f"""{SQL_TRIAGED},
 mem AS (SELECT *, CAST(substr(contig, 4) AS INT) - 1 AS contig_order, concat('GRCh38:', contig, ':', position, ':', ref, ':', alt) AS variant_id,
     CASE WHEN max_af IS NULL OR max_af <= 0.01 THEN 0 ELSE 1 END AS common FROM judged WHERE triage LIKE 'kept%' AND selection LIKE 'retained%'),
-capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id, gene_key ORDER BY common, poor, coalesce(worst_rank, 2), contig_order, position, ref, alt, variant_id) AS place,
-    count(*) OVER (PARTITION BY sample_id, gene_key) AS n_variants FROM mem) q WHERE place <= 24),
+placed AS (SELECT *, row_number() OVER (PARTITION BY sample_id, gene_key ORDER BY common, poor, coalesce(worst_rank, 2), contig_order, position, ref, alt, variant_id) AS place,
+    count(*) OVER (PARTITION BY sample_id, gene_key) AS n_variants, coalesce(zygosity = 'het' AND fraction >= 0.1 AND fraction < 0.25, false) AS mosaic FROM mem),
+capped AS (SELECT * FROM placed WHERE place <= 24),
 made AS (SELECT a.sample_id, a.gene_key, a.variant_id AS id_a, b.variant_id AS id_b, a.place AS place_a, b.place AS place_b, a.n_variants,
     a.contig_order AS co_a, a.position AS pos_a, a.ref AS ref_a, a.alt AS alt_a, b.contig_order AS co_b, b.position AS pos_b, b.ref AS ref_b, b.alt AS alt_b
-  FROM capped a JOIN capped b ON a.sample_id = b.sample_id AND a.gene_key = b.gene_key AND (a.contig_order, a.position, a.ref, a.alt, a.variant_id) < (b.contig_order, b.position, b.ref, b.alt, b.variant_id)),
+  FROM capped a JOIN capped b ON a.sample_id = b.sample_id AND a.gene_key = b.gene_key AND (a.contig_order, a.position, a.ref, a.alt, a.variant_id) < (b.contig_order, b.position, b.ref, b.alt, b.variant_id)
+  UNION ALL SELECT sample_id, gene_key, variant_id, NULL, place, NULL, n_variants, contig_order, position, ref, alt, NULL, NULL, NULL, NULL FROM placed
+  WHERE zygosity = 'hom_alt' OR mosaic OR (zygosity = 'het' AND coalesce(worst_rank = 0, false))),
 kept AS (SELECT *, generated > 20 OR n_variants > 24 AS truncated FROM (SELECT *, count(*) OVER (PARTITION BY sample_id, gene_key) AS generated,
-    row_number() OVER (PARTITION BY sample_id, gene_key ORDER BY greatest(place_a, place_b), least(place_a, place_b)) AS pair_place FROM made) q WHERE pair_place <= 20)"""
+    row_number() OVER (PARTITION BY sample_id, gene_key ORDER BY greatest(place_a, place_b), least(place_a, place_b), id_b IS NOT NULL) AS pair_place FROM made) q WHERE pair_place <= 20)"""
 
 
 def candidates(v: Views) -> DataFrame:
     df = pairs.with_order(judged(v).filter(F.col("selection").startswith("retained")))
     group = ["sample_id", "gene_key"]
-    return pairs.kept_pairs(pairs.enumerated(pairs.capped(df, group), group), group)
+    return pairs.kept_pairs(pairs.with_singles(df, group), group)
 
 
 @query("pair_enumeration", f"WITH {SQL_PAIRS} SELECT sample_id, gene_key, id_a AS variant_a, id_b AS variant_b, generated, CAST(pair_place AS INT) AS pair_place, truncated FROM kept")
 def pair_enumeration(v: Views) -> DataFrame:
-    """C12, E3, E4, O17, O19."""
+    """Pairs, and single variants (variant_b NULL)."""
     return candidates(v).select("sample_id", "gene_key", F.col("a.variant_id").alias("variant_a"), F.col("b.variant_id").alias("variant_b"), "generated", "pair_place", "truncated")
 
 
@@ -321,113 +324,156 @@ def _sql_validity(x: str) -> str:
     return f"CAST(CASE {x}.filter_status WHEN 'filtered' THEN 0.25 WHEN 'missing' THEN 0.7 ELSE 1.0 END AS DOUBLE) * CAST({low('depth', 10)} AS DOUBLE) * CAST({low('gq', 20)} AS DOUBLE) * CAST({het} AS DOUBLE)"
 
 
-SQL_SCORED = f"""{SQL_PAIRS},
+SQL_GENE_TERMS = "gene_terms AS (SELECT p_partkey % 100 AS gene_key, 4 + p_partkey * 11 % 140 AS term, max(CAST(CASE p_size % 4 WHEN 0 THEN 0.4 WHEN 1 THEN 0.6 WHEN 2 THEN 0.8 ELSE 1.0 END AS DOUBLE)) AS weight FROM part GROUP BY 1, 2)"
+SQL_PHENO = f"""{SQL_GENE_TERMS}, obs AS (SELECT subject_id, CAST(count_if(status = 'observed') AS BIGINT) AS n_observed FROM profile GROUP BY subject_id),
+met_ AS (SELECT g.gene_key, p.subject_id, sum(CASE WHEN status = 'observed' THEN weight ELSE 0.0 END) AS matched, sum(CASE WHEN status = 'excluded' THEN weight ELSE 0.0 END) AS contradicted, CAST(count_if(status = 'observed') AS BIGINT) AS n_matched, count_if(status IN ('observed', 'excluded')) AS n_inf
+  FROM gene_terms g JOIN profile p ON p.term = g.term GROUP BY 1, 2),
+pheno AS (SELECT g.gene_key, s.subject_id, coalesce(matched, 0.0) AS matched, coalesce(contradicted, 0.0) AS contradicted, coalesce(n_matched, 0) AS n_matched, coalesce(n_observed, 0) AS n_observed,
+  CASE WHEN coalesce(n_inf, 0) = 0 OR matched + contradicted = 0 THEN 0.5 ELSE round(0.5 * matched / (matched + contradicted) + 0.5 * CASE WHEN n_observed > 0 THEN n_matched / n_observed ELSE 0.5 END, 6) END AS score
+  FROM (SELECT DISTINCT gene_key FROM gene_terms) g CROSS JOIN (SELECT DISTINCT subject_id FROM profile) s LEFT JOIN met_ m ON m.gene_key = g.gene_key AND m.subject_id = s.subject_id LEFT JOIN obs ON obs.subject_id = s.subject_id)"""
+SQL_MECH = """chain_ AS (SELECT s_nationkey AS mechanism_id, s_suppkey AS node_id, lead(s_suppkey) OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS t FROM supplier),
+means_ AS (SELECT mechanism_id, avg(CASE node_id % 3 WHEN 0 THEN 0.85 WHEN 1 THEN 0.6 ELSE 0.25 END) AS m, avg(CASE WHEN node_id % 2 = 0 THEN 1.0 ELSE 0.0 END) AS d, CAST(sum(CASE WHEN node_id % 2 = 0 THEN 0 ELSE 1 END) AS BIGINT) AS inferred FROM chain_ WHERE t IS NOT NULL GROUP BY mechanism_id),
+relevance AS (SELECT *, round(least(1.0, greatest(0.0, 0.55 * m + 0.45 * d - 0.05 * inferred)), 6) AS score FROM means_)"""
+SQL_SCORED = f"""{SQL_PAIRS}, {SQL_PHENO}, {SQL_MECH},
 one AS (SELECT *, CASE WHEN poor AND raw >= 0.9 THEN raw * 0.6 ELSE raw END AS validity,
     CAST(CASE WHEN max_af IS NULL THEN 0.5 WHEN max_af <= 1e-5 THEN 1.0 WHEN max_af <= 1e-4 THEN 1.0 - 0.2 * (log10(max_af) + 5) WHEN max_af <= 1e-3 THEN 0.8 - 0.3 * (log10(max_af) + 4)
       WHEN max_af <= 1e-2 THEN 0.5 - 0.35 * (log10(max_af) + 3) WHEN max_af <= 0.5 THEN 0.15 - 0.13 * (log10(max_af) + 2) / (log10(0.5) + 2) ELSE 0.02 END AS DOUBLE) AS rarity,
-    CASE WHEN n_cons > 0 THEN least(1.0, CAST(CASE worst_rank WHEN 0 THEN 0.9 WHEN 1 THEN 0.5 WHEN 2 THEN 0.15 WHEN 3 THEN 0.05 ELSE 0.1 END AS DOUBLE) + CASE WHEN coalesce(any_lof, false) THEN 0.04 ELSE 0.0 END + 0.05 * coalesce(least(greatest((splice_ai - 0.5) / 0.5, 0.0), 1.0), 0.0)) ELSE 0.1 END AS consequence
-  FROM (SELECT m.*, {_sql_validity('m')} AS raw FROM capped m) q),
-both_ AS (SELECT k.*, least(a.validity, b.validity) AS validity, least(a.rarity, b.rarity) AS rarity, least(a.consequence, b.consequence) AS consequence,
+    CASE WHEN n_cons > 0 THEN least(1.0, CAST(CASE worst_rank WHEN 0 THEN 0.9 WHEN 1 THEN 0.5 WHEN 2 THEN 0.15 WHEN 3 THEN 0.05 ELSE 0.1 END AS DOUBLE) + CASE WHEN coalesce(any_lof, false) THEN 0.04 ELSE 0.0 END + 0.05 * coalesce(least(greatest((splice_ai - 0.5) / 0.5, 0.0), 1.0), 0.0) + 0.04 * coalesce(least(greatest((cadd - 20) / 15, 0.0), 1.0), 0.0) + 0.03 * coalesce(least(greatest((revel - 0.5) / 0.5, 0.0), 1.0), 0.0)) ELSE 0.1 END AS consequence,
+    CASE WHEN (splice_ai IS NOT NULL)::INT + (cadd IS NOT NULL)::INT + (revel IS NOT NULL)::INT >= 2 THEN 1.0 ELSE 0.0 END AS predictors
+  FROM (SELECT m.*, {_sql_validity('m')} AS raw FROM placed m) q),
+both_ AS (SELECT k.*, k.id_b IS NOT NULL AS is_pair, coalesce(ph.score, 0.5) AS phenotype, coalesce(mr.score, 0.0) AS mechanism, (a.predictors + coalesce(b.predictors, a.predictors)) / 2 AS predictors, least(a.validity, b.validity) AS validity, least(a.rarity, b.rarity) AS rarity, least(a.consequence, b.consequence) AS consequence,
     CASE WHEN a.phase_set = b.phase_set AND a.hap_slot = b.hap_slot THEN 'cis_confirmed' WHEN a.phase_set = b.phase_set AND a.hap_slot <> b.hap_slot THEN 'trans_confirmed' ELSE 'unknown' END AS phase,
-    CASE WHEN a.zygosity = 'het' AND b.zygosity = 'het' THEN 'compound_heterozygous' ELSE 'unknown' END AS model,
-    (CASE WHEN a.max_af IS NOT NULL THEN 0.5 ELSE 0 END + CASE WHEN b.max_af IS NOT NULL THEN 0.5 ELSE 0 END) AS with_af,
+    CASE WHEN k.id_b IS NULL THEN CASE WHEN a.mosaic THEN 'mosaic' WHEN a.zygosity = 'hom_alt' THEN 'homozygous_recessive' ELSE 'unknown' END WHEN a.zygosity = 'het' AND b.zygosity = 'het' THEN 'compound_heterozygous' ELSE 'unknown' END AS model,
+    (CASE WHEN a.max_af IS NOT NULL THEN 0.5 ELSE 0 END + CASE WHEN CASE WHEN k.id_b IS NULL THEN a.max_af ELSE b.max_af END IS NOT NULL THEN 0.5 ELSE 0 END) AS with_af,
     CASE WHEN coalesce(a.any_mane, false) OR coalesce(b.any_mane, false) THEN 1.0 WHEN a.n_cons > 0 OR b.n_cons > 0 THEN 0.5 ELSE 0.0 END AS ann,
-    (CASE WHEN a.n_assertions IS NOT NULL THEN 0.5 ELSE 0 END + CASE WHEN b.n_assertions IS NOT NULL THEN 0.5 ELSE 0 END) AS clinical,
+    (CASE WHEN a.n_assertions IS NOT NULL THEN 0.5 ELSE 0 END + CASE WHEN CASE WHEN k.id_b IS NULL THEN a.n_assertions ELSE b.n_assertions END IS NOT NULL THEN 0.5 ELSE 0 END) AS clinical,
     (1 - CASE WHEN coalesce(a.max_af > 0.01, false) THEN 0.45 ELSE 0.0 END) * (1 - CASE WHEN coalesce(a.max_nhomalt > 0 AND a.max_af > 0.001, false) THEN 0.35 ELSE 0.0 END) * (1 - CASE WHEN a.poor THEN 0.3 ELSE 0.0 END) * (1 - CASE WHEN a.all_benign THEN 0.25 ELSE 0.0 END) AS left_a,
     (1 - CASE WHEN coalesce(b.max_af > 0.01, false) THEN 0.45 ELSE 0.0 END) * (1 - CASE WHEN coalesce(b.max_nhomalt > 0 AND b.max_af > 0.001, false) THEN 0.35 ELSE 0.0 END) * (1 - CASE WHEN b.poor THEN 0.3 ELSE 0.0 END) * (1 - CASE WHEN b.all_benign THEN 0.25 ELSE 0.0 END) AS left_b
-  FROM kept k JOIN one a ON a.sample_id = k.sample_id AND a.gene_key = k.gene_key AND a.variant_id = k.id_a JOIN one b ON b.sample_id = k.sample_id AND b.gene_key = k.gene_key AND b.variant_id = k.id_b),
-parts AS (SELECT *, (CASE model WHEN 'compound_heterozygous' THEN 1.0 ELSE 0.6 END) * CASE phase WHEN 'trans_confirmed' THEN 1.0 WHEN 'cis_confirmed' THEN 0.02 ELSE 0.55 END AS inheritance,
-    (with_af + ann + 0.0 + clinical + CASE WHEN phase <> 'unknown' THEN 1.0 ELSE 0.0 END + 1.0) / 6 AS evidence,
+  FROM kept k JOIN one a ON a.sample_id = k.sample_id AND a.gene_key = k.gene_key AND a.variant_id = k.id_a LEFT JOIN one b ON b.sample_id = k.sample_id AND b.gene_key = k.gene_key AND b.variant_id = k.id_b
+  LEFT JOIN pheno ph ON ph.gene_key = k.gene_key AND concat('S', ph.subject_id) = k.sample_id LEFT JOIN relevance mr ON mr.mechanism_id = k.gene_key),
+parts AS (SELECT *, (CASE model WHEN 'compound_heterozygous' THEN 1.0 WHEN 'homozygous_recessive' THEN 0.9 WHEN 'mosaic' THEN 0.5 ELSE CASE WHEN is_pair THEN 0.6 ELSE 0.2 END END) * CASE WHEN NOT is_pair THEN 1.0 ELSE CASE phase WHEN 'trans_confirmed' THEN 1.0 WHEN 'cis_confirmed' THEN 0.02 ELSE 0.55 END END AS inheritance,
+    (with_af + ann + predictors + clinical + CASE WHEN phase <> 'unknown' THEN 1.0 ELSE 0.0 END + CASE WHEN is_pair THEN 1.0 ELSE 0.5 END) / 6 AS evidence,
     1 - CAST(left_a * left_b AS DOUBLE) * (1 - CASE WHEN model = 'compound_heterozygous' AND phase = 'cis_confirmed' THEN 0.6 ELSE 0.0 END) AS penalty FROM both_),
-scored AS (SELECT *, concat('PAIR-', substr(sha256(concat(gene_key, '|', least(id_a, id_b), '|', greatest(id_a, id_b))), 1, 16)) AS pair_id,
-    round(least(1.0, greatest(0.0, 0.20 * validity + 0.18 * rarity + 0.18 * consequence + 0.16 * inheritance + 0.14 * 0.5 + 0.06 * evidence - 0.25 * penalty)), 6) AS composite FROM parts),
-ranks AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY composite DESC, co_a, pos_a, ref_a, alt_a, id_a, co_b, pos_b, ref_b, alt_b, id_b, pair_id) AS rank FROM scored)"""
+scored AS (SELECT *, concat('PAIR-', substr(sha256(CASE WHEN is_pair THEN concat(gene_key, '|', least(id_a, id_b), '|', greatest(id_a, id_b)) ELSE concat(gene_key, '|', id_a) END), 1, 16)) AS pair_id,
+    floor(least(1.0, greatest(0.0, 0.20 * validity + 0.18 * rarity + 0.18 * consequence + 0.16 * inheritance + 0.14 * phenotype + 0.08 * mechanism + 0.06 * evidence - 0.25 * penalty)) * 1000000 + 0.500001) / 1000000 AS composite FROM parts),
+ranks AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY composite DESC, co_a, pos_a, ref_a, alt_a, id_a, co_b NULLS FIRST, pos_b, ref_b, alt_b, id_b, pair_id) AS rank FROM scored)"""
 
 
 def scored(v: Views) -> DataFrame:
-    return pairs.ranked(pairs.score_pairs(candidates(v)), ["sample_id"])
+    """Ranked pairs and single variants with all seven components; a sample's profile is the subject of its number."""
+    df = candidates(v)
+    profile = states(v).withColumn("sample_id", F.concat(F.lit("S"), F.col("subject_id").cast("string")))
+    wanted = df.select("gene_key", F.substring("sample_id", 2, 9).cast("long").alias("subject_id")).distinct()
+    phenotype = ontology.exact_scores(gene_terms(v), profile.drop("sample_id"), wanted).withColumn("sample_id", F.concat(F.lit("S"), F.col("subject_id").cast("string")))
+    relevance = mechanism.relevance(graph(v)[2]).withColumnRenamed("mechanism_id", "gene_key")
+    return pairs.ranked(pairs.score_pairs(stages.with_gene_scores(df, phenotype, relevance)), ["sample_id"])
 
 
 @query("ranked_pairs", f"""WITH {SQL_SCORED} SELECT sample_id, CAST(rank AS INT) AS rank, pair_id, gene_key, id_a AS variant_a, id_b AS variant_b, model, phase, round(validity, 6) AS validity, round(rarity, 6) AS rarity, round(consequence, 6) AS consequence,
-  round(inheritance, 6) AS inheritance, round(evidence, 6) AS evidence, round(penalty, 6) AS penalty, composite FROM ranks WHERE rank <= 10""")
+  round(inheritance, 6) AS inheritance, round(phenotype, 6) AS phenotype, round(mechanism, 6) AS mechanism, round(evidence, 6) AS evidence, round(penalty, 6) AS penalty, composite FROM ranks WHERE rank <= 10""")
 def ranked_pairs(v: Views) -> DataFrame:
-    """The ten most plausible two-hit genes per sample: C12, E1, G1 to G9, G12 to G14, E7."""
-    cols = [r6(c) for c in ("validity", "rarity", "consequence", "inheritance", "evidence", "penalty")]
+    """The ten most plausible candidates per sample, pairs and singles: C12, C19, E1, G1 to G9, G12 to G14, E7."""
+    cols = [r6(c) for c in (*pairs.COMPONENTS, "penalty")]
     return scored(v).filter("rank <= 10").select("sample_id", "rank", "pair_id", "gene_key", F.col("a.variant_id").alias("variant_a"), F.col("b.variant_id").alias("variant_b"), "model", "phase", *cols, "composite")
 
 
-@query("phase_and_models", f"WITH {SQL_SCORED} SELECT sample_id, model, phase, count(*) AS n, CAST(count_if(contradicted) AS BIGINT) AS n_contradicted FROM (SELECT *, penalty > 0.0001 AS contradicted FROM scored) q GROUP BY 1, 2, 3")
+@query("phase_and_models", f"WITH {SQL_SCORED} SELECT sample_id, model, phase, count(*) AS n, CAST(count_if(contradicted) AS BIGINT) AS n_contradicted, round(sum(composite), 3) AS composites FROM (SELECT *, penalty > 0.0001 AS contradicted FROM scored) q GROUP BY 1, 2, 3")
 def phase_and_models(v: Views) -> DataFrame:
     """G12, G13 over all candidates."""
-    return scored(v).groupBy("sample_id", "model", "phase").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size("contradictions") > 0).alias("n_contradicted"))
+    return scored(v).groupBy("sample_id", "model", "phase").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size("contradictions") > 0).alias("n_contradicted"), F.round(F.sum("composite"), 3).alias("composites"))
 
 
 @query("subsumed_pairs", f"""WITH {SQL_PAIRS}, r AS (SELECT sample_id, row_number() OVER (PARTITION BY sample_id ORDER BY generated, gene_key, pair_place) AS rank, id_a, id_b, gene_key FROM kept)
-SELECT x.sample_id, CAST(x.rank AS INT) AS rank, x.id_a AS variant_a, x.id_b AS variant_b FROM r x WHERE NOT EXISTS (SELECT 1 FROM r y WHERE y.sample_id = x.sample_id AND y.rank < x.rank AND y.id_a = x.id_a AND y.id_b = x.id_b)""")
+SELECT x.sample_id, CAST(x.rank AS INT) AS rank, x.id_a AS variant_a, x.id_b AS variant_b FROM r x WHERE NOT EXISTS (SELECT 1 FROM r y WHERE y.sample_id = x.sample_id AND y.rank < x.rank AND (y.id_a = x.id_a OR coalesce(y.id_b = x.id_a, false)) AND (x.id_b IS NULL OR y.id_a = x.id_b OR coalesce(y.id_b = x.id_b, false)))""")
 def subsumed_pairs(v: Views) -> DataFrame:
-    """No row whose members a higher row has."""
+    """No row whose members a higher row has, a single variant under its pair included."""
     w = Window.partitionBy("sample_id").orderBy("generated", "gene_key", "pair_place")
     df = candidates(v).select("sample_id", F.row_number().over(w).alias("rank"), F.col("a.variant_id").alias("variant_a"), F.col("b.variant_id").alias("variant_b"))
-    return pairs.not_subsumed(df.withColumn("members", F.array("variant_a", "variant_b")), ["sample_id"]).drop("members")
+    return pairs.not_subsumed(df.withColumn("members", F.array_compact(F.array("variant_a", "variant_b"))), ["sample_id"]).drop("members")
+
+
+SQL_DISTINCT = f"""{SQL_SCORED}, left_ AS (SELECT x.*, row_number() OVER (PARTITION BY x.sample_id ORDER BY x.rank) AS n_ FROM ranks x WHERE NOT EXISTS (SELECT 1 FROM ranks y WHERE y.sample_id = x.sample_id AND y.gene_key = x.gene_key AND y.rank < x.rank
+  AND (y.id_a = x.id_a OR coalesce(y.id_b = x.id_a, false)) AND (x.id_b IS NULL OR y.id_a = x.id_b OR coalesce(y.id_b = x.id_b, false))))"""
 
 
-@query("submission", f"""WITH {SQL_SCORED}, top AS (SELECT sample_id, rank, pair_id, CAST(round((0.01 + composite * 0.99) * 10000) AS BIGINT) AS u FROM ranks WHERE rank <= 10),
+@query("submission", f"""WITH {SQL_DISTINCT}, top AS (SELECT sample_id, n_ AS rank, pair_id, CAST(round((0.01 + composite * 0.99) * 10000) AS BIGINT) AS u FROM left_ WHERE n_ <= 10),
 w AS (SELECT *, rank - 1 AS i, count(*) OVER (PARTITION BY sample_id) AS n, min(u + 100 * (rank - 1)) OVER (PARTITION BY sample_id ORDER BY rank ROWS UNBOUNDED PRECEDING) AS low FROM top)
 SELECT sample_id, CAST(rank AS INT) AS rank, pair_id, round((greatest(100 + 100 * (n - 1), least(10000, low)) - 100 * i) / 10000, 4) AS epcr FROM w""")
 def submission(v: Views) -> DataFrame:
-    """At most ten rows with separated values."""
-    top = scored(v).filter("rank <= 10").withColumn("epcr", pairs.epcr(F.col("composite")))
+    """At most ten rows with separated values, none of them inside a higher one."""
+    top = distinct_rows(v).filter("rank <= 10").withColumn("epcr", pairs.epcr(F.col("composite")))
     return pairs.separated(top, ["sample_id"]).select("sample_id", "rank", "pair_id", F.round("separated", 4).alias("epcr"))
 
 
+def distinct_rows(v: Views) -> DataFrame:
+    """The ranking without rows that a higher row contains, numbered anew."""
+    left = pairs.not_subsumed(scored(v).select("sample_id", "rank", "pair_id", "gene_key", "members", "composite"), ["sample_id"])
+    return left.withColumn("rank", F.row_number().over(Window.partitionBy("sample_id").orderBy("rank")))
+
+
 @query("promoted_pairs")
 def promoted_pairs(v: Views) -> DataFrame:
-    """Supersets above their subsets; single hits stand beside the pairs of each sample's first 40 ranks."""
-    top = scored(v).filter("rank <= 40").select("sample_id", (2 * F.col("rank")).alias("rank"), "members")
-    single = top.select("sample_id", (F.col("rank") - 1).alias("rank"), F.slice("members", 1, 1).alias("members"))
-    return pairs.promoted(top.union(single), "sample_id").select("sample_id", "rank", "place", "promoted", "exchanged", joined("members"))
+    """Supersets above their subsets, over every ranked row of each sample."""
+    return pairs.promoted(distinct_rows(v), "sample_id").select("sample_id", "rank", "place", "promoted", "exchanged", joined("members"))
+
+
+@query("submission_composed")
+def submission_composed(v: Views) -> DataFrame:
+    """E5 as composed: C13, then C20, then ten rows with separated values."""
+    top = pairs.promoted(distinct_rows(v), "sample_id").filter("place <= 10").withColumn("epcr", pairs.epcr(F.col("composite")))
+    return pairs.separated(top, ["sample_id"], order="place").select("sample_id", F.col("place").alias("rank"), "pair_id", F.round("separated", 4).alias("epcr"))
 
 
 @query("open_questions", f"""WITH {SQL_SCORED}, q AS (
-  SELECT s.sample_id, s.phase, a.max_af AS af_a, b.max_af AS af_b, a.poor OR b.poor AS poor, a.zygosity = 'hom_alt' OR b.zygosity = 'hom_alt' AS hom, a.n_assertions IS NULL AND b.n_assertions IS NULL AS bare
-  FROM scored s JOIN capped a ON a.sample_id = s.sample_id AND a.gene_key = s.gene_key AND a.variant_id = s.id_a JOIN capped b ON b.sample_id = s.sample_id AND b.gene_key = s.gene_key AND b.variant_id = s.id_b),
-u AS (SELECT sample_id, unnest(list_filter([CASE WHEN phase = 'unknown' THEN 'phase_unknown' END, CASE WHEN af_a IS NULL OR af_b IS NULL THEN 'no_population_frequency' END, CASE WHEN poor THEN 'low_quality_call' END,
-  CASE WHEN phase = 'cis_confirmed' THEN 'confirm_cis' END, CASE WHEN hom THEN 'true_homozygosity' END, CASE WHEN bare THEN 'no_clinical_curation' END], lambda x: x IS NOT NULL)) AS question FROM q)
-SELECT sample_id, question, question IN ('phase_unknown', 'no_population_frequency', 'low_quality_call') AS blocking, count(*) AS n FROM u GROUP BY 1, 2, 3""")
+  SELECT s.sample_id, s.pair_id, s.phase, s.is_pair, s.model, a.max_af AS af_a, CASE WHEN s.is_pair THEN b.max_af ELSE a.max_af END AS af_b, a.poor OR coalesce(b.poor, false) AS poor, a.zygosity = 'hom_alt' OR coalesce(b.zygosity = 'hom_alt', false) AS hom, a.n_assertions IS NULL AND b.n_assertions IS NULL AS bare
+  FROM scored s JOIN placed a ON a.sample_id = s.sample_id AND a.gene_key = s.gene_key AND a.variant_id = s.id_a LEFT JOIN placed b ON b.sample_id = s.sample_id AND b.gene_key = s.gene_key AND b.variant_id = s.id_b),
+t AS (SELECT *, CASE WHEN is_pair AND phase = 'unknown' THEN 'segregation or long-read phasing' WHEN poor THEN 'orthogonal confirmation of the call' WHEN af_a IS NULL OR af_b IS NULL THEN 'frequency lookup in a further cohort'
+  WHEN NOT is_pair AND model = 'unknown' THEN 'search for a second hit' WHEN phase = 'cis_confirmed' THEN 'parental segregation' WHEN hom THEN 'dosage or deletion test' ELSE 'functional assay' END AS next_test FROM q),
+u AS (SELECT sample_id, next_test, unnest(list_filter([CASE WHEN is_pair AND phase = 'unknown' THEN 'phase_unknown' END, CASE WHEN NOT is_pair AND model = 'unknown' THEN 'single_hit_only' END, CASE WHEN af_a IS NULL OR af_b IS NULL THEN 'no_population_frequency' END, CASE WHEN poor THEN 'low_quality_call' END,
+  CASE WHEN phase = 'cis_confirmed' THEN 'confirm_cis' END, CASE WHEN hom THEN 'true_homozygosity' END, CASE WHEN bare THEN 'no_clinical_curation' END], lambda x: x IS NOT NULL)) AS question FROM t)
+SELECT sample_id, question, question IN ('phase_unknown', 'no_population_frequency', 'low_quality_call', 'single_hit_only') AS blocking, next_test, count(*) AS n FROM u GROUP BY 1, 2, 3, 4""")
 def open_questions(v: Views) -> DataFrame:
-    """G10, G11."""
-    return scored(v).select("sample_id", F.explode("questions").alias("q")).groupBy("sample_id", "q.question", "q.blocking").agg(F.count(F.lit(1)).alias("n"))
+    """Questions by the test that comes next."""
+    return scored(v).select("sample_id", pairs.next_test(F.col("questions")).alias("next_test"), F.explode("questions").alias("q")).groupBy("sample_id", "q.question", "q.blocking", "next_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+SQL_GAPS = ", ".join(f"round(abs({c} - lead({c}) OVER w), 6) AS g_{c}" for c in pairs.COMPONENTS)
+SQL_LARGEST = "CASE " + " ".join(f"WHEN g_{c} = gap THEN '{c}'" for c in pairs.COMPONENTS) + " END"
+SQL_WEAKEST = "CASE " + " ".join(f"WHEN round({c}, 6) = weak THEN '{c}'" for c in pairs.COMPONENTS) + " END"
 
 
-@query("discriminating_experiments", f"""WITH {SQL_SCORED}, nx AS (SELECT sample_id, rank, validity, rarity, consequence, inheritance, evidence, lead(validity) OVER w AS v2, lead(rarity) OVER w AS r2, lead(consequence) OVER w AS c2, lead(inheritance) OVER w AS i2, lead(evidence) OVER w AS e2 FROM ranks WINDOW w AS (PARTITION BY sample_id ORDER BY rank)),
-g AS (SELECT sample_id, rank, round(greatest(abs(validity - v2), abs(rarity - r2), abs(consequence - c2), abs(inheritance - i2), abs(evidence - e2)), 6) AS gap FROM nx WHERE v2 IS NOT NULL)
-SELECT sample_id, CAST(rank AS INT) AS rank, gap FROM g""")
+@query("discriminating_experiments", f"""WITH {SQL_SCORED}, nx AS (SELECT *, {SQL_GAPS}, lead(rank) OVER w AS next_ FROM ranks WINDOW w AS (PARTITION BY sample_id ORDER BY rank)),
+g AS (SELECT *, greatest({", ".join(f"g_{c}" for c in pairs.COMPONENTS)}) AS gap, least({", ".join(f"round({c}, 6)" for c in pairs.COMPONENTS)}) AS weak FROM nx)
+SELECT sample_id, CAST(rank AS INT) AS rank, gap, CASE WHEN next_ IS NOT NULL THEN {SQL_LARGEST} ELSE {SQL_WEAKEST} END AS experiment FROM g""")
 def discriminating_experiments(v: Views) -> DataFrame:
-    """The largest component gap to the next rank."""
-    df = pairs.discriminating(scored(v), ["sample_id"])
-    w = Window.partitionBy("sample_id").orderBy("rank")
-    gap = F.greatest(*[F.abs(F.col(c) - F.lead(c).over(w)) for c in pairs.COMPONENTS])
-    return df.withColumn("gap", F.round(gap, 6)).filter("gap IS NOT NULL AND experiment IS NOT NULL").select("sample_id", "rank", "gap")
+    """The component with the largest gap to the next rank, and the gap; the last row names its weakest component."""
+    df = scored(v).withColumns({c: F.col(c).cast("double") for c in pairs.COMPONENTS})
+    return pairs.discriminating(df, ["sample_id"]).select("sample_id", "rank", "gap", "experiment")
 
 
 @query("submission_violations", """
-WITH r AS (SELECT o_custkey % 40 AS p, row_number() OVER (PARTITION BY o_custkey % 40 ORDER BY o_orderkey) AS row, concat('K', o_custkey % 9) AS key, round(o_totalprice / 400000, 2) AS epcr FROM orders WHERE o_orderkey % 40 = 0),
-s AS (SELECT *, lag(epcr) OVER (PARTITION BY p ORDER BY row) AS prev, count(*) OVER (PARTITION BY p, key) AS copies FROM r),
-u AS (SELECT p, row, unnest(list_filter([CASE WHEN row > 10 THEN 'too_many_rows' END, CASE WHEN NOT epcr BETWEEN 0 AND 1 THEN 'epcr_out_of_range' END, CASE WHEN epcr > prev THEN 'epcr_not_decreasing' END, CASE WHEN epcr = prev THEN 'epcr_tie' END, CASE WHEN copies > 1 THEN 'duplicate_row' END], lambda x: x IS NOT NULL)) AS rule FROM s)
+WITH r AS (SELECT o_custkey AS p, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey, o_totalprice) AS row, concat('K', o_orderkey % 9) AS key, o_orderkey % 2 = 0 AS wide, round(o_totalprice / 400000, 2) AS epcr FROM orders),
+s AS (SELECT *, lag(epcr) OVER (PARTITION BY p ORDER BY row) AS prev, count(*) OVER (PARTITION BY p, key) AS copies,
+  CASE WHEN wide THEN coalesce(max(CASE WHEN NOT wide THEN 1 END) OVER (PARTITION BY p, key ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) ELSE 0 END AS below FROM r),
+u AS (SELECT p, row, unnest(list_filter([CASE WHEN row > 10 THEN 'too_many_rows' END, CASE WHEN NOT epcr BETWEEN 0 AND 1 THEN 'epcr_out_of_range' END, CASE WHEN epcr > prev THEN 'epcr_not_decreasing' END, CASE WHEN epcr = prev THEN 'epcr_tie' END, CASE WHEN copies > 1 THEN 'duplicate_row' END,
+  CASE WHEN below = 1 THEN 'superset_below_subset' END], lambda x: x IS NOT NULL)) AS rule FROM s)
 SELECT p AS proband_id, CAST(row AS INT) AS row, rule FROM u""")
 def submission_violations(v: Views) -> DataFrame:
-    """J11."""
-    w = Window.partitionBy(F.col("o_custkey") % 40).orderBy("o_orderkey")
-    rows = v["orders"].filter("o_orderkey % 40 = 0").select((F.col("o_custkey") % 40).alias("proband_id"), F.row_number().over(w).alias("row"), F.concat(F.lit("K"), (F.col("o_custkey") % 9).cast("string")).alias("key"), F.round(F.col("o_totalprice") / 400000, 2).alias("epcr"))
-    return pairs.violations(rows.withColumn("members", F.array("key"))).filter("rule <> 'superset_below_subset'")
+    """Every order is a row of its customer's submission; even orders have a second member."""
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey", "o_totalprice")
+    key = F.concat(F.lit("K"), (F.col("o_orderkey") % 9).cast("string"))
+    rows = v["orders"].select(F.col("o_custkey").alias("proband_id"), F.row_number().over(w).alias("row"), key.alias("key"), F.round(F.col("o_totalprice") / 400000, 2).alias("epcr"), F.when(F.col("o_orderkey") % 2 == 0, F.array(key, F.lit("Z"))).otherwise(F.array(key)).alias("members"))
+    return pairs.violations(rows)
 
 
-@query("pair_flags", f"""WITH {SQL_SCORED} SELECT s.pair_id, s.sample_id, CASE s.phase WHEN 'cis_confirmed' THEN 'in_cis' WHEN 'trans_confirmed' THEN 'in_trans' ELSE 'phase_unknown' END AS phase_flag, a.zygosity <> b.zygosity AS mixed, CASE WHEN a.contig = b.contig THEN abs(b.position - a.position) END AS distance_bp
-FROM scored s JOIN capped a ON a.sample_id = s.sample_id AND a.gene_key = s.gene_key AND a.variant_id = s.id_a JOIN capped b ON b.sample_id = s.sample_id AND b.gene_key = s.gene_key AND b.variant_id = s.id_b WHERE a.contig = b.contig""")
+@query("pair_flags", f"""WITH {SQL_SCORED} SELECT s.pair_id, s.sample_id, CASE s.phase WHEN 'cis_confirmed' THEN 'in_cis' WHEN 'trans_confirmed' THEN 'in_trans' ELSE 'phase_unknown' END AS phase_flag, NOT s.is_pair AS single, coalesce(a.zygosity <> b.zygosity, false) AS mixed, CASE WHEN a.contig = b.contig THEN abs(b.position - a.position) ELSE -1 END AS distance_bp
+FROM scored s JOIN placed a ON a.sample_id = s.sample_id AND a.gene_key = s.gene_key AND a.variant_id = s.id_a LEFT JOIN placed b ON b.sample_id = s.sample_id AND b.gene_key = s.gene_key AND b.variant_id = s.id_b""")
 def pair_flags(v: Views) -> DataFrame:
-    """O18, of pairs on one contig."""
-    df = stages.pair_flags(scored(v)).filter("distance_bp IS NOT NULL")
-    return df.select("pair_id", "sample_id", F.get("pair_flags", F.lit(0)).alias("phase_flag"), F.array_contains("pair_flags", "mixed_zygosity").alias("mixed"), "distance_bp")
+    """O18, of all candidates; -1 where there is no distance (other contigs, singles)."""
+    df = stages.pair_flags(scored(v))
+    has = lambda x: F.array_contains("pair_flags", x)
+    phase = F.when(has("in_cis"), "in_cis").when(has("in_trans"), "in_trans").otherwise("phase_unknown")
+    return df.select("pair_id", "sample_id", phase.alias("phase_flag"), has("single_variant").alias("single"), has("mixed_zygosity").alias("mixed"), F.coalesce("distance_bp", F.lit(-1)).alias("distance_bp"))
 
 
 @query("cap_events", f"WITH {SQL_PAIRS} SELECT sample_id, gene_key, max(n_variants) AS n_variants, max(generated) AS generated, count(*) AS kept FROM kept GROUP BY 1, 2 HAVING max(n_variants) > 24 OR max(generated) > 20")
@@ -436,7 +482,7 @@ def cap_events(v: Views) -> DataFrame:
     return stages.cap_warnings(candidates(v), ["sample_id", "gene_key"])
 
 
-@query("component_evidence", f"""WITH {SQL_SCORED}, u AS (SELECT pair_id, unnest(['validity', 'rarity', 'consequence', 'inheritance', 'phenotype', 'mechanism', 'evidence']) AS component, unnest([round(validity, 6), round(rarity, 6), round(consequence, 6), round(inheritance, 6), 0.5, 0.0, round(evidence, 6)]) AS score FROM scored)
+@query("component_evidence", f"""WITH {SQL_SCORED}, u AS (SELECT pair_id, unnest(['validity', 'rarity', 'consequence', 'inheritance', 'phenotype', 'mechanism', 'evidence']) AS component, unnest([round(validity, 6), round(rarity, 6), round(consequence, 6), round(inheritance, 6), round(phenotype, 6), round(mechanism, 6), round(evidence, 6)]) AS score FROM scored)
 SELECT component, CASE WHEN score > 0.5 THEN 'supports' WHEN score < 0.5 THEN 'contradicts' ELSE 'neutral' END AS direction, count(*) AS n FROM u GROUP BY 1, 2""")
 def component_evidence(v: Views) -> DataFrame:
     """Seven items per pair, counted by direction."""
@@ -453,10 +499,9 @@ def dossier_answers(v: Views) -> DataFrame:
 @query("truncation_notice")
 def truncation_notice(v: Views) -> DataFrame:
     """O35."""
-    r = scored(v)
-    top = r.filter("rank <= 10")
-    lifted = pairs.promoted(top.select("sample_id", "rank", "members"), "sample_id")
-    return stages.truncation_notice(r, top, lifted)
+    r = tables.cut(distinct_rows(v))
+    lifted = tables.cut(pairs.promoted(r, "sample_id"))
+    return stages.truncation_notice(r, lifted.filter("place <= 10"), lifted)
 
 
 @query("run_warnings", f"""WITH {SQL_TRIAGED}, g AS (SELECT avg(CASE WHEN n_cons = 0 THEN 1.0 ELSE 0.0 END) AS a, avg(CASE WHEN triage LIKE 'kept%' THEN CASE WHEN max_af IS NULL THEN 1.0 ELSE 0.0 END END) AS b, avg(CASE WHEN triage LIKE 'kept%' THEN 0.0 ELSE 1.0 END) AS c, avg(CASE WHEN n_assertions IS NULL THEN 1.0 ELSE 0.0 END) AS d FROM judged)
@@ -618,7 +663,6 @@ SQL_CLOSURE = """edges_ AS (SELECT * FROM onto_edges),
 closure AS (SELECT term, term AS ancestor FROM (SELECT child AS term FROM edges_ UNION SELECT parent FROM edges_) t UNION SELECT c.term, e.parent FROM closure c JOIN edges_ e ON e.child = c.ancestor)"""
 SQL_CORPUS = "corpus AS (SELECT DISTINCT o_orderkey % 300 AS entity, o_custkey AS term FROM orders WHERE o_custkey > 3)"
 SQL_IC = f"""{SQL_CORPUS}, ic AS (SELECT c.ancestor AS term, count(DISTINCT k.entity) AS n_entities, -ln(count(DISTINCT k.entity) / (SELECT CAST(count(DISTINCT entity) AS DOUBLE) FROM corpus)) AS ic FROM corpus k JOIN closure c ON c.term = k.term GROUP BY c.ancestor)"""
-SQL_GENE_TERMS = "gene_terms AS (SELECT p_partkey % 100 AS gene_key, 4 + p_partkey * 11 % 140 AS term, max(CAST(CASE p_size % 4 WHEN 0 THEN 0.4 WHEN 1 THEN 0.6 WHEN 2 THEN 0.8 ELSE 1.0 END AS DOUBLE)) AS weight FROM part GROUP BY 1, 2)"
 SQL_STATES = """up AS (SELECT subject_id, c.ancestor AS term, 'observed' AS status, CASE WHEN c.ancestor = c.term THEN 0 ELSE 1 END AS place FROM profile p JOIN closure c ON c.term = p.term WHERE status = 'observed'),
 down AS (SELECT subject_id, c.term, 'excluded' AS status, CASE WHEN c.ancestor = c.term THEN 0 ELSE 2 END AS place FROM profile p JOIN closure c ON c.ancestor = p.term WHERE status = 'excluded'),
 states AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subject_id, term ORDER BY place, status) AS rn FROM (SELECT * FROM up UNION ALL SELECT * FROM down UNION ALL SELECT subject_id, term, status, 3 FROM profile WHERE status NOT IN ('observed', 'excluded')) u) q WHERE rn = 1)"""
@@ -684,12 +728,7 @@ def term_similarity(v: Views) -> DataFrame:
     return s.select("a", "b", "mica", F.round("resnik", 5).alias("resnik"), F.round("lin", 5).alias("lin"), jc.alias("jc"))
 
 
-@query("phenotype_scores", f"""WITH {SQL_GENE_TERMS}, obs AS (SELECT subject_id, CAST(count_if(status = 'observed') AS BIGINT) AS n_observed FROM profile GROUP BY subject_id),
-m AS (SELECT g.gene_key, p.subject_id, sum(CASE WHEN status = 'observed' THEN weight ELSE 0.0 END) AS matched, sum(CASE WHEN status = 'excluded' THEN weight ELSE 0.0 END) AS contradicted, CAST(count_if(status = 'observed') AS BIGINT) AS n_matched, count_if(status IN ('observed', 'excluded')) AS n_inf
-  FROM gene_terms g JOIN profile p ON p.term = g.term GROUP BY 1, 2)
-SELECT m.gene_key, m.subject_id, round(matched, 6) AS matched, round(contradicted, 6) AS contradicted, n_matched, n_observed,
-  CASE WHEN n_inf = 0 OR matched + contradicted = 0 THEN 0.5 ELSE round(0.5 * matched / (matched + contradicted) + 0.5 * CASE WHEN n_observed > 0 THEN n_matched / n_observed ELSE 0.5 END, 6) END AS score
-FROM m JOIN obs ON obs.subject_id = m.subject_id""")
+@query("phenotype_scores", f"WITH {SQL_PHENO} SELECT gene_key, subject_id, round(matched, 6) AS matched, round(contradicted, 6) AS contradicted, n_matched, n_observed, score FROM pheno")
 def phenotype_scores(v: Views) -> DataFrame:
     """C11, D-12, H7, H9."""
     return ontology.exact_scores(gene_terms(v), states(v)).select("gene_key", "subject_id", r6("matched"), r6("contradicted"), "n_matched", "n_observed", "score")
@@ -849,14 +888,19 @@ def claim_status(v: Views) -> DataFrame:
     return compare.claim_status(claims, items)
 
 
-@query("graph_edges", f"""WITH {SQL_PAIRS}, p AS (SELECT DISTINCT concat('PAIR-', substr(sha256(concat(gene_key, '|', least(id_a, id_b), '|', greatest(id_a, id_b))), 1, 16)) AS pid, gene_key, id_a, id_b FROM kept),
-t AS (SELECT pid AS s, 'in_gene' AS predicate, CAST(gene_key AS VARCHAR) AS o, 'gene' AS kind FROM p UNION SELECT pid, 'has_member', id_a, 'variant' FROM p UNION SELECT pid, 'has_member', id_b, 'variant' FROM p)
+@query("graph_edges", f"""WITH {SQL_PAIRS}, {SQL_TRIAGE}, p AS (SELECT DISTINCT concat('PAIR-', substr(sha256(CASE WHEN id_b IS NULL THEN concat(gene_key, '|', id_a) ELSE concat(gene_key, '|', least(id_a, id_b), '|', greatest(id_a, id_b)) END), 1, 16)) AS pid, gene_key, id_a, id_b FROM kept),
+t AS (SELECT pid AS s, 'in_gene' AS predicate, CAST(gene_key AS VARCHAR) AS o, 'gene' AS kind FROM p UNION SELECT pid, 'has_member', id_a, 'variant' FROM p UNION SELECT pid, 'has_member', id_b, 'variant' FROM p WHERE id_b IS NOT NULL
+  UNION SELECT CAST(mechanism_id AS VARCHAR), 'has_mechanism', CAST(mechanism_id AS VARCHAR), 'mechanism' FROM mech UNION SELECT CAST(k AS VARCHAR), CASE WHEN rejected THEN 'rejected_for_mechanism' ELSE 'targets_mechanism' END, CAST(mechanism_id AS VARCHAR), 'mechanism' FROM r)
 SELECT substr(sha256(concat(s, chr(31), predicate, chr(31), o)), 1, 16) AS edge_id, s AS subject_id, predicate, o AS object_id, kind AS object_kind FROM t""")
 def graph_edges(v: Views) -> DataFrame:
-    """J7."""
+    """Edges of candidates, of mechanisms (a mechanism's number is its gene's) and of triaged agents."""
     a, b = F.col("a.variant_id"), F.col("b.variant_id")
-    rows = candidates(v).select(pairs.pair_id(F.col("gene_key"), a, b).alias("pair_id"), "gene_key", F.array(a, b).alias("members"))
-    return compare.edges(rows).select("edge_id", "subject_id", "predicate", "object_id", "object_kind")
+    ids = F.when(b.isNull(), pairs.pair_id(F.col("gene_key"), a)).otherwise(pairs.pair_id(F.col("gene_key"), a, b))
+    rows = candidates(v).select(ids.alias("pair_id"), "gene_key", F.array_compact(F.array(a, b)).alias("members"))
+    m, nodes, _ = graph(v)
+    drugs = mechanism.triage(agents(v), nodes, m)
+    every = compare.edges(rows).unionByName(compare.mechanism_edges(m.withColumn("gene_key", F.col("mechanism_id")))).unionByName(compare.drug_edges(drugs))
+    return every.select("edge_id", "subject_id", "predicate", "object_id", "object_kind")
 
 
 @query("keyed_upsert", """

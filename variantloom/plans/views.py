@@ -33,6 +33,7 @@ SELECT p_partkey AS site_key, p_partkey % 500 AS gene_key, t.tx AS tx_no,
   CASE CAST((p_partkey + t.tx) % 6 AS INT) WHEN 0 THEN 'high' WHEN 1 THEN 'moderate' WHEN 2 THEN 'low' WHEN 3 THEN NULL ELSE 'modifier' END AS impact,
   CASE CAST((p_partkey + t.tx) % 6 AS INT) WHEN 0 THEN 'stop_gained' WHEN 1 THEN 'missense_variant' WHEN 2 THEN 'splice_region_variant&synonymous_variant' WHEN 3 THEN 'gene_variant' ELSE 'intron_variant' END AS terms,
   CAST(CASE WHEN p_partkey % 17 = 0 THEN 0.1 + 0.1 * (p_partkey % 9) END AS DOUBLE) AS splice_ai,
+  CAST(CASE WHEN p_partkey % 5 < 3 THEN p_size * 0.75 END AS DOUBLE) AS cadd, CAST(CASE WHEN p_partkey % 4 < 2 THEN 0.01 * (p_partkey % 100) END AS DOUBLE) AS revel,
   CASE WHEN t.tx = 0 THEN true ELSE false END AS is_mane
 FROM part CROSS JOIN (SELECT 0 AS tx UNION ALL SELECT 1 AS tx) t WHERE p_partkey % 11 <> 0""",
     "clinical": """
@@ -45,13 +46,13 @@ SELECT p_partkey AS gene_id, concat('G', CAST(p_partkey AS STRING)) AS gene_symb
 SELECT CAST(c_custkey AS BIGINT) AS child, CAST((c_custkey - c_custkey % 3) / 3 AS BIGINT) AS parent FROM customer WHERE c_custkey > 3
 UNION SELECT CAST(c_custkey AS BIGINT), CAST((c_custkey - c_custkey % 5) / 5 AS BIGINT) FROM customer WHERE c_custkey > 5""",
     "profile": """
-SELECT o_custkey % 40 AS subject_id, o_custkey AS term, min(CASE o_orderstatus WHEN 'F' THEN 'observed' WHEN 'O' THEN 'excluded' ELSE 'uncertain' END) AS status
-FROM orders WHERE o_orderkey % 9 = 0 GROUP BY o_custkey % 40, o_custkey""",
-    # one row per variant key: the smallest order line of equal keys stays
+SELECT o_orderkey % 40 AS subject_id, o_custkey AS term, min(CASE o_orderstatus WHEN 'F' THEN 'observed' WHEN 'O' THEN 'excluded' ELSE 'uncertain' END) AS status
+FROM orders GROUP BY o_orderkey % 40, o_custkey""",
+    # one row per variant key: the smallest of equal keys by every column that is returned
     "calls": """
 SELECT sample_id, contig, position, ref, alt, zygosity, depth, alt_reads, gq, filter_status, phase_set, hap_slot, gene_key, site_key FROM (
   SELECT sample_id, contig, position, ref, alt, zygosity, depth, alt_reads, gq, filter_status, phase_set, hap_slot, gene_key, l_partkey AS site_key,
-    row_number() OVER (PARTITION BY sample_id, contig, position, ref, alt ORDER BY l_orderkey, l_linenumber) AS rn FROM variants) q WHERE rn = 1""",
+    row_number() OVER (PARTITION BY sample_id, contig, position, ref, alt ORDER BY l_orderkey, l_linenumber, zygosity, depth, alt_reads, filter_status) AS rn FROM variants) q WHERE rn = 1""",
 }
 WORD = re.compile(r"\b(FROM|JOIN) (\w+)\b")
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from variantloom.config import DEFAULT, Config
 from variantloom.functions import alleles, rules
+from variantloom.operators.tables import new_path
 from variantloom.sources import vcf
 
 
@@ -33,11 +32,15 @@ def stream_calls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, folder: str, sink: Callable[[DataFrame, DataFrame], None], checkpoint: str) -> StreamingQuery:
-    """Runs until all present files are read; each micro-batch hands kept rows and discards to the sink."""
+    """Runs until all present files are read; each micro-batch hands kept rows and discards to the sink.
+
+    A sample is a column of one file, and a file is read in one micro-batch, so calls are made distinct by (path, sample_no)
+    without any state between batches.
+    """
 
     def each(batch: DataFrame, _: int) -> None:
         gone = batch.filter("verdict <> 'kept'").select("variant_id", F.lit("ingest").alias("stage"), F.col("verdict").alias("rule"), F.col("alt").alias("value"))
-        sink(batch.filter("verdict = 'kept'").dropDuplicates(["sample_no", "variant_id"]), gone)
+        sink(batch.filter("verdict = 'kept'").dropDuplicates(["path", "sample_no", "variant_id"]), gone)
 
     return stream_calls(spark, folder).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -49,8 +52,7 @@ def running_counts(calls: DataFrame) -> DataFrame:
 
 def drained(spark: SparkSession, schema: StructType, folder: str, pattern: str, transform: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The state of a streaming aggregate once all present files are read, as a table in the checkpoint folder."""
-    home = (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stream-")).rstrip("/")
-    path = f"{home}/stream-{uuid.uuid4().hex}"
+    path = new_path(spark, "stream")
     stream = transform(spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder))
 
     def each(batch: DataFrame, number: int) -> None:
