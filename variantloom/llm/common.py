@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,19 +10,22 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from variantloom.operators.tables import cut as written
+from variantloom.operators.tables import shared_home
+
+__all__ = ["KEYS", "bit_words", "checkpointed", "id_crc", "mixed", "one_of_each", "picked", "table", "text_blocks", "text_keys", "text_or_empty", "texts_of", "written"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write df to the session's checkpoint folder and read it back, so that lost executors cost nothing.
-
-    The folder is spark.checkpoint.dir; only where that is unset (tests on one machine) a local one is made.
-    """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    """Write df to the session's checkpoint folder and read it back, so that lost executors cost nothing."""
+    context = df.sparkSession.sparkContext
+    home = shared_home(df.sparkSession)
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(home)
     return df.checkpoint()
 
 
@@ -37,11 +38,10 @@ def id_crc(name: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")))
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def text_blocks(batches: Iterator[pa.RecordBatch], most: int = 4_000_000, texts: Callable[[pa.RecordBatch], pa.Array] = lambda b: b.column("text")) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each has at most `most` text bytes, or one row; rows and order stay."""
     for batch in batches:
-        texts = batch.column("text")
-        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64))
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts(batch)), 0), dtype=np.int64))
         at = 0
         while at < batch.num_rows:
             base = ends[at - 1] if at else 0
@@ -63,13 +63,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write df as Parquet to a new folder in the session's checkpoint folder and read it back: as safe as a checkpoint, smaller, and read by column."""
-    spark = df.sparkSession
-    home = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-tables-")
-    path = f"{home.rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Two hashes of a text, null as empty: 128 bits that tell texts apart.
+KEYS = ("key_a", "key_b")
+
+
+def text_keys() -> list[Column]:
+    return [F.xxhash64(text_or_empty()).alias("key_a"), F.xxhash64(F.lit(1), text_or_empty()).alias("key_b")]
 
 
 def bit_words(keys: DataFrame, bits: int) -> np.ndarray:

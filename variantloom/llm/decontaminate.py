@@ -9,10 +9,15 @@ tables, and several walks are made, so many that a window whose places agree wit
 table with probability `recall` at least. Candidates are verified by the exact word edit distance of the item to the
 best part of the text around the window; a distance of up to 20 % of the item's words (similarity 0.8) is a match.
 
-The tables hold `block_items` items at most; larger benchmarks are taken block by block, each against all texts.
+A walk of all words of a long item would be of little use: after an edit the two pointers may stay apart for long, so that far
+places of the walk agree by chance only. Items of up to some ten words are embedded whole; of longer ones, windows of that size
+from every third word are, and the edit distance is still that of the whole item.
 
-Edge cases: null and empty texts have no match; items with fewer than `shortest` words take no part (they would match
-ordinary prose); null items likewise; repeated rows give repeated results; null ids are reported as such; empty tables
+Items with fewer than SHORTEST words would match ordinary prose, so they are matched exactly: a line of the text must have the
+same words and no others. A block of items holds about `block_bytes` of text; larger benchmarks are taken block by block, one at
+a time, each against all texts.
+
+Edge cases: null and empty texts have no match; items that are null or have no word take no part; repeated rows give repeated results; null ids are reported as such; empty tables
 give no rows; other columns are ignored; very long texts are read whole.
 """
 
@@ -30,15 +35,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
 
-from .common import mixed, text_blocks, texts_of
+from .common import mixed, text_blocks, texts_of, written
 
 WORD = re.compile(r"\w+")
 SHORTEST = 5
 EDITS = 0.2
-OFFSET = 6
-PER_WALK = 5
-#: Steps of the walk, sampled places, and the item sizes served: (from, below).
-CLASSES = ((5, 3, 5, 15), (20, 4, 15, 1 << 30))
+LINE = re.compile(r"[^\n]+")
+PER_WALK = 6
+#: Table keys that a text and an item must share, over all tables and windows.
+HITS = 3
+#: Steps of the walk, sampled places, the item sizes served (from, below), and how far apart and how near the end its windows begin.
+CLASSES = ((5, 3, 5, 15, 1, 3), (20, 4, 15, 1 << 30, 3, 10))
 
 
 class Ids(dict):
@@ -90,10 +97,15 @@ class Tables:
 
     def __init__(self, items: list[tuple[int, str]], agree: float = 0.7, recall: float = 0.97):
         ids = Ids()
-        self.items = [(k, np.array([ids[w] for w in words], dtype=np.uint32)) for k, words in ((k, words_of(t or "")) for k, t in items) if len(words) >= SHORTEST]
+        split = [(k, words) for k, words in ((k, words_of(t or "")) for k, t in items) if words]
+        self.items = [(k, np.array([ids[w] for w in words], dtype=np.uint32)) for k, words in split]
+        self.short: dict[tuple[str, ...], list[int]] = {}
+        for i, (_, words) in enumerate(split):
+            if len(words) < SHORTEST:
+                self.short.setdefault(tuple(words), []).append(i)
         self.classes = []
-        for n, (steps, places, low, high) in enumerate(CLASSES):
-            own = [(i, o) for i, (_, w) in enumerate(self.items) if low <= len(w) < high for o in range(0, max(1, len(w) - low + 1), OFFSET)]
+        for n, (steps, places, low, high, apart, left) in enumerate(CLASSES):
+            own = [(i, o) for i, (_, w) in enumerate(self.items) if low <= len(w) < high for o in sorted({*range(0, len(w) - left + 1, apart), len(w) - left})]
             if not own:
                 continue
             sampler = Sampler(steps, places, agree, recall, 11 + n)
@@ -108,19 +120,19 @@ class Tables:
                 tables.append((keys[order], order, seen))
             self.classes.append((sampler, own, tables))
 
-    def candidates(self, symbols: np.ndarray, starts: np.ndarray) -> set[tuple[int, int]]:
-        """(item, where the item would begin) of all windows that share a table key with the item."""
-        found: set[tuple[int, int]] = set()
+    def candidates(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, window start and where the item would begin, of every window that shares a table key with a window of the item."""
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for sampler, own, tables in self.classes:
+            item, offset = np.array(own, dtype=np.int64).T
             for (keys, order, seen), window in zip(tables, sampler.keys(symbols, starts), strict=True):
                 hits = np.flatnonzero(seen[window >> np.uint32(16)])
                 low = np.searchsorted(keys, window[hits], side="left")
-                high = np.searchsorted(keys, window[hits], side="right")
-                some = high > low
-                for at, a, b in zip(starts[hits[some]].tolist(), low[some].tolist(), high[some].tolist(), strict=True):
-                    for i, o in (own[x] for x in order[a:b]):
-                        found.add((i, at - o))
-        return found
+                n = np.searchsorted(keys, window[hits], side="right") - low
+                entry = order[np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if n.any() else np.empty(0, dtype=np.int64)
+                at = np.repeat(starts[hits], n)
+                found.append((item[entry], at, at - offset[entry]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, dtype=np.int64),) * 3
 
 
 def best_part(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -163,6 +175,18 @@ def matches_of(tables: Tables, symbols: np.ndarray, found: list[tuple[int, int]]
     return [(i, at, n, cost) for i, (cost, at, n) in sorted(best.items())]
 
 
+def short_matches(text: str, short: dict[tuple[str, ...], list[int]]) -> list[tuple[int, int, int, int]]:
+    """(item, first word, words, 0) of items whose words are those of a whole line; the first such line."""
+    most, before, best = max(map(len, short)), 0, {}
+    for m in LINE.finditer(text):
+        words = words_of(m[0])
+        if len(words) <= most:
+            for i in short.get(tuple(words), ()):
+                best.setdefault(i, (i, before, len(words), 0))
+        before += len(words)
+    return list(best.values())
+
+
 def contaminated(texts: list[str], tables: Tables) -> list[list[tuple[int, int, int, int]]]:
     """Matches of each text."""
     ids, pad = Ids(), max([s.steps for s, _, _ in tables.classes], default=0) + 1
@@ -176,31 +200,36 @@ def contaminated(texts: list[str], tables: Tables) -> list[list[tuple[int, int,
     flat = np.fromiter(map(ids.__getitem__, chain.from_iterable(parts)), dtype=np.uint32, count=int(sizes.sum()))
     starts = np.repeat(lefts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(len(flat))
     symbols[starts] = flat
-    found = sorted(tables.candidates(symbols, starts), key=lambda x: (x[1], x[0]))
+    item, at, begin = tables.candidates(symbols, starts)
+    # a passage meets its item in several tables or windows; one key alone is mostly a few common words
+    text = np.searchsorted(lefts, at, side="right") - 1
+    pair, which, hits = np.unique(text * len(tables.items) + item, return_inverse=True, return_counts=True)
+    keep = hits[which] >= HITS
+    rows = np.unique(np.stack([text[keep], begin[keep] - lefts[text[keep]], item[keep]], axis=1), axis=0).tolist()
     by_text: dict[int, list[tuple[int, int]]] = {}
-    for i, at in found:
-        # a window near a text's start may put the item's begin before it
-        for t in {int(np.searchsorted(lefts, at + len(tables.items[i][1]) // 2, side="right")) - 1, int(np.searchsorted(lefts, at, side="right")) - 1}:
-            if t >= 0:
-                by_text.setdefault(t, []).append((i, at - int(lefts[t])))
+    for t, b, i in rows:
+        by_text.setdefault(t, []).append((i, b))
     for t, own in by_text.items():
-        out[t] = matches_of(tables, symbols[lefts[t] : lefts[t] + sizes[t]], sorted(set(own), key=lambda x: (x[1], x[0])))
+        out[t] = matches_of(tables, symbols[lefts[t] : lefts[t] + sizes[t]], own)
+    if tables.short:
+        out = [sorted([*own, *short_matches(text, tables.short)]) for own, text in zip(out, texts, strict=True)]
     return out
 
 
-def blocks_of(benchmark: DataFrame, block_items: int) -> list[Tables]:
-    rows = benchmark.select("item_id", "text").filter("text IS NOT NULL")
-    n = -(-max(1, rows.count()) // block_items)
-    blocks = []
+def blocks_of(benchmark: DataFrame, block_bytes: int) -> Iterator[Tables]:
+    """Tables of one block of items after the other; the one before is given up when the next is asked for."""
+    rows = benchmark.select("item_id", "text").filter("text IS NOT NULL").distinct()
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    n = max(1, -(-size // block_bytes))
     for k in range(n):
-        own = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).distinct().toArrow()
-        blocks.append(Tables(sorted(zip(own.column("item_id").to_pylist(), own.column("text").to_pylist(), strict=True), key=lambda x: (x[0] is None, x[0] or 0, x[1]))))
-    return blocks
+        own = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).toArrow()
+        yield Tables(sorted(zip(own.column("item_id").to_pylist(), own.column("text").to_pylist(), strict=True), key=lambda x: (x[0] is None, x[0] or 0, x[1])))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = 20_000) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 2_000_000) -> DataFrame:
     """doc_id, item_id, first_word, n_words, distance, similarity of the best match of each item in each text."""
     kind, item_kind = (t.schema[c].dataType.simpleString() for t, c in ((docs, "doc_id"), (benchmark, "item_id")))
+    item_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_kind]
 
     def against(tables: Tables) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(tables)
@@ -212,7 +241,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = 20_000) -> D
                 item = [held.items[i] for _, i, _, _, _ in rows]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64())),
-                    "item_id": pa.array([x[0] for x in item], batch_type(item_kind)),
+                    "item_id": pa.array([x[0] for x in item], item_type),
                     "first_word": pa.array([r[2] for r in rows], pa.int32()),
                     "n_words": pa.array([r[3] for r in rows], pa.int32()),
                     "distance": pa.array([r[4] for r in rows], pa.int32()),
@@ -221,22 +250,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = 20_000) -> D
 
         return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, item_id {item_kind}, first_word int, n_words int, distance int, similarity double")
 
-    return reduce(DataFrame.unionByName, [against(t) for t in blocks_of(benchmark, block_items)])
-
-
-def batch_type(name: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[name]
+    # each block's matches are written before the next block is made
+    return reduce(DataFrame.unionByName, (written(against(t)) for t in blocks_of(benchmark, block_bytes)))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, block_items: int = 20_000) -> DataFrame:
-    """The documents without any match, with all their columns."""
+def clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 2_000_000) -> DataFrame:
+    """The documents without any match, with all their columns, whatever their names."""
     names, schema, out = docs.columns, docs.schema, docs
-    for tables in blocks_of(benchmark, block_items):
+    for tables in blocks_of(benchmark, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(tables)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in text_blocks(batches):
                 yield batch.filter(pa.array([not m for m in contaminated(texts_of(batch), shared.value)], pa.bool_())).select(names)
 
-        out = out.mapInArrow(run, schema)
+        out = written(out.mapInArrow(run, schema))
     return out

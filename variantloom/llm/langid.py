@@ -1,9 +1,10 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Training counts every n-gram of every labelled training text: each task sums its own (language, bucket) counts and
-Spark adds them up. The model is a matrix of languages x `buckets` log-probabilities; its size is bounded by the
-number of languages, which is checked, times a fixed number of buckets, so it may be broadcast. Scoring gathers the
-matrix rows of a batch's n-grams and sums them per document in numpy.
+Spark adds them up. The model is a matrix of languages x `buckets` log-probabilities, broadcast in blocks of at most
+BLOCK languages, so a block has a fixed bound and any number of languages is scored: rows pass the blocks one after
+the other and carry their best language and the sum of all posteriors along. Scoring gathers the matrix rows of a batch's
+n-grams and sums them per document in numpy.
 
 Edge cases: null text and text without a letter give `und` with score 0; null languages are not learned; ties go to
 the first language by name; without any learned language all is `und`; repeated rows and other columns are harmless;
@@ -20,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_crc, text_blocks, texts_of
+from .common import id_crc, text_blocks, texts_of, written
 
 BUCKETS = 1 << 14
-MOST_LANGUAGES = 2_000
+BLOCK = 250
 #: n-gram lengths and their odd multipliers.
 GRAMS = (1, 2, 3)
 
@@ -79,49 +80,59 @@ def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * (len(at) + 1), pa.string()), "bucket": pa.array(np.append(at, -1), pa.int32()), "n": pa.array(np.append(own[at], docs[name]), pa.int64())})
 
 
-def learned(docs: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language names, log priors and the buckets x languages matrix, from (text, lang) rows with null langs left out."""
+Model = tuple[list[str], np.ndarray, np.ndarray]
+
+
+def learned(docs: DataFrame, smoothing: float = 0.5, block: int = BLOCK) -> list[Model]:
+    """Blocks of (language names, log priors, buckets x languages matrix) in order of names, from (text, lang) rows with null langs left out."""
     sums = docs.filter(F.col("lang").isNotNull()).select("text", "lang").mapInArrow(counts, "lang string, bucket int, n long")
-    rows = sums.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    got = rows.limit(MOST_LANGUAGES * (BUCKETS + 1) + 1).toArrow()
-    if got.num_rows > MOST_LANGUAGES * (BUCKETS + 1):
-        raise ValueError(f"more than {MOST_LANGUAGES} languages: the model would outgrow its bound")
-    langs = sorted(set(got.column("lang").to_pylist()))
-    place = {x: k for k, x in enumerate(langs)}
-    full = np.zeros((BUCKETS + 1, max(1, len(langs))))
-    if langs:
-        full[np.asarray(got.column("bucket")), [place[x] for x in got.column("lang").to_pylist()]] = np.asarray(got.column("n"))
-    priors, grams = full[-1] + 1.0, full[:-1] + smoothing
-    return langs, np.log(priors / priors.sum()), np.log(grams / grams.sum(axis=0)).astype(np.float32)
-
-
-def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) -> DataFrame:
+    rows = written(sums.groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    of = {r.lang: r.n for r in rows.filter("bucket = -1").select("lang", "n").collect()}  # one row for each language
+    names, total = sorted(of), float(sum(of.values()) + len(of))
+    models = []
+    for at in range(0, len(names), block):
+        own = names[at : at + block]
+        place = {x: k for k, x in enumerate(own)}
+        got = rows.filter(F.col("lang").between(own[0], own[-1]) & (F.col("bucket") >= 0)).toArrow()
+        grams = np.full((BUCKETS, len(own)), smoothing)
+        grams[np.asarray(got.column("bucket")), [place[x] for x in got.column("lang").to_pylist()]] += np.asarray(got.column("n"))
+        models.append((own, np.log(np.array([of[x] + 1.0 for x in own]) / total), np.log(grams / grams.sum(axis=0)).astype(np.float32)))
+    return models
+
+
+def passed(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Rows with their best language so far (best, its log posterior before scaling) and `mass`: the sum of all posteriors, as a multiple of the best."""
+    langs, priors, matrix = model
+    for batch in text_blocks(batches):
+        texts = texts_of(batch)
+        at, starts, some = hashed(texts, BUCKETS)
+        total = np.zeros((len(texts), matrix.shape[1]))
+        if len(at):
+            full = np.flatnonzero(np.diff(starts))
+            for k in range(matrix.shape[1]):
+                total[full, k] = np.add.reduceat(matrix[:, k][at], starts[full], dtype=np.float64)
+        total += priors
+        best = total.argmax(axis=1)
+        top = total.max(axis=1)
+        mass = np.exp(total - top[:, None]).sum(axis=1)
+        old, old_mass = (np.asarray(batch.column(c), dtype=np.float64) for c in ("top", "mass"))
+        won = top > old
+        high = np.maximum(top, old)
+        name = [langs[b] if w else x for b, w, x in zip(best, won, batch.column("best").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_pydict({
+            **{c: batch.column(c) for c in ("doc_id", "held_out", "text")}, "some": pa.array(some), "best": pa.array(name, pa.string()), "top": pa.array(high),
+            "mass": pa.array(mass * np.exp(top - high) + old_mass * np.exp(old - high)),
+        })
+
+
+def predicted(docs: DataFrame, models: list[Model]) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, priors, matrix = shared.value
-        for batch in text_blocks(batches):
-            texts = texts_of(batch)
-            at, starts, some = hashed(texts, BUCKETS)
-            total = np.zeros((len(texts), matrix.shape[1]))
-            if len(at):
-                full = np.flatnonzero(np.diff(starts))
-                for k in range(matrix.shape[1]):
-                    total[full, k] = np.add.reduceat(matrix[:, k][at], starts[full], dtype=np.float64)
-            total += priors
-            some &= bool(langs)
-            best = total.argmax(axis=1)
-            share = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
-                "held_out": batch.column("held_out"),
-                "lang_pred": pa.array([langs[b] if s else "und" for b, s in zip(best, some, strict=True)], pa.string()),
-                "score": pa.array(np.where(some, share, 0.0), pa.float64()),
-            })
-
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "held_out", "text").mapInArrow(score, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    rows = docs.select("doc_id", "held_out", "text", F.lit(False).alias("some"), F.lit(None).cast("string").alias("best"), F.lit(float("-inf")).alias("top"), F.lit(0.0).alias("mass"))
+    for model in models:
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+        rows = rows.mapInArrow(lambda b, shared=shared: passed(b, shared.value), f"doc_id {kind}, held_out boolean, text string, some boolean, best string, top double, mass double")
+    return rows.select("doc_id", "held_out", F.when(F.col("some"), F.col("best")).otherwise("und").alias("lang_pred"), F.when(F.col("some"), 1 / F.col("mass")).otherwise(0.0).alias("score"))
 
 
 def identify(docs: DataFrame) -> DataFrame:

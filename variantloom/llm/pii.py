@@ -1,32 +1,42 @@
 """Personal data: pattern spans, then information-theoretic sanitisation of terms that give them away.
 
-Base spans are e-mail addresses, IPv4 addresses, card and phone numbers. Each distinct value is a protected entity.
-The corpus tells how strongly a term reveals an entity: over documents of distinct text, PMI(e; t) =
-log2(p(e, t) / (p(e) p(t))) against the entity's own information IC(e) = -log2 p(e). The ratio is 1 when the term
-occurs only with the entity. A term near an entity in at least `support` documents is a candidate, unless its
-uses beside other entities alone already hold the ratio down; at a ratio of
-`generalise` its occurrences become spans that are replaced by their shape, and at `remove` they are taken out.
-
-Counts cover all documents. Candidate terms reach the tasks as a bit table of fixed size, and what passes it by
-chance is dropped by an exact join, so nothing that grows with the corpus is broadcast.
+Base spans are e-mail addresses, IPv4 addresses, card and phone numbers. Protected are each distinct value, what stands
+behind it (the user and host of an address, the network, the issuer) and its kind. The corpus tells how strongly a
+term reveals an entity: over contexts of distinct texts, PMI(e; t) = log2(p(e, t) / (p(e) p(t))) against the entity's own
+information IC(e) = -log2 p(e). The ratio is 1 when the term occurs only with the entity. A context is a stretch of CONTEXT
+code points, so that work stays in proportion to the text however many values and terms it holds; a usual document is one.
+
+A pair must be beyond chance, whatever its count: its evidence is n * KL(p(e|t) || p(e)) bits over the n contexts of the term,
+and must reach log2(K / alpha), K being the terms that stand with the entity more than once (a Bonferroni bound for each
+entity). Of the pairs beyond chance, a ratio of `generalise` (2/3: the term's information is that share of the entity's) has the
+term replaced by its shape wherever a text holds the entity too, and a ratio of `remove` has it taken out there. Texts without
+a protected value have nothing to disclose and stay as they are.
+
+Counts cover all documents and are exact. Tables that reach the tasks hold one byte or bit for each bucket of hashed terms or
+entities; their size follows the number of keys up to a fixed bound. They only let too much pass, never too little, and exact
+joins decide.
 
 Edge cases: null text counts as empty; repeated rows and copies get the same spans but count once in the statistics;
 null ids are rows like any other; an empty table gives no rows; other columns are ignored; texts are read whole and
-every pattern takes time in proportion to the text.
+every pattern takes time in proportion to the text. Texts are told apart by 128 bits.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import text_blocks, text_or_empty, texts_of, written
+from .common import KEYS, text_blocks, text_keys, text_or_empty, texts_of, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
@@ -37,8 +47,10 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
-WORD = re.compile(r"[^\W\d_]{4,}")
-BITS = 1 << 22
+WORD = re.compile(r"[^\W\d_]+")
+CONTEXT = 4_096
+MOST_BUCKETS = 1 << 23
+SALTS = 32
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -85,70 +97,145 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def scanned(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBatch]:
-    """Base spans of each row, and the distinct (entity, term) pairs of terms within `reach` words of an entity."""
+def entity(text: str) -> int:
+    return xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def protected(kind: int, value: str) -> set[int]:
+    """What a value reveals: itself, its kind, and who or what is behind it."""
+    low = value.lower()
+    behind = [f"kind:{KINDS[kind]}", f"{KINDS[kind]}:{low}"]
+    if kind == 0:
+        user, host = low.split("@", 1)
+        behind += [f"user:{user}", f"host:{host}"]
+    elif kind == 1:
+        behind.append(f"net:{low.rsplit('.', 1)[0]}")
+    elif kind == 2:
+        behind.append(f"issuer:{''.join(DIGITS.findall(low))[:6]}")
+    return {entity(x) for x in behind}
+
+
+def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, list[int], list[str]]]:
+    """(context, its entities, its terms outside of spans) of every context that holds a value."""
+    own: dict[int, set[int]] = {}
+    for start, kind, end in spans:
+        own.setdefault(start // CONTEXT, set()).update(protected(kind, text[start:end]))
+    out = []
+    for k, entities in sorted(own.items()):
+        terms: set[str] = set()
+        low, at = k * CONTEXT, 0
+        if low and WORD.match(text, low - 1):  # a word that begins before belongs to the context before
+            m = WORD.match(text, low)
+            low = m.end() if m else low
+        for m in WORD.finditer(text, low):
+            if m.start() >= (k + 1) * CONTEXT:
+                break
+            while at < len(spans) and spans[at][2] <= m.start():
+                at += 1
+            if not any(a < m.end() and m.start() < b for a, _, b in spans[at : at + 8]):
+                terms.add(m[0].lower())
+        out.append((k, sorted(entities), sorted(terms)))
+    return out
+
+
+def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Base spans of each row, its number of contexts, and the contexts that hold a value."""
+    item = pa.list_(pa.struct([("entities", pa.list_(pa.int64())), ("terms", pa.list_(pa.string()))]))
     for batch in text_blocks(batches, 2_000_000):
-        cols: dict[str, list] = {k: [] for k in ("starts", "kinds", "ends", "entities", "terms")}
+        cols: dict[str, list] = {k: [] for k in ("starts", "kinds", "ends", "contexts", "n")}
         for text in texts_of(batch):
             spans = base_spans(text)
-            pairs = set()
-            for start, kind, end in spans:
-                entity = xxh64_intdigest(f"{KINDS[kind]}:{text[start:end].lower()}".encode("utf-8", "surrogatepass")) - (1 << 63)
-                low = max(0, start - 24 * reach)
-                before = [m for m in WORD.finditer(text, low, start) if m.start() > low or low == 0][-reach:]
-                after = []
-                for m in WORD.finditer(text, end, min(len(text), end + 24 * reach)):
-                    if len(after) == reach:
-                        break
-                    after.append(m)
-                pairs |= {(entity, m[0].lower()) for m in (*before, *after) if not any(a < m.end() and m.start() < b for a, _, b in spans)}
             cols["starts"].append([s for s, _, _ in spans])
             cols["kinds"].append([k for _, k, _ in spans])
             cols["ends"].append([e for _, _, e in spans])
-            ordered = sorted(pairs)
-            cols["entities"].append([e for e, _ in ordered])
-            cols["terms"].append([t for _, t in ordered])
+            cols["contexts"].append([{"entities": e, "terms": t} for _, e, t in contexts(text, spans)] if spans else [])
+            cols["n"].append(max(1, -(-len(text) // CONTEXT)))
         yield pa.RecordBatch.from_pydict({
-            "doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"),
-            **{k: pa.array(cols[k], pa.list_(pa.int32())) for k in ("starts", "kinds", "ends")},
-            "entities": pa.array(cols["entities"], pa.list_(pa.int64())), "terms": pa.array(cols["terms"], pa.list_(pa.string())),
+            **{c: batch.column(c) for c in ("doc_id", *KEYS)}, **{k: pa.array(cols[k], pa.list_(pa.int32())) for k in ("starts", "kinds", "ends")},
+            "contexts": pa.array(cols["contexts"], item), "n_contexts": pa.array(cols["n"], pa.int32()),
         })
 
 
-def base_table(docs: DataFrame, reach: int = 6) -> DataFrame:
-    """doc_id, text_key, base spans as parallel arrays, and the terms near them; written out, as it is read three times."""
-    rows = docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("text_key"))
+def base_table(docs: DataFrame) -> DataFrame:
+    """doc_id, the text's keys, base spans as parallel arrays, and the contexts that hold a value; written out, as it is read several times."""
+    rows = docs.select("doc_id", text_or_empty().alias("text"), *text_keys())
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, text_key long, starts array<int>, kinds array<int>, ends array<int>, entities array<long>, terms array<string>"
-    return written(rows.mapInArrow(lambda b: scanned(b, reach), schema))
+    schema = f"doc_id {kind}, key_a long, key_b long, starts array<int>, kinds array<int>, ends array<int>, contexts array<struct<entities: array<long>, terms: array<string>>>, n_contexts int"
+    return written(rows.mapInArrow(scanned, schema))
+
+
+def buckets_for(n: int) -> int:
+    """A power of two of at least eight buckets for each key, up to the bound."""
+    return min(MOST_BUCKETS, 1 << max(16, (8 * n).bit_length()))
+
+
+def size_table(counts: DataFrame, place: F.Column, most: bool, empty: int) -> np.ndarray:
+    """One byte for each bucket: the largest ceil(log2 n) of its keys, or the smallest floor(log2 n), or `empty`."""
+    size = buckets_for(counts.count())
+    log = F.log2(F.col("n").cast("double"))
+    value = (F.max(F.ceil(log)) if most else F.min(F.floor(log))).cast("byte")
+    got = counts.groupBy(F.pmod(place, F.lit(size)).cast("int").alias("bucket")).agg(value.alias("value")).toArrow()
+    out = np.full(size, empty, dtype=np.int8)
+    out[np.asarray(got.column("bucket"))] = np.asarray(got.column("value"))
+    return out
+
+
+def met_pairs(held: DataFrame, with_entity: DataFrame, beside: DataFrame, slack: float) -> DataFrame:
+    """entity, term, both: contexts that hold both, of pairs whose counts leave the ratio a chance."""
+    context = held.sparkSession.sparkContext
+    tables = context.broadcast((size_table(with_entity, F.col("entity"), True, -1), size_table(beside, F.crc32("term"), False, 127)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_entity, of_term = tables.value
+        seen: Counter = Counter()
+
+        def emitted() -> pa.RecordBatch:
+            keys = list(seen)
+            out = pa.RecordBatch.from_pydict({"entity": pa.array([k[0] for k in keys], pa.int64()), "term": pa.array([k[1] for k in keys], pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+            seen.clear()
+            return out
+
+        for batch in batches:
+            for entities, terms in zip(batch.column("entities").to_pylist(), batch.column("terms").to_pylist(), strict=True):
+                live = [(e, v) for e in entities if (v := of_entity[e % len(of_entity)]) >= 0]
+                if live:
+                    low = of_term[np.fromiter((crc32(t.encode("utf-8", "surrogatepass")) for t in terms), dtype=np.int64, count=len(terms)) % len(of_term)]
+                    for e, v in live:
+                        seen.update((e, terms[k]) for k in np.flatnonzero(low <= v + slack))
+                if len(seen) > 200_000:
+                    yield emitted()
+        yield emitted()
+
+    return held.mapInArrow(run, "entity long, term string, n long").groupBy("entity", "term").agg(F.sum("n").alias("both"))
 
 
 def bit_table(candidates: DataFrame) -> np.ndarray:
-    """BITS bits, set at the hashes of the candidate terms; the size never changes."""
-    places = candidates.select((F.pmod(F.crc32("term"), F.lit(BITS)) / 8).cast("int").alias("byte"), F.pmod(F.crc32("term"), F.lit(8)).cast("int").alias("bit"))
+    """Bits set at the hashes of the candidate terms; the size follows their number, up to a fixed bound."""
+    bits = buckets_for(candidates.count())
+    places = candidates.select((F.pmod(F.crc32("term"), F.lit(bits)) / 8).cast("int").alias("byte"), F.pmod(F.crc32("term"), F.lit(8)).cast("int").alias("bit"))
     packed = places.distinct().groupBy("byte").agg(F.sum(F.pow(F.lit(2), F.col("bit"))).cast("int").alias("value")).toArrow()
-    out = np.zeros(BITS // 8, dtype=np.uint8)
+    out = np.zeros(bits // 8, dtype=np.uint8)
     out[np.asarray(packed.column("byte"))] = np.asarray(packed.column("value")).astype(np.uint8)
     return out
 
 
 def occurrences(docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """text_key, term, starts, ends for every term of each text that the bit table lets through."""
+    """The text's keys, term, starts, ends and number of contexts of every term of each text that the bit table lets through."""
     shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from zlib import crc32
-
         bits = shared.value
+        size = len(bits) * 8
 
         def passes(word: str) -> bool:
-            place = crc32(word.lower().encode("utf-8", "surrogatepass")) % BITS
+            place = crc32(word.lower().encode("utf-8", "surrogatepass")) % size
             return bool(bits[place >> 3] >> (place & 7) & 1)
 
         known: dict[str, bool] = {}
         for batch in text_blocks(batches, 2_000_000):
-            cols: dict[str, list] = {"text_key": [], "term": [], "starts": [], "ends": []}
-            for key, text in zip(batch.column("text_key").to_pylist(), texts_of(batch), strict=True) if any(bits) else ():
+            cols: dict[str, list] = {"key_a": [], "key_b": [], "term": [], "starts": [], "ends": [], "n": []}
+            keys = [batch.column(c).to_pylist() for c in KEYS]
+            for a, b, text in zip(*keys, texts_of(batch), strict=True) if any(bits) else ():
                 hit = False
                 for word in set(WORD.findall(text)):
                     if (x := known.get(word)) is None:
@@ -161,52 +248,73 @@ def occurrences(docs: DataFrame, table: np.ndarray) -> DataFrame:
                     for m in WORD.finditer(text):
                         term = m[0].lower()
                         if passes(term):
-                            a, b = own.setdefault(term, ([], []))
-                            a.append(m.start())
-                            b.append(m.end())
-                    for term, (a, b) in own.items():
-                        for name, value in zip(cols, (key, term, a, b), strict=True):
+                            starts, ends = own.setdefault(term, ([], []))
+                            starts.append(m.start())
+                            ends.append(m.end())
+                    for term, (starts, ends) in own.items():
+                        for name, value in zip(cols, (a, b, term, starts, ends, len({s // CONTEXT for s in starts})), strict=True):
                             cols[name].append(value)
-            yield pa.RecordBatch.from_pydict({"text_key": pa.array(cols["text_key"], pa.int64()), "term": pa.array(cols["term"], pa.string()), "starts": pa.array(cols["starts"], pa.list_(pa.int32())), "ends": pa.array(cols["ends"], pa.list_(pa.int32()))})
-
-    rows = docs.select(text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("text_key"))
-    return rows.mapInArrow(run, "text_key long, term string, starts array<int>, ends array<int>")
-
-
-def disclosing(docs: DataFrame, base: DataFrame, support: int = 3, generalise: float = 0.95, remove: float = 0.99) -> tuple[DataFrame, DataFrame]:
-    """The disclosing terms (term, action, ratio), and where candidate terms occur."""
-    near = base.select("text_key", F.explode(F.arrays_zip("entities", "terms")).alias("x")).select("text_key", F.col("x.entities").alias("entity"), F.col("x.terms").alias("term"))
-    pairs = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support)
-    spread = near.select("text_key", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    # texts with the term near any entity: no more than texts with the term, so a ratio against them is an upper bound
-    beside = near.select("text_key", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("beside"))
-    texts = base.select(F.approx_count_distinct("text_key", 0.01).alias("texts"))
-    ic = F.log2(F.greatest(F.col("texts").cast("double"), F.col("with_entity") + 1.0) / F.col("with_entity"))
-    ratio = lambda all_: 1 + F.log2(F.least(F.lit(1.0), F.col("both") / F.col(all_))) / ic
-    met = pairs.join(beside, "term").join(spread, "entity").join(F.broadcast(texts))
-    candidates = written(met.filter(ratio("beside") >= generalise).drop("beside"))
-    found = written(occurrences(docs, bit_table(candidates.select("term"))).dropDuplicates(["text_key", "term"]))
-    held = found.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    told = candidates.join(held, "term").withColumn("ratio", ratio("with_term"))
-    terms = told.groupBy("term").agg(F.max("ratio").alias("ratio")).filter(F.col("ratio") >= generalise)
-    return terms.withColumn("action", F.when(F.col("ratio") >= remove, "remove").otherwise("generalise")), found
-
-
-def term_spans(terms: DataFrame, found: DataFrame) -> DataFrame:
-    """text_key and its added spans as an array of (start, kind, end, action)."""
-    hits = found.join(terms.select("term", "action"), "term").select("text_key", "action", F.explode(F.arrays_zip("starts", "ends")).alias("x"))
+            kinds = {"term": pa.string(), "starts": pa.list_(pa.int32()), "ends": pa.list_(pa.int32()), "n": pa.int32()}
+            yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in cols.items()})
+
+    rows = docs.select(text_or_empty().alias("text"), *text_keys())
+    return rows.mapInArrow(run, "key_a long, key_b long, term string, starts array<int>, ends array<int>, n int")
+
+
+def disclosing(docs: DataFrame, base: DataFrame, generalise: float = 2 / 3, remove: float = 0.9, alpha: float = 0.05) -> tuple[DataFrame, DataFrame]:
+    """The disclosing pairs (entity, term, action, ratio), and where their terms occur."""
+    once = base.filter(F.size("contexts") > 0).select(*KEYS, "contexts").dropDuplicates(list(KEYS))
+    held = written(once.select(F.inline("contexts")))
+    total = int(base.groupBy(*KEYS).agg(F.first("n_contexts").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    n = lambda df, c: df.groupBy(c).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    with_entity, beside = written(n(held.select(F.explode("entities").alias("entity")), "entity")), written(n(held.select(F.explode("terms").alias("term")), "term"))
+    ic = F.log2(F.lit(max(2.0, float(total))) / F.least(F.col("with_entity"), F.lit(max(1.0, total / 2.0))))
+    slack = (1 - generalise) * math.log2(max(2, total)) + 1
+    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    pairs = written(met_pairs(held, with_entity, beside, slack).filter("both > 1"))
+    tests = pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("tests"))
+    sizes = with_entity.withColumnRenamed("n", "with_entity").join(tests, "entity").withColumn("need", F.log2(F.col("tests") / alpha)).withColumn("salt", salt)
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(SALTS)).cast("int"))
+    met = written(salted.join(sizes, ["entity", "salt"]).join(beside.withColumnRenamed("n", "beside"), "term").drop("salt", "tests").withColumn("ic", ic))
+    ratio = lambda all_: 1 + F.log2(F.least(F.lit(1.0), F.col("both") / F.col(all_))) / F.col("ic")
+    candidates = written(met.filter((ratio("beside") >= generalise) & (evidence("beside") >= F.col("need"))).drop("beside"))
+    found = written(occurrences(docs, bit_table(candidates.select("term").distinct())).dropDuplicates([*KEYS, "term"]))
+    spread = found.groupBy("term").agg(F.sum("n").alias("with_term"))
+    told = candidates.join(spread, "term").filter((ratio("with_term") >= generalise) & (evidence("with_term") >= F.col("need")))
+    told = told.select("entity", "term", ratio("with_term").alias("ratio"))
+    return written(told.withColumn("action", F.when(F.col("ratio") >= remove, "remove").otherwise("generalise"))), found
+
+
+def evidence(all_: str) -> F.Column:
+    """n * KL(both / n || p(entity)) in bits, for the n contexts of the term; 0 where the entity is rarer with the term than without."""
+    p = F.least(F.lit(1.0), F.col("both") / F.col(all_))
+    q = F.pow(F.lit(2.0), -F.col("ic"))
+    rest = F.when(p < 1, (1 - p) * F.log2((1 - p) / (1 - q))).otherwise(0.0)
+    return F.when(p > q, F.col(all_) * (p * F.log2(p / q) + rest)).otherwise(0.0)
+
+
+def term_spans(told: DataFrame, found: DataFrame, base: DataFrame) -> DataFrame:
+    """The text's keys and its added spans as an array of (start, kind, end, action): terms of pairs whose entity the text holds.
+
+    Terms are salted, since one may stand in very many texts; texts without a value are left out by their keys first.
+    """
+    own = base.filter(F.size("contexts") > 0).select(*KEYS, F.array_distinct(F.flatten(F.col("contexts.entities"))).alias("entities")).dropDuplicates(list(KEYS))
+    salted = told.select("entity", "term", "action", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    met = found.join(own, list(KEYS)).withColumn("salt", F.pmod("key_a", F.lit(SALTS)).cast("int")).join(salted, ["term", "salt"]).filter(F.array_contains("entities", F.col("entity")))
+    hits = met.groupBy(*KEYS, "term").agg(F.max("action").alias("action"), F.first("starts").alias("starts"), F.first("ends").alias("ends"))  # remove goes before generalise
     span = F.struct(F.col("x.starts").alias("start"), F.lit(4).alias("kind"), F.col("x.ends").alias("end"), "action")
-    return hits.select("text_key", span.alias("span")).groupBy("text_key").agg(F.collect_list("span").alias("added"))
+    rows = hits.select(*KEYS, "action", F.explode(F.arrays_zip("starts", "ends")).alias("x")).select(*KEYS, span.alias("span"))
+    return rows.groupBy(*KEYS).agg(F.collect_list("span").alias("added"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, base and spans: arrays of (start, kind, end, action), sorted by start, then kind."""
+    """doc_id, the text's keys, base and spans: arrays of (start, kind, end, action), sorted by start, then kind."""
     base = base_table(docs)
-    added = term_spans(*disclosing(docs, base))
+    added = term_spans(*disclosing(docs, base), base)
     zipped = F.transform(F.arrays_zip("starts", "kinds", "ends"), lambda x: F.struct(x["starts"].alias("start"), x["kinds"].alias("kind"), x["ends"].alias("end"), F.lit("mask").alias("action")))
-    rows = base.select("doc_id", "text_key", zipped.alias("base")).join(added, "text_key", "left")
+    rows = base.select("doc_id", *KEYS, zipped.alias("base")).join(added, list(KEYS), "left")
     free = F.filter(F.coalesce("added", F.array().cast(added.schema["added"].dataType)), lambda x: ~F.exists("base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-    return rows.select("doc_id", "text_key", "base", F.array_sort(F.concat("base", free)).alias("spans"))
+    return rows.select("doc_id", *KEYS, "base", F.array_sort(F.concat("base", free)).alias("spans"))
 
 
 def shown(spans: str) -> F.Column:
@@ -241,16 +349,16 @@ def masked(text: str, spans: list[dict]) -> str:
 
 
 def sanitised(docs: DataFrame) -> DataFrame:
-    """docs with all its columns, the text masked by the spans of scan(); a column n_chars follows the new text."""
-    spans = scan(docs).filter(F.size("spans") > 0).select("text_key", "spans").dropDuplicates(["text_key"])
+    """docs with all its columns, whatever their names; the text masked by the spans of scan(); a column n_chars follows the new text."""
+    spans = scan(docs).filter(F.size("spans") > 0).select(*KEYS, "spans").dropDuplicates(list(KEYS))
     schema = docs.schema
-    keyed = docs.withColumn("text_key_", F.xxhash64(text_or_empty()))
-    joined = keyed.join(spans.select(F.col("text_key").alias("text_key_"), F.col("spans").alias("spans_")), "text_key_", "left").drop("text_key_")
+    keyed = docs.select(F.struct("*").alias("row"), *text_keys())
+    joined = keyed.join(spans, list(KEYS), "left").select("row", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_blocks(batches):
-            texts = [t if t is None or not s else masked(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("spans_").to_pylist(), strict=True)]
-            out = {f.name: batch.column(f.name) for f in schema}
+        for batch in text_blocks(batches, texts=lambda b: pc.struct_field(b.column("row"), "text")):
+            out = dict(zip(schema.names, batch.column("row").flatten(), strict=True))
+            texts = [t if t is None or not s else masked(t, s) for t, s in zip(out["text"].to_pylist(), batch.column("spans").to_pylist(), strict=True)]
             if "n_chars" in out:
                 out["n_chars"] = pa.array([None if t is None else len(t) for t in texts], out["n_chars"].type)
             yield pa.RecordBatch.from_pydict(out | {"text": pa.array(texts, pa.string())})

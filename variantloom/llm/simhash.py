@@ -7,8 +7,12 @@ distances shows how the node lies to that part alone. Nodes at most 3 bits apart
 in all distance differences of those two blocks: ten tables, keyed by the differences of two blocks, meet every
 such pair. Inside a key, pairs whose distances to some reference differ by more than the radius are discarded (the
 triangle inequality) and the others are verified bit by bit. A key's members give a spanning forest of links, never all pairs;
-a member that is already linked is not compared again. A key with more members than a task should hold is dealt in
-chunks, and every two chunks meet in a task of their own.
+a member that is already linked is not compared again.
+
+A key with more members than a task should hold is keyed once more: the three other parts have two halves each, and of these six
+any three bits leave three halves alike, so twenty finer keys, by the distance differences of three halves, meet every pair of
+such a key again, and the work grows with the members. A finer key leaves some 20 of 64 bits open; only where it still holds more
+members than a task should are they dealt in chunks of which every two meet.
 
 Edge cases: null and empty texts have fingerprint zero and are linked like any other; texts shorter than a shingle
 are one shingle; repeated rows keep their rows and share a class; null ids take part, and a class of null ids only has
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import checkpointed, mixed, one_of_each, picked, text_blocks, texts_of
+from .common import checkpointed, mixed, one_of_each, picked, text_blocks, texts_of, written
 from .components import components
 
 RADIUS = 3
@@ -85,7 +89,32 @@ def keyed(nodes: DataFrame) -> DataFrame:
     table = nodes.select("node", "fp", *[F.bit_count(F.col("fp").bitwiseXOR(signed(r))).alias(f"d{b}_{k}") for b, rs in enumerate(parts) for k, r in enumerate(rs)], to_base.alias("d"))
     shown = lambda b: [F.col(f"d{b}_{k}") - F.col("d") for k in range(PER_PART)]
     pairs = [F.xxhash64(F.lit(t), *shown(a), *shown(b)) for t, (a, b) in enumerate(combinations(range(PARTS), 2))]
-    return table.select("node", "fp", F.explode(F.array(*pairs)).alias("key"))
+    return table.select("node", "fp", F.posexplode(F.array(*pairs)).alias("pair", "key"))
+
+
+def halves() -> list[int]:
+    """The bits of each half of each part, in order."""
+    out = []
+    for mask in masks():
+        low, size = (mask & -mask).bit_length() - 1, mask.bit_count()
+        out += [((1 << size // 2) - 1) << low, ((1 << size - size // 2) - 1) << low + size // 2]
+    return out
+
+
+def finer(rows: DataFrame) -> DataFrame:
+    """node, fp, key of rows of hot keys (node, fp, key, pair): twenty keys each, by the differences of three halves of the parts that the key leaves open."""
+    signed = lambda x: F.lit(x - (1 << 64) if x >> 63 else x).cast("long")
+    words = mixed(np.arange(1, 2 + 10 * PER_PART, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)).tolist()
+    base = words[0]
+    to_base = F.bit_count(F.col("fp").bitwiseXOR(signed(base)))
+    shown = [F.xxhash64(*[F.bit_count(F.col("fp").bitwiseXOR(signed(base ^ (words[1 + h * PER_PART + k] & mask)))) - to_base for k in range(PER_PART)]) for h, mask in enumerate(halves())]
+    picks = []
+    for a, b in combinations(range(PARTS), 2):
+        open_ = [2 * p + x for p in range(PARTS) if p not in (a, b) for x in (0, 1)]
+        picks.append(F.array(*[F.array(*[F.lit(x) for x in c]) for c in combinations(open_, 3)]))
+    some = rows.withColumn("shown", F.array(*shown)).withColumn("pick", F.explode(F.get(F.array(*picks), F.col("pair"))))
+    at = lambda k: F.get("shown", F.get("pick", F.lit(k)))
+    return some.select("node", "fp", F.xxhash64("key", "pick", at(0), at(1), at(2)).alias("key"))
 
 
 def near(fp: np.ndarray, table: np.ndarray, among: np.ndarray, x: int, radius: int) -> np.ndarray:
@@ -153,8 +182,11 @@ def links(nodes: DataFrame, radius: int = RADIUS, chunk: int = 4_096) -> DataFra
     if radius >= PARTS - 1:
         raise ValueError(f"two of {PARTS} parts agree only within {PARTS - 2} bits")
     rows = keyed(nodes)
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int"))
-    met = rows.join(sizes.select("key", "chunks"), "key")
+    counted = lambda x: x.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    some = rows.join(counted(rows), "key")
+    hot = written(finer(some.filter(F.col("n") > chunk)))
+    every = some.filter(F.col("n") <= chunk).select("node", "fp", "key", "n").unionByName(hot.join(counted(hot), "key"))
+    met = every.withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int"))
     own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     met = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "fp")

@@ -279,7 +279,8 @@ def repeated_places(texts: DataFrame, chunk: int = 1_024) -> DataFrame:
     whole = (1 << FINE) - 1
     pieces = found.groupBy("core", "sides", "left", "right", "piece").agg(F.min("place").alias("a"), F.max("place").alias("b"))
     pieces = written(pieces)
-    cores = pieces.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # counts and masks are written before they are joined: both sides of the join are then plain shuffles, which Spark splits where a key is hot
+    cores = written(pieces.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     # a piece at several places is settled, but others of its core still need it
     rivals = pieces.join(cores, "core")
     chunks = F.ceil(F.col("n") / chunk).cast("int")
@@ -289,7 +290,7 @@ def repeated_places(texts: DataFrame, chunk: int = 1_024) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     merged_ = few.repartition(parts, "met").sortWithinPartitions("met", "piece").mapInArrow(solved, "piece long, mask long")
     masks = merged_.union(counted(rivals.filter(chunks > MOST_CHUNKS))).union(pieces.filter("a <> b").select("piece", F.lit(whole).cast("long")))
-    masks = masks.groupBy("piece").agg(F.bit_or("mask").alias("mask")).filter("mask <> 0")
+    masks = written(masks.groupBy("piece").agg(F.bit_or("mask").alias("mask")).filter("mask <> 0"))
     valid = bit(F.col("left") + 1) - 1  # windows that start inside the text
     ended = -bit(SIDE - F.col("right"))  # and end inside it
     rows = found.select("piece", "text_key", "start", "left", "right").distinct().join(masks, "piece")

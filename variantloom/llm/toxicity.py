@@ -3,12 +3,14 @@
 Labels mark documents, so tokens are labelled first: a token feature (the word, or its first 3 to 6 letters) is toxic
 when so many labelled toxic documents of the sample hold it, and so few others, that chance is ruled out for the
 whole vocabulary (Bonferroni). Words of toxic documents with such a feature are tagged 1, words of other documents 0.
-The chain runs over sentences (64 tokens at most; a longer one goes on in the next chain). Its emissions are sums of
+The chain runs over whole sentences, however long; chains of like length share a block. Its emissions are sums of
 hashed feature weights, its transitions are learned, and forward-backward gives each token's marginal. A document's
 score is a small logistic function of its largest marginal and of the sum of its marginals, so that one clear word
 counts and many weak ones do not add up by length.
 
-The model is fitted on a bounded sample of labelled rows (`most`, a parameter); all documents are scored, whole.
+The model is fitted on a bounded sample of labelled rows: at most `most` documents and `most_bytes` of text by a hash of
+their ids, and of their sentences at most `most_chains` with a marked word and as many without one, drawn by a seed. These three
+bounds are parameters of `fitted`, and they bound what goes to the driver. All documents are scored, whole.
 
 Edge cases: null or empty text has no token and gets the score of marginal 0; null labels are ignored; without both
 kinds of labels every score is the base rate; repeated rows are scored alike; other columns are ignored.
@@ -26,13 +28,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import id_crc, text_blocks, texts_of
 from .quality import sample_ids
 
 PARTS = re.compile(r"\w+|[.!?\n]+")
 FEATURES = 1 << 16
-LONGEST = 64
 PREFIXES = (3, 4, 5, 6)
 
 
@@ -55,14 +57,27 @@ def chains(text: str) -> tuple[list[str], list[int]]:
             continue
         words.append(part)
         run += 1
-        if run == LONGEST:
-            sizes.append(run)
-            run = 0
     if run:
         sizes.append(run)
     return words, sizes
 
 
+def like_sized(sizes: np.ndarray, cells: int = 1_000_000) -> Iterator[np.ndarray]:
+    """Indices of chains in groups of like length (a factor of two at most), each of about `cells` cells or one chain."""
+    order = np.argsort(sizes, kind="stable")
+    order = order[sizes[order] > 0]
+    level = np.ceil(np.log2(np.maximum(8, sizes[order])))
+    for some in np.split(order, np.flatnonzero(level[1:] != level[:-1]) + 1):
+        if len(some):
+            yield from np.array_split(some, max(1, min(len(some), int(len(some) * sizes[some[-1]] // cells))))
+
+
+def tokens_of(starts: np.ndarray, sizes: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Where the tokens of some chains lie in the flat row of all tokens."""
+    own = sizes[some]
+    return np.repeat(starts[some] - np.concatenate([[0], np.cumsum(own)[:-1]]), own) + np.arange(own.sum())
+
+
 def padded(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Chains as rows, and which cells are tokens."""
     live = np.arange(int(sizes.max(initial=0))) < sizes[:, None]
@@ -157,6 +172,8 @@ class Tagger:
         if not rows or not any(any(t) for _, t in rows):
             return
         sizes = np.array([len(w) for w, _ in rows])
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        groups = [(g, tokens_of(starts, sizes, g)) for g in like_sized(sizes)]
         known: dict[str, list[int]] = {}
         for ws, _ in rows:
             for w in ws:
@@ -165,31 +182,33 @@ class Tagger:
         lists = [known[w] for ws, _ in rows for w in ws]
         fan = np.array([len(x) for x in lists])
         features, owner = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(fan.sum())), np.repeat(np.arange(len(lists)), fan)
-        tags, live = padded(np.concatenate([t for _, t in rows]).astype(float), sizes)
-        both = live[:, 1:]
+        tags = np.concatenate([t for _, t in rows]).astype(float)
+        inner = np.ones(len(tags), dtype=bool)  # tokens that have another before them in their chain
+        inner[starts[:-1][sizes > 0]] = False
         seen = np.zeros((3, 2))
         for a in (0, 1):
             for b in (0, 1):
-                seen[a, b] = ((tags[:, :-1] == a) & (tags[:, 1:] == b) & both).sum()
-            seen[2, a] = (tags[:, 0] == a).sum()
+                seen[a, b] = ((tags[:-1] == a) & (tags[1:] == b) & inner[1:]).sum()
+            seen[2, a] = (tags[~inner] == a).sum()
         self.step = (seen + 1) / (seen + 1).sum(axis=1, keepdims=True)
         logs = np.log(self.step)
         memory = [np.zeros(FEATURES), np.zeros(FEATURES), np.zeros((3, 2)), np.zeros((3, 2))]
         for k in range(1, epochs + 1):
             emit = np.bincount(owner, self.weights[features], len(lists)) + self.bias
-            cells, _ = padded(emit, sizes)
             step = np.exp(logs)
-            p, ahead, back = marginals(cells, live, step)
-            miss = (tags - p)[live]
+            miss, joint = np.zeros(len(tags)), np.zeros((3, 2))
+            for group, at in groups:
+                cells, live = padded(emit[at], sizes[group])
+                p, ahead, back = marginals(cells, live, step)
+                miss[at] = tags[at] - p[live]
+                joint[2] += [(1 - p[:, 0]).sum(), p[:, 0].sum()]
+                if cells.shape[1] > 1:
+                    push = np.exp(np.clip(cells, -30, 30))
+                    from_ = np.stack([np.ones_like(ahead[:, :-1]), ahead[:, :-1]])
+                    into = np.stack([np.ones_like(back[:, 1:]), push[:, 1:] * back[:, 1:]])
+                    cross = from_[:, None] * step[:2, :, None, None] * into[None]
+                    joint[:2] += (cross / cross.sum(axis=(0, 1)) * live[:, 1:]).sum(axis=(2, 3))
             g = np.bincount(features, np.repeat(miss, fan), FEATURES) - 0.02 * self.weights
-            push = np.exp(np.clip(cells, -30, 30))
-            joint = np.zeros((3, 2))
-            if both.size:
-                from_ = np.stack([np.ones_like(ahead[:, :-1]), ahead[:, :-1]])
-                into = np.stack([np.ones_like(back[:, 1:]), push[:, 1:] * back[:, 1:]])
-                cross = from_[:, None] * step[:2, :, None, None] * into[None]
-                joint[:2] = (cross / cross.sum(axis=(0, 1)) * both).sum(axis=(2, 3))
-            joint[2] = [(1 - p[:, 0]).sum(), p[:, 0].sum()]
             gs = (seen - joint) / len(rows) - 0.001 * logs
             for value, grad, m, v, rate in ((self.weights, g, memory[0], memory[1], 0.2), (logs, gs, memory[2], memory[3], 0.05)):
                 m *= 0.9
@@ -220,13 +239,10 @@ class Tagger:
         sizes, flat = np.array(sizes, dtype=np.int64), np.array(flat)
         p = np.zeros(len(flat))
         starts = np.concatenate([[0], np.cumsum(sizes)])
-        for low, high in ((0, 8), (8, 16), (16, 32), (32, LONGEST)):  # chains of like length share a padded block
-            pick = np.flatnonzero((sizes > low) & (sizes <= high))
-            for some in np.array_split(pick, max(1, len(pick) // 20_000)):
-                if len(some):
-                    at = np.concatenate([np.arange(starts[c], starts[c + 1]) for c in some]) if len(some) < 50 else np.repeat(starts[some] - np.concatenate([[0], np.cumsum(sizes[some])[:-1]]), sizes[some]) + np.arange(sizes[some].sum())
-                    cells, live = padded(flat[at], sizes[some])
-                    p[at] = marginals(cells, live, self.step)[0][live]
+        for some in like_sized(sizes):
+            at = tokens_of(starts, sizes, some)
+            cells, live = padded(flat[at], sizes[some])
+            p[at] = marginals(cells, live, self.step)[0][live]
         return np.split(p, np.cumsum(counts)[:-1])
 
     def inputs(self, tags: list[np.ndarray]) -> np.ndarray:
@@ -258,11 +274,16 @@ def spans_of(text: str, p: np.ndarray, cut: float) -> list[str]:
     return [f"{a}:{b}" for a, b, _ in out]
 
 
-def fitted(docs: DataFrame, labels: DataFrame, most: int = 5_000) -> Tagger:
-    """The tagger of labels.toxic, from at most `most` labelled training rows."""
+def fitted(docs: DataFrame, labels: DataFrame, most: int = 5_000, most_bytes: int = 64_000_000, most_chains: int = 6_000) -> Tagger:
+    """The tagger of labels.toxic, from labelled training rows within the bounds of the module's text."""
     ids = sample_ids(labels, "toxic", most)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "y").toArrow()
-    return Tagger(sorted(zip(rows.column("text").to_pylist(), rows.column("y").to_pylist(), strict=True)))
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y")
+    # at most `most` rows are left here, or a few copies of each, so one ordered window holds their sizes
+    sizes = rows.select("doc_id", F.octet_length("text").cast("long").alias("size")).groupBy("doc_id").agg(F.sum("size").alias("size"))
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fits = sizes.withColumn("upto", F.sum("size").over(order)).filter(F.col("upto") <= most_bytes).select("doc_id")
+    got = rows.join(F.broadcast(fits), "doc_id").select("text", "y").toArrow()
+    return Tagger(sorted(zip(got.column("text").to_pylist(), got.column("y").to_pylist(), strict=True)), most_chains=most_chains)
 
 
 def tag_documents(docs: DataFrame, model: Tagger, cut: float = 0.5) -> DataFrame:
