@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from variantloom.operators.tables import cut as written
 from variantloom.operators.tables import shared_home
 
-__all__ = ["KEYS", "bit_words", "checkpointed", "id_crc", "mixed", "one_of_each", "picked", "table", "text_blocks", "text_keys", "text_or_empty", "texts_of", "written"]
+__all__ = ["KEYS", "bit_words", "checkpointed", "in_bits", "id_crc", "mixed", "one_of_each", "picked", "table", "text_blocks", "text_keys", "text_or_empty", "texts_of", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,12 @@ def bit_words(keys: DataFrame, bits: int) -> np.ndarray:
     return out.view(np.uint64)
 
 
+def in_bits(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys (signed longs) a table of bit_words lets through."""
+    place = keys.view(np.uint64) & np.uint64(len(words) * 64 - 1)
+    return (words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 def picked(docs: DataFrame) -> DataFrame:
     """row (all columns of docs), pick_a, pick_b: 128 bits that show a row by its id and text, null or not."""
     # a null adds nothing to a hash, so a null text counts as empty and a null id is told apart by a flag

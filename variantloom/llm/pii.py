@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import KEYS, text_blocks, text_keys, text_or_empty, texts_of, written
+from .common import KEYS, bit_words, in_bits, text_blocks, text_keys, text_or_empty, texts_of, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
@@ -50,6 +50,7 @@ DIGITS = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\W\d_]+")
 CONTEXT = 4_096
 MOST_BUCKETS = 1 << 23
+KEY_BITS = 1 << 24
 SALTS = 32
 
 
@@ -115,6 +116,16 @@ def protected(kind: int, value: str) -> set[int]:
     return {entity(x) for x in behind}
 
 
+def words_in(text: str, k: int) -> tuple[int, int]:
+    """Where the words lie that begin in context k: its borders, moved to the ends of words that they cut."""
+    low, high = k * CONTEXT, min(len(text), (k + 1) * CONTEXT)
+    if low and WORD.match(text, low - 1) and (m := WORD.match(text, low)):
+        low = m.end()
+    if high < len(text) and WORD.match(text, high - 1) and (m := WORD.match(text, high)):
+        high = m.end()
+    return low, max(low, high)
+
+
 def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, list[int], list[str]]]:
     """(context, its entities, its terms outside of spans) of every context that holds a value."""
     own: dict[int, set[int]] = {}
@@ -122,14 +133,8 @@ def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, li
         own.setdefault(start // CONTEXT, set()).update(protected(kind, text[start:end]))
     out = []
     for k, entities in sorted(own.items()):
-        terms: set[str] = set()
-        low, at = k * CONTEXT, 0
-        if low and WORD.match(text, low - 1):  # a word that begins before belongs to the context before
-            m = WORD.match(text, low)
-            low = m.end() if m else low
-        for m in WORD.finditer(text, low):
-            if m.start() >= (k + 1) * CONTEXT:
-                break
+        terms, at = set(), 0
+        for m in WORD.finditer(text, *words_in(text, k)):
             while at < len(spans) and spans[at][2] <= m.start():
                 at += 1
             if not any(a < m.end() and m.start() < b for a, _, b in spans[at : at + 8]):
@@ -219,50 +224,68 @@ def bit_table(candidates: DataFrame) -> np.ndarray:
     return out
 
 
-def occurrences(docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """The text's keys, term, starts, ends and number of contexts of every term of each text that the bit table lets through."""
-    shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
+class Passing:
+    """Which words a table of candidate terms lets through; known words are remembered."""
+
+    def __init__(self, table: bytes):
+        self.table, self.known, self.any = table, {}, any(table)
+
+    def __call__(self, word: str) -> bool:
+        if (x := self.known.get(word)) is None:
+            if len(self.known) > 200_000:
+                self.known.clear()
+            place = crc32(word.lower().encode("utf-8", "surrogatepass")) % (len(self.table) * 8)
+            x = self.known[word] = bool(self.table[place >> 3] >> (place & 7) & 1)
+        return x
+
+
+def spread(docs: DataFrame, base: DataFrame, candidates: DataFrame) -> DataFrame:
+    """term, with_term: in how many contexts of distinct texts each candidate stands.
+
+    Tasks add up the texts of which there is one copy only; of others (their keys are known by a bit table) they emit
+    each term once, and Spark makes those distinct.
+    """
+    context = docs.sparkSession.sparkContext
+    several = base.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key_a")
+    terms, copied = context.broadcast(bit_table(candidates).tobytes()), context.broadcast(bit_words(several, KEY_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        size = len(bits) * 8
-
-        def passes(word: str) -> bool:
-            place = crc32(word.lower().encode("utf-8", "surrogatepass")) % size
-            return bool(bits[place >> 3] >> (place & 7) & 1)
-
-        known: dict[str, bool] = {}
-        for batch in text_blocks(batches, 2_000_000):
-            cols: dict[str, list] = {"key_a": [], "key_b": [], "term": [], "starts": [], "ends": [], "n": []}
-            keys = [batch.column(c).to_pylist() for c in KEYS]
-            for a, b, text in zip(*keys, texts_of(batch), strict=True) if any(bits) else ():
-                hit = False
-                for word in set(WORD.findall(text)):
-                    if (x := known.get(word)) is None:
-                        x = known[word] = passes(word)
-                    hit |= x
-                if len(known) > 100_000:
-                    known.clear()
-                if hit:
-                    own: dict[str, tuple[list, list]] = {}
-                    for m in WORD.finditer(text):
-                        term = m[0].lower()
-                        if passes(term):
-                            starts, ends = own.setdefault(term, ([], []))
-                            starts.append(m.start())
-                            ends.append(m.end())
-                    for term, (starts, ends) in own.items():
-                        for name, value in zip(cols, (a, b, term, starts, ends, len({s // CONTEXT for s in starts})), strict=True):
-                            cols[name].append(value)
-            kinds = {"term": pa.string(), "starts": pa.list_(pa.int32()), "ends": pa.list_(pa.int32()), "n": pa.int32()}
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in cols.items()})
-
-    rows = docs.select(text_or_empty().alias("text"), *text_keys())
-    return rows.mapInArrow(run, "key_a long, key_b long, term string, starts array<int>, ends array<int>, n int")
-
-
-def disclosing(docs: DataFrame, base: DataFrame, generalise: float = 2 / 3, remove: float = 0.9, alpha: float = 0.05) -> tuple[DataFrame, DataFrame]:
-    """The disclosing pairs (entity, term, action, ratio), and where their terms occur."""
+        passes, sums, done = Passing(terms.value), Counter(), set()
+
+        def emitted(rows: list[tuple]) -> pa.RecordBatch:
+            a, b, term, n = zip(*rows, strict=True) if rows else ((), (), (), ())
+            return pa.RecordBatch.from_pydict({"key_a": pa.array(a, pa.int64()), "key_b": pa.array(b, pa.int64()), "term": pa.array(term, pa.string()), "n": pa.array(n, pa.int64())})
+
+        for batch in text_blocks(batches, 2_000_000) if passes.any else ():
+            many = in_bits(copied.value, np.asarray(batch.column("key_a"), dtype=np.int64)).tolist()
+            rows: list[tuple] = []
+            for a, b, text, often in zip(batch.column("key_a").to_pylist(), batch.column("key_b").to_pylist(), texts_of(batch), many, strict=True):
+                if often and (a, b) in done:
+                    continue
+                own: Counter = Counter()
+                for k in range(max(1, -(-len(text) // CONTEXT))):
+                    own.update({w.lower() for w in set(WORD.findall(text, *words_in(text, k))) if passes(w)})
+                if often:
+                    done.add((a, b))
+                    rows += [(a, b, t, n) for t, n in own.items()]
+                else:
+                    sums.update(own)
+            if len(done) > 100_000:
+                done.clear()
+            if len(sums) > 200_000:
+                rows += [(None, None, t, n) for t, n in sums.items()]
+                sums.clear()
+            yield emitted(rows)
+        yield emitted([(None, None, t, n) for t, n in sums.items()])
+
+    found = docs.select(text_or_empty().alias("text"), *text_keys()).mapInArrow(run, "key_a long, key_b long, term string, n long")
+    alone = found.filter("key_a IS NULL").groupBy("term").agg(F.sum("n").alias("n"))
+    copies = found.filter("key_a IS NOT NULL").dropDuplicates([*KEYS, "term"]).groupBy("term").agg(F.sum("n").alias("n"))
+    return alone.unionByName(copies).groupBy("term").agg(F.sum("n").alias("with_term"))
+
+
+def disclosing(docs: DataFrame, base: DataFrame, generalise: float = 2 / 3, remove: float = 0.9, alpha: float = 0.05) -> DataFrame:
+    """The disclosing pairs: entity, term, ratio, action."""
     once = base.filter(F.size("contexts") > 0).select(*KEYS, "contexts").dropDuplicates(list(KEYS))
     held = written(once.select(F.inline("contexts")))
     total = int(base.groupBy(*KEYS).agg(F.first("n_contexts").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
@@ -278,11 +301,10 @@ def disclosing(docs: DataFrame, base: DataFrame, generalise: float = 2 / 3, remo
     met = written(salted.join(sizes, ["entity", "salt"]).join(beside.withColumnRenamed("n", "beside"), "term").drop("salt", "tests").withColumn("ic", ic))
     ratio = lambda all_: 1 + F.log2(F.least(F.lit(1.0), F.col("both") / F.col(all_))) / F.col("ic")
     candidates = written(met.filter((ratio("beside") >= generalise) & (evidence("beside") >= F.col("need"))).drop("beside"))
-    found = written(occurrences(docs, bit_table(candidates.select("term").distinct())).dropDuplicates([*KEYS, "term"]))
-    spread = found.groupBy("term").agg(F.sum("n").alias("with_term"))
-    told = candidates.join(spread, "term").filter((ratio("with_term") >= generalise) & (evidence("with_term") >= F.col("need")))
+    held_in = spread(docs, base, candidates.select("term").distinct())
+    told = candidates.join(held_in, "term").filter((ratio("with_term") >= generalise) & (evidence("with_term") >= F.col("need")))
     told = told.select("entity", "term", ratio("with_term").alias("ratio"))
-    return written(told.withColumn("action", F.when(F.col("ratio") >= remove, "remove").otherwise("generalise"))), found
+    return written(told.withColumn("action", F.when(F.col("ratio") >= remove, "remove").otherwise("generalise")))
 
 
 def evidence(all_: str) -> F.Column:
@@ -293,24 +315,58 @@ def evidence(all_: str) -> F.Column:
     return F.when(p > q, F.col(all_) * (p * F.log2(p / q) + rest)).otherwise(0.0)
 
 
-def term_spans(told: DataFrame, found: DataFrame, base: DataFrame) -> DataFrame:
-    """The text's keys and its added spans as an array of (start, kind, end, action): terms of pairs whose entity the text holds.
+def wanted(told: DataFrame, base: DataFrame) -> DataFrame:
+    """The text's keys, and its terms (term, action) that disclose an entity of the same text.
 
-    Terms are salted, since one may stand in very many texts; texts without a value are left out by their keys first.
+    Only terms that the table of told terms lets through leave their text. Told terms are salted, since one may stand in
+    very many texts.
     """
-    own = base.filter(F.size("contexts") > 0).select(*KEYS, F.array_distinct(F.flatten(F.col("contexts.entities"))).alias("entities")).dropDuplicates(list(KEYS))
+    table = told.sparkSession.sparkContext.broadcast(bit_table(told.select("term").distinct()).tobytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = Passing(table.value)
+        for batch in batches if passes.any else ():
+            rows = []
+            for a, b, own in zip(*(batch.column(c).to_pylist() for c in (*KEYS, "contexts")), strict=True):
+                entities = sorted({e for x in own for e in x["entities"]})
+                rows += [(a, b, t, entities) for t in {t for x in own for t in x["terms"] if passes(t)}]
+            a, b, term, entities = zip(*rows, strict=True) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_pydict({"key_a": pa.array(a, pa.int64()), "key_b": pa.array(b, pa.int64()), "term": pa.array(term, pa.string()), "entities": pa.array(entities, pa.list_(pa.int64()))})
+
+    once = base.filter(F.size("contexts") > 0).select(*KEYS, "contexts").mapInArrow(run, "key_a long, key_b long, term string, entities array<long>").dropDuplicates([*KEYS, "term"])
     salted = told.select("entity", "term", "action", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    met = found.join(own, list(KEYS)).withColumn("salt", F.pmod("key_a", F.lit(SALTS)).cast("int")).join(salted, ["term", "salt"]).filter(F.array_contains("entities", F.col("entity")))
-    hits = met.groupBy(*KEYS, "term").agg(F.max("action").alias("action"), F.first("starts").alias("starts"), F.first("ends").alias("ends"))  # remove goes before generalise
-    span = F.struct(F.col("x.starts").alias("start"), F.lit(4).alias("kind"), F.col("x.ends").alias("end"), "action")
-    rows = hits.select(*KEYS, "action", F.explode(F.arrays_zip("starts", "ends")).alias("x")).select(*KEYS, span.alias("span"))
-    return rows.groupBy(*KEYS).agg(F.collect_list("span").alias("added"))
+    met = once.withColumn("salt", F.pmod("key_a", F.lit(SALTS)).cast("int")).join(salted, ["term", "salt"]).filter(F.array_contains("entities", F.col("entity")))
+    hits = met.groupBy(*KEYS, "term").agg(F.max("action").alias("action"))  # remove goes before generalise
+    return hits.groupBy(*KEYS).agg(F.collect_list(F.struct("term", "action")).alias("told"))
+
+
+def term_spans(docs: DataFrame, told: DataFrame, base: DataFrame) -> DataFrame:
+    """The text's keys and its added spans as an array of (start, kind, end, action). Only texts with such terms move."""
+    terms = written(wanted(told, base))
+    shared = docs.sparkSession.sparkContext.broadcast(bit_words(terms.select("key_a"), KEY_BITS))
+
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bits(shared.value, np.asarray(batch.column("key_a"), dtype=np.int64))))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        item = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("action", pa.string())]))
+        for batch in text_blocks(batches):
+            out = []
+            for text, own in zip(texts_of(batch), batch.column("told").to_pylist(), strict=True):
+                action = {x["term"]: x["action"] for x in own}
+                out.append([{"start": m.start(), "kind": 4, "end": m.end(), "action": a} for m in WORD.finditer(text) if (a := action.get(m[0].lower()))])
+            yield pa.RecordBatch.from_pydict({**{c: batch.column(c) for c in KEYS}, "added": pa.array(out, item)})
+
+    texts = docs.select(text_or_empty().alias("text"), *text_keys())
+    rows = texts.mapInArrow(moved, texts.schema).dropDuplicates(list(KEYS)).join(terms, list(KEYS))
+    return rows.mapInArrow(places, "key_a long, key_b long, added array<struct<start: int, kind: int, end: int, action: string>>")
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, the text's keys, base and spans: arrays of (start, kind, end, action), sorted by start, then kind."""
     base = base_table(docs)
-    added = term_spans(*disclosing(docs, base), base)
+    added = term_spans(docs, disclosing(docs, base), base)
     zipped = F.transform(F.arrays_zip("starts", "kinds", "ends"), lambda x: F.struct(x["starts"].alias("start"), x["kinds"].alias("kind"), x["ends"].alias("end"), F.lit("mask").alias("action")))
     rows = base.select("doc_id", *KEYS, zipped.alias("base")).join(added, list(KEYS), "left")
     free = F.filter(F.coalesce("added", F.array().cast(added.schema["added"].dataType)), lambda x: ~F.exists("base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
