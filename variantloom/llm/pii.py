@@ -279,9 +279,9 @@ def spread(docs: DataFrame, base: DataFrame, candidates: DataFrame) -> DataFrame
         yield emitted([(None, None, t, n) for t, n in sums.items()])
 
     found = docs.select(text_or_empty().alias("text"), *text_keys()).mapInArrow(run, "key_a long, key_b long, term string, n long")
-    alone = found.filter("key_a IS NULL").groupBy("term").agg(F.sum("n").alias("n"))
-    copies = found.filter("key_a IS NOT NULL").dropDuplicates([*KEYS, "term"]).groupBy("term").agg(F.sum("n").alias("n"))
-    return alone.unionByName(copies).groupBy("term").agg(F.sum("n").alias("with_term"))
+    # sums of single texts add up; the copies of one text all say the same
+    once = found.groupBy(*KEYS, "term").agg(F.sum("n").alias("all_"), F.max("n").alias("one_"))
+    return once.groupBy("term").agg(F.sum(F.when(F.col("key_a").isNull(), F.col("all_")).otherwise(F.col("one_"))).alias("with_term"))
 
 
 def disclosing(docs: DataFrame, base: DataFrame, generalise: float = 2 / 3, remove: float = 0.9, alpha: float = 0.05) -> DataFrame:
