@@ -99,7 +99,7 @@ def test_store(spark, tmp_path):
 def test_text_rules_fire(spark):
     assert textscan.dead_rules(spark).count() == 0
     docs = spark.createDataFrame([(1, "MRN: 123456789 and HP:0000118"), (2, None), (3, ""), (4, "HP:0000001 HP:0000002 HP:0000003"), (5, "x 2026-01-02 y")], "doc_id long, text string")
-    got = {(r.doc_id, r.rule): r.severity for r in textscan.resolved(textscan.findings(docs), docs).collect()}
+    got = {(r.doc_id, r.rule): r.severity for r in textscan.resolved(textscan.findings(docs)).collect()}
     assert got == {(1, "mrn"): "fail", (1, "hpo_term"): "warn", (4, "hpo_term"): "fail", (5, "iso_date_bare"): "warn"}
     assert docs.select(textscan.redacted(F.col("text")).alias("t")).filter("doc_id = 1").first().t == "<mrn,14> and <hpo_term,10>"
     shaped = {r.doc_id: r.profile_shape for r in textscan.profile_shaped(spark.createDataFrame([(1, "hpo_id\tstatus\n"), (2, "prose")], "doc_id long, text string")).collect()}

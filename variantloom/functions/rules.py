@@ -217,6 +217,12 @@ def association_weight(strength: Column, default: float = 0.5) -> Column:
     return F.coalesce(mapped(VALIDITY, F.lower(strength)), F.lit(default))
 
 
+def strength_verdict(token: Column) -> Column:
+    """ok for a validity tier or a blank, else why not: a word of the frequency vocabulary, or an unknown tier."""
+    low = F.lower(F.trim(token))
+    return F.when(low.isNull() | (low == "") | low.isin(list(VALIDITY)), "ok").when(low.isin(list(FREQUENCY_TERMS)), "frequency_vocabulary").otherwise("unknown_tier")
+
+
 def decoded_text(raw: Column) -> Column:
     """VCF percent codes and underscores to text; the percent sign itself last."""
     out = raw

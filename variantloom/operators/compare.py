@@ -80,6 +80,19 @@ def deduplicated(items: DataFrame) -> DataFrame:
     return marked.withColumn("evidence_id", same).drop("h_").dropDuplicates(["evidence_id"])
 
 
+def evidence_invariants() -> dict[str, Column]:
+    """Checks of evidence rows (tier, citation_version, basis, numeric_value), by name."""
+    return {
+        "database_without_version": (F.col("tier") != "database") | F.col("citation_version").isNotNull(),
+        "observed_without_value": (F.col("basis") != "observed") | F.col("numeric_value").isNotNull(),
+    }
+
+
+def balance(items: DataFrame) -> DataFrame:
+    """subject_id, n_for, n_against: how many items support and contradict each subject."""
+    return items.groupBy("subject_id").agg(F.count_if(F.col("direction") == "supports").alias("n_for"), F.count_if(F.col("direction") == "contradicts").alias("n_against"))
+
+
 def unresolved(claims: DataFrame, items: DataFrame) -> DataFrame:
     """Cited evidence ids that are not in the ledger."""
     return claims.select("claim_id", F.explode("evidence_ids").alias("evidence_id")).join(items.select("evidence_id"), "evidence_id", "left_anti")

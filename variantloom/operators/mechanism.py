@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -160,6 +160,29 @@ def invalid_mechanisms(mechanisms: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.withColumn("reason", reason).filter("reason IS NOT NULL").select("mechanism_id", "reason")
 
 
+def agents_of_nodes(agents: DataFrame) -> DataFrame:
+    """target_node_id, agents: agents aimed at exactly this node, in order."""
+    return agents.groupBy("target_node_id").agg(F.array_sort(F.collect_list("drug_id")).alias("agents"))
+
+
+def bound(candidates: DataFrame, mechanisms: DataFrame) -> DataFrame:
+    """Candidates with the mechanism of their gene; a missing one is a warning, not evidence that there is none."""
+    met = candidates.join(mechanisms, "gene_key", "left")
+    return met.withColumn("warning", F.when(F.col("mechanism_id").isNull(), "no_curated_mechanism"))
+
+
+def controls(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Agents, nodes and mechanisms that are made up, and the verdict (drug_id, rejected, primary_reason) that each agent must get."""
+    nodes = spark.createDataFrame([(1, 10, "target", "node", "decrease"), (1, 11, "side", "node", "unknown")], "mechanism_id long, node_id long, label string, description string, state_in_patient string")
+    mechanisms = spark.createDataFrame([(1, 10, "made up", "increase")], "mechanism_id long, therapeutic_target_node_id long, summary string, required_correction string")
+    good = ("increase", True, "human_trial", "approved", "disease_modifying", False, True, "oral", True, 50.0, 25.0)
+    agent = lambda k, node, direction="increase", status="approved": (k, 1, node, direction, *good[1:3], status, *good[4:])
+    schema = "drug_id long, mechanism_id long, target_node_id long, observed_direction string, is_direct boolean, evidence_type string, approval_status string, intervention_class string, worsens_cin boolean, pediatric boolean, route string, cns_penetrant boolean, achievable_um double, required_um double"
+    agents = spark.createDataFrame([agent(1, 10), agent(2, 10, "decrease"), agent(3, 99), agent(4, 10, status="tool_compound")], schema)
+    expected = [(1, False, None), (2, True, "wrong_direction"), (3, True, "target_not_in_mechanism"), (4, True, "not_approved")]
+    return agents, nodes, mechanisms, spark.createDataFrame(expected, "drug_id long, rejected boolean, primary_reason string")
+
+
 def unmet_controls(triaged: DataFrame, expected: DataFrame) -> DataFrame:
     """Control agents whose verdict is not the one expected (drug_id, rejected, primary_reason); a live triage has none."""
     e = expected.alias("e")

@@ -98,6 +98,12 @@ def islands(df: DataFrame, by: list[str], start: str, end: str, window: int, bin
     return one_pass(inside, by).select(*by, "island", F.col("s_").alias("start"), F.col("e_").alias("end"), F.col("k_").alias("n_spans"))
 
 
+def first_seen(df: DataFrame, by: list[str], id_: str, seq: str) -> DataFrame:
+    """by, ids: distinct ids of each group in the order in which they were first seen; equal places go by the id."""
+    once = df.groupBy(*by, id_).agg(F.min(seq).alias("at_"))
+    return once.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("at_", id_))), lambda x: x[id_]).alias("ids"))
+
+
 def gap_batches(df: DataFrame, by: list[str], order: list[str], position: str, gap: int) -> DataFrame:
     """Adds `batch`: a new one where the distance to the row before exceeds the gap."""
     w = Window.partitionBy(*by).orderBy(*order)

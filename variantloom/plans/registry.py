@@ -949,7 +949,7 @@ def sensitive_findings(v: Views) -> DataFrame:
     """K1, K2 over all documents, with the specimen texts as control rows so that every rule is seen to fire."""
     control = v.spark.createDataFrame([(-1 - k, t) for k, (_, t) in enumerate(textscan.SPECIMENS)], "doc_id long, text string")
     docs = v["documents"].select("doc_id", "text").unionByName(control)
-    return textscan.resolved(textscan.findings(docs), docs)
+    return textscan.resolved(textscan.findings(docs))
 
 
 @query("redaction")

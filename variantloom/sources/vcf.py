@@ -103,6 +103,18 @@ def predicted(rows: DataFrame) -> DataFrame:
     return one.select("chrom", "position", "ref", "alt", *cols, verdict.alias("verdict")).withColumn("impact", F.lower("impact"))
 
 
+def build_verdict(build: Column, wanted: str) -> Column:
+    """ok, build_mismatch (a file of another build must not be read on) or build_not_declared (a warning)."""
+    return F.when(build.isNull(), "build_not_declared").when(build != wanted, "build_mismatch").otherwise("ok")
+
+
+def contig_styles(rows: DataFrame) -> DataFrame:
+    """Records by how their contig is written: ucsc (chr1), ensembl (1), refseq (an accession) or other."""
+    c = F.col("chrom")
+    style = F.when(alleles.refseq_contig(c).isNotNull(), "refseq").when(alleles.contig(c).isNull(), "other").when(F.lower(c).startswith("chr"), "ucsc").otherwise("ensembl")
+    return rows.filter("verdict = 'ok'").groupBy(style.alias("style")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def callset_profile(rows: DataFrame) -> DataFrame:
     """Filter histogram with shares of multiallelic and indel records."""
     indel = F.exists(F.split("alt", ","), lambda x: F.length(x) != F.length("ref"))
