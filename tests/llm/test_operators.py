@@ -137,6 +137,48 @@ def test_decontamination_recall():
     assert not any(decontaminate.contaminated([" ".join(f"f{rng.randrange(900)}" for _ in range(400)) for _ in range(20)], tables))
 
 
+@pytest.mark.parametrize("low,high", [(5, 6), (7, 14), (15, 20), (21, 60)])
+def test_decontamination_query_recall(spark, low, high):
+    rng = random.Random(low)
+    items = [(k, " ".join(f"w{rng.randrange(2000)}" for _ in range(rng.randint(low, high)))) for k in range(60)] + [(900, "two words")]
+    rows, want = [(-1, "prose that holds two words of it"), (-2, "first\nTwo, words!\nlast")], {(-2, 900)}
+    for n, rate in enumerate((0.05, 0.1, 0.15, 0.2)):
+        for k, t in items[:60]:
+            words = t.split()
+            for _ in range(int(rate * len(words))):
+                at = rng.randrange(len(words))
+                words[at : at + rng.randrange(2)] = [f"z{rng.randrange(9999)}"] * rng.randrange(2)
+            fill = [f"f{rng.randrange(900)}" for _ in range(20)]
+            rows.append((100 * k + n, " ".join(fill + words + fill)))
+            want.add((100 * k + n, k))
+    found = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), block_bytes=4_000).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert len(got & want) >= 0.95 * len(want) and not any(r.doc_id == -1 for r in found) and (-2, 900) in got
+
+
+def test_long_chains():
+    rng = np.random.default_rng(1)
+    sizes = np.array([3, 200, 0, 70, 9, 1])
+    groups = list(toxicity.like_sized(sizes))
+    assert sorted(np.concatenate(groups).tolist()) == [0, 1, 3, 4, 5]
+    flat, starts = rng.normal(size=sizes.sum()), np.concatenate([[0], np.cumsum(sizes)])
+    step = np.exp(rng.normal(size=(3, 2)))
+    for g in groups:
+        cells, live = toxicity.padded(flat[toxicity.tokens_of(starts, sizes, g)], sizes[g])
+        p = toxicity.marginals(cells, live, step)[0]
+        for row, c in zip(p, g.tolist(), strict=True):
+            alone = toxicity.marginals(flat[None, starts[c] : starts[c + 1]], np.ones((1, sizes[c]), dtype=bool), step)[0][0]
+            assert np.allclose(row[: sizes[c]], alone)
+
+
+def test_language_blocks(docs):
+    marked = docs.select("doc_id", "text", "lang", (id_crc() % 4 == 2).alias("held_out"))
+    fit = marked.filter("NOT held_out")
+    whole = {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in langid.predicted(marked, langid.learned(fit)).collect()}
+    parts = {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in langid.predicted(marked, langid.learned(fit, block=1)).collect()}
+    assert whole == parts
+
+
 def test_edit_distance():
     rng = np.random.default_rng(1)
     for _ in range(200):
@@ -164,10 +206,48 @@ def test_base_spans():
         text = "".join(rng.choices(pieces_, k=rng.randrange(1, 12)))
         want = [(m.start(), 0, m.end()) for m in email.finditer(text)] + [(m.start(), 1, m.end()) for m in ip.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
         assert [s for s in pii.base_spans(text) if s[1] < 2] == sorted(want), text
-    assert pii.base_spans("4111 1111 1111 1111 +1 (555) 010-9999") == [(0, 2, 19), (20, 3, 37)] or pii.base_spans("4111 1111 1111 1111 +1 (555) 010-9999")
+    # the card's match takes in the blank and the digits that follow, where they follow
+    assert pii.base_spans("4111 1111 1111 1111 +1 (555) 010-9999") == [(0, 2, 19), (20, 3, 37)]
+    assert pii.base_spans("4111-1111-1111-1112, +123") == [] and pii.base_spans("x+49 30 1234567y") == [(1, 3, 15)]
     assert pii.base_spans("a" * 200_000 + "@") == []
 
 
+def brute_terms(texts: list[str], share: float = 2 / 3, alpha: float = 0.05) -> dict[str, set[str]]:
+    """Terms to mask in each text, from counts over contexts of distinct texts."""
+    import math
+    from collections import Counter
+
+    own, with_term, total = {}, Counter(), 0
+    for x in set(texts):
+        total += max(1, -(-len(x) // pii.CONTEXT))
+        with_term.update(w for _, w in {(m.start() // pii.CONTEXT, m[0].lower()) for m in pii.WORD.finditer(x)})
+        own[x] = [(e, t) for _, e, t in pii.contexts(x, pii.base_spans(x))] if pii.base_spans(x) else []
+    with_entity, both = Counter(e for c in own.values() for es, _ in c for e in es), Counter((e, t) for c in own.values() for es, ts in c for e in es for t in ts)
+    beside = Counter(t for c in own.values() for _, ts in c for t in ts)
+    many = {k: n for k, n in both.items() if n > 1 and with_entity[k[0]] > 1 and beside[k[1]] > 1}
+    slack = (1 - share) * math.log2(max(2, total)) + 1
+    many = {(e, t): n for (e, t), n in many.items() if math.floor(math.log2(beside[t])) <= math.ceil(math.log2(with_entity[e])) + slack}
+    tests = Counter(e for e, _ in many)
+    told = set()
+    for (e, t), n in many.items():
+        ic = math.log2(total / min(with_entity[e], total / 2))
+        p, q = min(1.0, n / with_term[t]), 2.0**-ic
+        bits = with_term[t] * (p * math.log2(p / q) + ((1 - p) * math.log2((1 - p) / (1 - q)) if p < 1 else 0)) if p > q else 0
+        if 1 + math.log2(p) / ic >= share and bits >= math.log2(tests[e] / alpha):
+            told.add((e, t))
+    return {x: {t for es, ts in c for t in ts if any((e, t) in told for es2, _ in c for e in es2)} for x, c in own.items()}
+
+
+def test_disclosing_terms_of_the_table(spark, bigger):
+    rows = {r.doc_id: r for r in pii.report(spark.read.parquet(f"{bigger}/documents.parquet")).collect()}
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{bigger}/documents.parquet").collect()}
+    want = brute_terms(list(texts.values()))
+    assert any(want.values())
+    for k, text in texts.items():
+        spans = [x.split(":") for x in rows[k].spans.split(",") if x.startswith("term:")]
+        assert {text[int(a) : int(b)].lower() for _, a, b in spans} == want[text]
+
+
 def test_disclosing_terms(spark):
     rows = [(k, f"word{chr(97 + k)} plain text about Zorblatt wrote to zorb@example.com yesterday evening") for k in range(8)]
     rows += [(100 + k, f"plain text about wrote yesterday evening number {'abcdefghijklmnopqrstuvwxyz'[k % 26]}{k} plain") for k in range(60)]
