@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, pieces, pii, quality, sharding, simhash, substrings, topk, toxicity
+from . import decontaminate, langid, merkle, pieces, pii, quality, sharding, simhash, substrings, topk, toxicity
 from .common import table
 
 
@@ -50,6 +50,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, and the roots that rows with tampered texts lead to."""
+    return merkle.tampered(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
@@ -61,8 +66,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_quality": op9_quality,
     "op10_langid": op10_langid,
+    "op13_merkle": op13_merkle,
 }
 
+#: crc32 in SQL: the table of the 256 bytes, and the fold over a list of bytes.
+CRC_TABLE = """
+crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)) AS v FROM range(256) r(i)
+  )
+)"""
+
+
+def crc_of(bytes_: str) -> str:
+    """SQL of the unsigned crc32 of a list of bytes, beside a column t of CRC_TABLE."""
+    return f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"
+
+
+def digits_of(text: str) -> str:
+    return f"list_transform(range(1, length({text}) + 1), lambda i: CAST(ord(substr({text}, i, 1)) AS BIGINT))"
+
+
+def field_of(name: str) -> str:
+    return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen(CAST({name} AS VARCHAR)) || ':' || CAST({name} AS VARCHAR) END"
+
+
+HEAD_FIELDS = " || ".join(map(field_of, ("doc_id", "source", "lang", "n_chars")))
+
 ORACLES: dict[str, str] = {
     "op6_exact_topk": """
 WITH usable AS (
@@ -79,5 +109,52 @@ WITH usable AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    "op13_merkle": f"""
+WITH RECURSIVE {CRC_TABLE},
+asked AS (
+  SELECT *, doc_id IS NOT NULL AND {crc_of(digits_of("CAST(doc_id AS VARCHAR)"))} % 3 = 0 AS chosen FROM documents, crc_table
+),
+digested AS (
+  SELECT doc_id, lang, sha256({HEAD_FIELDS} || {field_of("text")}) AS leaf,
+    CASE WHEN chosen THEN sha256({HEAD_FIELDS} || {field_of("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS claimed
+  FROM asked
+),
+leaves AS (
+  SELECT *, coalesce('1' || lang, '0') AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n,
+    row_number() OVER () AS k
+  FROM digested
+),
+up AS (
+  SELECT 0 AS lvl, tree, idx, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT lvl + 1, tree, idx // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx)) FROM up WHERE n > 1 GROUP BY lvl, tree, idx // 8, n
+),
+tops AS (
+  SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM up WHERE n = 1
+),
+above AS (
+  SELECT 0 AS lvl, idx, n, digest FROM tops
+  UNION ALL
+  SELECT lvl + 1, idx // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx)) FROM above WHERE n > 1 GROUP BY lvl, idx // 8, n
+),
+fold AS (
+  SELECT k, tree, 0 AS lvl, idx, n, coalesce(claimed, leaf) AS held, '' AS proof FROM leaves
+  UNION ALL
+  SELECT f.k, f.tree, f.lvl + 1, f.idx // 8, (f.n + 7) // 8, sha256(string_agg(CASE WHEN u.idx = f.idx THEN f.held ELSE u.digest END, '' ORDER BY u.idx)),
+    f.proof || coalesce(string_agg(CASE WHEN u.idx = f.idx THEN '' ELSE u.digest END, '' ORDER BY u.idx), '')
+  FROM fold f JOIN up u ON u.tree = f.tree AND u.lvl = f.lvl AND u.idx // 8 = f.idx // 8
+  WHERE f.n > 1 GROUP BY f.k, f.tree, f.lvl, f.idx, f.n, f.held, f.proof
+),
+rest AS (
+  SELECT f.k, 0 AS lvl, t.idx, t.n, f.held, f.proof FROM fold f JOIN tops t ON t.tree = f.tree WHERE f.n = 1
+  UNION ALL
+  SELECT f.k, f.lvl + 1, f.idx // 8, (f.n + 7) // 8, sha256(string_agg(CASE WHEN u.idx = f.idx THEN f.held ELSE u.digest END, '' ORDER BY u.idx)),
+    f.proof || coalesce(string_agg(CASE WHEN u.idx = f.idx THEN '' ELSE u.digest END, '' ORDER BY u.idx), '')
+  FROM rest f JOIN above u ON u.lvl = f.lvl AND u.idx // 8 = f.idx // 8
+  WHERE f.n > 1 GROUP BY f.k, f.lvl, f.idx, f.n, f.held, f.proof
+)
+SELECT l.doc_id, l.leaf, t.digest AS subroot, a.digest AS root, sha256(r.proof) AS proof_sha256, r.held AS folded_root, r.held = a.digest AS verified
+FROM leaves l JOIN tops t ON t.tree = l.tree JOIN rest r ON r.k = l.k AND r.n = 1 JOIN above a ON a.n = 1
 """,
 }
