@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, merkle, pieces, pii, quality, sharding, simhash, substrings, topk, toxicity
+from . import decontaminate, langid, merkle, passages, pieces, pii, quality, sharding, simhash, substrings, topk, toxicity
 from .common import table
 
 
@@ -50,6 +50,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op12_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that repeated passages of 35 words cover, and what is left."""
+    return passages.report(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents, and the roots that rows with tampered texts lead to."""
     return merkle.tampered(table(spark, sf_dir, "documents"))
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_quality": op9_quality,
     "op10_langid": op10_langid,
+    "op12_passages": op12_passages,
     "op13_merkle": op13_merkle,
 }
 
@@ -109,6 +115,31 @@ WITH usable AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    "op12_passages": """
+WITH numbered AS (
+  SELECT row_number() OVER () AS k, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents
+),
+windows AS (
+  SELECT k, s, md5(array_to_string(words[s : s + 34], ' ')) AS held FROM (SELECT k, words, unnest(range(1, len(words) - 33)) AS s FROM numbered)
+),
+repeated AS (
+  SELECT k, s FROM (SELECT k, s, count(*) OVER (PARTITION BY held) AS n FROM windows) WHERE n > 1
+),
+marked AS (
+  SELECT k, list(DISTINCT w) AS gone FROM (SELECT k, unnest(range(s, s + 35)) AS w FROM repeated) GROUP BY k
+),
+places AS (
+  SELECT n.k, n.words[i] AS word, i FROM (SELECT k, words, unnest(range(1, len(words) + 1)) AS i FROM numbered) n
+),
+covered AS (
+  SELECT DISTINCT k, w AS i FROM (SELECT k, unnest(gone) AS w FROM marked)
+),
+kept AS (
+  SELECT p.k, string_agg(p.word, ' ' ORDER BY p.i) AS kept, count(*) AS n FROM places p LEFT JOIN covered c ON c.k = p.k AND c.i = p.i WHERE c.i IS NULL GROUP BY p.k
+)
+SELECT n.doc_id, len(n.words) AS n_words, len(n.words) - coalesce(q.n, 0) AS n_removed, sha256(coalesce(q.kept, '')) AS kept_sha256
+FROM numbered n LEFT JOIN kept q ON q.k = n.k
 """,
     "op13_merkle": f"""
 WITH RECURSIVE {CRC_TABLE},
