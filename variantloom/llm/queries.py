@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, merkle, passages, pieces, pii, quality, sharding, simhash, substrings, topk, toxicity
+from . import decontaminate, langid, merkle, passages, pieces, pii, quality, sharding, simhash, substrings, topk, toxicity, variants
 from .common import table
 
 
@@ -50,6 +50,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents with their near words, forms and roots, after a code point of one run in 97 is deleted."""
+    return variants.spelling_groups(table(spark, sf_dir, "documents"), variants.noisy)
+
+
 def op12_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents that repeated passages of 35 words cover, and what is left."""
     return passages.report(table(spark, sf_dir, "documents")).drop("spans")
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_quality": op9_quality,
     "op10_langid": op10_langid,
+    "op11_variants": op11_variants,
     "op12_passages": op12_passages,
     "op13_merkle": op13_merkle,
 }
@@ -115,6 +121,51 @@ WITH usable AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    "op11_variants": f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents
+),
+counts AS (
+  SELECT id, run, count(*) AS times FROM runs WHERE length(run) >= 5 GROUP BY id, run
+),
+hashed AS (
+  SELECT run, times, {crc_of("""flatten(list_transform(string_split(id || ':' || run, ''), lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [192 + (ord(c) >> 6), 128 + (ord(c) & 63)] END))""")} AS h
+  FROM counts, crc_table
+),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, times FROM hashed
+  ) WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+),
+shorter AS (
+  SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+),
+holed AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS hole FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+),
+pairs AS (
+  SELECT s.word AS a, s.n AS a_n, w.word AS b, w.n AS b_n FROM shorter s JOIN words w ON w.word = s.rest
+  UNION
+  SELECT x.word, x.n, y.word, y.n FROM holed x JOIN holed y ON x.hole = y.hole AND x.i = y.i AND x.word < y.word
+),
+near AS (
+  SELECT a AS word, a_n AS n, b AS other, b_n AS other_n FROM pairs UNION ALL SELECT b, b_n, a, a_n FROM pairs
+),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word
+),
+formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.other_n >= 2 * w.n THEN b.other END AS form, CASE WHEN b.other_n >= 2 * w.n THEN b.other_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+),
+chain AS (
+  SELECT word, word AS at, form AS next FROM formed
+  UNION ALL
+  SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.next
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c ON c.word = f.word AND c.next IS NULL
 """,
     "op12_passages": """
 WITH numbered AS (
