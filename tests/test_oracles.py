@@ -6,6 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+import variantloom.plans.cohort  # noqa: F401
 import variantloom.plans.files  # noqa: F401
 from variantloom.plans.registry import ORACLES, QUERIES
 from variantloom.plans.views import TABLES

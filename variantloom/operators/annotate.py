@@ -78,6 +78,20 @@ def overlapping(variants: DataFrame, genes: DataFrame, start: str = "position",
     return met.filter((F.col(start) <= F.col("g_end")) & (F.col(end) >= F.col("g_start")) & (F.col("bin_") == first)).drop("bin_")
 
 
+def with_loci(variants: DataFrame, genes: DataFrame) -> DataFrame:
+    """Variants (contig, position, ref, ...) with a row for each gene whose span they touch: a variant in two genes is two rows."""
+    return overlapping(variants.withColumn("end", F.col("position") + F.length("ref") - 1), genes)
+
+
+def locus_annotations(variants: DataFrame, genes: DataFrame, transcripts: DataFrame, key: list[str]) -> DataFrame:
+    """A consequence row for each variant, gene that it touches and transcript of that gene, Select or not.
+
+    Standing in a gene says nothing of what a variant does there: the impact is NULL, never a low one. Variants between genes have no row.
+    """
+    met = with_loci(variants, genes).select(*key, "gene_symbol", "gene_id").join(transcripts, "gene_id")
+    return met.select(*key, "gene_symbol", "gene_id", "transcript_id", "is_select", F.lit("gene_variant").alias("terms"), F.lit(None).cast("string").alias("impact"))
+
+
 def nearest(variants: DataFrame, genes: DataFrame, key: list[str], within: int, start: str = "position", end: str = "end") -> DataFrame:
     """For variants that touch no gene: all nearest genes within some distance, with the gap; ties are all kept."""
     hit = overlapping(variants, genes, start, end).select(*key).distinct()
@@ -94,8 +108,8 @@ def backfilled(primary: DataFrame, fallback: DataFrame, key: list[str]) -> DataF
     return primary.unionByName(fallback.join(primary.select(*key).distinct(), key, "left_anti"), allowMissingColumns=True)
 
 
-def annotated(calls: DataFrame, consequences: DataFrame, frequencies: DataFrame, clinical: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """Consequences, clinical assertions and the triage verdict first; frequencies are joined to survivors only."""
+def triaged(calls: DataFrame, consequences: DataFrame, clinical: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """Adds consequences, clinical assertions and the triage verdict; calls may be a stream."""
     own = consequence_summary(consequences, ["site_key"])
     known = calls.join(own, "site_key", "left").join(clinical_summary(clinical), "site_key", "left")
     known = known.withColumns({
@@ -106,9 +120,14 @@ def annotated(calls: DataFrame, consequences: DataFrame, frequencies: DataFrame,
         "pathogenic": F.coalesce("pathogenic", F.lit(False)),
     })
     verdict = rules.triage_verdict(F.col("n_consequences"), F.col("any_selecting"), F.col("worst_rank"), F.col("splice_ai"), F.col("n_assertions").isNotNull(), config)
-    triaged = known.withColumn("triage", verdict)
+    return known.withColumn("triage", verdict)
+
+
+def annotated(calls: DataFrame, consequences: DataFrame, frequencies: DataFrame, clinical: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """The triage verdict first; frequencies are joined to survivors only."""
+    known = triaged(calls, consequences, clinical, config)
     best = max_frequency(frequencies, config=config).withColumnRenamed("site_key", "f_key_")
-    return triaged.join(best, (F.col("site_key") == F.col("f_key_")) & F.col("triage").startswith("kept"), "left").drop("f_key_")
+    return known.join(best, (F.col("site_key") == F.col("f_key_")) & F.col("triage").startswith("kept"), "left").drop("f_key_")
 
 
 def flagged(df: DataFrame, config: Config = DEFAULT) -> DataFrame:

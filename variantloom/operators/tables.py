@@ -65,6 +65,40 @@ def table_hash(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(h), F.lit(0)).cast("string").alias("digest"))
 
 
+def bucket_digests(df: DataFrame, key: list[str], buckets: int = 4_096) -> DataFrame:
+    """bucket, n, digest: rows and an order-insensitive digest of each bucket of keys."""
+    h = row_hash(df, sorted(df.columns)).cast("decimal(38,0)")
+    return df.groupBy(F.pmod(row_hash(df, key), F.lit(buckets)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.sum(h).alias("digest"))
+
+
+def unequal_buckets(one: DataFrame, two: DataFrame, key: list[str], buckets: int = 4_096) -> DataFrame:
+    """The buckets in which two tables differ; what each task sends is a row for each bucket."""
+    a, b = (bucket_digests(df, key, buckets).withColumnsRenamed({"n": f"n_{s}", "digest": f"d_{s}"}) for df, s in ((one, "a"), (two, "b")))
+    return a.join(b, "bucket", "full_outer").filter(~(F.col("n_a").eqNullSafe(F.col("n_b")) & F.col("d_a").eqNullSafe(F.col("d_b")))).select("bucket")
+
+
+def differences(one: DataFrame, two: DataFrame, key: list[str], buckets: int = 4_096) -> DataFrame:
+    """Keys that only one of two runs has or whose rows differ, with what differs: the columns, or the number of equal keys.
+
+    Digests settle equal buckets; only rows of unequal ones are compared, so two runs of a deterministic query cost one pass each.
+    """
+    values = sorted(set(one.columns) - set(key))
+    bad = F.broadcast(unequal_buckets(one, two, key, buckets))  # `buckets` rows at most
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        inside = df.withColumn("bucket", F.pmod(row_hash(df, key), F.lit(buckets))).join(bad, "bucket", "left_semi")
+        each = [F.array_sort(F.collect_list(row_hash(df, [c]))).alias(f"{name}_{c}") for c in values]
+        return inside.groupBy(*[F.col(k).alias(f"{name}_key_{k}") for k in key]).agg(F.count(F.lit(1)).alias(f"{name}_n"), *each)
+
+    a, b = side(one, "a"), side(two, "b")
+    on = [F.col(f"a_key_{k}").eqNullSafe(F.col(f"b_key_{k}")) for k in key]
+    met = a.join(b, on, "full_outer").withColumns({k: F.coalesce(f"a_key_{k}", f"b_key_{k}") for k in key})
+    state = F.when(F.col("b_n").isNull(), "only_first").when(F.col("a_n").isNull(), "only_second").otherwise("changed")
+    changed = F.array_compact(F.array(F.when(F.col("a_n") != F.col("b_n"), "number of rows"), *[F.when(~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")), c) for c in values]))
+    out = met.withColumn("state", state).withColumn("columns", F.when(F.col("state") == "changed", changed).otherwise(F.array().cast("array<string>")))
+    return out.filter((F.col("state") != "changed") | (F.size("columns") > 0)).select(*key, "state", "columns")
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, df in tables.items():

@@ -28,17 +28,21 @@ def coded(head: str, column: str) -> F.Column:
 # ---- VCF text ---------------------------------------------------------------------------------------------------------------
 
 
-def vcf_lines(v: Views) -> DataFrame:
-    """A record for each order line: bare contigs, two ALTs on every third line number, some positions spoilt."""
+def vcf_record(genotype: F.Column | None = None) -> F.Column:
+    """The record of an order line: bare contigs, two ALTs on every third line number, some positions spoilt."""
     two = F.col("l_linenumber") % 3 == 0
     gt = F.when(two, "1/2").when(F.col("zygosity") == "hom_alt", "1/1").when((F.col("hap_slot") == 1) & F.col("phase_set").isNotNull(), "0|1").otherwise("0/1")
     ad = F.concat_ws(",", F.col("l_linenumber").cast("string"), (F.col("l_orderkey") % 7).cast("string"), F.when(two, (F.col("l_partkey") % 5).cast("string")))
     known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))
     status = F.when(F.col("filter_status") == "pass", "PASS").when(F.col("filter_status") == "filtered", "q10").otherwise(".")
     position = F.when(F.col("l_orderkey") % 211 == 0, 0).otherwise(F.col("position"))
-    sample = text(gt, ad, known("depth"), known("gq"), known("phase_set"), sep=":")
-    value = text(F.substring("contig", 4, 2), position, F.lit("."), "ref", F.when(two, "AT,CG").otherwise("AT"), F.col("l_orderkey") % 1000, status, F.lit("DP=9"), F.lit("GT:AD:DP:GQ:PS"), sample)
-    return v["variants"].select(F.lit("one").alias("path"), value.alias("value"))
+    sample = text(gt if genotype is None else F.when(genotype.isNotNull(), genotype).otherwise(gt), ad, known("depth"), known("gq"), known("phase_set"), sep=":")
+    return text(F.substring("contig", 4, 2), position, F.lit("."), "ref", F.when(two, "AT,CG").otherwise("AT"), F.col("l_orderkey") % 1000, status, F.lit("DP=9"), F.lit("GT:AD:DP:GQ:PS"), sample)
+
+
+def vcf_lines(v: Views) -> DataFrame:
+    """A record for each order line."""
+    return v["variants"].select(F.lit("one").alias("path"), vcf_record().alias("value"))
 
 
 @query("vcf_calls", """
