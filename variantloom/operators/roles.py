@@ -38,7 +38,7 @@ class Provider:
 
     def answers(self, variants: DataFrame) -> DataFrame:
         """Rows of the table for the keys of variants, with provenance; partitions of other contigs are not read."""
-        asked = variants.select("contig").filter("contig <> ''").distinct()
+        asked = variants.select("contig").filter("length(contig) > 0").distinct()
         rows = variants.sparkSession.read.parquet(self.path).join(F.broadcast(asked), "contig", "left_semi")
         met = variants.select(*KEY).distinct().join(rows, KEY)
         return met.withColumns({"role": F.lit(self.role), "provider": F.lit(self.name), "version": F.lit(self.version), "synthetic": F.lit(self.synthetic)})
