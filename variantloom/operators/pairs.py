@@ -153,15 +153,15 @@ def evidence_quality(with_af: Column, depth: Column, predictors: Column, clinica
 
 
 def contradictions(model: Column, phase: Column, flags: list[Column], nhomalt: list[Column], af: list[Column], config: Config = DEFAULT) -> Column:
-    """(code, magnitude) of everything that speaks against a candidate."""
-    one = lambda test, code, size: F.when(test, F.struct(F.lit(code).alias("code"), F.lit(size).alias("magnitude")))
-    found = [one((model == "compound_heterozygous") & phase.isin("cis_confirmed", "cis_likely"), "in_cis_phase", 0.6)]
-    for f, n, a in zip(flags, nhomalt, af, strict=True):
+    """(code, magnitude, member) of everything that speaks against a candidate; member: a or b, or both for what is said of the pair."""
+    one = lambda test, code, size, member: F.when(test, F.struct(F.lit(code).alias("code"), F.lit(size).alias("magnitude"), F.lit(member).alias("member")))
+    found = [one((model == "compound_heterozygous") & phase.isin("cis_confirmed", "cis_likely"), "in_cis_phase", 0.6, "both")]
+    for member, f, n, a in zip("ab", flags, nhomalt, af, strict=True):
         found += [
-            one(F.array_contains(f, "common_variant"), "common_variant", 0.45),
-            one(F.coalesce((n > 0) & (a > config.low), F.lit(False)), "population_homozygotes", 0.35),
-            one(F.array_contains(f, "low_quality_call"), "low_quality_call", 0.3),
-            one(F.array_contains(f, "benign_consequence"), "benign_consequence", 0.25),
+            one(F.array_contains(f, "common_variant"), "common_variant", 0.45, member),
+            one(F.coalesce((n > 0) & (a > config.low), F.lit(False)), "population_homozygotes", 0.35, member),
+            one(F.array_contains(f, "low_quality_call"), "low_quality_call", 0.3, member),
+            one(F.array_contains(f, "benign_consequence"), "benign_consequence", 0.25, member),
         ]
     return F.array_compact(F.array(*found))
 

@@ -8,9 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from variantloom.operators import annotate, pairs, representation, roles, stages, tables
+from variantloom.functions import alleles, rules
+from variantloom.operators import annotate, ledger, mechanism, ontology, pairs, representation, roles, stages, tables
 from variantloom.plans.files import vcf_record
-from variantloom.plans.registry import SQL_PAIRS, SQL_SITES, SQL_TRIAGED, joined, judged, query, sites
+from variantloom.plans.registry import SQL_PAIRS, SQL_QC, SQL_SCORED, SQL_SITES, SQL_TRIAGE, SQL_TRIAGED, agents, gene_terms, graph, joined, judged, query, scored, states
 from variantloom.plans.views import Views
 from variantloom.streaming import ingest
 
@@ -194,3 +195,95 @@ def run_differences(v: Views) -> DataFrame:
     other = other.union(other.filter("position % 1013 = 0").withColumn("alt", F.concat("alt", F.lit("N")))).withColumns({"depth": F.when(hit & ~F.col("alt").endswith("N"), F.coalesce("depth", F.lit(-2)) + 1).otherwise(F.col("depth")), "zygosity": F.when(hit & ~F.col("alt").endswith("N"), "hom_alt").otherwise(F.col("zygosity"))})
     found = tables.differences(tables.cut(calls), tables.cut(other), ["sample_id", "contig", "position", "ref", "alt"])
     return found.select("sample_id", "contig", "position", "ref", "alt", "state", joined("columns"))
+
+
+# ---- the evidence ledger ----------------------------------------------------------------------------------------------------------
+
+SQL_STRENGTH = "CASE WHEN abs({0} - 0.5) >= 0.40 THEN 'moderate' WHEN abs({0} - 0.5) >= 0.25 THEN 'supporting' WHEN abs({0} - 0.5) >= 0.10 THEN 'weak' ELSE 'insufficient' END"
+SQL_SAID = """said AS (SELECT s.sample_id, s.pair_id, s.rank, s.id_a, s.id_b, unnest(list_filter([
+    CASE WHEN s.model = 'compound_heterozygous' AND s.phase = 'cis_confirmed' THEN {'code': 'in_cis_phase', 'size': 0.6, 'of': s.pair_id} END,
+    CASE WHEN a.max_af > 0.01 THEN {'code': 'common_variant', 'size': 0.45, 'of': s.id_a} END, CASE WHEN a.max_nhomalt > 0 AND a.max_af > 0.001 THEN {'code': 'population_homozygotes', 'size': 0.35, 'of': s.id_a} END,
+    CASE WHEN a.poor THEN {'code': 'low_quality_call', 'size': 0.3, 'of': s.id_a} END, CASE WHEN a.all_benign THEN {'code': 'benign_consequence', 'size': 0.25, 'of': s.id_a} END,
+    CASE WHEN b.max_af > 0.01 THEN {'code': 'common_variant', 'size': 0.45, 'of': s.id_b} END, CASE WHEN b.max_nhomalt > 0 AND b.max_af > 0.001 THEN {'code': 'population_homozygotes', 'size': 0.35, 'of': s.id_b} END,
+    CASE WHEN b.poor THEN {'code': 'low_quality_call', 'size': 0.3, 'of': s.id_b} END, CASE WHEN b.all_benign THEN {'code': 'benign_consequence', 'size': 0.25, 'of': s.id_b} END], lambda x: x IS NOT NULL)) AS x
+  FROM ranks s JOIN placed a ON a.sample_id = s.sample_id AND a.gene_key = s.gene_key AND a.variant_id = s.id_a LEFT JOIN placed b ON b.sample_id = s.sample_id AND b.gene_key = s.gene_key AND b.variant_id = s.id_b)"""
+SQL_PARTS = f"""parts_ AS (SELECT sample_id, pair_id, rank, unnest([{", ".join(f"'{c}'" for c in pairs.COMPONENTS)}]) AS component, unnest([{", ".join(f"round({c}, 6)" for c in pairs.COMPONENTS)}]) AS score FROM ranks)"""
+
+
+def evidence_stages(v: Views) -> list[DataFrame]:
+    """The rows of every stage with their items."""
+    survivors = tables.cut(pairs.with_order(judged(v)))
+    flags = rules.qc_flags(F.col("zygosity"), F.col("share"), F.col("share"), F.col("depth"), F.col("gq"), F.col("filter_status"))
+    share = alleles.allele_balance(F.col("depth") - F.col("alt_reads"), F.col("alt_reads"))
+    calls = survivors.withColumn("share", share).withColumn("qc_flags", flags).withColumn("qc_direction", rules.qc_direction(F.col("qc_flags"))).withColumn("qc_strength", rules.qc_strength(F.col("qc_flags"), F.col("depth"), F.col("gq"), F.lit(None).cast("boolean")))
+    variants = survivors.select("variant_id", "site_key").distinct()
+    ranking = tables.cut(scored(v))
+    wanted = ranking.select("gene_key", F.substring("sample_id", 2, 9).cast("long").alias("subject_id")).distinct()
+    mechanisms, nodes, links = graph(v)
+    return [
+        ledger.call_items(calls),
+        ledger.variant_items(variants, v["consequences"], v["frequencies"], v["clinical"], "1.0"),
+        ledger.selection_items(survivors),
+        ledger.phenotype_items(gene_terms(v), states(v), ontology.exact_scores(gene_terms(v), states(v), wanted), wanted),
+        ledger.rank_rows(ranking),
+        ledger.mechanism_items(mechanisms, links, "1.0"),
+        ledger.drug_items(mechanism.triage(agents(v), nodes, mechanisms)),
+    ]
+
+
+SQL_QC_CALLS = SQL_QC.replace("FROM variants)", "FROM judged WHERE triage LIKE 'kept%')").replace("SELECT *, CASE WHEN alt_reads IS NOT NULL AND depth > 0 THEN alt_reads / depth END AS fraction", "SELECT * EXCLUDE (fraction), CASE WHEN alt_reads IS NOT NULL AND depth > 0 THEN alt_reads / depth END AS fraction")
+
+
+@query("evidence_ledger", f"""WITH {SQL_SCORED}, {SQL_TRIAGE}, {SQL_QC_CALLS}, {SQL_SAID}, {SQL_PARTS},
+seen_ AS (SELECT DISTINCT contig, position, ref, alt, site_key FROM judged WHERE triage LIKE 'kept%'),
+wanted_ AS (SELECT DISTINCT gene_key, CAST(substr(sample_id, 2) AS BIGINT) AS subject_id FROM ranks),
+links_ AS (SELECT mechanism_id, node_id, CASE node_id % 3 WHEN 0 THEN 'strong' WHEN 1 THEN 'moderate' ELSE 'weak' END AS strength, node_id % 3 AS place FROM chain_ WHERE t IS NOT NULL),
+every AS (
+  SELECT 'quality' AS kind, direction, strength, 'observation' AS tier, concat(sample_id, contig, position, ref, alt) AS id FROM d
+  UNION ALL SELECT 'consequence', CASE WHEN impact IN ('high', 'moderate') THEN 'supports' ELSE 'neutral' END, CASE impact WHEN 'high' THEN 'moderate' WHEN 'moderate' THEN 'supporting' WHEN 'low' THEN 'weak' ELSE 'insufficient' END, 'prediction', concat(contig, position, ref, alt, '|', tx_no) FROM seen_ JOIN consequences USING (site_key)
+  UNION ALL SELECT 'frequency', 'neutral', 'moderate', 'database_assertion', concat(contig, position, ref, alt, population) FROM seen_ JOIN frequencies USING (site_key)
+  UNION ALL SELECT 'missing_frequency', 'neutral', 'insufficient', 'inference', concat(contig, position, ref, alt) FROM seen_ WHERE site_key NOT IN (SELECT site_key FROM frequencies)
+  UNION ALL SELECT 'clinical', CASE WHEN lower(significance) LIKE '%conflict%' THEN 'neutral' WHEN lower(significance) LIKE '%pathogenic%' THEN 'supports' WHEN lower(significance) LIKE '%benign%' THEN 'contradicts' ELSE 'neutral' END,
+    CASE WHEN stars >= 3 THEN 'strong' WHEN stars = 2 THEN 'moderate' WHEN stars = 1 THEN 'supporting' ELSE 'weak' END, 'database_assertion', concat(contig, position, ref, alt, significance) FROM seen_ JOIN clinical USING (site_key)
+  UNION ALL SELECT 'selection', 'neutral', 'moderate', 'inference', reason FROM (SELECT DISTINCT selection AS reason FROM judged WHERE triage LIKE 'kept%' UNION ALL SELECT 'all')
+  UNION ALL SELECT 'phenotype_term', CASE p.status WHEN 'observed' THEN 'supports' WHEN 'excluded' THEN 'contradicts' ELSE 'neutral' END, CASE WHEN coalesce(p.status, '') NOT IN ('observed', 'excluded') THEN 'insufficient' WHEN weight >= 1 THEN 'strong' WHEN weight >= 0.8 THEN 'moderate' WHEN weight >= 0.6 THEN 'supporting' ELSE 'weak' END,
+    'observation', concat(w.gene_key, '|', w.subject_id, '|', g.term) FROM wanted_ w JOIN gene_terms g ON g.gene_key = w.gene_key LEFT JOIN profile p ON p.subject_id = w.subject_id AND p.term = g.term
+  UNION ALL SELECT 'phenotype_score', CASE WHEN s > 0.5 THEN 'supports' WHEN s < 0.5 THEN 'contradicts' ELSE 'neutral' END, CASE WHEN s >= 0.85 THEN 'strong' WHEN s >= 0.65 THEN 'moderate' WHEN s >= 0.40 THEN 'supporting' ELSE 'weak' END, 'inference', concat(gene_key, '|', subject_id)
+    FROM (SELECT w.gene_key, w.subject_id, coalesce(p.score, 0.5) AS s FROM wanted_ w LEFT JOIN pheno p ON p.gene_key = w.gene_key AND p.subject_id = w.subject_id)
+  UNION ALL SELECT 'component', CASE WHEN score >= 0.5 THEN 'supports' ELSE 'neutral' END, {SQL_STRENGTH.format("score")}, 'inference', concat(sample_id, '|', pair_id, '|', component) FROM parts_
+  UNION ALL SELECT 'contradiction', 'contradicts', {SQL_STRENGTH.format("(0.5 + x.size)")}, 'inference', concat(sample_id, '|', x.of, '|', x.code) FROM said
+  UNION ALL SELECT 'mechanism_chain', 'supports', coalesce(CASE max(place) WHEN 2 THEN 'weak' WHEN 1 THEN 'moderate' WHEN 0 THEN 'strong' END, 'insufficient'), 'database_assertion', CAST(m.mechanism_id AS VARCHAR) FROM mech m JOIN nation ON n_nationkey = m.mechanism_id LEFT JOIN links_ l ON l.mechanism_id = m.mechanism_id GROUP BY m.mechanism_id
+  UNION ALL SELECT 'mechanism_link', CASE WHEN node_id % 2 = 0 THEN 'supports' ELSE 'neutral' END, strength, 'database_assertion', concat(mechanism_id, '|', node_id) FROM links_
+  UNION ALL SELECT 'drug_direction', CASE WHEN agrees THEN 'supports' WHEN NOT agrees THEN 'contradicts' ELSE 'neutral' END, CASE WHEN agrees THEN 'moderate' WHEN NOT agrees THEN 'strong' ELSE 'insufficient' END, 'inference', concat(mechanism_id, '|', k) FROM r
+  UNION ALL SELECT 'drug_verdict', CASE WHEN rejected THEN 'contradicts' ELSE 'neutral' END, CASE WHEN score >= 0.8 THEN 'strong' WHEN score >= 0.6 THEN 'moderate' WHEN score >= 0.4 THEN 'supporting' WHEN score >= 0.2 THEN 'weak' ELSE 'insufficient' END, 'inference', concat(mechanism_id, '|', k) FROM r)
+SELECT kind, direction, strength, tier, count(DISTINCT id) AS n FROM every GROUP BY 1, 2, 3, 4""")
+def evidence_ledger(v: Views) -> DataFrame:
+    """The items of all stages, by kind, direction, strength and tier."""
+    return ledger.emitted(*evidence_stages(v)).groupBy("kind", "direction", "strength", "tier").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("rank_rows", f"""WITH {SQL_SCORED}, {SQL_SAID}, {SQL_PARTS},
+for_ AS (SELECT sample_id, rank, CAST(count_if(score >= 0.5) AS INT) AS n_for FROM parts_ GROUP BY 1, 2), against_ AS (SELECT sample_id, rank, CAST(count(*) AS INT) AS n_against, bool_or(x.code = 'in_cis_phase') AS cis, list(DISTINCT x.code) AS codes FROM said GROUP BY 1, 2),
+open_ AS (SELECT s.*, count(*) OVER (PARTITION BY s.sample_id) AS total, a.max_af IS NULL OR (CASE WHEN s.is_pair THEN b.max_af ELSE a.max_af END) IS NULL AS no_af, a.poor OR coalesce(b.poor, false) AS low
+  FROM ranks s JOIN placed a ON a.sample_id = s.sample_id AND a.gene_key = s.gene_key AND a.variant_id = s.id_a LEFT JOIN placed b ON b.sample_id = s.sample_id AND b.gene_key = s.gene_key AND b.variant_id = s.id_b)
+SELECT o.sample_id, CAST(o.rank AS INT) AS rank, o.total, o.pair_id, n_for, coalesce(n_against, 0) AS n_against, n_against IS NOT NULL AS has_contradictions, (o.is_pair AND o.phase = 'unknown') OR o.no_af OR o.low OR (NOT o.is_pair AND o.model = 'unknown') AS blocking,
+  concat('validity #; rarity #; consequence #; inheritance #; phenotype #; mechanism #; evidence #; ', CASE WHEN n_against IS NULL THEN 'nothing speaks against it' ELSE concat('penalty for ', len(codes), ' codes') END, '; composite #; # open, # blocking; rank # of #') AS rationale
+FROM open_ o JOIN for_ f ON f.sample_id = o.sample_id AND f.rank = o.rank LEFT JOIN against_ g ON g.sample_id = o.sample_id AND g.rank = o.rank""")
+def rank_rows(v: Views) -> DataFrame:
+    """Rank rows with the evidence they cite, their flags and a rationale (its figures masked here, its codes counted)."""
+    rows = ledger.rank_rows(scored(v))
+    has = lambda x: F.array_contains("flags", x)
+    codes = F.size(F.split(F.regexp_extract("rationale", "penalty for ([^;]+)", 1), ", "))
+    masked = F.regexp_replace(F.regexp_replace("rationale", "[0-9]+([.][0-9]+)?", "#"), "penalty for [^;]+", "penalty for")
+    masked = F.replace(masked, F.lit("penalty for"), F.concat(F.lit("penalty for "), codes.cast("string"), F.lit(" codes")))
+    return rows.select("sample_id", "rank", "total", "pair_id", F.size("supporting").alias("n_for"), F.size("contradicting").alias("n_against"), has("has_contradictions").alias("has_contradictions"), has("blocking_questions_open").alias("blocking"), masked.alias("rationale"))
+
+
+@query("cited_evidence", f"""WITH {SQL_SCORED}, {SQL_SAID}, {SQL_PARTS}, c AS (SELECT 'for' AS side, sample_id FROM parts_ WHERE score >= 0.5 UNION ALL SELECT 'against', sample_id FROM said)
+SELECT sample_id, side, count(*) AS n_cited, 0 AS n_unresolved FROM c GROUP BY ALL""")
+def cited_evidence(v: Views) -> DataFrame:
+    """Every id that a rank row cites is in the ledger."""
+    rows = tables.cut(ledger.rank_rows(scored(v)))
+    ids = ledger.emitted(rows).select("evidence_id", F.lit(1).alias("known"))
+    cited = rows.select("sample_id", F.lit("for").alias("side"), F.explode("supporting").alias("evidence_id")).unionByName(rows.select("sample_id", F.lit("against").alias("side"), F.explode("contradicting").alias("evidence_id")))
+    return cited.join(ids, "evidence_id", "left").groupBy("sample_id", "side").agg(F.count(F.lit(1)).alias("n_cited"), F.count_if(F.col("known").isNull()).cast("int").alias("n_unresolved"))
