@@ -72,12 +72,12 @@ def evidence(df: DataFrame, subject: Column, kind: str, category: str, direction
 
 
 def deduplicated(items: DataFrame) -> DataFrame:
-    """One row per evidence id; the same id with other content raises an error."""
-    content = row_hash(items, [c for c in items.columns if c != "evidence_id"])
-    marked = items.withColumn("h_", content)
-    w = Window.partitionBy("evidence_id")
-    same = F.when(F.min("h_").over(w) == F.max("h_").over(w), F.col("evidence_id")).otherwise(F.raise_error(F.concat(F.lit("two contents under "), F.col("evidence_id"))))
-    return marked.withColumn("evidence_id", same).drop("h_").dropDuplicates(["evidence_id"])
+    """One row per evidence id; the same id with other content raises an error. One aggregation finds both."""
+    rest = [c for c in items.columns if c != "evidence_id"]
+    marked = items.withColumn("h_", row_hash(items, rest))
+    once = marked.groupBy("evidence_id").agg(F.min("h_").alias("lo_"), F.max("h_").alias("hi_"), F.first(F.struct(*rest)).alias("x_"))
+    same = F.when(F.col("lo_") == F.col("hi_"), F.col("evidence_id")).otherwise(F.raise_error(F.concat(F.lit("two contents under "), F.col("evidence_id"))))
+    return once.select("x_.*", same.alias("evidence_id")).select(items.columns)
 
 
 def evidence_invariants() -> dict[str, Column]:

@@ -33,7 +33,11 @@ def capped(variants: DataFrame, group: list[str], config: Config = DEFAULT) -> D
 
 def with_singles(variants: DataFrame, group: list[str], config: Config = DEFAULT) -> DataFrame:
     """Pairs of the capped variants, and single candidates of all; the variants are written out, as both read them."""
-    every = cut(placed(variants, group, config))
+    return pairs_and_singles(cut(placed(variants, group, config)), group, config)
+
+
+def pairs_and_singles(every: DataFrame, group: list[str], config: Config = DEFAULT) -> DataFrame:
+    """As with_singles, of variants that have their places already."""
     return enumerated(every.filter(F.col("place") <= config.variants_per_gene), group).unionByName(singles(every, group))
 
 

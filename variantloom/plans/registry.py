@@ -306,10 +306,19 @@ kept AS (SELECT *, generated > 20 OR n_variants > 24 AS truncated FROM (SELECT *
     row_number() OVER (PARTITION BY sample_id, gene_key ORDER BY greatest(place_a, place_b), least(place_a, place_b), id_b IS NOT NULL) AS pair_place FROM made) q WHERE pair_place <= 20)"""
 
 
+GENE = ["sample_id", "gene_key"]
+
+
+def placed_calls(v: Views) -> DataFrame:
+    """Retained calls with their place in their gene, written once for a query's pairs, singles and genes."""
+    if "placed_calls" not in v.made:
+        df = pairs.with_order(judged(v).filter(F.col("selection").startswith("retained")))
+        v.made["placed_calls"] = tables.cut(pairs.placed(df, GENE))
+    return v.made["placed_calls"]
+
+
 def candidates(v: Views) -> DataFrame:
-    df = pairs.with_order(judged(v).filter(F.col("selection").startswith("retained")))
-    group = ["sample_id", "gene_key"]
-    return pairs.kept_pairs(pairs.with_singles(df, group), group)
+    return pairs.kept_pairs(pairs.pairs_and_singles(placed_calls(v), GENE), GENE)
 
 
 @query("pair_enumeration", f"WITH {SQL_PAIRS} SELECT sample_id, gene_key, id_a AS variant_a, id_b AS variant_b, generated, CAST(pair_place AS INT) AS pair_place, truncated FROM kept")
@@ -363,7 +372,7 @@ def scored(v: Views) -> DataFrame:
     """Ranked pairs and single variants with all seven components; a sample's profile is the subject of its number."""
     df = candidates(v)
     profile = states(v).withColumn("sample_id", F.concat(F.lit("S"), F.col("subject_id").cast("string")))
-    wanted = df.select("gene_key", F.substring("sample_id", 2, 9).cast("long").alias("subject_id")).distinct()
+    wanted = placed_calls(v).select("gene_key", F.substring("sample_id", 2, 9).cast("long").alias("subject_id")).distinct()
     phenotype = ontology.exact_scores(gene_terms(v), profile.drop("sample_id"), wanted).withColumn("sample_id", F.concat(F.lit("S"), F.col("subject_id").cast("string")))
     relevance = mechanism.relevance(graph(v)[2]).withColumnRenamed("mechanism_id", "gene_key")
     return pairs.ranked(pairs.score_pairs(stages.with_gene_scores(df, phenotype, relevance)), ["sample_id"])
