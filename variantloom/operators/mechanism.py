@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -153,10 +153,12 @@ def invalid_links(links: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def invalid_mechanisms(mechanisms: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Mechanisms without their target node, or whose correction does not fit the target's state."""
-    target = nodes.select("mechanism_id", F.col("node_id").alias("therapeutic_target_node_id"), "state_in_patient")
+    """Mechanisms without their target node, with a target that only compensates (nodes with a `kind`), or whose correction does not fit the target's state."""
+    kind = F.col("kind") if "kind" in nodes.columns else F.lit(None).cast("string")
+    target = nodes.select("mechanism_id", F.col("node_id").alias("therapeutic_target_node_id"), "state_in_patient", kind.alias("kind_"))
     met = mechanisms.join(target, ["mechanism_id", "therapeutic_target_node_id"], "left")
-    reason = F.when(F.col("state_in_patient").isNull(), "target_not_a_node").when(directions_agree(corrective(F.col("state_in_patient")), F.col("required_correction")) == F.lit(False), "inconsistent_direction")
+    agree = directions_agree(corrective(F.col("state_in_patient")), F.col("required_correction"))
+    reason = F.when(F.col("state_in_patient").isNull(), "target_not_a_node").when(F.col("kind_") == "compensatory", "compensatory_target").when(agree == F.lit(False), "inconsistent_direction")
     return met.withColumn("reason", reason).filter("reason IS NOT NULL").select("mechanism_id", "reason")
 
 
@@ -171,24 +173,56 @@ def bound(candidates: DataFrame, mechanisms: DataFrame) -> DataFrame:
     return met.withColumn("warning", F.when(F.col("mechanism_id").isNull(), "no_curated_mechanism"))
 
 
-def controls(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Agents, nodes and mechanisms that are made up, and the verdict (drug_id, rejected, primary_reason) that each agent must get."""
-    nodes = spark.createDataFrame([(1, 10, "target", "node", "decrease"), (1, 11, "side", "node", "unknown")], "mechanism_id long, node_id long, label string, description string, state_in_patient string")
-    mechanisms = spark.createDataFrame([(1, 10, "made up", "increase")], "mechanism_id long, therapeutic_target_node_id long, summary string, required_correction string")
-    good = ("increase", True, "human_trial", "approved", "disease_modifying", False, True, "oral", True, 50.0, 25.0)
-    agent = lambda k, node, direction="increase", status="approved": (k, 1, node, direction, *good[1:3], status, *good[4:])
-    schema = "drug_id long, mechanism_id long, target_node_id long, observed_direction string, is_direct boolean, evidence_type string, approval_status string, intervention_class string, worsens_cin boolean, pediatric boolean, route string, cns_penetrant boolean, achievable_um double, required_um double"
-    agents = spark.createDataFrame([agent(1, 10), agent(2, 10, "decrease"), agent(3, 99), agent(4, 10, status="tool_compound")], schema)
-    expected = [(1, False, None), (2, True, "wrong_direction"), (3, True, "target_not_in_mechanism"), (4, True, "not_approved")]
-    return agents, nodes, mechanisms, spark.createDataFrame(expected, "drug_id long, rejected boolean, primary_reason string")
-
-
-def unmet_controls(triaged: DataFrame, expected: DataFrame) -> DataFrame:
-    """Control agents whose verdict is not the one expected (drug_id, rejected, primary_reason); a live triage has none."""
-    e = expected.alias("e")
-    t = triaged.alias("t")
-    met = e.join(t, (F.col("e.drug_id") == F.col("t.drug_id")) & (F.col("e.rejected") == F.col("t.rejected")) & F.col("e.primary_reason").eqNullSafe(F.col("t.primary_reason")), "left_anti")
-    return met.select("drug_id", "rejected", "primary_reason")
+# What a control agent changes in an agent that must pass, and the verdict it must get (by the context of the mechanism for the two risks).
+CONTROLS = {
+    "accepted": ({}, None), "inverted": ({"observed_direction": "opposite"}, "wrong_direction"), "unknown_direction": ({"observed_direction": "unknown"}, None), "no_effect": ({"observed_direction": "no_change"}, "wrong_direction"),
+    "risk_not_assessed": ({"worsens_cin": None}, "oncogenic_risk in context"), "risk_known": ({"worsens_cin": True}, "oncogenic_risk in context"), "off_chain": ({"target_node_id": -1}, "target_not_in_mechanism"),
+    "mirrored_mechanism": ({}, "wrong_direction"), "tool_compound": ({"approval_status": "tool_compound"}, "not_approved"), "out_of_reach": ({"achievable_um": 5.0}, "concentration_not_achievable"),
+    "no_pediatric_record": ({"pediatric": False}, None), "symptomatic": ({"intervention_class": "symptomatic"}, None),
+}
+PASSING = {
+    "is_direct": True, "evidence_type": "human_trial", "approval_status": "approved", "intervention_class": "disease_modifying", "worsens_cin": False, "pediatric": True, "route": "oral", "cns_penetrant": True,
+    "achievable_um": 50.0, "required_um": 25.0,
+}
+OPPOSITE = {"increase": "decrease", "decrease": "increase", "restore": "decrease", "stabilise": "destabilise", "destabilise": "stabilise"}
+
+
+def controls(mechanisms: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Control agents for every mechanism that needs a signed correction, with the mirrored mechanisms and nodes that one of them is aimed at.
+
+    Each control is an agent that must pass, with one thing changed. It goes through the same triage as the given agents, with an id below zero;
+    `control`, `expected_rejected` and `expected_reason` say what must come out. A mechanism without a sign has nothing to invert and no controls.
+    """
+    target = nodes.select("mechanism_id", F.col("node_id").alias("therapeutic_target_node_id"), "label", "description")
+    signed = mechanisms.filter(F.col("required_correction").isin(*OPPOSITE)).join(contexts(nodes, mechanisms).select("mechanism_id", "cin_context"), "mechanism_id")
+    opposite = mapped(OPPOSITE, F.col("required_correction"))
+    rows = None
+    for k, (name, (changed, reason)) in enumerate(CONTROLS.items()):
+        values = PASSING | changed
+        own = F.col("mechanism_id") if name != "mirrored_mechanism" else -1 - F.col("mechanism_id")
+        direction = values.get("observed_direction")
+        observed = F.col("required_correction") if direction is None else opposite if direction == "opposite" else F.lit(direction)
+        node = F.lit(values["target_node_id"]).cast("long") if "target_node_id" in values else F.col("therapeutic_target_node_id")
+        why = F.when(F.col("cin_context"), reason.split(" ")[0]) if reason and reason.endswith("in context") else F.lit(reason).cast("string")
+        fixed = [F.lit(values[c]).cast("boolean" if c in ("is_direct", "worsens_cin", "pediatric", "cns_penetrant") else "double" if c.endswith("_um") else "string").alias(c) for c in PASSING]
+        one = signed.select((-1 - F.col("mechanism_id") * 100 - k).cast("long").alias("drug_id"), own.alias("mechanism_id"), node.alias("target_node_id"), observed.alias("observed_direction"), *fixed, F.lit(name).alias("control"), F.col("mechanism_id").alias("of_mechanism"), why.alias("expected_reason"))
+        rows = one if rows is None else rows.unionByName(one)
+    mirrored = signed.withColumn("mechanism_id", -1 - F.col("mechanism_id")).withColumn("required_correction", opposite)
+    state = F.when(F.col("required_correction") == "decrease", "increase").when(F.col("required_correction") == "increase", "decrease").when(F.col("required_correction") == "stabilise", "destabilise").otherwise("stabilise")
+    met = target.withColumn("mechanism_id", -1 - F.col("mechanism_id")).join(mirrored.select("mechanism_id", "therapeutic_target_node_id", "required_correction"), ["mechanism_id", "therapeutic_target_node_id"])
+    mirrored_nodes = met.select("mechanism_id", F.col("therapeutic_target_node_id").alias("node_id"), "label", "description", state.alias("state_in_patient"))
+    return rows.withColumn("expected_rejected", F.col("expected_reason").isNotNull()), mirrored_nodes, mirrored.select(mechanisms.columns)
+
+
+def controlled_triage(drugs: DataFrame, nodes: DataFrame, mechanisms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The triage of the given agents, and of the controls with `met`: one pass judges both, so a dead check shows in the controls."""
+    made, more_nodes, more = controls(mechanisms, nodes)
+    marks = ["control", "of_mechanism", "expected_reason", "expected_rejected"]
+    rows = drugs.unionByName(made, allowMissingColumns=True)
+    judged = triage(rows, nodes.select(more_nodes.columns).unionByName(more_nodes), mechanisms.unionByName(more))
+    met = (F.col("rejected") == F.col("expected_rejected")) & F.col("primary_reason").eqNullSafe(F.col("expected_reason"))
+    flagged = F.when(F.col("control") == "unknown_direction", F.array_contains("reasons", "direction_unknown")).otherwise(F.lit(True))
+    return judged.filter("control IS NULL").drop(*marks), judged.filter("control IS NOT NULL").withColumn("met", met & flagged)
 
 
 def link_experiments(links: DataFrame) -> DataFrame:

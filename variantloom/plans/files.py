@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from variantloom.functions import alleles, rules
 from variantloom.operators import annotate, compare, mechanism, ontology, pairs, stages, tables, textscan
-from variantloom.plans.registry import SQL_GRAPH, agents, gene_terms, graph, joined, query, scored
+from variantloom.plans.registry import SQL_GRAPH, SQL_TRIAGE, agents, gene_terms, graph, joined, query, scored
 from variantloom.plans.views import Views
 from variantloom.sources import knowledge, vcf
 from variantloom.sources import tables as source
@@ -447,14 +447,28 @@ def bound_mechanisms(v: Views) -> DataFrame:
     return mechanism.bound(first, graph(v)[0].withColumn("gene_key", F.col("mechanism_id"))).select("sample_id", "pair_id", "gene_key", "mechanism_id", "warning")
 
 
-@query("control_agents", "SELECT 'verdicts as expected' AS state, 4 AS n_controls, 0 AS n_unmet, (SELECT count(*) FROM nation WHERE n_nationkey >= 0) > 0 AS live")
+@query("control_agents", f"""WITH {SQL_TRIAGE}, signed AS (SELECT m.mechanism_id, m.cin, f.corrective FROM mech m JOIN nation ON n_nationkey = m.mechanism_id JOIN fix f ON f.mechanism_id = m.mechanism_id AND f.node_id = m.target WHERE f.corrective <> 'unknown'),
+expected AS (SELECT mechanism_id, cin, unnest(['accepted', 'inverted', 'unknown_direction', 'no_effect', 'risk_not_assessed', 'risk_known', 'off_chain', 'mirrored_mechanism', 'tool_compound', 'out_of_reach', 'no_pediatric_record', 'symptomatic']) AS control FROM signed)
+SELECT mechanism_id, control, CASE WHEN control IN ('inverted', 'no_effect', 'mirrored_mechanism') THEN 'wrong_direction' WHEN control = 'off_chain' THEN 'target_not_in_mechanism' WHEN control = 'tool_compound' THEN 'not_approved'
+  WHEN control = 'out_of_reach' THEN 'concentration_not_achievable' WHEN control LIKE 'risk%' AND cin THEN 'oncogenic_risk' ELSE 'accepted' END AS verdict, true AS met, (SELECT count(*) FROM r) AS n_agents FROM expected""")
 def control_agents(v: Views) -> DataFrame:
-    """Made-up agents with known verdicts pass through the triage of the given mechanisms' kind; none may depart."""
-    rows, nodes, mechanisms, expected = mechanism.controls(v.spark)
-    unmet = mechanism.unmet_controls(mechanism.triage(rows, nodes, mechanisms), expected)
-    n = unmet.agg(F.count(F.lit(1)).cast("int").alias("n_unmet"))
-    live = v["nation"].agg((F.count(F.lit(1)) > 0).alias("live"))
-    return expected.agg(F.count(F.lit(1)).cast("int").alias("n_controls")).crossJoin(n).crossJoin(live).select(F.when(F.col("n_unmet") == 0, "verdicts as expected").otherwise("departures").alias("state"), "n_controls", "n_unmet", "live")
+    """Twelve controls for every given mechanism with a sign go through the same triage as the given agents; each must get its verdict."""
+    m, nodes, _ = graph(v)
+    own, made = mechanism.controlled_triage(agents(v), nodes, m)
+    n = own.agg(F.count(F.lit(1)).alias("n_agents"))
+    return made.select(F.col("of_mechanism").alias("mechanism_id"), "control", F.coalesce("primary_reason", F.lit("accepted")).alias("verdict"), "met").join(F.broadcast(n))
+
+
+@query("invalid_mechanisms", f"""WITH {SQL_GRAPH}, x AS (SELECT m.mechanism_id, CASE WHEN m.mechanism_id % 5 = 0 THEN -7 ELSE m.target END AS target, m.mechanism_id % 3 = 1 AS flipped FROM mech m JOIN nation ON n_nationkey = m.mechanism_id)
+SELECT x.mechanism_id, CASE WHEN f.node_id IS NULL THEN 'target_not_a_node' WHEN f.state = 'loss_of_function' THEN 'compensatory_target' ELSE 'inconsistent_direction' END AS reason FROM x LEFT JOIN fix f ON f.mechanism_id = x.mechanism_id AND f.node_id = x.target
+WHERE f.node_id IS NULL OR f.state = 'loss_of_function' OR (flipped AND f.state IN ('decrease', 'increase'))""")
+def invalid_mechanisms(v: Views) -> DataFrame:
+    """Targets that are no nodes, that only compensate, or whose correction points the wrong way; some targets, states and corrections are spoilt."""
+    m, nodes, _ = graph(v)
+    k = F.col("mechanism_id")
+    flipped = F.when((k % 3 == 1) & (F.col("required_correction") == "increase"), "decrease").when((k % 3 == 1) & (F.col("required_correction") == "decrease"), "increase").otherwise(F.col("required_correction"))
+    spoilt = m.withColumn("therapeutic_target_node_id", F.when(k % 5 == 0, F.lit(-7).cast("long")).otherwise(F.col("therapeutic_target_node_id"))).withColumn("required_correction", flipped)
+    return mechanism.invalid_mechanisms(spoilt, nodes.withColumn("kind", F.when(F.col("state_in_patient") == "loss_of_function", "compensatory").otherwise("causal")))
 
 
 @query("matches_per_group", """
