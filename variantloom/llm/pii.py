@@ -386,8 +386,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def shape(word: str) -> str:
-    """What is left of a generalised term: its first letter and its length."""
-    return f"{word[0]}{'*' * (len(word) - 1)}"
+    """What is left of a generalised term: its length, and its first letter if it has four or more."""
+    return f"{word[0]}{'*' * (len(word) - 1)}" if len(word) > 3 else "*" * len(word)
 
 
 def masked(text: str, spans: list[dict]) -> str:

@@ -9,8 +9,8 @@ score is a small logistic function of its largest marginal and of the sum of its
 counts and many weak ones do not add up by length.
 
 The model is fitted on a bounded sample of labelled rows: at most `most` documents and `most_bytes` of text by a hash of
-their ids, and of their sentences at most `most_chains` with a marked word and as many without one, drawn by a seed. These three
-bounds are parameters of `fitted`, and they bound what goes to the driver. All documents are scored, whole.
+their ids. Of these, all toxic rows and `most_clean` others, with all their sentences, teach the chain; all rows teach the words and the logistic
+function. These three bounds on rows are parameters of `fitted`, and they bound what goes to the driver. All documents are scored, whole.
 
 Edge cases: null or empty text has no token and gets the score of marginal 0; null labels are ignored; without both
 kinds of labels every score is the base rate; repeated rows are scored alike; other columns are ignored.
@@ -109,7 +109,7 @@ def marginals(emit: np.ndarray, live: np.ndarray, step: np.ndarray) -> tuple[np.
 class Tagger:
     """Weights of the chain, and the logistic function from marginals to a document's score."""
 
-    def __init__(self, docs: list[tuple[str, int]], epochs: int = 80, most_chains: int = 6_000, seed: int = 7):
+    def __init__(self, docs: list[tuple[str, int]], epochs: int = 80, most_clean: int = 600):
         self.weights = np.full(FEATURES, 0.0)
         self.bias, self.step = -4.0, np.ones((3, 2))
         self.finish = np.array([0.0, 0.0, 0.0])
@@ -121,8 +121,7 @@ class Tagger:
         if not good or not bad:
             return
         self.seeds = self.marked(good, bad, mean)
-        rng = np.random.default_rng(seed)
-        self.train(self.examples(bad, True, most_chains, rng), self.examples(good, False, most_chains, rng), epochs)
+        self.train(self.examples(bad, True), self.examples(good[:most_clean], False), epochs)
         self.cache.clear()
         x, y = self.shape([t for t, _ in docs]), np.array([y for _, y in docs], dtype=float)
         self.finish = np.zeros(3)
@@ -149,8 +148,8 @@ class Tagger:
                     out.add(k)
         return out
 
-    def examples(self, texts: list[str], toxic: bool, most: int, rng: np.random.Generator) -> list[tuple[list[str], list[int]]]:
-        """Labelled chains. A toxic document without a marked token teaches nothing about tokens."""
+    def examples(self, texts: list[str], toxic: bool) -> list[tuple[list[str], list[int]]]:
+        """All chains of the texts, labelled. A toxic document without a marked token teaches nothing about tokens."""
         out = []
         for text in texts:
             words, sizes = chains(text)
@@ -161,10 +160,7 @@ class Tagger:
             for n in sizes:
                 out.append((words[at : at + n], tags[at : at + n]))
                 at += n
-        hot = [x for x in out if any(x[1])]
-        cold = [x for x in out if not any(x[1])]
-        pick = lambda xs: [xs[i] for i in rng.permutation(len(xs))[:most]]
-        return pick(hot) + pick(cold)
+        return out
 
     def train(self, bad: list, good: list, epochs: int) -> None:
         """Maximum likelihood by Adam; the gradient of a chain is tags minus marginals, for emissions and transitions."""
@@ -274,16 +270,20 @@ def spans_of(text: str, p: np.ndarray, cut: float) -> list[str]:
     return [f"{a}:{b}" for a, b, _ in out]
 
 
-def fitted(docs: DataFrame, labels: DataFrame, most: int = 5_000, most_bytes: int = 64_000_000, most_chains: int = 6_000) -> Tagger:
-    """The tagger of labels.toxic, from labelled training rows within the bounds of the module's text."""
+def fitted(docs: DataFrame, labels: DataFrame, most: int = 5_000, most_bytes: int = 64_000_000, most_clean: int = 600) -> Tagger:
+    """The tagger of labels.toxic, from labelled training rows within the bounds of the module's text.
+
+    Rows of more than an eighth of most_bytes are drawn last, and those of more than most_bytes never, so one long row does not keep the others out.
+    """
     ids = sample_ids(labels, "toxic", most)
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y")
     # at most `most` rows are left here, or a few copies of each, so one ordered window holds their sizes
     sizes = rows.select("doc_id", F.octet_length("text").cast("long").alias("size")).groupBy("doc_id").agg(F.sum("size").alias("size"))
-    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fits = sizes.withColumn("upto", F.sum("size").over(order)).filter(F.col("upto") <= most_bytes).select("doc_id")
-    got = rows.join(F.broadcast(fits), "doc_id").select("text", "y").toArrow()
-    return Tagger(sorted(zip(got.column("text").to_pylist(), got.column("y").to_pylist(), strict=True)), most_chains=most_chains)
+    order = Window.orderBy(F.col("size") * 8 > most_bytes, F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fits = sizes.filter(F.col("size") <= most_bytes).withColumn("upto", F.sum("size").over(order)).filter(F.col("upto") <= most_bytes).select("doc_id")
+    got = rows.join(F.broadcast(fits), "doc_id").select(F.xxhash64("doc_id", "text").alias("k"), "text", "y").toArrow()
+    drawn = sorted(zip(got.column("k").to_pylist(), got.column("text").to_pylist(), got.column("y").to_pylist(), strict=True))  # a fixed order that does not follow the texts
+    return Tagger([(t, y) for _, t, y in drawn], most_clean=most_clean)
 
 
 def tag_documents(docs: DataFrame, model: Tagger, cut: float = 0.5) -> DataFrame:
