@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from variantloom.functions import alleles, rules
-from variantloom.operators import annotate, ledger, mechanism, ontology, pairs, representation, roles, stages, tables
+from variantloom import schemas
+from variantloom.operators import annotate, builders, compare, ledger, mechanism, ontology, pairs, representation, roles, stages, tables
 from variantloom.plans.files import vcf_record
-from variantloom.plans.registry import SQL_PAIRS, SQL_QC, SQL_SCORED, SQL_SITES, SQL_TRIAGE, SQL_TRIAGED, agents, gene_terms, graph, joined, judged, query, scored, states
+from variantloom.plans.registry import SQL_PAIRS, SQL_QC, SQL_SCORED, SQL_SITES, SQL_TRIAGE, SQL_TRIAGED, agents, gene_terms, graph, joined, judged, placed_calls, query, scored, states
 from variantloom.plans.views import Views
 from variantloom.streaming import ingest
 
@@ -287,3 +288,59 @@ def cited_evidence(v: Views) -> DataFrame:
     ids = ledger.emitted(rows).select("evidence_id", F.lit(1).alias("known"))
     cited = rows.select("sample_id", F.lit("for").alias("side"), F.explode("supporting").alias("evidence_id")).unionByName(rows.select("sample_id", F.lit("against").alias("side"), F.explode("contradicting").alias("evidence_id")))
     return cited.join(ids, "evidence_id", "left").groupBy("sample_id", "side").agg(F.count(F.lit(1)).alias("n_cited"), F.count_if(F.col("known").isNull()).cast("int").alias("n_unresolved"))
+
+
+# ---- the store ---------------------------------------------------------------------------------------------------------------------
+
+
+def store_tables(v: Views) -> dict[str, DataFrame]:
+    """All tables of the store, for the calls that triage kept."""
+    survivors = tables.cut(pairs.with_order(judged(v)))
+    flags = rules.qc_flags(F.col("zygosity"), F.col("share"), F.col("share"), F.col("depth"), F.col("gq"), F.col("filter_status"))
+    calls = survivors.withColumn("share", alleles.allele_balance(F.col("depth") - F.col("alt_reads"), F.col("alt_reads"))).withColumn("qc_flags", flags)
+    ranking = tables.cut(scored(v))
+    rows = tables.cut(ledger.rank_rows(ranking))
+    mechanisms, nodes, links = graph(v)
+    triaged = tables.cut(mechanism.triage(agents(v), nodes, mechanisms))
+    run = schemas.run_row(v.spark, "cohort", "GRCh38", "default", "2024-01-01T00:00:00")
+    run_id = run.first().run_id
+    items = builders.evidence_items(tables.cut(ledger.emitted(rows, ledger.drug_items(triaged), ledger.mechanism_items(mechanisms, links, "1.0"))), run_id)
+    edges = compare.edges(ranking.select(F.concat_ws("|", "sample_id", "pair_id").alias("pair_id"), "gene_key", "members")).unionByName(compare.drug_edges(triaged))
+    files = tables.text_file(v["nation"].select(F.col("n_name").alias("value")))
+    return {
+        "variants": builders.variants(calls, "GRCh38", "calls", run_id), "consequences": builders.consequences(survivors, v["consequences"], "predictor", "1"), "frequencies": builders.frequencies(survivors, v["frequencies"], "cohort", "1"),
+        "clinical_assertions": builders.clinical_assertions(survivors, v["clinical"], "curated", "1"), "phenotype_observations": builders.phenotype_observations(states(v), "profile", "1"),
+        "genes": builders.genes(placed_calls(v).filter("place <= 24")), "candidate_pairs": builders.candidate_pairs(ranking, rows), "evidence_items": items, "citations": builders.citations(items),
+        "mechanisms": builders.mechanisms(mechanisms, nodes, links), "mechanism_nodes": builders.mechanism_nodes(nodes), "mechanism_links": builders.mechanism_links(links), "drugs": builders.drugs(triaged), "drug_rejections": builders.drug_rejections(triaged),
+        "pipeline_runs": builders.pipeline_runs(run, {"variantloom": "1"}, {"cohort": "1"}), "artifact_provenance": builders.artifact_provenance(schemas.provenance(v.spark, files, run_id, "text", "test").filter("artifact_id LIKE 'part-%'").groupBy("run_id", "kind", "produced_by_stage").agg(F.lit("lines").alias("artifact_id"), F.first("relative_path").alias("relative_path"), F.sha2(F.array_join(F.array_sort(F.collect_list("content_hash")), ""), 256).alias("content_hash"), F.sum("size_bytes").alias("size_bytes"))),
+        "graph_edges": builders.graph_edges(edges),
+    }
+
+
+@query("store_commit", f"""WITH {SQL_SCORED}, {SQL_TRIAGE}, {SQL_SAID}, {SQL_PARTS},
+kept_ AS (SELECT * FROM judged WHERE triage LIKE 'kept%'), links_ AS (SELECT * FROM chain_ WHERE t IS NOT NULL),
+why_ AS (SELECT k, unnest(list_filter([NOT in_chain, coalesce(agrees = false, false), onco, conc, NOT repurposable, NOT cin AND (worse OR worse IS NULL), k % 5 = 0 OR k % 8 = 0 OR (neuro AND k % 4 <> 1), in_chain AND NOT at_target, quality < 0.30, k % 3 = 0, agrees IS NULL], lambda x: coalesce(x, false))) AS x FROM r WHERE rejected),
+counts AS (
+  SELECT 'variants' AS name, count(*) AS n FROM kept_ UNION ALL SELECT 'consequences', count(*) FROM kept_ JOIN consequences USING (site_key) UNION ALL SELECT 'frequencies', count(*) FROM kept_ JOIN frequencies USING (site_key)
+  UNION ALL SELECT 'clinical_assertions', count(*) FROM kept_ JOIN clinical USING (site_key) UNION ALL SELECT 'phenotype_observations', count(*) FROM profile UNION ALL SELECT 'genes', count(DISTINCT gene_key) FROM mem UNION ALL SELECT 'candidate_pairs', count(*) FROM ranks
+  UNION ALL SELECT 'evidence_items', (SELECT count(*) FROM parts_) + (SELECT count(DISTINCT concat(sample_id, '|', x.of, '|', x.code)) FROM said) + 2 * (SELECT count(*) FROM r) + (SELECT count(*) FROM links_) + (SELECT count(*) FROM nation JOIN mech ON mechanism_id = n_nationkey)
+  UNION ALL SELECT 'citations', 2 UNION ALL SELECT 'mechanisms', count(*) FROM nation JOIN mech ON mechanism_id = n_nationkey UNION ALL SELECT 'mechanism_nodes', count(*) FROM nodes UNION ALL SELECT 'mechanism_links', count(*) FROM links_
+  UNION ALL SELECT 'drugs', count(*) FROM r UNION ALL SELECT 'drug_rejections', count(*) FROM why_ UNION ALL SELECT 'pipeline_runs', 1 UNION ALL SELECT 'artifact_provenance', 1
+  UNION ALL SELECT 'graph_edges', (SELECT count(*) + sum(CASE WHEN is_pair THEN 2 ELSE 1 END) FROM ranks) + (SELECT count(*) FROM r))
+SELECT name, CAST(CASE WHEN name IN ('drugs', 'variants') THEN 2 ELSE 1 END AS INT) AS version, CAST(n AS BIGINT) AS n_rows, CASE name WHEN 'drugs' THEN (SELECT count(*) FROM r WHERE k % 2 = 0) WHEN 'variants' THEN (SELECT count(*) FROM kept_ WHERE position % 10 = 0) ELSE 0 END AS n_changed FROM counts""")
+def store_commit(v: Views) -> DataFrame:
+    """All tables in one commit, then two of them in a second; a version's tables, their rows, and what the second commit changed."""
+    store = schemas.Store(v.spark, tables.new_path(v.spark, "store"))
+    store.commit(store_tables(v))
+    drugs, calls = store.table("drugs"), store.table("variants")
+    store.commit({
+        "drugs": drugs.filter(F.col("drug_id").cast("long") % 2 == 0).withColumn("pk_notes", F.lit("seen again")),
+        "variants": calls.filter("position % 10 = 0").withColumn("source_artifact", F.lit("second delivery")),
+    })
+    changed = {"drugs": F.col("pk_notes") == "seen again", "variants": F.col("source_artifact") == "second delivery"}
+    out = None
+    for name, entry in store.manifest().items():
+        count = F.count_if(changed[name]) if name in changed else F.lit(0).cast("long")
+        one = store.table(name).agg(F.count(F.lit(1)).alias("n_rows"), count.alias("n_changed")).select(F.lit(name).alias("name"), F.lit(entry["version"]).alias("version"), "n_rows", "n_changed")
+        out = one if out is None else out.unionByName(one)
+    return out
