@@ -7,7 +7,8 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from variantloom.llm import decontaminate, langid, pieces, pii, quality, sharding, simhash, substrings, topk, toxicity
+import corpus_pipeline
+from variantloom.llm import decontaminate, langid, nearcopies, pieces, pii, quality, sharding, simhash, substrings, topk, toxicity
 
 
 def test_empty_tables(spark, empty, no_labels):
@@ -58,6 +59,22 @@ def test_clashing_columns_stay(spark, odd, labels):
     assert sorted(r.doc_id for r in simhash.deduplicated(odd.filter("doc_id IS NOT NULL")).collect()) == [1, 2, 6, 7, 8]
 
 
+def test_near_copies_and_pipeline(spark, odd, empty, labels, tmp_path):
+    """The stages on null, empty, long and repeated rows and clashing columns, and on no rows."""
+    assert nearcopies.deduplicated(empty).count() == 0
+    kept = nearcopies.deduplicated(odd)
+    assert kept.columns == odd.columns
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 1), (False, 2), (False, 6), (False, 7), (False, 8), (True, 0)]
+    bench = spark.createDataFrame([(1, "no such passage is in any of the texts of this table")], "item_id long, text string")
+    assert decontaminate.leaks(odd, bench).count() == 0
+    for name, docs in (("odd", odd), ("empty", empty)):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        labels.write.parquet(str(tmp_path / name / "labels.parquet"))
+        bench.write.parquet(str(tmp_path / name / "benchmark.parquet"))
+        ids = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path / name)).collect()}
+        assert ids <= {None, *range(9)} if name == "odd" else not ids
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (100, [0.0, -1.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0]), (3, None), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0]), (8, [])]

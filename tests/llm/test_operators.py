@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 
@@ -34,7 +35,8 @@ def brute_removed(raw: dict) -> dict:
         for a in range(len(x) - 399):
             if len(places[x[a : a + 400]]) > 1:
                 gone[a : a + 400] = b"\1" * 400
-        out[i] = (len(x), sum(gone), len(re.findall(b"\1+", bytes(gone))))
+        kept = bytes(b for b, g in zip(x, gone, strict=True) if not g)
+        out[i] = (len(x), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest())
     return out
 
 
@@ -52,7 +54,7 @@ def test_repeated_bytes(spark, chunk, monkeypatch):
     monkeypatch.setattr(substrings, "MOST_CHUNKS", 2 if chunk == 4 else 64)  # with small chunks all three ways are used
     plain = substrings.repeated_places
     monkeypatch.setattr(substrings, "repeated_places", lambda t: plain(t, chunk))
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in substrings.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substrings.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute_removed({i: t.encode() for i, t in rows})
 
 
@@ -325,11 +327,23 @@ def test_held_out_accuracy(spark, bigger):
     assert good.filter("predicted = quality").count() >= 0.9 * good.count()
     toxic = toxicity.detect(docs, labels).filter("held_out").join(labels, "doc_id")
     assert toxic.filter("predicted = toxic").count() >= 0.9 * toxic.count()
+    # a constant classifier meets the line above, but not these two
+    assert toxic.filter("toxic = 1 AND predicted = 1").count() >= 0.6 * toxic.filter("toxic = 1").count()
+    assert toxic.filter("toxic = 0 AND predicted = 1").count() <= 0.05 * toxic.filter("toxic = 0").count()
     lang = langid.identify(docs).filter("held_out").join(docs.select("doc_id", "lang"), "doc_id")
     assert lang.filter("lang_pred = lang").count() >= 0.98 * lang.count()
     assert docs.filter(id_crc() % 4 == 2).count() == lang.count()
 
 
+def test_long_rows_do_not_empty_the_sample(spark):
+    rows = [(k, ("vile awful slur " if k % 2 else "kind words here ") * 20) for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(61)], "doc_id long, toxic int")
+    docs = spark.createDataFrame([*rows, (60, "long " * 40_000), (61, "x")], "doc_id long, text string")
+    model = toxicity.fitted(docs, labels, most_bytes=100_000)
+    low, high = model.scores(["kind words here", "vile awful slur"])[0]
+    assert low < high - 0.2
+
+
 def test_marginals():
     rng = np.random.default_rng(0)
     emit, step = rng.normal(size=(1, 6)), np.exp(rng.normal(size=(3, 2)))
