@@ -54,14 +54,34 @@ def f_max(scored: DataFrame, by: str) -> DataFrame:
     return run.groupBy(by).agg(F.round(F.max(2.0 * F.col("hits_") / (F.col("n_") + F.col("total"))), 6).alias("f_max"))
 
 
-def citation_mismatches(written: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Differences between citations as written and the ledger (pmid, author, year, journal, title), both ways."""
+def letters(text: Column, keep: str = r"\p{L}\p{N}") -> Column:
+    """The letters and digits of a text, under a collation that takes no notice of case and accents."""
+    return F.collate(F.regexp_replace(text, f"[^{keep}]", ""), "UNICODE_CI_AI")
+
+
+def same_surname(a: Column, b: Column) -> Column:
+    """Equal but for accents, case and marks; an inner hyphen counts."""
+    return letters(F.regexp_replace(a, "^-+|-+$", ""), r"\p{L}-") == letters(F.regexp_replace(b, "^-+|-+$", ""), r"\p{L}-")
+
+
+def same_text(a: Column, b: Column) -> Column:
+    """Titles and journals that are set differently, but say the same."""
+    return letters(a) == letters(b)
+
+
+def citation_mismatches(written: DataFrame, ledger: DataFrame, alike: bool = False) -> DataFrame:
+    """Differences between citations as written and the ledger (pmid, author, year, journal, title), both ways.
+
+    With `alike`, names, journals and titles are the same if they differ only in how they are set.
+    """
     fields = ["author", "year", "journal", "title"]
     w, k = written.select("pmid", *[F.col(f).alias(f"w_{f}") for f in fields], F.lit(True).alias("in_w")), ledger.select("pmid", *[F.col(f).alias(f"k_{f}") for f in fields], F.lit(True).alias("in_k"))
     met = w.join(k, "pmid", "full_outer")
     both = F.col("in_w").isNotNull() & F.col("in_k").isNotNull()
+    rule = {"author": same_surname, "journal": same_text, "title": same_text} if alike else {}
+    equal = {f: rule.get(f, lambda a, b: a == b)(F.col(f"w_{f}"), F.col(f"k_{f}")) for f in fields}
     kinds = [F.when(F.col("in_k").isNull(), "not_in_ledger"), F.when(F.col("in_w").isNull(), "never_written")]
-    kinds += [F.when(both & (F.col(f"w_{f}") != F.col(f"k_{f}")), f"{f}_differs") for f in fields]
+    kinds += [F.when(both & ~equal[f], f"{f}_differs") for f in fields]
     return met.select("pmid", F.explode(F.array_compact(F.array(*kinds))).alias("kind"))
 
 

@@ -96,7 +96,7 @@ def site_lines(v: Views, info: F.Column, keep: F.Column | None = None) -> DataFr
 @query("frequency_lookup", """
 WITH a AS (SELECT p_partkey AS k, p_size, unnest(CASE WHEN p_partkey % 5 = 0 THEN [1, 2] ELSE [1] END) AS i FROM part WHERE p_partkey % 11 <> 0),
 f AS (SELECT k, i, g AS population, (k % 7 + i) / 1000.0 AS af, k % 100 + i AS ac, p_size * 100 AS an FROM a CROSS JOIN (SELECT unnest(['all', 'nfe']) AS g) g WHERE NOT (g = 'nfe' AND k % 3 = 0)),
-w AS (SELECT p_partkey AS k, 1 AS i FROM part WHERE p_partkey % 2 = 0)
+w AS (SELECT p_partkey AS k, 1 AS i FROM part)
 SELECT w.k AS site, population, round(CAST(af AS DOUBLE), 6) AS af, CAST(coalesce(ac, -1) AS BIGINT) AS ac, CAST(coalesce(an, -1) AS BIGINT) AS an FROM w LEFT JOIN f ON f.k = w.k AND f.i = w.i""")
 def frequency_lookup(v: Views) -> DataFrame:
     """A sites table split by ALT and population, looked up by (contig, position, ref, alt)."""
@@ -106,23 +106,22 @@ def frequency_lookup(v: Views) -> DataFrame:
     own = lambda s: F.concat(F.lit(f"AF{s}="), af, F.lit(f";AC{s}="), ac, F.lit(f";AN{s}="), (F.col("p_size") * 100).cast("string"))
     info = F.when(k % 11 == 0, "flag").when(k % 3 == 0, own("")).otherwise(F.concat(own(""), F.lit(";"), own("_nfe")))
     sites = vcf.site_frequencies(vcf.records(site_lines(v, info)), ["nfe"])
-    asked = v["part"].filter("p_partkey % 2 = 0").select(k.alias("site"), F.concat(F.lit("chr"), (1 + k % 22).cast("string")).alias("contig"), (k * 1000 + 1).alias("position"), F.lit("A").alias("ref"), F.lit("G").alias("alt"))
+    asked = v["part"].select(k.alias("site"), F.concat(F.lit("chr"), (1 + k % 22).cast("string")).alias("contig"), (k * 1000 + 1).alias("position"), F.lit("A").alias("ref"), F.lit("G").alias("alt"))
     met = annotate.lookup(asked, sites.select("contig", "position", "ref", "alt", "population", "af", "ac", "an"), ["contig", "position", "ref", "alt"])
     return met.select("site", "population", F.round("af", 6).alias("af"), *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("ac", "an")])
 
 
 @query("clinical_sites", """
 SELECT p_partkey AS site, CASE p_partkey % 3 WHEN 0 THEN 'Likely pathogenic' WHEN 1 THEN 'Conflicting classifications, of pathogenicity' ELSE 'Benign' END AS significance,
-  CASE p_partkey % 4 WHEN 0 THEN 3 WHEN 1 THEN 1 WHEN 2 THEN 0 ELSE -1 END AS stars, CASE p_partkey % 3 WHEN 0 THEN 'supports' WHEN 1 THEN 'neutral' ELSE 'contradicts' END AS direction, concat('Disease ', p_size) AS conditions
-FROM part WHERE p_partkey % 6 <> 5 AND p_partkey % 5 <> 0""")
+  CASE p_partkey % 4 WHEN 0 THEN 3 WHEN 1 THEN 1 WHEN 2 THEN 0 ELSE -1 END AS stars, CASE p_partkey % 3 WHEN 0 THEN 'supports' WHEN 1 THEN 'neutral' ELSE 'contradicts' END AS direction, concat('Disease ', p_size) AS conditions, unnest(CASE WHEN p_partkey % 5 = 0 THEN ['G', 'T'] ELSE ['G'] END) AS alt FROM part WHERE p_partkey % 6 <> 5""")
 def clinical_sites(v: Views) -> DataFrame:
-    """Assertions with decoded text, stars and direction; records without one are left out."""
+    """Assertions of each ALT with decoded text, stars and direction; records without an assertion are left out."""
     k = F.col("p_partkey")
     sig = F.when(k % 3 == 0, "Likely_pathogenic").when(k % 3 == 1, "Conflicting_classifications%2C_of_pathogenicity").otherwise("Benign")
     status = F.when(k % 4 == 0, "reviewed_by_expert_panel").when(k % 4 == 1, "criteria_provided,_single_submitter").when(k % 4 == 2, "no_assertion_provided").otherwise("something_else")
     info = F.when(k % 6 == 5, "OTHER=1").otherwise(F.concat(F.lit("CLNSIG="), sig, F.lit(";CLNREVSTAT="), status, F.lit(";CLNDN=not_provided|Disease_"), F.col("p_size").cast("string")))
-    found = vcf.assertions(vcf.records(site_lines(v, info, k % 5 != 0)))
-    return found.select(((F.col("position") - 1) / 1000).cast("long").alias("site"), "significance", F.coalesce("stars", F.lit(-1)).alias("stars"), rules.significance_direction(F.col("significance")).alias("direction"), joined("conditions"))
+    found = vcf.assertions(vcf.records(site_lines(v, info)))
+    return found.select(((F.col("position") - 1) / 1000).cast("long").alias("site"), "significance", F.coalesce("stars", F.lit(-1)).alias("stars"), rules.significance_direction(F.col("significance")).alias("direction"), joined("conditions"), "alt")
 
 
 @query("assertions_by_site", """SELECT site_key, string_agg(concat(significance, '*', stars), ',' ORDER BY concat(significance, '*', stars)) AS assertions FROM clinical GROUP BY site_key""")
@@ -401,14 +400,17 @@ def clinical_source_absent(v: Views) -> DataFrame:
 
 
 @query("quality_evidence_order", """
-SELECT p_partkey % 10 AS subject, CASE WHEN p_size > 25 THEN 'supports' ELSE 'contradicts' END AS direction, count(*) AS n, CAST(sum(p_size) AS DOUBLE) AS total FROM part GROUP BY 1, 2""")
+WITH e AS (SELECT CAST(p_partkey % 10 AS VARCHAR) AS subject_id, CASE WHEN p_size > 25 THEN 'supports' ELSE 'contradicts' END AS direction, CASE WHEN p_partkey % 3 = 0 THEN 'call passes all quality rules' ELSE concat('call is flagged f', p_partkey) END AS claim, CAST(p_partkey AS DOUBLE) AS x FROM part),
+i AS (SELECT subject_id, direction, concat('EV-QUAL-', substr(sha256(concat_ws(chr(31), 'quality_control', subject_id, claim, direction, 'moderate', CAST(x AS VARCHAR))), 1, 16)) AS evidence_id FROM e)
+SELECT subject_id, evidence_id, direction, CAST(row_number() OVER (PARTITION BY subject_id ORDER BY direction, evidence_id) AS INT) AS place FROM i""")
 def quality_evidence_order(v: Views) -> DataFrame:
-    """One item for each call, deduplicated, in the ledger's total order."""
-    rows = v["part"].select((F.col("p_partkey") % 10).alias("s"), "p_partkey", "p_size")
+    """Items of many calls, deduplicated, numbered in the ledger's total order of each subject."""
+    k = F.col("p_partkey")
+    flags = F.when(k % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(coded("f", "p_partkey")))
     direction = F.when(F.col("p_size") > 25, "supports").otherwise("contradicts")
-    items = compare.deduplicated(compare.evidence(rows, F.concat_ws("-", F.col("s").cast("string"), F.col("p_partkey").cast("string")), "variant", "quality_control", direction, F.lit("moderate"), F.lit("call"), F.col("p_size"), F.create_map(F.lit("k"), F.col("p_partkey").cast("string"))))
-    placed = stages.evidence_order(items).filter("place = 1")  # each call has one item, so all of them are first
-    return placed.groupBy(F.split_part("subject_id", F.lit("-"), F.lit(1)).cast("long").alias("subject"), "direction").agg(F.count(F.lit(1)).alias("n"), F.sum("numeric_value").alias("total"))
+    rows = v["part"].select((k % 10).alias("variant_id"), flags.alias("flags"), direction.alias("direction"), F.lit("moderate").alias("strength"), k.cast("double").alias("fraction"))
+    items = compare.deduplicated(stages.quality_evidence(rows))
+    return stages.evidence_order(items).select("subject_id", "evidence_id", "direction", "place")
 
 
 @query("evidence_checks", """SELECT CASE WHEN p_partkey % 6 = 0 THEN 'database_without_version,observed_without_value' WHEN p_partkey % 2 = 0 THEN 'database_without_version' ELSE 'observed_without_value' END AS broken, count(*) AS n FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0 GROUP BY 1""")
@@ -488,12 +490,42 @@ def terms_to_genes(v: Views) -> DataFrame:
     return ontology.genes_for_term(gene_terms(v)).select("term", F.array_join(F.array_sort(F.transform("genes", lambda x: x.cast("string"))), ",").alias("genes"))
 
 
-@query("citations_found", """SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS pmid, CAST(1950 + p_size AS INT) AS year, 'Archer' AS author, 'Journal of Tests' AS journal FROM part""")
+SQL_CITED = """cited AS (SELECT p_partkey AS k, ['Archer', 'Núñez', 'O''Brien', 'García-Lopez'][1 + p_partkey % 4] AS author, 1950 + p_size AS year, ['Annals of Plans', 'J Tests'][1 + p_partkey % 2] AS journal, p_name AS title FROM part)"""
+
+
+@query("citations_found", f"""WITH {SQL_CITED}
+SELECT k AS p_partkey, 0 AS place, CAST(k AS VARCHAR) AS pmid, CASE k % 3 WHEN 0 THEN 'prose' WHEN 1 THEN 'row' ELSE 'bare' END AS form, author, CAST(year AS INT) AS year, CASE WHEN k % 3 < 2 THEN journal ELSE '-' END AS journal, CASE WHEN k % 3 = 1 THEN title ELSE '-' END AS title FROM cited
+UNION ALL SELECT k, 1, CAST(k + 1000000 AS VARCHAR), CASE WHEN k % 5 = 0 THEN 'bare' ELSE 'unannotated' END, CASE WHEN k % 5 = 0 THEN 'Second' ELSE '-' END, CASE WHEN k % 5 = 0 THEN 2001 ELSE -1 END, '-', '-' FROM cited""")
 def citations_found(v: Views) -> DataFrame:
-    """K8: a citation in a sentence made from each part."""
-    docs = v["part"].select("p_partkey", F.format_string("As Archer et al. %d wrote in Journal of Tests, %d (PMID: %d).", F.col("p_size") * 0 + 1950 + F.col("p_size"), F.col("p_size") * 0 + 12, F.col("p_partkey")).alias("text"))
-    found = textscan.citations(docs, "p_partkey", journals=["Journal of Tests", "Annals of Plans"])
-    return found.select("p_partkey", "pmid", "year", "author", "journal")
+    """K8: two citations in a text made from each part, the first as prose, as a table row or bare; the second must not borrow from the first."""
+    k = F.col("p_partkey")
+    author = F.get(F.array(*[F.lit(x) for x in ("Archer", "Núñez", "O'Brien", "García-Lopez")]), (k % 4).cast("int"))
+    journal = F.get(F.array(F.lit("Annals of Plans"), F.lit("J Tests")), (k % 2).cast("int"))
+    year, pmid = (1950 + F.col("p_size")).cast("string"), k.cast("string")
+    prose = F.concat(F.lit("It was shown by "), author, F.lit(" et al.,\n*"), journal, F.lit("* 12:34-56 ("), year, F.lit("), PMID: "), pmid, F.lit("."))
+    row = F.concat(F.lit("| 7 | "), author, F.lit(" A, Other B ("), year, F.lit("). "), F.col("p_name"), F.lit(". *"), journal, F.lit("* 3:1. PMID "), pmid, F.lit(" |"))
+    bare = F.concat(F.lit("as in "), author, F.lit(" et al. "), year, F.lit(" (PMID "), pmid, F.lit(")"))
+    first = F.when(k % 3 == 0, prose).when(k % 3 == 1, row).otherwise(bare)
+    second = F.concat(F.when(k % 5 == 0, " then Second and Third, 2001, PMID ").otherwise(" and see PMID:"), (k + 1_000_000).cast("string"))
+    found = textscan.citations(v["part"].select("p_partkey", F.concat(first, second).alias("text")), "p_partkey")
+    shown = lambda c: F.coalesce(c, F.lit("-")).alias(c)
+    return found.select("p_partkey", "place", "pmid", "form", shown("author"), F.coalesce("year", F.lit(-1)).alias("year"), shown("journal"), shown("title"))
+
+
+@query("citation_differences", f"""WITH {SQL_CITED}
+SELECT CAST(k AS VARCHAR) AS pmid, unnest(list_filter([CASE WHEN k % 7 = 0 THEN 'author_differs' END, CASE WHEN k % 11 = 0 THEN 'journal_differs' END, CASE WHEN k % 13 = 0 THEN 'title_differs' END, CASE WHEN k % 17 = 0 THEN 'year_differs' END], lambda x: x IS NOT NULL)) AS kind FROM cited""")
+def citation_differences(v: Views) -> DataFrame:
+    """Written and known citations compared without regard to accents, case, spacing and marks; some are spoilt."""
+    k = F.col("p_partkey")
+    pick = lambda xs: F.get(F.array(*[F.lit(x) for x in xs]), (k % 4).cast("int"))
+    pmid = k.cast("string").alias("pmid")
+    written = v["part"].select(pmid, pick(["Archer", "Núñez", "O'Brien", "García-Lopez"]).alias("author"), (1950 + F.col("p_size")).alias("year"), F.when(k % 2 == 0, "Annals of Plans").otherwise("J. Tests U.S.A.").alias("journal"), F.concat(F.lit("*"), F.col("p_name"), F.lit("* of NAD+.")).alias("title"))
+    spoilt = lambda n, c: F.when(k % n == 0, "Another").otherwise(c)
+    known = v["part"].select(
+        pmid, spoilt(7, pick(["ARCHER", "Nunez", "OBrien", "Garcia-López"])).alias("author"), F.when(k % 17 == 0, 1900).otherwise(1950 + F.col("p_size")).alias("year"),
+        spoilt(11, F.when(k % 2 == 0, "annals of plans").otherwise("J Tests USA")).alias("journal"), spoilt(13, F.concat(F.upper("p_name"), F.lit(" of NAD(+)"))).alias("title"),
+    )
+    return compare.citation_mismatches(written, known, alike=True)
 
 
 @query("citation_forms", """SELECT 'with_colon' AS form, count(*) AS n, count(DISTINCT p_partkey % 500) AS n_ids FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT 'bare', count(*), count(DISTINCT p_partkey % 500) FROM part WHERE p_partkey % 2 = 1""")
