@@ -125,6 +125,48 @@ def best_match_average(matches: DataFrame) -> DataFrame:
     return matches.groupBy("subject_id", "group_id").agg(F.avg("sim").alias("bma"))
 
 
+def root_sets(closure: DataFrame) -> DataFrame:
+    """term, roots: the roots above each term; an ontology has few."""
+    roots = closure.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select(F.col("term").alias("ancestor"))
+    return closure.join(roots, "ancestor").groupBy("term").agg(F.array_sort(F.collect_set("ancestor")).alias("roots"))
+
+
+def informed_similarity(a_terms: DataFrame, b_terms: DataFrame, closure: DataFrame, ic: DataFrame) -> DataFrame:
+    """a, b, sim (Lin) of all pairs of terms (a), (b) whose similarity is above zero.
+
+    Terms meet only at ancestors that carry information. All terms are below a root, which carries none, so without this every pair would meet
+    there; pairs that meet nowhere else have similarity zero, which needs no row.
+    """
+    up = closure.join(ic.select(F.col("term").alias("ancestor"), "ic").filter("ic > 0"), "ancestor")
+    side = lambda terms, c: terms.select(c).distinct().join(up.withColumnRenamed("term", c), c)
+    met = side(a_terms, "a").select("a", "ancestor", "ic").join(side(b_terms, "b").select("b", "ancestor"), "ancestor").groupBy("a", "b").agg(F.max("ic").alias("mica"))
+    own = lambda c: ic.select(F.col("term").alias(c), F.col("ic").alias(f"ic_{c}"))
+    sims = met.join(own("a"), "a").join(own("b"), "b").select("a", "b", (2 * F.col("mica") / (F.col("ic_a") + F.col("ic_b"))).alias("sim"))
+    # a term is like itself even if it carries no information, as long as something above it was counted
+    counted = closure.join(ic.select(F.col("term").alias("ancestor")), "ancestor").select(F.col("term").alias("a")).distinct()
+    same = a_terms.select("a").distinct().join(b_terms.select(F.col("b").alias("a")).distinct(), "a").join(counted, "a").select("a", F.col("a").alias("b"), F.lit(1.0).alias("sim"))
+    return sims.filter("a <> b").union(same)
+
+
+def informed_average(queries: DataFrame, targets: DataFrame, sims: DataFrame, closure: DataFrame, ic: DataFrame) -> DataFrame:
+    """subject_id, group_id, bma: mean over the queries (subject_id, a) that can be compared with any target (group_id, b).
+
+    A query's best match is taken once for all subjects that have it. Comparable queries without a match count as zero; they are counted by sets of roots,
+    of which there are few, instead of being paired with the targets.
+    """
+    best = sims.join(targets, "b").groupBy("a", "group_id").agg(F.max("sim").alias("sim"))
+    known = ic.select(F.col("term").alias("a"), F.lit(True).alias("known"))
+    met = queries.join(best, "a").join(known, "a", "left").groupBy("subject_id", "group_id").agg(F.sum("sim").alias("sum_"), F.count_if(F.col("known").isNull()).alias("bare_"))
+    sets = root_sets(closure).join(ic.select("term"), "term")
+    of_subjects = queries.join(sets.select(F.col("term").alias("a"), "roots"), "a").groupBy("subject_id", "roots").agg(F.count(F.lit(1)).alias("n_"))
+    of_groups = targets.join(sets.select(F.col("term").alias("b"), "roots"), "b").select("group_id", F.explode("roots").alias("root")).distinct()
+    # a root set meets a group once, however many roots they share
+    shared = of_subjects.select("roots").distinct().withColumn("root", F.explode("roots")).join(of_groups, "root").select("roots", "group_id").distinct()
+    comparable = of_subjects.join(shared, "roots").groupBy("subject_id", "group_id").agg(F.sum("n_").alias("n_"))
+    both = comparable.join(met, ["subject_id", "group_id"], "full_outer").fillna(0, ["n_", "sum_", "bare_"])
+    return both.select("subject_id", "group_id", (F.col("sum_") / (F.col("n_") + F.col("bare_"))).alias("bma"))
+
+
 def symmetric_average(forward: DataFrame, backward: DataFrame) -> DataFrame:
     """Mean of both one-sided averages (subject_id, group_id, bma); where one side is unknown, the other."""
     both = forward.withColumnRenamed("bma", "f_").join(backward.withColumnRenamed("bma", "b_"), ["subject_id", "group_id"], "full_outer")
@@ -166,9 +208,9 @@ def exact_scores(genes: DataFrame, profile: DataFrame, wanted: DataFrame | None
     return rows.select("gene_key", "subject_id", "matched", "contradicted", "n_matched", "n_observed", score.alias("score"))
 
 
-def ontology_scores(genes: DataFrame, profile: DataFrame, closure: DataFrame, ic: DataFrame, sims: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+def ontology_scores(genes: DataFrame, profile: DataFrame, closure: DataFrame, ic: DataFrame, wanted: DataFrame | None = None, symmetric: bool = False) -> DataFrame:
     """As exact_scores, with weights times normalised information content, statuses from the propagated profile, and
-    coverage as the best-match average of observed terms. Unknown parts count 0.5."""
+    coverage as the best-match average of observed terms (of both sides if `symmetric`). Unknown parts count 0.5."""
     wanted = every_gene(genes, profile) if wanted is None else wanted
     most = ic.agg(F.max("ic").alias("most"))
     scaled = genes.join(ic, "term", "left").crossJoin(F.broadcast(most)).select("gene_key", "term", F.when(F.col("most") > 0, F.coalesce(F.col("ic") / F.col("most"), F.lit(1.0))).otherwise(1.0).alias("scale"), "weight")
@@ -178,7 +220,12 @@ def ontology_scores(genes: DataFrame, profile: DataFrame, closure: DataFrame, ic
     )
     queries = profile.filter("status = 'observed'").select("subject_id", F.col("term").alias("a"))
     targets = genes.select(F.col("gene_key").alias("group_id"), F.col("term").alias("b"))
-    best = best_match_average(best_matches(queries, targets, sims)).select(F.col("group_id").alias("gene_key"), "subject_id", F.col("bma").alias("coverage"))
+    sims = informed_similarity(queries, targets, closure, ic)
+    best = informed_average(queries, targets, sims, closure, ic)
+    if symmetric:
+        swapped = informed_average(targets.select(F.col("group_id").alias("subject_id"), F.col("b").alias("a")), queries.select(F.col("subject_id").alias("group_id"), F.col("a").alias("b")), sims.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"), closure, ic)
+        best = symmetric_average(best, swapped.select(F.col("group_id").alias("subject_id"), F.col("subject_id").alias("group_id"), "bma"))
+    best = best.select(F.col("group_id").alias("gene_key"), "subject_id", F.col("bma").alias("coverage"))
     total = F.col("matched") + F.col("contradicted")
     spec = F.coalesce(F.when(total > 0, F.col("matched") / total), F.lit(0.5))
     return wanted.join(met, ["gene_key", "subject_id"], "left").join(best, ["gene_key", "subject_id"], "left").select("gene_key", "subject_id", F.round(0.5 * spec + 0.5 * F.coalesce("coverage", F.lit(0.5)), 6).alias("score"))

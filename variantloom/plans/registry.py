@@ -749,19 +749,39 @@ def unexplained_terms(v: Views) -> DataFrame:
     return ontology.unexplained(gene_terms(v), states(v)).select("subject_id", "term")
 
 
-@query("phenotype_scores_ontology")
-def phenotype_scores_ontology(v: Views) -> DataFrame:
-    """Information-weighted scores with best-match averages."""
-    c = closure(v)
+SQL_ONTO_SCORES = f"""{SQL_CLOSURE}, {SQL_IC}, {SQL_STATES}, {SQL_GENE_TERMS},
+q_ AS (SELECT subject_id, term AS a FROM profile WHERE status = 'observed'), g_ AS (SELECT gene_key, term AS b FROM gene_terms),
+com_ AS (SELECT x.term AS a, y.term AS b, max(ic.ic) AS mica FROM closure x JOIN closure y ON y.ancestor = x.ancestor JOIN ic ON ic.term = x.ancestor WHERE x.term IN (SELECT a FROM q_) AND y.term IN (SELECT b FROM g_) GROUP BY 1, 2),
+lin_ AS (SELECT c.a, c.b, CASE WHEN c.a = c.b THEN 1.0 WHEN ia.ic + ib.ic > 0 THEN 2 * c.mica / (ia.ic + ib.ic) WHEN ia.ic + ib.ic IS NOT NULL THEN 0.0 END AS lin FROM com_ c LEFT JOIN ic ia ON ia.term = c.a LEFT JOIN ic ib ON ib.term = c.b),
+fore_ AS (SELECT subject_id, gene_key, avg(sim) AS bma FROM (SELECT q_.subject_id, g_.gene_key, q_.a, max(lin) AS sim FROM q_ JOIN lin_ s ON s.a = q_.a AND lin IS NOT NULL JOIN g_ ON g_.b = s.b GROUP BY 1, 2, 3) t GROUP BY 1, 2),
+back_ AS (SELECT subject_id, gene_key, avg(sim) AS bma FROM (SELECT q_.subject_id, g_.gene_key, g_.b, max(lin) AS sim FROM q_ JOIN lin_ s ON s.a = q_.a AND lin IS NOT NULL JOIN g_ ON g_.b = s.b GROUP BY 1, 2, 3) t GROUP BY 1, 2),
+most_ AS (SELECT max(ic) AS most FROM ic),
+w_ AS (SELECT t.gene_key, t.term, weight * CASE WHEN most > 0 THEN coalesce(ic.ic / most, 1.0) ELSE 1.0 END AS w FROM gene_terms t CROSS JOIN most_ LEFT JOIN ic ON ic.term = t.term),
+m_ AS (SELECT w_.gene_key, s.subject_id, sum(CASE WHEN status = 'observed' THEN w ELSE 0.0 END) AS m, sum(CASE WHEN status = 'excluded' THEN w ELSE 0.0 END) AS x FROM w_ JOIN states s ON s.term = w_.term GROUP BY 1, 2),
+rows_ AS (SELECT g.gene_key, s.subject_id, coalesce(CASE WHEN m + x > 0 THEN m / (m + x) END, 0.5) AS spec, f.bma AS fore, b.bma AS back FROM (SELECT DISTINCT gene_key FROM gene_terms) g CROSS JOIN (SELECT DISTINCT subject_id FROM profile) s
+  LEFT JOIN m_ ON m_.gene_key = g.gene_key AND m_.subject_id = s.subject_id LEFT JOIN fore_ f ON f.gene_key = g.gene_key AND f.subject_id = s.subject_id LEFT JOIN back_ b ON b.gene_key = g.gene_key AND b.subject_id = s.subject_id)"""
+SQL_BAND = "CASE WHEN score >= 0.85 THEN 'strong' WHEN score >= 0.65 THEN 'moderate' WHEN score >= 0.40 THEN 'supporting' ELSE 'weak' END"
+
+
+def onto_scores(v: Views, symmetric: bool) -> DataFrame:
+    c = tables.cut(closure(v))
     ic = tables.cut(ontology.information_content(corpus(v), c))
-    genes, profile = gene_terms(v), tables.cut(states(v))
-    queries = profile.filter("status = 'observed'").select(F.col("term").alias("a")).distinct()
-    near = queries.join(c.select(F.col("term").alias("a"), "ancestor"), "a").join(c.select(F.col("term").alias("b"), "ancestor"), "ancestor").join(genes.select(F.col("term").alias("b")).distinct(), "b").select("a", "b").distinct()
-    sims = tables.cut(ontology.similarity(near, c, ic))
-    out = ontology.ontology_scores(genes, profile, c, ic, sims)
+    out = ontology.ontology_scores(gene_terms(v), tables.cut(states(v)), c, ic, symmetric=symmetric)
     return out.withColumn("band", ontology.band(F.col("score")))
 
 
+@query("phenotype_scores_ontology", f"WITH RECURSIVE {SQL_ONTO_SCORES} SELECT gene_key, subject_id, score, {SQL_BAND} AS band FROM (SELECT *, round(0.5 * spec + 0.5 * coalesce(fore, 0.5), 6) AS score FROM rows_) q")
+def phenotype_scores_ontology(v: Views) -> DataFrame:
+    """Information-weighted scores with best-match averages through informative ancestors."""
+    return onto_scores(v, False)
+
+
+@query("phenotype_scores_symmetric", f"WITH RECURSIVE {SQL_ONTO_SCORES} SELECT gene_key, subject_id, score, {SQL_BAND} AS band FROM (SELECT *, round(0.5 * spec + 0.5 * coalesce((fore + back) / 2, fore, back, 0.5), 6) AS score FROM rows_) q")
+def phenotype_scores_symmetric(v: Views) -> DataFrame:
+    """H6: as above, with the average of both sides' best matches."""
+    return onto_scores(v, True)
+
+
 # ---- mechanism and drugs -----------------------------------------------------------------------------------------------------
 
 
