@@ -86,9 +86,10 @@ def review_stars(status: Column) -> Column:
     return mapped(REVIEW_STARS, F.lower(F.replace(F.trim(status), F.lit(" "), F.lit("_"))))
 
 
-def qc_flags(zygosity: Column, fraction: Column, balance: Column, depth: Column, gq: Column, status: Column, config: Config = DEFAULT) -> Column:
-    """Quality flags in fixed order."""
+def qc_flags(zygosity: Column, fraction: Column, balance: Column, depth: Column, gq: Column, status: Column, config: Config = DEFAULT, reference_matches: Column | None = None) -> Column:
+    """Quality flags in fixed order; the last one only where REF was looked up and is not what the reference has."""
     het = zygosity == "het"
+    differs = F.lit(None).cast("string") if reference_matches is None else F.when(reference_matches.eqNullSafe(F.lit(False)), "reference_mismatch")
     return F.array_compact(
         F.array(
             F.when(status == "filtered", "filtered_by_caller").when(status == "missing", "no_caller_filter"),
@@ -98,11 +99,12 @@ def qc_flags(zygosity: Column, fraction: Column, balance: Column, depth: Column,
             F.when(het & (fraction < config.mosaic_floor), "low_allele_balance"),
             F.when(het & (fraction >= config.mosaic_floor) & (fraction < config.het_low), "possible_mosaic"),
             F.when(depth.isNull() & gq.isNull() & balance.isNull(), "no_quality_metrics"),
+            differs,
         )
     )
 
 
-CONTRADICTING = ["filtered_by_caller", "low_depth", "low_gq", "high_allele_balance", "low_allele_balance"]
+CONTRADICTING = ["filtered_by_caller", "low_depth", "low_gq", "high_allele_balance", "low_allele_balance", "reference_mismatch"]
 NEUTRAL = ["no_caller_filter", "possible_mosaic", "no_quality_metrics"]
 
 
@@ -189,6 +191,19 @@ def selection_verdict(n: Column, any_selecting: Column, any_assessed: Column, sp
     )
 
 
+def selection_notes(verdict: Column, n: Column, any_selecting: Column, splice: Column, af: Column, underpowered: Column, clinical: Column, config: Config = DEFAULT) -> Column:
+    """What was seen on the way to a selection verdict, whatever it is; a variant that its frequency stopped was not asked for splicing."""
+    stopped = verdict.isin("dropped_common_in_population", "dropped_frequency_unknown")
+    unknown = F.when(F.coalesce(F.size(underpowered), F.lit(0)) > 0, "frequency_underpowered").otherwise("frequency_unknown")
+    return F.array_compact(
+        F.array(
+            F.when(clinical, "clinical_pathogenic_assertion"),
+            F.when(af.isNull(), unknown),
+            F.when(~stopped & (n > 0) & ~any_selecting & F.coalesce(splice >= config.selection.splice_ai, F.lit(False)), "splice_ai_above_threshold"),
+        )
+    )
+
+
 def hpo_id(raw: Column) -> Column:
     """HP:0000000 form; NULL if it is none."""
     text = F.regexp_replace(F.upper(F.trim(raw)), "^HP_", "HP:")

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from variantloom.config import DEFAULT, Config
 from variantloom.functions import rules
+from variantloom.operators.tables import row_hash
 
 BIN = 131_072
 
@@ -137,8 +138,24 @@ def flagged(df: DataFrame, config: Config = DEFAULT) -> DataFrame:
 
 
 def selected(df: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """Adds the selection verdict to triaged, annotated calls."""
-    return df.withColumn("selection", rules.selection_verdict(F.col("n_consequences"), F.col("any_selecting"), F.col("any_assessed"), F.col("splice_ai"), F.col("max_af"), F.col("pathogenic"), config))
+    """Adds the selection verdict and its notes to triaged, annotated calls."""
+    gates = [F.col("n_consequences"), F.col("any_selecting")]
+    out = df.withColumn("selection", rules.selection_verdict(*gates, F.col("any_assessed"), F.col("splice_ai"), F.col("max_af"), F.col("pathogenic"), config))
+    return out.withColumn("notes", rules.selection_notes(F.col("selection"), *gates, F.col("splice_ai"), F.col("max_af"), F.col("underpowered"), F.col("pathogenic"), config))
+
+
+def plausible(df: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """Adds `plausible_candidate`: an ALT is carried, at a frequency that is unknown or not too high for a recessive disorder. A mark, not a filter."""
+    rare = F.col("max_af").isNull() | (F.col("max_af") <= config.max_recessive)
+    return df.withColumn("plausible_candidate", F.col("zygosity").isin("het", "hom_alt", "hemi") & rare)
+
+
+def replacement_counts(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
+    """state, n: keys whose annotations a new source added, removed, replaced or left as they were."""
+    digest = lambda df, name: df.groupBy(*key).agg(F.sum(row_hash(df, sorted(df.columns)).cast("decimal(38,0)")).alias(name))
+    met = digest(old, "old_").join(digest(new, "new_"), key, "full_outer")
+    state = F.when(F.col("old_").isNull(), "added").when(F.col("new_").isNull(), "removed").when(F.col("old_") != F.col("new_"), "replaced").otherwise("unchanged")
+    return met.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def split_by(df: DataFrame, verdict: str, kept_prefix: str, stage: str, id_column: str, value: Column) -> tuple[DataFrame, DataFrame]:

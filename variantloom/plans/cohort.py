@@ -290,6 +290,48 @@ def cited_evidence(v: Views) -> DataFrame:
     return cited.join(ids, "evidence_id", "left").groupBy("sample_id", "side").agg(F.count(F.lit(1)).alias("n_cited"), F.count_if(F.col("known").isNull()).cast("int").alias("n_unresolved"))
 
 
+# ---- normalised calls into quality and selection -----------------------------------------------------------------------------------
+
+
+@query("reference_quality", """
+WITH s AS (SELECT p_partkey, p_size < 10 AS low, p_partkey % 10 = 0 AND p_partkey % 7 <> 0 AS wrong, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_partkey % 10 <> 0 END AS matches, p_size FROM part)
+SELECT p_partkey, matches, concat_ws(',', CASE WHEN low THEN 'low_depth' END, CASE WHEN wrong THEN 'reference_mismatch' END) AS flags, CASE WHEN low OR wrong THEN 'contradicts' ELSE 'supports' END AS direction, CASE WHEN wrong THEN 'strong' WHEN low THEN 'moderate' WHEN p_size >= 20 THEN 'strong' ELSE 'moderate' END AS strength FROM s""")
+def reference_quality(v: Views) -> DataFrame:
+    """Whether REF is what the reference has, carried from normalisation into flags, direction and strength."""
+    calls, _, sequences = repeats(v)
+    k = F.col("p_partkey")
+    spoilt = calls.withColumn("ref", F.when(k % 10 == 0, F.concat(F.lit("T"), F.substring("ref", 2, 99))).otherwise(F.col("ref"))).join(v["part"].select("p_partkey", "p_size"), "p_partkey")
+    normal = stages.normalised(spoilt, stages.reference_blocks(sequences))
+    depth, gq, half = F.col("p_size"), F.lit(30), F.lit(0.5)
+    df = normal.withColumn("flags", rules.qc_flags(F.lit("het"), half, half, depth, gq, F.lit("pass"), reference_matches=F.col("reference_matches")))
+    return df.select("p_partkey", F.col("reference_matches").alias("matches"), joined("flags"), rules.qc_direction(F.col("flags")).alias("direction"), rules.qc_strength(F.col("flags"), depth, gq, F.col("reference_matches")).alias("strength"))
+
+
+@query("selection_notes", f"""WITH {SQL_TRIAGED}, n AS (SELECT j.sample_id, j.selection, unnest(list_filter([CASE WHEN pathogenic THEN 'clinical_pathogenic_assertion' END,
+    CASE WHEN j.max_af IS NULL THEN CASE WHEN coalesce(f.underpowered, '') <> '' THEN 'frequency_underpowered' ELSE 'frequency_unknown' END END,
+    CASE WHEN selection <> 'dropped_common_in_population' AND n_cons > 0 AND NOT any_selecting AND splice_ai >= 0.2 THEN 'splice_ai_above_threshold' END], lambda x: x IS NOT NULL)) AS note
+  FROM judged j LEFT JOIN freq f ON f.site_key = j.site_key WHERE triage LIKE 'kept%')
+SELECT sample_id, selection, note, count(*) AS n FROM n GROUP BY ALL""")
+def selection_notes(v: Views) -> DataFrame:
+    """B27, D-7: the notes of the selection beside its reasons."""
+    return judged(v).select("sample_id", "selection", F.explode("notes").alias("note")).groupBy("sample_id", "selection", "note").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("plausible_candidates", f"""WITH {SQL_TRIAGED} SELECT sample_id, max_af IS NULL OR max_af <= 0.01 AS plausible_candidate, count(*) AS n FROM judged WHERE triage LIKE 'kept%' GROUP BY ALL""")
+def plausible_candidates(v: Views) -> DataFrame:
+    """Calls that a recessive hypothesis could use."""
+    return annotate.plausible(judged(v)).groupBy("sample_id", "plausible_candidate").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("annotation_replacements", """SELECT CASE WHEN p_partkey % 11 = 0 THEN 'added' WHEN p_partkey % 8 = 0 THEN 'removed' WHEN p_partkey % 6 = 0 THEN 'replaced' ELSE 'unchanged' END AS state, count(*) AS n FROM part GROUP BY 1""")
+def annotation_replacements(v: Views) -> DataFrame:
+    """What a second predictor's annotations replaced."""
+    old = v["consequences"].select("site_key", "tx_no", "impact", "terms")
+    new = old.filter("site_key % 8 <> 0").withColumn("terms", F.when(F.col("site_key") % 6 == 0, F.concat("terms", F.lit("&other"))).otherwise(F.col("terms")))
+    more = v["part"].filter("p_partkey % 11 = 0").select(F.col("p_partkey").alias("site_key"), F.lit(0).alias("tx_no"), F.lit("low").alias("impact"), F.lit("intron_variant").alias("terms"))
+    return annotate.replacement_counts(old, new.unionByName(more), ["site_key"])
+
+
 # ---- the store ---------------------------------------------------------------------------------------------------------------------
 
 
