@@ -8,7 +8,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from variantloom.operators import representation, roles, stages, tables
+from variantloom import schemas
+from variantloom.operators import ledger, ontology, representation, roles, stages, tables
+from variantloom.sources import knowledge, vcf
 from variantloom.streaming import ingest
 
 CONSEQUENCES = "site_key long, impact string, terms string, is_mane boolean, splice_ai double"
@@ -114,3 +116,61 @@ def test_runs_are_compared_as_bags(spark):
     two = spark.createDataFrame([(None, "c", 3.0), (1, "a", 1.0), (2, None, 2.0), (5, "e", 5.0), (4, "d", 4.0)], "k long, x string, y double")
     assert tables.differences(one, one.repartition(3), ["k"]).count() == 0
     assert {(r.k, r.state, tuple(r.columns)) for r in tables.differences(one, two, ["k"], 2).collect()} == {(1, "changed", ("number of rows", "x", "y")), (2, "changed", ("y",)), (5, "only_second", ())}
+
+
+def test_commits_show_whole_or_not_at_all(spark, tmp_path):
+    store = schemas.Store(spark, str(tmp_path / "s"))
+    kind = "citation_key string, source string, identifier string"
+    assert store.manifest() == {}
+    assert store.commit({"citations": spark.createDataFrame([("k1", "p", "1"), ("k2", "p", "2")], kind), "mechanism_nodes": spark.createDataFrame([("m", "n", "k", "l", "s", "d")], "mechanism_id string, node_id string, kind string, label string, state_in_patient string, description string")}) == 1
+    broken = spark.createDataFrame([("k9", None, "9")], kind)  # the second table of this commit cannot be written
+    with pytest.raises(Exception, match="is NULL"):
+        store.commit({"mechanism_nodes": store.table("mechanism_nodes").withColumn("label", F.lit("new")), "citations": broken})
+    assert store.table("mechanism_nodes").first().label == "l" and store.table("citations").count() == 2
+    assert store.commit({"citations": spark.createDataFrame([("k2", "p", "22"), ("k3", "p", "3")], kind)}) == 2
+    assert {r.citation_key: r.identifier for r in store.table("citations").collect()} == {"k1": "1", "k2": "22", "k3": "3"}
+    assert store.manifest() == {"citations": {"version": 2, "rows": 3}, "mechanism_nodes": {"version": 1, "rows": 1}}
+    assert store.table("citations", 1).count() == 2
+    with pytest.raises(RuntimeError, match="someone else"):
+        store._publish(2, "{}")
+    with pytest.raises(ValueError, match="not committed"):
+        store.table("citations", 7)
+
+
+def test_sources_that_may_be_absent(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("gene,classification\nA,strong\n,weak\n")
+    (tmp_path / "bad.csv").write_text("name,other\nA,strong\n")
+    (tmp_path / "blank.csv").write_text("gene,classification\n,strong\n")
+    said = {}
+    for name in ("good", "bad", "blank", "none"):
+        rows, state = knowledge.optional_rows(spark, str(tmp_path / f"{name}.csv"), "gene string, classification string, extra string", ["gene"])
+        one = state.first()
+        said[name] = (rows.columns, rows.count(), one.state, one.reason)
+    columns = ["gene", "classification", "extra"]
+    assert said == {"good": (columns, 1, "read", ""), "bad": (columns, 0, "garbled", "lacks gene"), "blank": (columns, 0, "garbled", "no row has all required values"), "none": (columns, 0, "absent", "no such file")}
+
+
+def test_claims_of_files(spark, tmp_path):
+    (tmp_path / "a.vcf").write_text("##x_synthetic=true\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\r\nchr1\t1\t.\tA\tC\t.\t.\tX\n")
+    (tmp_path / "b.sam").write_text("SYNTH_ file\n@RG\tID:1\tSM:patient\tPL:x\n@RG\tID:2\tSM:SYNTH_2\n")
+    (tmp_path / "c.txt").write_text("x" * 5_000 + "SYNTH_\n")
+    got = {Path(r.path).name: (r.synthetic_mark, r.n_unmarked, r.sites_only, r.declares_synthetic) for r in vcf.file_claims(vcf.located_lines(spark, str(tmp_path))).collect()}
+    assert got == {"a.vcf": (True, 0, True, True), "b.sam": (True, 1, False, False), "c.txt": (False, 0, False, False)}
+
+
+def test_onsets(spark):
+    rows = [("Infantile onset", "infantile"), (" ADULT ", "adult"), (None, "unknown"), ("", "unknown"), ("someday", None)]
+    df = spark.createDataFrame(rows, "raw string, want string")
+    assert df.filter(~ontology.onset_token(F.col("raw")).eqNullSafe(F.col("want"))).count() == 0
+
+
+def test_items_of_a_ledger(spark):
+    calls = spark.createDataFrame([("S1", "v1", ["low_depth"], "contradicts", "moderate", 0.5), ("S1", "v1", ["low_depth"], "contradicts", "moderate", 0.5), ("S2", "v1", [], "supports", "strong", None)], "sample_id string, variant_id string, qc_flags array<string>, qc_direction string, qc_strength string, fraction double")
+    items = ledger.emitted(ledger.call_items(calls))
+    assert {(r.subject_id, r.direction, r.kind) for r in items.collect()} == {("S1|v1", "contradicts", "quality"), ("S2|v1", "supports", "quality")}
+    two = calls.withColumn("fraction", F.coalesce("fraction", F.lit(0.1)) + F.monotonically_increasing_id())
+    with pytest.raises(Exception, match="two contents"):  # the same claim about the same call with two values
+        ledger.emitted(ledger.call_items(two)).collect()
+    unversioned = spark.range(1).select(ledger.item("frequency", "variant", F.lit("v"), "neutral", "moderate", "database_assertion", F.lit("x")).alias("i"))
+    with pytest.raises(Exception, match="no version"):
+        unversioned.collect()

@@ -58,6 +58,17 @@ def consequence_summary(consequences: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def worst_by_gene(consequences: DataFrame, keys: list[str]) -> DataFrame:
+    """The worst impact of each variant in each of its genes; transcripts nobody assessed do not count, and NULL means that none was."""
+    return consequences.groupBy(*keys).agg(rules.impact_of(F.min(rules.impact_rank(F.col("impact")))).alias("worst_impact"))
+
+
+def consequence_order(df: DataFrame) -> list[Column]:
+    """The total order of a variant's consequences: MANE, canonical, transcript, gene, impact, terms, then what tells equal transcripts apart."""
+    given = lambda c, otherwise: F.coalesce(F.col(c), F.lit(otherwise)) if c in df.columns else F.lit(otherwise)
+    return [~given("is_mane", False), ~given("is_canonical", False), F.col("transcript_id"), F.col("gene_symbol"), F.coalesce(rules.impact_rank(F.col("impact")), F.lit(9)), given("terms", ""), given("hgvs_c", ""), given("hgvs_p", ""), given("exon", "")]
+
+
 def clinical_summary(clinical: DataFrame, key: str = "site_key") -> DataFrame:
     return clinical.groupBy(key).agg(F.bool_or(rules.pathogenic(F.col("significance"))).alias("pathogenic"), F.max("stars").alias("stars"), F.count(F.lit(1)).alias("n_assertions"))
 

@@ -259,5 +259,12 @@ STATUS = {
 }
 
 
-def first_term(df: DataFrame, by: list[str]) -> DataFrame:
-    return df.withColumn("rn", F.row_number().over(Window.partitionBy(*by).orderBy("term"))).filter("rn = 1").drop("rn")
+# Onset classes.
+ONSETS = ["antenatal", "congenital", "neonatal", "infantile", "childhood", "juvenile", "adult", "unknown"]
+
+
+def onset_token(raw: Column) -> Column:
+    """Canonical onset of a token; unknown where nothing is written, NULL if it is no onset."""
+    token = F.regexp_replace(F.regexp_replace(F.lower(F.trim(raw)), r"[\s/.-]+", "_"), "_onset$", "")
+    return F.when(F.coalesce(F.trim(raw), F.lit("")) == "", "unknown").when(token.isin(ONSETS), token)
+

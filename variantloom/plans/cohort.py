@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from variantloom.functions import alleles, rules
 from variantloom import schemas
@@ -14,6 +15,7 @@ from variantloom.operators import annotate, builders, compare, ledger, mechanism
 from variantloom.plans.files import vcf_record
 from variantloom.plans.registry import SQL_PAIRS, SQL_QC, SQL_SCORED, SQL_SITES, SQL_TRIAGE, SQL_TRIAGED, agents, gene_terms, graph, joined, judged, placed_calls, query, scored, states
 from variantloom.plans.views import Views
+from variantloom.sources import vcf
 from variantloom.streaming import ingest
 
 # ---- arriving files -----------------------------------------------------------------------------------------------------------
@@ -332,6 +334,62 @@ def annotation_replacements(v: Views) -> DataFrame:
     return annotate.replacement_counts(old, new.unionByName(more), ["site_key"])
 
 
+# ---- files and consequences -----------------------------------------------------------------------------------------------------------
+
+
+@query("file_claims", """
+SELECT concat('f', c_custkey) AS path, c_custkey % 4 <> 3 AS synthetic_mark, CAST(CASE WHEN c_custkey % 5 = 0 THEN 2 ELSE 0 END AS BIGINT) AS n_unmarked, c_custkey % 5 > 1 AND c_custkey % 7 <> 0 AND c_custkey % 11 <> 0 AS sites_only,
+  c_custkey % 4 <> 3 AND c_custkey % 5 <> 0 AS declares_synthetic FROM customer""")
+def file_claims(v: Views) -> DataFrame:
+    """A small file for each customer: some without a mark, with named samples, with made-up samples, stapled, or with a short row."""
+    k = F.col("c_custkey")
+    samples = F.when(k % 5 == 0, "\tFORMAT\tP1\tP2").when(k % 5 == 1, "\tFORMAT\tSYNTH_1").otherwise("")
+    header = F.concat(F.lit(vcf.SITES_HEADER), samples)
+    row = F.concat(F.lit("chr1\t5\t.\tA\tC\t.\tPASS\t"), F.col("c_name"))
+    lines = F.array_compact(F.array(
+        F.when(k % 4 != 3, "##x_synthetic=true"), F.lit("##fileformat=VCFv4.2"), F.when(k % 4 == 3, F.concat(F.lit("##"), F.lpad(F.lit("."), 5_000, "."))), F.when(k % 4 == 3, "##late_synthetic=true"), header, row,
+        F.when(k % 7 == 0, "##fileformat=VCFv4.2"), F.when(k % 11 == 0, "chr1\t6"), F.lit(""),
+    ))
+    at = F.transform("l", lambda x, i: F.aggregate(F.slice("l", F.lit(1), i), F.lit(0).cast("long"), lambda n, y: n + F.octet_length(y) + 1))
+    rows = v["customer"].select(F.concat(F.lit("f"), k.cast("string")).alias("path"), lines.alias("l")).select("path", F.explode(F.arrays_zip(at.alias("at"), F.col("l").alias("value"))).alias("z"))
+    return vcf.file_claims(rows.select("path", "z.at", "z.value"))
+
+
+@query("release_coverage", """
+WITH p AS (SELECT concat('r', p_size % 3) AS path, 1 + p_partkey % 22 AS c, p_partkey % 40 = 0 AS bare FROM part), g AS (SELECT concat('r', r_regionkey % 3) AS path, string_agg(concat('g', chr(CAST(97 + r_regionkey AS INT))), ',' ORDER BY r_regionkey) AS groups FROM region GROUP BY 1)
+SELECT p.path, concat('chr', c) AS contig, CASE WHEN bare THEN CAST(c AS VARCHAR) ELSE concat('chr', c) END AS raw, count(*) AS n, concat('all,', groups) AS populations FROM p JOIN g ON g.path = p.path GROUP BY ALL""")
+def release_coverage(v: Views) -> DataFrame:
+    """Contigs, as three releases write them, and populations."""
+    k = F.col("p_partkey")
+    name = F.concat(F.when(k % 40 == 0, "").otherwise("chr"), (1 + k % 22).cast("string"))
+    body = v["part"].select(F.concat(F.lit("r"), (F.col("p_size") % 3).cast("string")).alias("path"), F.concat_ws("\t", name, (k + 1).cast("string"), F.lit("."), F.lit("A"), F.lit("C"), F.lit("."), F.lit("PASS"), F.lit("AF=0.1")).alias("value"))
+    group = F.concat(F.lit("##INFO=<ID=AF_g"), F.char(97 + F.col("r_regionkey")), F.lit(",Number=A>"))
+    head = v["region"].select(F.concat(F.lit("r"), (F.col("r_regionkey") % 3).cast("string")).alias("path"), group.alias("value"))
+    return vcf.release_coverage(head.union(body)).select("path", "contig", "raw", "n", joined("populations"))
+
+
+@query("worst_impact_by_gene", """SELECT site_key, gene_key, coalesce(CASE min(CASE impact WHEN 'high' THEN 0 WHEN 'moderate' THEN 1 WHEN 'low' THEN 2 WHEN 'modifier' THEN 3 END) WHEN 0 THEN 'high' WHEN 1 THEN 'moderate' WHEN 2 THEN 'low' WHEN 3 THEN 'modifier' END, 'not assessed') AS worst_impact
+FROM (SELECT site_key, gene_key + tx_no AS gene_key, impact FROM consequences UNION ALL SELECT site_key, gene_key, 'modifier' FROM consequences WHERE site_key % 3 = 0) q GROUP BY 1, 2""")
+def worst_impact_by_gene(v: Views) -> DataFrame:
+    """D-2: worst impacts of sites in each of two genes."""
+    rows = v["consequences"].select("site_key", (F.col("gene_key") + F.col("tx_no")).alias("gene_key"), "impact")
+    more = v["consequences"].filter("site_key % 3 = 0").select("site_key", "gene_key", F.lit("modifier").alias("impact"))
+    return annotate.worst_by_gene(rows.unionByName(more), ["site_key", "gene_key"]).select("site_key", "gene_key", F.coalesce("worst_impact", F.lit("not assessed")).alias("worst_impact"))
+
+
+@query("consequence_order", """
+WITH c AS (SELECT site_key, tx_no, k, is_mane AND k = 0 AS mane, (site_key + tx_no + k) % 3 = 0 AS canonical, concat('T', (site_key + k) % 4) AS tx, concat('G', (gene_key + tx_no) % 3) AS gene, impact, terms FROM consequences CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) x)
+SELECT site_key, tx_no, k, CAST(row_number() OVER (PARTITION BY site_key ORDER BY NOT mane, NOT canonical, tx, gene, CASE impact WHEN 'high' THEN 0 WHEN 'moderate' THEN 1 WHEN 'low' THEN 2 WHEN 'modifier' THEN 3 ELSE 9 END, terms, concat('c.', k, '.', tx_no)) AS INT) AS place FROM c""")
+def consequence_order(v: Views) -> DataFrame:
+    """The place of each consequence of a site in the total order."""
+    each = v["consequences"].withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    rows = each.select(
+        "site_key", "tx_no", "k", (F.col("is_mane") & (F.col("k") == 0)).alias("is_mane"), ((F.col("site_key") + F.col("tx_no") + F.col("k")) % 3 == 0).alias("is_canonical"), F.concat(F.lit("T"), ((F.col("site_key") + F.col("k")) % 4).cast("string")).alias("transcript_id"),
+        F.concat(F.lit("G"), ((F.col("gene_key") + F.col("tx_no")) % 3).cast("string")).alias("gene_symbol"), "impact", "terms", F.concat_ws(".", F.lit("c"), "k", "tx_no").alias("hgvs_c"),
+    )
+    return rows.select("site_key", "tx_no", "k", F.row_number().over(Window.partitionBy("site_key").orderBy(*annotate.consequence_order(rows))).alias("place"))
+
+
 # ---- the store ---------------------------------------------------------------------------------------------------------------------
 
 

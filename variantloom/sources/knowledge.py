@@ -75,6 +75,24 @@ def ddg2p_rows(rows: DataFrame) -> DataFrame:
     return rows.select("gene", F.coalesce("mondo", F.concat(F.lit("OMIM:"), "mim")).alias("disease_id"), "classification")
 
 
+def optional_rows(spark: SparkSession, path: str, schema: str, required: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of a source that may be absent, and what became of it (path, state, reason, n): absent, garbled (a required column is missing or never
+    filled) or read. Without usable rows the table is empty, and the reason says why, so that nobody takes it for a source that found nothing.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    empty = spark.createDataFrame([], schema)
+    said = lambda state, reason, n: spark.createDataFrame([(path, state, reason, n)], "path string, state string, reason string, n long")
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return empty, said("absent", "no such file", 0)
+    names = spark.read.option("header", True).csv(path).columns
+    if gone := [c for c in required if c not in names]:
+        return empty, said("garbled", f"lacks {', '.join(gone)}", 0)
+    rows = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path).select(*[F.col(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in empty.schema])
+    full = rows.filter(" AND ".join(f"{c} IS NOT NULL" for c in required))
+    n = full.count()
+    return (full, said("read", "", n)) if n else (empty, said("garbled", "no row has all required values", 0))
+
+
 def unmatched_symbols(left: DataFrame, right: DataFrame, x_linked: DataFrame) -> DataFrame:
     """Symbols of one source that another lacks, marked where X-linkage explains it."""
     gone = left.select("gene").distinct().join(right.select("gene").distinct(), "gene", "left_anti")

@@ -119,3 +119,50 @@ def callset_profile(rows: DataFrame) -> DataFrame:
     """Filter histogram with shares of multiallelic and indel records."""
     indel = F.exists(F.split("alt", ","), lambda x: F.length(x) != F.length("ref"))
     return rows.filter("verdict = 'ok'").groupBy("filter").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.col("alt").contains(",").cast("double")), 6).alias("multiallelic"), F.round(F.avg(indel.cast("double")), 6).alias("indel"))
+
+
+# How a made-up file says so, how its samples are named, and the columns of a table of sites.
+SYNTHETIC_MARKS, SYNTHETIC_SAMPLES, HEAD_BYTES = ["_synthetic=true", "SYNTH_", "SYNTH-"], ["SYNTH_", "SYNTH-"], 4_096
+SITES_HEADER = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"
+
+
+def located_lines(spark: SparkSession, path: str) -> DataFrame:
+    """path, at, value: the lines of files with the byte at which each begins. A file is read whole, so this is for the small files of a repository."""
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.split("value", "\n").alias("l_"))
+    ends = F.transform("l_", lambda x, k: F.aggregate(F.slice("l_", F.lit(1), k), F.lit(0).cast("long"), lambda n, y: n + F.octet_length(y) + 1))
+    return whole.select("path", F.explode(F.arrays_zip(ends.alias("at"), F.col("l_").alias("value"))).alias("z")).select("path", "z.*")
+
+
+def file_claims(lines_: DataFrame) -> DataFrame:
+    """path, synthetic_mark, n_unmarked, sites_only, declares_synthetic of files given as lines (path, at, value).
+
+    A file is believed to be made up only if its head says so and every sample that it names has a made-up name. A table of sites has exactly one
+    header, of the eight fixed columns; nothing but meta lines before it; and only rows of eight fields behind it.
+    """
+    value, at = F.regexp_replace("value", "\r$", ""), F.col("at")
+    df = lines_.withColumn("value", value)
+    head = F.when(at < HEAD_BYTES, F.substring("value", F.lit(1), (F.lit(HEAD_BYTES) - at).cast("int")))
+    marked = F.exists(F.array(*[F.lit(m) for m in SYNTHETIC_MARKS]), lambda m: F.coalesce(F.contains(head, m), F.lit(False)))
+    made_up = lambda x: F.exists(F.array(*[F.lit(p) for p in SYNTHETIC_SAMPLES]), lambda p: x.startswith(p))
+    header, meta = F.col("value").startswith("#CHROM"), F.col("value").startswith("##")
+    names = F.when(header, F.slice(F.split("value", "\t"), 10, 1_000_000)).when(F.col("value").startswith("@RG"), F.regexp_extract_all("value", F.lit(r"\tSM:([^\t]+)"), F.lit(1)))
+    unmarked = F.coalesce(F.size(F.filter(names, lambda x: (x != "") & ~made_up(x))), F.lit(0))
+    other = F.col("value").startswith("#") & ~header & ~meta
+    data = (F.col("value") != "") & ~F.col("value").startswith("#")
+    g = df.groupBy("path").agg(
+        F.bool_or(marked).alias("synthetic_mark"), F.sum(unmarked).alias("n_unmarked"), F.count_if(header).alias("headers"), F.bool_and(~header | (F.col("value") == SITES_HEADER)).alias("plain"),
+        F.max(F.when(header, at)).alias("header_at"), F.max(F.when(meta, at)).alias("meta_at"), F.count_if(other).alias("others"), F.min(F.when(data, at)).alias("data_at"),
+        F.bool_and(~data | (F.size(F.split("value", "\t")) == 8)).alias("eight"),
+    )
+    sites = (F.col("headers") == 1) & F.col("plain") & (F.col("others") == 0) & F.col("eight") & F.coalesce(F.col("meta_at") < F.col("header_at"), F.lit(True)) & F.coalesce(F.col("data_at") > F.col("header_at"), F.lit(True))
+    return g.select("path", "synthetic_mark", "n_unmarked", F.coalesce(sites, F.lit(False)).alias("sites_only"), (F.col("synthetic_mark") & (F.col("n_unmarked") == 0)).alias("declares_synthetic"))
+
+
+def release_coverage(text: DataFrame) -> DataFrame:
+    """path, contig, raw, n, populations: what a release of sites files can answer: its contigs, as it writes them, and its populations.
+
+    A contig written in two ways is two rows: a lookup by either would find a part of it only. Contigs off the primary assembly have no name here.
+    """
+    groups = header_facts(text).select("path", F.concat(F.array(F.lit("all")), "groups").alias("populations"))
+    found = records(text).filter("verdict = 'ok'").groupBy("path", alleles.contig(F.col("chrom")).alias("contig"), F.col("chrom").alias("raw")).agg(F.count(F.lit(1)).alias("n"))
+    return found.join(groups, "path", "left")
