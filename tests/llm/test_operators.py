@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from variantloom.llm import components, decontaminate, langid, pieces, pii, quality, sharding, simhash, substrings, topk, toxicity
@@ -266,19 +267,19 @@ def test_pieces(texts):
     model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
     p = pieces.loaded(pieces.MODEL)
     own = [*list(texts.values())[:60], "", None, "  a  b ", "日本 🎉", "x" * 300, "tab\t\n\nline"]
-    plain = pieces.encoded(p, own, 1, 0.0, 4)
+    plain = pieces.encoded(p, own, 1, 0.0)
     assert all(got == model.encode(t) for t, got in zip(own, plain.to_pylist(), strict=True) if t)
     for rate in (0.1, 0.7, 1.0):
-        varied = pieces.encoded(p, own, 5, rate, 4)
-        assert pieces.decoded(p, varied) == own and varied.equals(pieces.encoded(p, own, 5, rate, 4)) and len(varied.values) > len(plain.values)
-    assert not pieces.encoded(p, own, 5, 0.1, 4).equals(pieces.encoded(p, own, 6, 0.1, 4))
+        varied = pieces.encoded(p, own, 5, rate)
+        assert pieces.decoded(p, varied) == own and varied.equals(pieces.encoded(p, own, 5, rate)) and len(varied.values) > len(plain.values)
+    assert not pieces.encoded(p, own, 5, 0.1).equals(pieces.encoded(p, own, 6, 0.1))
 
 
 def test_agendas_agree():
     p = pieces.loaded(pieces.MODEL)
     units = [p.symbols(" " + w) for w in ("international", "tokenization", "überraschung", "aaaaaaaa", "x", "hello\nworld")]
     keys = np.arange(7, 7 + len(units), dtype=np.uint64)
-    flat, counts = pieces.agenda_many(p, units, keys, 0.3)
+    flat, counts = pieces.agenda_many(p, *pieces.side_by_side(units), keys, 0.3)
     at = 0
     for u, k, n in zip(units, keys.tolist(), counts.tolist(), strict=True):
         assert flat[at : at + n].tolist() == pieces.agenda_one(p, u, k, 0.3)
@@ -344,6 +345,46 @@ def test_long_rows_do_not_empty_the_sample(spark):
     assert low < high - 0.2
 
 
+def test_dropout_of_every_occurrence():
+    """Against plain loops that share only the model and the hash of a candidate: each occurrence of a word drops merges by its own key."""
+    p, rate, seed, full = pieces.loaded(pieces.MODEL), 0.2, 9, (1 << 64) - 1
+    rng = random.Random(3)
+    words = ["understanding", "tokens", "a", "é日", "the", "internationalisation", "x" * 40, "ununun"]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(0, 30))) for _ in range(25)] + [None, "", "  two  blanks "]
+
+    def mix(x: int) -> int:
+        for turn in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            x = (x ^ x >> 33) * turn & full
+        return x ^ x >> 33
+
+    def agenda(unit: str, key: int) -> list[int]:
+        spans = [(k, x) for k, x in enumerate(p.symbols(unit))]  # (place of the first symbol, piece)
+        gone: set = set()
+        while True:
+            best = None
+            for (a, x), (b, y) in zip(spans, spans[1:]):
+                piece = p.pairs.get(x << 32 | y)
+                if piece is None or (a, x, y) in gone:
+                    continue
+                if mix(key ^ mix(a << 32 | piece)) >> 40 < rate * (1 << 24):
+                    gone.add((a, x, y))
+                elif best is None or p.rank[piece] < best[0]:
+                    best = (p.rank[piece], a, piece)
+            if best is None:
+                return [x for _, x in spans]
+            k = next(k for k, (a, _) in enumerate(spans) if a == best[1])
+            spans[k : k + 2] = [(best[1], best[2])]
+
+    want = []
+    for t in texts:
+        held = xxhash.xxh64_intdigest((t or "").encode(), seed)
+        want.append(None if t is None else [x for k, u in enumerate(pieces.UNIT.findall(" " + t) if t else []) for x in agenda(u, mix((held + mix(k)) & full))])
+    got = pieces.encoded(p, texts, seed, rate).to_pylist()
+    assert got == want
+    shapes = {tuple(g) for t, g in zip(texts, got, strict=True) if t for g in [g]}
+    assert len(shapes) > 20
+
+
 def test_marginals():
     rng = np.random.default_rng(0)
     emit, step = rng.normal(size=(1, 6)), np.exp(rng.normal(size=(3, 2)))

@@ -3,12 +3,11 @@
 The vocabulary is a public BPE model with byte fallback, read from a path that is a parameter. A text is a blank and
 the text itself; it falls into units (a run of blanks and what follows up to the next blank) that no piece crosses.
 Each unit's merge agenda takes the best-scored adjacent pair, leftmost of equals, again and again. A candidate merge
-is skipped for good when a hash keyed by (seed, variant, unit, place, pair) falls below the dropout rate. The variant
-of an occurrence is drawn by a hash of (seed, text, place in the text), so one word gets up to `variants` segmentations
-over a corpus, all from merges and all decoding to the same text. Rate 0 gives the model's ordinary encoding.
+is skipped for good when a hash keyed by (seed, text, unit's place in the text, place in the unit, piece) falls below the dropout rate, so every
+occurrence of a word has a segmentation of its own, all from merges and all decoding to the same text. Rate 0 gives the model's ordinary encoding.
 
-Distinct units of a batch run their agendas side by side in numpy; units of over LONGEST letters run one by one on
-a heap, with the same rule.
+Distinct units of a batch run their agendas without dropout first, side by side in numpy, and keep what candidates they met. An occurrence that
+drops none of these has that segmentation; the others run agendas of their own. Units of over LONGEST letters run one by one on a heap, with the same rule.
 
 Edge cases: null text has null pieces and decodes to null; empty text has none and decodes to the empty text; a blank
 mark (U+2581) in a text is encoded by its bytes, so that it returns as itself; letters outside the vocabulary are
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from xxhash import xxh32_intdigest
+from xxhash import xxh64_intdigest
 
 from .common import mixed, text_blocks
 
@@ -103,7 +102,7 @@ class Pieces:
 
 
 def skipped(key: np.ndarray, place: np.ndarray, piece: np.ndarray, rate: float) -> np.ndarray:
-    """Whether the candidate merge into `piece` at `place` is dropped; key holds seed, variant and unit."""
+    """Whether the candidate merge into `piece` at `place` is dropped; key holds seed, text and the unit's place."""
     h = mixed(key ^ mixed(place.astype(np.uint64) << np.uint64(32) | piece.astype(np.uint64)))
     return (h >> np.uint64(40)).astype(np.float64) < rate * (1 << 24)
 
@@ -139,12 +138,20 @@ def agenda_one(p: Pieces, ids: list[int], key: int, rate: float) -> list[int]:
     return [x for x in live if x >= 0]
 
 
-def agenda_many(p: Pieces, units: list[list[int]], keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """The agendas of many units of like length, one merge of each at a time: flat pieces and how many each unit has."""
-    n, width = len(units), max(map(len, units))
+def side_by_side(units: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Units as rows, -1 behind their ends, and their sizes."""
     sizes = np.array([len(u) for u in units])
-    sym = np.full((n, width + 1), -1, dtype=np.int32)
-    sym[np.arange(width + 1) < sizes[:, None]] = np.concatenate([np.array(u, dtype=np.int32) for u in units])
+    sym = np.full((len(units), int(sizes.max(initial=0)) + 1), -1, dtype=np.int32)
+    sym[np.arange(sym.shape[1]) < sizes[:, None]] = np.concatenate([np.array(u, dtype=np.int32) for u in units])
+    return sym, sizes
+
+
+def agenda_many(p: Pieces, sym: np.ndarray, sizes: np.ndarray, keys: np.ndarray, rate: float, met: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The agendas of many units of like length (side_by_side), one merge of each at a time: flat pieces and how many each unit has.
+
+    `met` gets (row, place, piece) of all candidates that were offered and not dropped. sym is used up.
+    """
+    n, width = len(sym), sym.shape[1] - 1
     after = np.tile(np.arange(1, width + 2, dtype=np.int16), (n, 1))
     before = np.tile(np.arange(-1, width, dtype=np.int16), (n, 1))
     best, into = np.full((n, width), NONE, dtype=np.int32), np.zeros((n, width), dtype=np.int32)
@@ -155,6 +162,8 @@ def agenda_many(p: Pieces, units: list[list[int]], keys: np.ndarray, rate: float
         ok = piece >= 0
         if rate:
             ok[ok] = ~skipped(keys[rows[ok]], at[ok], piece[ok], rate)
+        if met is not None:
+            met.append((rows[ok], at[ok], piece[ok]))
         best[rows, at] = np.where(ok, p.rank[np.maximum(piece, 0)], NONE)
         into[rows, at] = piece
 
@@ -190,51 +199,80 @@ class Numbers(dict):
         return value
 
 
-def encoded(p: Pieces, texts: list[str | None], seed: int, rate: float, variants: int) -> pa.ListArray:
+CLASSES = ((0, 4), (4, 7), (7, 10), (10, 14), (14, 20), (20, LONGEST))
+
+
+def ranges(starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of a flat array: the run of each member, and where the member lies."""
+    ends = np.cumsum(counts)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, (starts - ends + counts)[owner] + np.arange(ends[-1] if len(ends) else 0)
+
+
+def dropping(which: np.ndarray, keys: np.ndarray, met: list, n: int, rate: float, some: int = 250_000) -> np.ndarray:
+    """Which occurrences drop a candidate that the agenda of their unit met without dropout."""
+    unit, place, piece = (np.concatenate([m[k] for m in met]) for k in range(3)) if met else (np.empty(0, np.int64),) * 3
+    order = np.argsort(unit, kind="stable")
+    place, piece, counts = place[order], piece[order], np.bincount(unit, minlength=n)
+    starts = np.cumsum(counts) - counts
+    hit = np.zeros(len(which), dtype=bool)
+    for k in range(0, len(which), some):
+        own = which[k : k + some]
+        owner, at = ranges(starts[own], counts[own])
+        hit[k + owner[skipped(keys[k + owner], place[at], piece[at], rate)]] = True
+    return hit
+
+
+def encoded(p: Pieces, texts: list[str | None], seed: int, rate: float) -> pa.ListArray:
     """The piece ids of each text."""
     known = Numbers()
     numbered = [np.fromiter(map(known.__getitem__, UNIT.findall(" " + t)), dtype=np.int64) if t else np.empty(0, np.int64) for t in texts]
     sizes = np.array([len(u) for u in numbered], dtype=np.int64)
     which = np.concatenate(numbered) if numbered else np.empty(0, np.int64)
-    names = list(known)
-    mark = np.array([xxh32_intdigest(u.encode("utf-8", "surrogatepass")) for u in names], dtype=np.uint64)
-    if rate and len(which):
-        text = np.array([xxh32_intdigest((t or "").encode("utf-8", "surrogatepass")) for t in texts], dtype=np.uint64)
-        place = np.arange(len(which)) - np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
-        variant = mixed(np.repeat(text, sizes) << np.uint64(32) ^ place.astype(np.uint64) ^ np.uint64(seed)) % np.uint64(variants)
-        which = which * variants + variant.astype(np.int64)
-    distinct, back = np.unique(which, return_inverse=True)
-    per = variants if rate else 1
-    keys = mixed(mark[distinct // per] << np.uint64(16) ^ (distinct % per).astype(np.uint64) ^ mixed(np.array([seed], dtype=np.uint64)))
-    letters: list[list[int]] = [p.symbols(names[k // per]) for k in distinct.tolist()] if per == 1 else []
-    if per > 1:
-        once: dict[int, list[int]] = {}
-        letters = [once[k] if k in once else once.setdefault(k, p.symbols(names[k])) for k in (distinct // per).tolist()]
+    letters = [p.symbols(u) for u in known]
     lengths = np.array([len(x) for x in letters], dtype=np.int64)
-    flats, counts, order = [], [], []
-    for low, high in ((0, 4), (4, 7), (7, 10), (10, 14), (14, 20), (20, LONGEST)):
+    flats, counts, slots, met = [], [], [], []
+    row, shapes = np.zeros(len(letters), dtype=np.int64), {}
+    for low, high in CLASSES:
         pick = np.flatnonzero((lengths > low) & (lengths <= high))
-        for some in np.array_split(pick, max(1, len(pick) // 50_000)):
-            if len(some):
-                flat, count = agenda_many(p, [letters[k] for k in some.tolist()], keys[some], rate)
-                flats.append(flat)
-                counts.append(count)
-                order.append(some)
+        if len(pick):
+            row[pick] = np.arange(len(pick))
+            shapes[low] = side_by_side([letters[k] for k in pick.tolist()])
+            seen: list = []
+            flat, count = agenda_many(p, shapes[low][0].copy(), shapes[low][1], row[:0].view(np.uint64), 0.0, seen)
+            met += [(pick[r], at, piece) for r, at, piece in seen]
+            flats, counts, slots = [*flats, flat], [*counts, count], [*slots, pick]
     for k in np.flatnonzero(lengths > LONGEST).tolist():
-        own = agenda_one(p, letters[k], int(keys[k]), rate)
-        flats.append(np.array(own, dtype=np.int32))
-        counts.append(np.array([len(own)]))
-        order.append(np.array([k]))
+        own = agenda_one(p, letters[k], 0, 0.0)
+        flats, counts, slots = [*flats, np.array(own, dtype=np.int32)], [*counts, np.array([len(own)])], [*slots, np.array([k])]
+    back, n = which, len(letters)
+    if rate and len(which):
+        text = np.array([xxh64_intdigest((t or "").encode("utf-8", "surrogatepass"), seed) for t in texts], dtype=np.uint64)
+        place = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        keys = mixed(np.repeat(text, sizes) + mixed(place.astype(np.uint64)))
+        own = np.flatnonzero(dropping(which, keys, met, n, rate) | (lengths[which] > LONGEST))
+        back = which.copy()
+        back[own] = n + np.arange(len(own))
+        long = lengths[which[own]]
+        for low, high in CLASSES:
+            pick = np.flatnonzero((long > low) & (long <= high))
+            for some in np.array_split(pick, max(1, len(pick) // 50_000)):
+                if len(some):
+                    at = row[which[own[some]]]
+                    flat, count = agenda_many(p, shapes[low][0][at], shapes[low][1][at], keys[own[some]], rate)
+                    flats, counts, slots = [*flats, flat], [*counts, count], [*slots, n + some]
+        for k in np.flatnonzero(long > LONGEST).tolist():
+            one = agenda_one(p, letters[which[own[k]]], int(keys[own[k]]), rate)
+            flats, counts, slots = [*flats, np.array(one, dtype=np.int32)], [*counts, np.array([len(one)])], [*slots, np.array([n + k])]
+        n += len(own)
     flat = np.concatenate(flats) if flats else np.empty(0, np.int32)
-    count, starts = np.zeros(len(distinct), dtype=np.int64), np.zeros(len(distinct), dtype=np.int64)
-    if order:
-        order_, count_ = np.concatenate(order), np.concatenate(counts)
-        count[order_] = count_
-        starts[order_] = np.concatenate([[0], np.cumsum(count_)[:-1]])
-    long = count[back]
-    ends = np.cumsum(long)
-    at = np.repeat(starts[back] - np.concatenate([[0], ends[:-1]]) if len(long) else ends, long) + np.arange(ends[-1] if len(ends) else 0)
-    offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
+    count, starts = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    if slots:
+        slot, count_ = np.concatenate(slots), np.concatenate(counts)
+        count[slot] = count_
+        starts[slot] = np.cumsum(count_) - count_
+    _, at = ranges(starts[back], count[back])
+    offsets = np.concatenate([[0], np.cumsum(count[back])])[np.concatenate([[0], np.cumsum(sizes)])]
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat[at], pa.int32()), mask=pa.array([t is None for t in texts]))
 
 
@@ -261,14 +299,14 @@ def loaded(path: str) -> Pieces:
     return _LOADED[path]
 
 
-def encode(docs: DataFrame, seed: int = 1, rate: float = 0.1, variants: int = 4, path: str = MODEL) -> DataFrame:
+def encode(docs: DataFrame, seed: int = 1, rate: float = 0.1, path: str = MODEL) -> DataFrame:
     """docs with all its columns and `pieces`, the ids of each text (a column of that name is replaced)."""
     rest = docs.drop("pieces")
     schema, names = rest.schema, rest.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, 8_000_000):  # the more text at once, the fewer distinct units a byte
-            ids = encoded(loaded(path), batch.column("text").to_pylist(), seed, rate, variants)
+            ids = encoded(loaded(path), batch.column("text").to_pylist(), seed, rate)
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), ids], [*names, "pieces"])
 
     return rest.mapInArrow(run, T.StructType([*schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType()))]))
@@ -289,9 +327,9 @@ def decode(rows: DataFrame, path: str = MODEL) -> DataFrame:
     return rest.mapInArrow(run, T.StructType([*schema.fields, T.StructField("decoded", T.StringType())]))
 
 
-def round_trip(docs: DataFrame, seed: int = 1, rate: float = 0.1, variants: int = 4, path: str = MODEL) -> DataFrame:
+def round_trip(docs: DataFrame, seed: int = 1, rate: float = 0.1, path: str = MODEL) -> DataFrame:
     """doc_id, n_pieces, a digest of the pieces, the digest of the decoded text, and whether it is the text."""
-    rows = decode(encode(docs.select("doc_id", "text"), seed, rate, variants, path), path)
+    rows = decode(encode(docs.select("doc_id", "text"), seed, rate, path), path)
     return rows.select(
         "doc_id",
         F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
@@ -301,9 +339,9 @@ def round_trip(docs: DataFrame, seed: int = 1, rate: float = 0.1, variants: int
     )
 
 
-def encoded_documents(docs: DataFrame, seed: int = 1, rate: float = 0.1, variants: int = 4, path: str = MODEL) -> DataFrame:
+def encoded_documents(docs: DataFrame, seed: int = 1, rate: float = 0.1, path: str = MODEL) -> DataFrame:
     """doc_id, lang, source, pieces, n_pieces of every text; a text that did not decode to itself would be an error."""
-    rows = decode(encode(docs.select("doc_id", "text", "lang", "source"), seed, rate, variants, path), path)
+    rows = decode(encode(docs.select("doc_id", "text", "lang", "source"), seed, rate, path), path)
     same = F.col("decoded").eqNullSafe(F.col("text"))
     checked = F.when(same, F.coalesce(F.size("pieces"), F.lit(0)).cast("long")).otherwise(F.raise_error(F.lit("pieces do not decode to their text")).cast("long"))
     return rows.select("doc_id", "lang", "source", "pieces", checked.alias("n_pieces"))
