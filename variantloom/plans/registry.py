@@ -1,7 +1,7 @@
 """All registered queries of the core library and their SQL equivalents.
 
 Queries run over whole tables. Arrays leave a query as joined text and doubles are rounded to six places, so that two
-engines can be compared. QUERIES without a text in ORACLES are tested against plain Python instead.
+engines can be compared. QUERIES without a text in ORACLES have their operators tested by themselves, and are only run here.
 """
 
 from __future__ import annotations
