@@ -424,7 +424,7 @@ counts AS (
   SELECT 'variants' AS name, count(*) AS n FROM kept_ UNION ALL SELECT 'consequences', count(*) FROM kept_ JOIN consequences USING (site_key) UNION ALL SELECT 'frequencies', count(*) FROM kept_ JOIN frequencies USING (site_key)
   UNION ALL SELECT 'clinical_assertions', count(*) FROM kept_ JOIN clinical USING (site_key) UNION ALL SELECT 'phenotype_observations', count(*) FROM profile UNION ALL SELECT 'genes', count(DISTINCT gene_key) FROM mem UNION ALL SELECT 'candidate_pairs', count(*) FROM ranks
   UNION ALL SELECT 'evidence_items', (SELECT count(*) FROM parts_) + (SELECT count(DISTINCT concat(sample_id, '|', x.of, '|', x.code)) FROM said) + 2 * (SELECT count(*) FROM r) + (SELECT count(*) FROM links_) + (SELECT count(*) FROM nation JOIN mech ON mechanism_id = n_nationkey)
-  UNION ALL SELECT 'citations', 2 UNION ALL SELECT 'mechanisms', count(*) FROM nation JOIN mech ON mechanism_id = n_nationkey UNION ALL SELECT 'mechanism_nodes', count(*) FROM nodes UNION ALL SELECT 'mechanism_links', count(*) FROM links_
+  UNION ALL SELECT 'citations', CASE WHEN EXISTS (SELECT 1 FROM nation JOIN mech ON mechanism_id = n_nationkey) THEN 1 ELSE 0 END + CASE WHEN EXISTS (SELECT 1 FROM links_) THEN 1 ELSE 0 END UNION ALL SELECT 'mechanisms', count(*) FROM nation JOIN mech ON mechanism_id = n_nationkey UNION ALL SELECT 'mechanism_nodes', count(*) FROM nodes UNION ALL SELECT 'mechanism_links', count(*) FROM links_
   UNION ALL SELECT 'drugs', count(*) FROM r UNION ALL SELECT 'drug_rejections', count(*) FROM why_ UNION ALL SELECT 'pipeline_runs', 1 UNION ALL SELECT 'artifact_provenance', 1
   UNION ALL SELECT 'graph_edges', (SELECT count(*) + sum(CASE WHEN is_pair THEN 2 ELSE 1 END) FROM ranks) + (SELECT count(*) FROM r))
 SELECT name, CAST(CASE WHEN name IN ('drugs', 'variants') THEN 2 ELSE 1 END AS INT) AS version, CAST(n AS BIGINT) AS n_rows, CASE name WHEN 'drugs' THEN (SELECT count(*) FROM r WHERE k % 2 = 0) WHEN 'variants' THEN (SELECT count(*) FROM kept_ WHERE position % 10 = 0) ELSE 0 END AS n_changed FROM counts""")
