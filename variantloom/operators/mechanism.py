@@ -137,6 +137,14 @@ def rejections(triaged: DataFrame) -> DataFrame:
     return triaged.filter("rejected").select("drug_id", "mechanism_id", F.explode("reasons").alias("reason"))
 
 
+def avoid_and_ranking(triaged: DataFrame, nodes: DataFrame) -> DataFrame:
+    """All agents of a run with `list` (screened or avoid), their place in the run's order, accepted ones first, and the node they act on."""
+    order = Window.partitionBy("mechanism_id").orderBy("rejected", F.desc("score"), "drug_id")
+    named = nodes.select("mechanism_id", F.col("node_id").alias("target_node_id"), F.col("label").alias("node"))
+    met = triaged.withColumn("place", F.row_number().over(order)).join(named, ["mechanism_id", "target_node_id"], "left")
+    return met.withColumn("node", F.coalesce("node", F.lit("(not on this chain)"))).withColumn("list", F.when(F.col("rejected"), "avoid").otherwise("screened"))
+
+
 def section(class_: Column) -> Column:
     """Where an agent is reported."""
     return F.when(class_ == "disease_modifying", "disease_modifying").otherwise("non_disease_modifying")

@@ -859,12 +859,30 @@ def drug_rejections(v: Views) -> DataFrame:
     return mechanism.rejections(mechanism.triage(agents(v), nodes, m))
 
 
-@query("drug_answers", f"""WITH {SQL_TRIAGE} SELECT k AS drug_id, 'verdict' AS question, CASE WHEN rejected THEN concat('rejected: ', first_reason) ELSE 'accepted' END AS answer FROM r
-UNION ALL SELECT k, 'does the direction fit', CASE WHEN agrees THEN 'yes' WHEN agrees IS NULL THEN 'unknown' ELSE 'no' END FROM r UNION ALL SELECT k, 'section', CASE k % 2 WHEN 0 THEN 'disease_modifying' ELSE 'non_disease_modifying' END FROM r""")
+@query("drug_answers", f"""WITH {SQL_TRIAGE}, w AS (SELECT *, list_filter([CASE WHEN cin AND (worse OR worse IS NULL) THEN 'oncogenic_risk' END, CASE WHEN NOT cin AND (worse OR worse IS NULL) THEN 'safety_concern' END, CASE WHEN k % 3 = 0 THEN 'no_pediatric_evidence' END,
+  CASE WHEN conc THEN 'concentration_not_achievable' END, CASE WHEN k % 5 = 0 OR k % 8 = 0 OR (neuro AND k % 4 <> 1) THEN 'pharmacokinetic_barrier' END], lambda x: x IS NOT NULL) AS worries FROM r)
+SELECT k AS drug_id, 'verdict' AS question, CASE WHEN rejected THEN concat('rejected: ', first_reason) ELSE 'accepted' END AS answer FROM w
+UNION ALL SELECT k, 'does the direction fit', CASE WHEN agrees THEN 'yes' WHEN agrees IS NULL THEN 'unknown' ELSE 'no' END FROM w UNION ALL SELECT k, 'section', CASE k % 2 WHEN 0 THEN 'disease_modifying' ELSE 'non_disease_modifying' END FROM w
+UNION ALL SELECT k, 'how good is the evidence', printf('%.3f', CAST(quality AS DOUBLE)) FROM w UNION ALL SELECT k, 'what worries', CASE WHEN len(worries) = 0 THEN 'nothing found' ELSE array_to_string(worries, ', ') END FROM w
+UNION ALL SELECT k, 'what would reverse it', CASE WHEN NOT rejected THEN '-' WHEN first_reason = 'wrong_direction' THEN 'evidence of the opposite direction' WHEN first_reason = 'target_not_in_mechanism' THEN 'a link from its target into the chain' WHEN first_reason = 'not_approved' THEN 'an approval' ELSE 'new safety or exposure data' END FROM w""")
 def drug_answers(v: Views) -> DataFrame:
-    """I10, I13, O33, O34."""
+    """Every question about every agent; an agent that no section shows would be an error."""
     m, nodes, _ = graph(v)
-    return stages.drug_answers(mechanism.triage(agents(v), nodes, m)).filter(F.col("question").isin("verdict", "does the direction fit", "section"))
+    triaged = mechanism.triage(agents(v), nodes, m)
+    said = stages.drug_answers(triaged)
+    shown = said.filter("question = 'section'")
+    lost = stages.unrendered(triaged, shown).select(F.raise_error(F.concat(F.lit("not in one section: "), F.col("drug_id").cast("string"))).cast("long").alias("drug_id"), F.lit("").alias("question"), F.lit("").alias("answer"))
+    return said.unionByName(lost)
+
+
+@query("agents_to_avoid", f"""WITH {SQL_TRIAGE}, p AS (SELECT *, row_number() OVER (PARTITION BY mechanism_id ORDER BY rejected, score DESC, k) AS place FROM r)
+SELECT k AS drug_id, mechanism_id, CASE WHEN rejected THEN 'avoid' ELSE 'screened' END AS list, CAST(place AS INT) AS place, CASE WHEN rejected THEN first_reason ELSE '' END AS primary_reason, CASE WHEN NOT in_chain THEN '(not on this chain)' ELSE s_name END AS node,
+  CASE WHEN agrees THEN 'yes' WHEN agrees IS NULL THEN 'unknown' ELSE 'no' END AS agrees FROM p LEFT JOIN supplier ON s_suppkey = node_id AND s_nationkey = mechanism_id""")
+def agents_to_avoid(v: Views) -> DataFrame:
+    """Every agent of a triage run in one total order, accepted ones first; those to avoid with their reason and the node they act on."""
+    m, nodes, _ = graph(v)
+    rows = mechanism.avoid_and_ranking(mechanism.triage(agents(v), nodes, m), nodes)
+    return rows.select("drug_id", "mechanism_id", "list", "place", F.coalesce("primary_reason", F.lit("")).alias("primary_reason"), "node", F.when(F.col("agrees"), "yes").when(F.col("agrees").isNull(), "unknown").otherwise("no").alias("agrees"))
 
 
 @query("mechanism_validity", f"""WITH {SQL_GRAPH}, l AS (SELECT mechanism_id, node_id, CASE WHEN node_id % 5 = 0 THEN -node_id - 1 ELSE node_id END AS t FROM nodes)
