@@ -49,7 +49,7 @@ def id_crc(name: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")))
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], most: int = 4_000_000, texts: Callable[[pa.RecordBatch], pa.Array] = lambda b: b.column("text")) -> Iterator[pa.RecordBatch]:
+def text_blocks(batches: Iterator[pa.RecordBatch], most: int = 2_000_000, texts: Callable[[pa.RecordBatch], pa.Array] = lambda b: b.column("text")) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each has at most `most` text bytes, or one row; rows and order stay."""
     for batch in batches:
         ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts(batch)), 0), dtype=np.int64))
