@@ -24,7 +24,6 @@ a copy of WIDTH words or more go; null ids are rows like any other; an empty tab
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Iterator
 
