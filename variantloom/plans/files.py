@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from variantloom.functions import alleles, rules
 from variantloom.operators import annotate, compare, mechanism, ontology, pairs, stages, tables, textscan
-from variantloom.plans.registry import SQL_GRAPH, SQL_TRIAGE, agents, gene_terms, graph, joined, query, scored
+from variantloom.plans.registry import SQL_GRAPH, SQL_SCORED, SQL_TRIAGE, agents, gene_terms, graph, joined, query, scored
 from variantloom.plans.views import Views
 from variantloom.sources import knowledge, vcf
 from variantloom.sources import tables as source
@@ -442,11 +442,13 @@ def inferred_links(v: Views) -> DataFrame:
     return mechanism.link_experiments(graph(v)[2])
 
 
-@query("bound_mechanisms")
+@query("bound_mechanisms", f"""WITH {SQL_SCORED}, known_ AS (SELECT DISTINCT s_nationkey AS mechanism_id FROM supplier JOIN nation ON n_nationkey = s_nationkey)
+SELECT sample_id, CAST(rank AS INT) AS rank, pair_id, gene_key, coalesce(mechanism_id, -1) AS mechanism_id, CASE WHEN mechanism_id IS NULL THEN 'no_curated_mechanism' ELSE '' END AS warning FROM ranks LEFT JOIN known_ ON mechanism_id = gene_key""")
 def bound_mechanisms(v: Views) -> DataFrame:
-    """The chain of each sample's first gene, or a warning that there is none."""
-    first = scored(v).filter("rank = 1").select("sample_id", "pair_id", "gene_key")
-    return mechanism.bound(first, graph(v)[0].withColumn("gene_key", F.col("mechanism_id"))).select("sample_id", "pair_id", "gene_key", "mechanism_id", "warning")
+    """The chain of each candidate's gene, or a warning that there is none."""
+    rows = scored(v).select("sample_id", "rank", "pair_id", "gene_key")
+    met = mechanism.bound(rows, graph(v)[0].withColumn("gene_key", F.col("mechanism_id")))
+    return met.select("sample_id", "rank", "pair_id", "gene_key", F.coalesce("mechanism_id", F.lit(-1)).alias("mechanism_id"), F.coalesce("warning", F.lit("")).alias("warning"))
 
 
 @query("control_agents", f"""WITH {SQL_TRIAGE}, signed AS (SELECT m.mechanism_id, m.cin, f.corrective FROM mech m JOIN nation ON n_nationkey = m.mechanism_id JOIN fix f ON f.mechanism_id = m.mechanism_id AND f.node_id = m.target WHERE f.corrective <> 'unknown'),
