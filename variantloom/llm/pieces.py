@@ -209,7 +209,7 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return owner, (starts - ends + counts)[owner] + np.arange(ends[-1] if len(ends) else 0)
 
 
-def dropping(which: np.ndarray, keys: np.ndarray, met: list, n: int, rate: float, some: int = 250_000) -> np.ndarray:
+def dropping(which: np.ndarray, keys: np.ndarray, met: list, n: int, rate: float, some: int = 100_000) -> np.ndarray:
     """Which occurrences drop a candidate that the agenda of their unit met without dropout."""
     unit, place, piece = (np.concatenate([m[k] for m in met]) for k in range(3)) if met else (np.empty(0, np.int64),) * 3
     order = np.argsort(unit, kind="stable")
@@ -305,7 +305,7 @@ def encode(docs: DataFrame, seed: int = 1, rate: float = 0.1, path: str = MODEL)
     schema, names = rest.schema, rest.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_blocks(batches, 8_000_000):  # the more text at once, the fewer distinct units a byte
+        for batch in text_blocks(batches, 4_000_000):  # the more text at once, the fewer distinct units a byte; more also takes more memory
             ids = encoded(loaded(path), batch.column("text").to_pylist(), seed, rate)
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), ids], [*names, "pieces"])
 
