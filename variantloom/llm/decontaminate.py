@@ -50,7 +50,7 @@ CLASSES = ((5, 3, 5, 15, 1, 3), (20, 4, 15, 1 << 30, 3, 10))
 
 class Ids(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         value = self[word] = xxh32_intdigest(word.encode("utf-8", "surrogatepass")) | 1  # 0 is the end of a text
         return value
@@ -153,8 +153,25 @@ def best_part(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(start[end]), end
 
 
+def enough_words(tables: Tables, symbols: np.ndarray, lefts: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Which candidates (text, where the item would begin, item) have enough of the item's words around them: each edit spares all words but one."""
+    keep = np.zeros(len(rows), dtype=bool)
+    order = np.argsort(rows[:, 2], kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(rows[order, 2])) + 1) if len(rows) else ():
+        item = tables.items[rows[own[0], 2]][1]
+        m, most = len(item), int(EDITS * len(item))
+        step = max(1, 2_000_000 // (m * (m + 2 * most)))
+        for k in range(0, len(own), step):
+            text, begin = rows[own[k : k + step], 0], rows[own[k : k + step], 1]
+            at = begin[:, None] + np.arange(-most, m + most)
+            inside = (at >= 0) & (at < sizes[text][:, None])
+            around = np.where(inside, symbols[np.where(inside, lefts[text][:, None] + at, 0)], np.uint32(0))
+            keep[own[k : k + step]] = (item[:, None] == around[:, None, :]).any(axis=2).sum(axis=1) >= m - most
+    return keep
+
+
 def matches_of(tables: Tables, symbols: np.ndarray, found: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
-    """(item, first word, words, distance) of the best match of each item in one text."""
+    """(item, first word, words, distance) of the best match of each item in one text, from candidates with enough of its words."""
     best: dict[int, tuple[int, int, int]] = {}
     for i, at in found:
         item = tables.items[i][1]
@@ -166,8 +183,6 @@ def matches_of(tables: Tables, symbols: np.ndarray, found: list[tuple[int, int]]
         else:
             low = max(0, at - most)
             around = symbols[low : max(low, at + m + most)]
-            if (item[:, None] == around).any(axis=1).sum() < m - most:  # each edit spares all words but one
-                continue
             cost, a, b = best_part(item, around)
             got = (cost, low + a, b - a)
         if got[0] <= most and (i not in best or got < best[i]):
@@ -187,9 +202,9 @@ def short_matches(text: str, short: dict[tuple[str, ...], list[int]]) -> list[tu
     return list(best.values())
 
 
-def contaminated(texts: list[str], tables: Tables) -> list[list[tuple[int, int, int, int]]]:
-    """Matches of each text."""
-    ids, pad = Ids(), max([s.steps for s, _, _ in tables.classes], default=0) + 1
+def contaminated(texts: list[str], tables: Tables, ids: Ids | None = None) -> list[list[tuple[int, int, int, int]]]:
+    """Matches of each text; ids may keep the words of the blocks before."""
+    ids, pad = Ids() if ids is None else ids, max([s.steps for s, _, _ in tables.classes], default=0) + 1
     parts = [words_of(t) for t in texts]
     sizes = np.array([len(p) for p in parts], dtype=np.int64)
     out: list[list] = [[] for _ in texts]
@@ -205,7 +220,8 @@ def contaminated(texts: list[str], tables: Tables) -> list[list[tuple[int, int,
     text = np.searchsorted(lefts, at, side="right") - 1
     pair, which, hits = np.unique(text * len(tables.items) + item, return_inverse=True, return_counts=True)
     keep = hits[which] >= HITS
-    rows = np.unique(np.stack([text[keep], begin[keep] - lefts[text[keep]], item[keep]], axis=1), axis=0).tolist()
+    rows = np.unique(np.stack([text[keep], begin[keep] - lefts[text[keep]], item[keep]], axis=1), axis=0)
+    rows = rows[enough_words(tables, symbols, lefts, sizes, rows)].tolist()
     by_text: dict[int, list[tuple[int, int]]] = {}
     for t, b, i in rows:
         by_text.setdefault(t, []).append((i, b))
@@ -235,9 +251,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 2_000_000) -
         shared = docs.sparkSession.sparkContext.broadcast(tables)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids = Ids()
             for batch in text_blocks(batches):
                 held = shared.value
-                rows = [(t, *m) for t, ms in enumerate(contaminated(texts_of(batch), held)) for m in ms]
+                rows = [(t, *m) for t, ms in enumerate(contaminated(texts_of(batch), held, ids)) for m in ms]
                 item = [held.items[i] for _, i, _, _, _ in rows]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64())),
@@ -261,8 +278,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 2_000_000) -
         shared = docs.sparkSession.sparkContext.broadcast(tables)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            ids = Ids()
             for batch in text_blocks(batches):
-                yield batch.filter(pa.array([not m for m in contaminated(texts_of(batch), shared.value)], pa.bool_())).select(names)
+                yield batch.filter(pa.array([not m for m in contaminated(texts_of(batch), shared.value, ids)], pa.bool_())).select(names)
 
         out = written(out.mapInArrow(run, schema))
     return out
