@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from .common import mixed, text_blocks
+from .common import given_back, mixed, text_blocks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIT = re.compile(r" *[^ ]+| +")
@@ -323,6 +323,7 @@ def decode(rows: DataFrame, path: str = MODEL) -> DataFrame:
                 some = batch.slice(k, 1_000)
                 texts = decoded(loaded(path), some.column("pieces"))
                 yield pa.RecordBatch.from_arrays([*(some.column(x) for x in names), pa.array(texts, pa.string())], [*names, "decoded"])
+        given_back()
 
     return rest.mapInArrow(run, T.StructType([*schema.fields, T.StructField("decoded", T.StringType())]))
 
