@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,9 @@ class Pieces:
         self.byte = [next(k for k in range(n) if model.is_byte(k) and names[k] == f"<0x{b:02X}>") for b in range(256)]
         ids = {x: k for k, x in enumerate(names) if not special[k] and not model.is_byte(k)}
         self.letters = {x: k for x, k in ids.items() if len(x) == 1}
+        codes = {ord(x): k for x, k in self.letters.items() if x != MARK} | ({ord(" "): self.letters[MARK]} if MARK in self.letters else {})
+        self.by_code = np.full(max(codes, default=0) + 2, -1, dtype=np.int32)  # the piece of each letter; the last place is for all beyond
+        self.by_code[list(codes)] = list(codes.values())
         scores = np.array([model.get_score(k) for k in range(n)])
         _, order = np.unique(-scores, return_inverse=True)
         self.rank = order.astype(np.int32)  # a smaller rank merges first
@@ -92,6 +96,20 @@ class Pieces:
             todo, at = todo[on], (at[on] + 1) & (len(self.slots) - 1)
         return out
 
+    def symbols_of(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """`symbols` of many units, flat, and how many each has: all letters are looked up at once, only those without a piece one by one."""
+        letters = "".join(units)
+        codes = np.frombuffer(letters.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        ids = self.by_code[np.minimum(codes, len(self.by_code) - 1)]
+        ends = np.cumsum(np.fromiter(map(len, units), dtype=np.int64, count=len(units)))
+        odd = np.flatnonzero(ids < 0)
+        each = [self.symbols(letters[k]) for k in odd.tolist()]
+        wide = np.ones(len(ids), dtype=np.int64)
+        wide[odd] = [len(x) for x in each]
+        flat = np.repeat(ids, wide)
+        flat[flat < 0] = np.fromiter(chain.from_iterable(each), dtype=np.int32)
+        return flat, np.diff(np.concatenate([[0], np.cumsum(wide)])[np.concatenate([[0], ends])])
+
     def symbols(self, unit: str) -> list[int]:
         """A piece per letter; letters without one, and blank marks of the text, are their bytes, which never merge."""
         out = []
@@ -138,12 +156,17 @@ def agenda_one(p: Pieces, ids: list[int], key: int, rate: float) -> list[int]:
     return [x for x in live if x >= 0]
 
 
+def in_rows(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of a flat array as rows, -1 behind their ends."""
+    sym = np.full((len(sizes), int(sizes.max(initial=0)) + 1), -1, dtype=np.int32)
+    sym[np.arange(sym.shape[1]) < sizes[:, None]] = flat[ranges(starts, sizes)[1]]
+    return sym
+
+
 def side_by_side(units: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Units as rows, -1 behind their ends, and their sizes."""
     sizes = np.array([len(u) for u in units])
-    sym = np.full((len(units), int(sizes.max(initial=0)) + 1), -1, dtype=np.int32)
-    sym[np.arange(sym.shape[1]) < sizes[:, None]] = np.concatenate([np.array(u, dtype=np.int32) for u in units])
-    return sym, sizes
+    return in_rows(np.fromiter(chain.from_iterable(units), dtype=np.int32), np.cumsum(sizes) - sizes, sizes), sizes
 
 
 def agenda_many(p: Pieces, sym: np.ndarray, sizes: np.ndarray, keys: np.ndarray, rate: float, met: list | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -159,13 +182,15 @@ def agenda_many(p: Pieces, sym: np.ndarray, sizes: np.ndarray, keys: np.ndarray,
     def offer(rows: np.ndarray, at: np.ndarray) -> None:
         nxt = np.minimum(after[rows, at], width)
         piece = p.merged(sym[rows, at], sym[rows, nxt])
-        ok = piece >= 0
+        best[rows, at] = NONE
+        ok = np.flatnonzero(piece >= 0)
+        rows, at, piece = rows[ok], at[ok], piece[ok]
         if rate:
-            ok[ok] = ~skipped(keys[rows[ok]], at[ok], piece[ok], rate)
+            ok = np.flatnonzero(~skipped(keys[rows], at, piece, rate))
+            rows, at, piece = rows[ok], at[ok], piece[ok]
         if met is not None:
-            met.append((rows[ok], at[ok], piece[ok]))
-        best[rows, at] = np.where(ok, p.rank[np.maximum(piece, 0)], NONE)
-        into[rows, at] = piece
+            met.append((rows, at, piece))
+        best[rows, at], into[rows, at] = p.rank[piece], piece
 
     rows, at = np.nonzero(np.arange(width) < sizes[:, None] - 1)
     offer(rows, at)
@@ -183,10 +208,9 @@ def agenda_many(p: Pieces, sym: np.ndarray, sizes: np.ndarray, keys: np.ndarray,
         after[live, at] = far
         inside = far <= width
         before[live[inside], far[inside]] = at[inside]
-        offer(live, at)
         prior = before[live, at].astype(np.int64)
         has = prior >= 0
-        offer(live[has], prior[has])
+        offer(np.concatenate([live, live[has]]), np.concatenate([at, prior[has]]))
     kept = sym >= 0
     return sym[kept], kept.sum(axis=1)
 
@@ -229,23 +253,24 @@ def encoded(p: Pieces, texts: list[str | None], seed: int, rate: float) -> pa.Li
     numbered = [np.fromiter(map(known.__getitem__, UNIT.findall(" " + t)), dtype=np.int64) if t else np.empty(0, np.int64) for t in texts]
     sizes = np.array([len(u) for u in numbered], dtype=np.int64)
     which = np.concatenate(numbered) if numbered else np.empty(0, np.int64)
-    letters = [p.symbols(u) for u in known]
-    lengths = np.array([len(x) for x in letters], dtype=np.int64)
+    letters, lengths = p.symbols_of(list(known))
+    begins = np.cumsum(lengths) - lengths
+    own_letters = lambda k: letters[begins[k] : begins[k] + lengths[k]].tolist()
     flats, counts, slots, met = [], [], [], []
-    row, shapes = np.zeros(len(letters), dtype=np.int64), {}
+    row, shapes = np.zeros(len(lengths), dtype=np.int64), {}
     for low, high in CLASSES:
         pick = np.flatnonzero((lengths > low) & (lengths <= high))
         if len(pick):
             row[pick] = np.arange(len(pick))
-            shapes[low] = side_by_side([letters[k] for k in pick.tolist()])
+            shapes[low] = in_rows(letters, begins[pick], lengths[pick]), lengths[pick]
             seen: list = []
             flat, count = agenda_many(p, shapes[low][0].copy(), shapes[low][1], row[:0].view(np.uint64), 0.0, seen)
             met += [(pick[r], at, piece) for r, at, piece in seen]
             flats, counts, slots = [*flats, flat], [*counts, count], [*slots, pick]
     for k in np.flatnonzero(lengths > LONGEST).tolist():
-        own = agenda_one(p, letters[k], 0, 0.0)
+        own = agenda_one(p, own_letters(k), 0, 0.0)
         flats, counts, slots = [*flats, np.array(own, dtype=np.int32)], [*counts, np.array([len(own)])], [*slots, np.array([k])]
-    back, n = which, len(letters)
+    back, n = which, len(lengths)
     if rate and len(which):
         text = np.array([xxh64_intdigest((t or "").encode("utf-8", "surrogatepass"), seed) for t in texts], dtype=np.uint64)
         place = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -262,7 +287,7 @@ def encoded(p: Pieces, texts: list[str | None], seed: int, rate: float) -> pa.Li
                     flat, count = agenda_many(p, shapes[low][0][at], shapes[low][1][at], keys[own[some]], rate)
                     flats, counts, slots = [*flats, flat], [*counts, count], [*slots, n + some]
         for k in np.flatnonzero(long > LONGEST).tolist():
-            one = agenda_one(p, letters[which[own[k]]], int(keys[own[k]]), rate)
+            one = agenda_one(p, own_letters(which[own[k]]), int(keys[own[k]]), rate)
             flats, counts, slots = [*flats, np.array(one, dtype=np.int32)], [*counts, np.array([len(one)])], [*slots, np.array([n + k])]
         n += len(own)
     flat = np.concatenate(flats) if flats else np.empty(0, np.int32)
