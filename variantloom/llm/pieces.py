@@ -314,6 +314,13 @@ def decoded(p: Pieces, pieces: pa.ListArray) -> list[str | None]:
     return out
 
 
+def lossless(p: Pieces, texts: list[str | None], ids: pa.ListArray) -> pa.ListArray:
+    """The pieces, if they decode to their texts; else an error."""
+    if decoded(p, ids) != texts:
+        raise ValueError("pieces do not decode to their text")
+    return ids
+
+
 _LOADED: dict[str, Pieces] = {}
 
 
@@ -366,8 +373,18 @@ def round_trip(docs: DataFrame, seed: int = 1, rate: float = 0.1, path: str = MO
 
 
 def encoded_documents(docs: DataFrame, seed: int = 1, rate: float = 0.1, path: str = MODEL) -> DataFrame:
-    """doc_id, lang, source, pieces, n_pieces of every text; a text that did not decode to itself would be an error."""
-    rows = decode(encode(docs.select("doc_id", "text", "lang", "source"), seed, rate, path), path)
-    same = F.col("decoded").eqNullSafe(F.col("text"))
-    checked = F.when(same, F.coalesce(F.size("pieces"), F.lit(0)).cast("long")).otherwise(F.raise_error(F.lit("pieces do not decode to their text")).cast("long"))
-    return rows.select("doc_id", "lang", "source", "pieces", checked.alias("n_pieces"))
+    """doc_id, lang, source, pieces, n_pieces of every text; a text that did not decode to itself would be an error.
+
+    Pieces are decoded where they were made, in the same worker: texts move once, and a task has one worker, not two.
+    """
+    rest = docs.select("doc_id", "text", "lang", "source")
+    kept = [f for f in rest.schema.fields if f.name != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_blocks(batches, 1_000_000):
+            p, texts = loaded(path), batch.column("text").to_pylist()
+            ids = lossless(p, texts, encoded(p, texts, seed, rate))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), ids], [*(f.name for f in kept), "pieces"])
+
+    rows = rest.mapInArrow(run, T.StructType([*kept, T.StructField("pieces", T.ArrayType(T.IntegerType()))]))
+    return rows.withColumn("n_pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long"))
