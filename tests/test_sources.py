@@ -137,3 +137,13 @@ def test_checks_and_cycles(spark):
     assert [r.id for r in bad.collect()] == [2]
     loop = ontology.ancestor_closure(spark.createDataFrame([(1, 2), (2, 3)], "child long, parent long"))
     assert sorted(map(tuple, loop.collect())) == [(1, 1), (1, 2), (1, 3), (2, 2), (2, 3), (3, 3)]
+
+
+def test_table_in_parts(spark, tmp_path):
+    """The header stands in the first part by name only; larger parts are read first by Spark, and lose no row to a header."""
+    (tmp_path / "part-00000.txt").write_text("# note\nhpo_id\tstatus\nHP:0000001\tpresent\nhpo_id\tstatus\n")
+    (tmp_path / "part-00001.txt").write_text("".join(f"HP:{k:07d}\tabsent\n" for k in range(2, 200)))
+    (tmp_path / "part-00002.txt").write_text("hpo_id\tstatus\nHP:0000200\tpresent\n")
+    rows = knowledge.profile(spark, str(tmp_path), "P1").collect()
+    assert sorted(r.term for r in rows if r.term) == [f"HP:{k:07d}" for k in range(1, 201)]
+    assert {r.verdict for r in rows if r.term} == {"ok"} and [r.verdict for r in rows if not r.term] == ["bad_term"]

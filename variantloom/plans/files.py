@@ -208,8 +208,8 @@ def phenotype_table(v: Views) -> DataFrame:
     k = F.col("c_custkey")
     term = F.when(k % 33 == 0, "HP:12").otherwise(F.format_string("hp_%07d", k - F.when(k % 20 == 0, 1).otherwise(0)))
     token = F.get(F.array(*[F.lit(x) for x in ("Present", "ruled out", "not-assessed", "suspected", "maybe")]), (k % 5).cast("int"))
-    head = v["region"].limit(1).select(F.lit("hpo_id\tstatus").alias("value"), F.lit(0).cast("long").alias("at"))
-    path = tables.text_file(head.union(v["customer"].select(text(term, token).alias("value"), k.alias("at"))).coalesce(1))
+    head = v["region"].limit(1).select(F.lit("hpo_id\tstatus").alias("value"), F.lit(-1).cast("long").alias("at"))
+    path = tables.text_file(head.union(v["customer"].select(text(term, token).alias("value"), k.alias("at"))))
     return source.profile(v.spark, path, "P1").select("term", "status", "verdict")
 
 
