@@ -131,7 +131,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
         & (missing("b_signature", "a_signature") <= F.col("b_affected"))
         & (F.levenshtein("a_word", "b_word", 1) == 1)
     )
-    return a.join(b, both).select(F.col("a_word").alias("a"), F.col("a_n"), F.col("b_word").alias("b"), F.col("b_n")).distinct()
+    # the lists hold a word many times, which Spark's estimate of a small table of words does not show: never broadcast them
+    return a.hint("merge").join(b, both).select(F.col("a_word").alias("a"), F.col("a_n"), F.col("b_word").alias("b"), F.col("b_n")).distinct()
 
 
 def rooted(forms: DataFrame) -> DataFrame:
