@@ -298,7 +298,7 @@ def disclosing(docs: DataFrame, base: DataFrame, generalise: float = 2 / 3, remo
     tests = pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("tests"))
     sizes = with_entity.withColumnRenamed("n", "with_entity").join(tests, "entity").withColumn("need", F.log2(F.col("tests") / alpha)).withColumn("salt", salt)
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(SALTS)).cast("int"))
-    met = written(salted.join(sizes, ["entity", "salt"]).join(beside.withColumnRenamed("n", "beside"), "term").drop("salt", "tests").withColumn("ic", ic))
+    met = written(salted.join(sizes.hint("merge"), ["entity", "salt"]).join(beside.withColumnRenamed("n", "beside"), "term").drop("salt", "tests").withColumn("ic", ic))
     ratio = lambda all_: 1 + F.log2(F.least(F.lit(1.0), F.col("both") / F.col(all_))) / F.col("ic")
     candidates = written(met.filter((ratio("beside") >= generalise) & (evidence("beside") >= F.col("need"))).drop("beside"))
     held_in = spread(docs, base, candidates.select("term").distinct())
@@ -319,7 +319,7 @@ def wanted(told: DataFrame, base: DataFrame) -> DataFrame:
     """The text's keys, and its terms (term, action) that disclose an entity of the same text.
 
     Only terms that the table of told terms lets through leave their text. Told terms are salted, since one may stand in
-    very many texts.
+    very many texts; Spark's estimate of the small table does not show its SALTS copies, so these are never broadcast.
     """
     table = told.sparkSession.sparkContext.broadcast(bit_table(told.select("term").distinct()).tobytes())
 
@@ -334,7 +334,7 @@ def wanted(told: DataFrame, base: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"key_a": pa.array(a, pa.int64()), "key_b": pa.array(b, pa.int64()), "term": pa.array(term, pa.string()), "entities": pa.array(entities, pa.list_(pa.int64()))})
 
     once = base.filter(F.size("contexts") > 0).select(*KEYS, "contexts").mapInArrow(run, "key_a long, key_b long, term string, entities array<long>").dropDuplicates([*KEYS, "term"])
-    salted = told.select("entity", "term", "action", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = told.select("entity", "term", "action", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")).hint("merge")
     met = once.withColumn("salt", F.pmod("key_a", F.lit(SALTS)).cast("int")).join(salted, ["term", "salt"]).filter(F.array_contains("entities", F.col("entity")))
     hits = met.groupBy(*KEYS, "term").agg(F.max("action").alias("action"))  # remove goes before generalise
     return hits.groupBy(*KEYS).agg(F.collect_list(F.struct("term", "action")).alias("told"))
