@@ -174,3 +174,15 @@ def test_items_of_a_ledger(spark):
     unversioned = spark.range(1).select(ledger.item("frequency", "variant", F.lit("v"), "neutral", "moderate", "database_assertion", F.lit("x")).alias("i"))
     with pytest.raises(Exception, match="no version"):
         unversioned.collect()
+
+
+def test_stream_state_is_on_disk(spark, tmp_path):
+    """What was delivered before is known from state on disk; the session's own settings stay as they were."""
+    spark.range(5).selectExpr("id", "TIMESTAMP '2024-01-01 00:00:00' AS arrived").write.parquet(str(tmp_path / "in"))
+    rows = spark.readStream.schema("id long, arrived timestamp").parquet(str(tmp_path / "in"))
+    stream = rows.withWatermark("arrived", "1 hour").dropDuplicatesWithinWatermark(["id"])
+    done = ingest.started(spark, stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True))
+    done.awaitTermination()
+    states = [s for p in done.recentProgress for s in p["stateOperators"]]
+    assert states and all(any(k.startswith("rocksdb") for k in s["customMetrics"]) for s in states) and states[0]["numRowsTotal"] == 5
+    assert all(spark.conf.get(k, None) is None for k in ingest.STATE)
