@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +149,20 @@ def test_table_in_parts(spark, tmp_path):
     rows = knowledge.profile(spark, str(tmp_path), "P1").collect()
     assert sorted(r.term for r in rows if r.term) == [f"HP:{k:07d}" for k in range(1, 201)]
     assert {r.verdict for r in rows if r.term} == {"ok"} and [r.verdict for r in rows if not r.term] == ["bad_term"]
+
+
+def test_closure_by_waves(spark):
+    """Waves and, beyond them, doubling give one closure: a chain, a diamond, a cycle; each term meets each of its parents once a round, whatever stands above."""
+    edges = [(k, k + 1) for k in range(1, 50)] + [(101, 103), (101, 102), (102, 104), (103, 104), (104, 50)] + [(201, 202), (202, 201)]
+    above = {t: {t} for e in edges for t in e}
+    for _ in range(60):
+        for c, p in edges:
+            above[c] |= above[p]
+    want = sorted((t, a) for t, xs in above.items() for a in xs)
+    df = spark.createDataFrame(edges, "child long, parent long")
+    for waves in (1, 64):
+        assert sorted(map(tuple, ontology.ancestor_closure(df, most_waves=waves).collect())) == want
+    home = Path(tables.shared_home(spark))
+    old = set(home.glob("table-*"))
+    ontology.ancestor_closure(df)
+    assert len(set(home.glob("table-*")) - old) == 1  # the tables of the rounds are gone
