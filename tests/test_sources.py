@@ -166,3 +166,13 @@ def test_closure_by_waves(spark):
     old = set(home.glob("table-*"))
     ontology.ancestor_closure(df)
     assert len(set(home.glob("table-*")) - old) == 1  # the tables of the rounds are gone
+
+
+def test_information_content_by_edges(spark):
+    """By edges and by the closure alike, in a diamond with a term that no edge has; a cycle, and more edges than waves, are left to the closure."""
+    corpus = spark.createDataFrame([("e1", 1), ("e2", 1), ("e2", 2), ("e2", 2), ("e3", 4), ("e4", 99)], "entity string, term long")
+    df = spark.createDataFrame([(1, 2), (1, 3), (2, 4), (3, 4)], "child long, parent long")
+    got, want = (sorted(map(tuple, x.collect())) for x in (ontology.information_content(corpus, None, df), ontology.information_content(corpus, ontology.ancestor_closure(df))))
+    assert got == want and [(t, n) for t, n, _ in got] == [(1, 2), (2, 2), (3, 2), (4, 3)]
+    for edges in ([(1, 2), (2, 1)], [(1, 2), (2, 3), (3, 4), (4, 5)]):
+        assert ontology.raised_counts(corpus, spark.createDataFrame(edges, "child long, parent long"), most_waves=2) is None
